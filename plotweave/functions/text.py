@@ -11,7 +11,7 @@ SYNOPSIS_LABEL = "synopsis"
 
 def trim_control(text: Column) -> Column:
     """Strip every character up to U+0020 from both ends (``F.trim`` strips spaces only)."""
-    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+\z", "")
 
 
 def terms_in(text: Column, min_length: int = MIN_TERM_LENGTH) -> Column:
@@ -25,7 +25,7 @@ def terms_in(text: Column, min_length: int = MIN_TERM_LENGTH) -> Column:
 
 def _segments(text: Column) -> Column:
     """Pieces between colons; trailing empty pieces do not count."""
-    return F.split(F.regexp_replace(text, ":+$", ""), ":")
+    return F.split(F.regexp_replace(text, r":+\z", ""), ":")
 
 
 def _starts_with_label(segments: Column) -> Column:
@@ -41,7 +41,7 @@ def first_segment(text: Column) -> Column:
     piece = F.when(_starts_with_label(parts), F.get(parts, F.lit(1))).otherwise(
         F.get(parts, F.lit(0))
     )
-    return trim_control(F.when(F.regexp_replace(text, ":+$", "") != "", piece))
+    return trim_control(F.when(F.regexp_replace(text, r":+\z", "") != "", piece))
 
 
 def whole_text(text: Column) -> Column:

@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from plotweave.functions.vectors import distance
+from plotweave.operators.batches import batch_matrix, nearest_rows
 from plotweave.plans.lookup import BROADCAST_BYTES, join_lookup
 
 # When a centroid counts as unmoved, and how many the seeding picks.
@@ -26,6 +28,8 @@ MAX_ITERATIONS = 100
 
 # The centroid matrix is held by the driver and by every task.
 CENTROID_VALUES = BROADCAST_BYTES // 8
+# Up to this many partial sums are added up by the driver.
+DRIVER_VALUES = 1_000_000
 
 
 # -- vectors ---------------------------------------------------------------------------
@@ -39,21 +43,8 @@ def vector_coordinates(
     Pass stored tables; the dictionary is broadcast if it fits, else only its most
     frequent terms are.
     """
-    return _indexed(scores, dictionary, "inner", budget).select("product_id", "term_index", score)
-
-
-def _indexed(scores: DataFrame, dictionary: DataFrame, how: str, budget: int) -> DataFrame:
-    from plotweave.plans.lookup import broadcast_bytes
-    from plotweave.session import stage
-
-    if broadcast_bytes(dictionary, "term", 8) <= budget:
-        return scores.join(F.broadcast(dictionary), "term", how)
-    used = scores.groupBy("term").agg(F.count("*").alias("rows"))
-    weighted = stage(
-        dictionary.join(used, "term", "left").select("term", "term_index", F.coalesce("rows", F.lit(0)).alias("rows")),
-        "weighted_dictionary",
-    )
-    return join_lookup(scores, weighted, "term", "rows", how, budget, payload=16)
+    joined = join_lookup(scores, dictionary.select("term", "term_index"), "term", budget=budget)
+    return joined.select("product_id", "term_index", score)
 
 
 def vectorize(scores: DataFrame, dictionary: DataFrame, score: str = "tfidf") -> DataFrame:
@@ -64,7 +55,7 @@ def vectorize(scores: DataFrame, dictionary: DataFrame, score: str = "tfidf") ->
     product has two rows for one term.
     """
     length = int(dictionary.agg((F.max("term_index") + 1).alias("n")).first().n or 0)
-    listed = _indexed(scores, dictionary, "left", BROADCAST_BYTES)
+    listed = join_lookup(scores, dictionary.select("term", "term_index"), "term", "left")
     entry = F.when(
         F.col("term_index").isNotNull(), F.struct("term_index", F.col(score).alias("value"))
     )
@@ -128,35 +119,6 @@ def _centroid_table(spark: SparkSession, ids, matrix) -> DataFrame:
     )
 
 
-# -- per-batch helpers, run inside tasks -----------------------------------------------
-
-
-def _batch_matrix(column: pa.Array, dims: int) -> np.ndarray:
-    """The non-null vectors of a batch as rows of a matrix."""
-    present = column.drop_null()
-    lengths = pc.list_value_length(present)
-    if len(present) and pc.min_max(lengths).as_py() != {"min": dims, "max": dims}:
-        raise ValueError(f"a vector's length differs from the centroids' {dims}")
-    return present.flatten().to_numpy(zero_copy_only=False).astype("float64", copy=False).reshape(-1, dims)
-
-
-def _nearest(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of and distance to the nearest row of ``c``; the first of equals.
-
-    Candidates come from one matrix product. Where rounding of that form could hide the
-    true order, the rows are decided by differences; reported distances always are.
-    """
-    rough = (x * x).sum(1)[:, None] - 2.0 * (x @ c.T) + (c * c).sum(1)
-    best = rough.argmin(1)
-    slack = 1e-12 * ((x * x).sum(1) + (c * c).sum(1).max(initial=0.0))
-    close = (rough <= (rough[np.arange(len(x)), best] + slack)[:, None]).sum(1) > 1
-    if close.any():
-        rows = x[close]
-        exact = np.stack([((rows - center) ** 2).sum(1) for center in c], axis=1)
-        best[close] = exact.argmin(1)
-    return best, np.sqrt(((x - c[best]) ** 2).sum(1))
-
-
 # -- operators -------------------------------------------------------------------------
 
 
@@ -167,7 +129,7 @@ def assign(points: DataFrame, centroids: DataFrame) -> DataFrame:
 
     @F.arrow_udf("struct<cluster_id: int, distance: double>")
     def nearest(v: pa.Array) -> pa.Array:
-        best, d = _nearest(_batch_matrix(v, matrix.shape[1]), matrix)
+        best, d = nearest_rows(batch_matrix(v, matrix.shape[1]), matrix)
         valid = v.is_valid().to_numpy(zero_copy_only=False)
         cluster, distance = np.zeros(len(v), "int32"), np.zeros(len(v))
         cluster[valid], distance[valid] = ids[best], d
@@ -187,7 +149,7 @@ def centroid_distances(points: DataFrame, centroids: DataFrame) -> DataFrame:
 
     @F.arrow_udf("array<double>")
     def distances(v: pa.Array) -> pa.Array:
-        x = _batch_matrix(v, matrix.shape[1])
+        x = batch_matrix(v, matrix.shape[1])
         d = np.stack([np.sqrt(((x - center) ** 2).sum(1)) for center in matrix], axis=1)
         rows = iter(d.tolist())
         return pa.array([next(rows) if ok else None for ok in v.is_valid().to_pylist()], pa.list_(pa.float64()))
@@ -222,8 +184,6 @@ def update_centroids(assigned: DataFrame, centroids: DataFrame) -> DataFrame:
 
 def centroid_shifts(old: DataFrame, new: DataFrame) -> DataFrame:
     """``cluster_id, shift``: how far each centroid moved."""
-    from plotweave.functions.vectors import distance
-
     return (
         old.select("cluster_id", F.col("v").alias("old"))
         .join(new.select("cluster_id", F.col("v").alias("new")), "cluster_id")
@@ -248,9 +208,9 @@ def choose_centroids(
     which every task returns one row.
     """
     spark = points.sparkSession
+    cache = cache and not points.is_cached
     points = points.select("id", "v")
-    was_cached = points.is_cached
-    if cache and not was_cached:
+    if cache:
         points.persist(StorageLevel.MEMORY_AND_DISK)
     if seeds is None:
         seeds = points.orderBy("id").limit(1)
@@ -268,7 +228,7 @@ def choose_centroids(
                 batch = batch.filter(batch.column("v").is_valid())
                 if not batch.num_rows:
                     continue
-                d = _nearest(_batch_matrix(batch.column("v"), matrix.shape[1]), matrix)[1]
+                d = nearest_rows(batch_matrix(batch.column("v"), matrix.shape[1]), matrix)[1]
                 d = np.where(np.isnan(d), 0.0, d)
                 top = batch.filter(pa.array(d == d.max()))
                 first = pc.sort_indices(top.column("id"))[0].as_py()
@@ -285,7 +245,7 @@ def choose_centroids(
         if pick is None:
             break
         chosen.append((pick.id, list(pick.v), pick.d))
-    if cache and not was_cached:
+    if cache:
         points.unpersist()
     id_type = points.schema["id"].dataType.simpleString()
     return spark.createDataFrame(
@@ -306,11 +266,22 @@ class KMeansResult:
     converged: bool
 
 
-def _step(points: DataFrame, known: _Centroids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@dataclass
+class _Step:
+    """What one pass over the points yields per cluster, and how many rows that took."""
+
+    sums: np.ndarray
+    sizes: np.ndarray
+    costs: np.ndarray
+    rows: int
+
+
+def _step(points: DataFrame, known: _Centroids, few_rows: bool) -> _Step:
     """Sums, sizes and costs per cluster from one pass over the points.
 
     Every task adds up its points per cluster, so it passes on one row per cluster and
-    nothing of the points.
+    nothing of the points. These rows are summed up by a shuffle, or by the driver when an
+    earlier pass has shown that there are but a few.
     """
     matrix = known.matrix
     k, dims = matrix.shape
@@ -318,8 +289,8 @@ def _step(points: DataFrame, known: _Centroids) -> tuple[np.ndarray, np.ndarray,
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, sizes, costs = np.zeros((k, dims)), np.zeros(k, "int64"), np.zeros(k)
         for batch in batches:
-            x = _batch_matrix(batch.column("v"), dims)
-            best, d = _nearest(x, matrix)
+            x = batch_matrix(batch.column("v"), dims)
+            best, d = nearest_rows(x, matrix)
             member = np.zeros((k, len(x)))
             member[best, np.arange(len(x))] = 1.0
             sums += member @ x
@@ -339,18 +310,31 @@ def _step(points: DataFrame, known: _Centroids) -> tuple[np.ndarray, np.ndarray,
     parts = points.select("v").mapInArrow(
         partial, "cluster int, size long, cost double, total array<double>"
     )
+    sums, sizes, costs = np.zeros((k, dims)), np.zeros(k, "int64"), np.zeros(k)
+    if few_rows:
+        found = parts.toArrow()
+        cluster = found["cluster"].to_numpy()
+        total = found["total"].combine_chunks().flatten().to_numpy().reshape(-1, dims)
+        np.add.at(sums, cluster, total)
+        np.add.at(sizes, cluster, found["size"].to_numpy())
+        np.add.at(costs, cluster, found["cost"].to_numpy())
+        return _Step(sums, sizes, costs, found.num_rows)
     merged = (
         parts.select("cluster", "size", "cost", F.posexplode("total").alias("dim", "x"))
         .groupBy("cluster", "dim")
-        .agg(F.sum("x").alias("x"), F.sum("size").alias("size"), F.sum("cost").alias("cost"))
+        .agg(
+            F.sum("x").alias("x"),
+            F.sum("size").alias("size"),
+            F.sum("cost").alias("cost"),
+            F.count("*").alias("rows"),
+        )
         .toArrow()
     )
     cluster, dim = merged["cluster"].to_numpy(), merged["dim"].to_numpy()
-    sums, sizes, costs = np.zeros((k, dims)), np.zeros(k, "int64"), np.zeros(k)
     sums[cluster, dim] = merged["x"].to_numpy()
     sizes[cluster] = merged["size"].to_numpy()
     costs[cluster] = merged["cost"].to_numpy()
-    return sums, sizes, costs
+    return _Step(sums, sizes, costs, pc.sum(merged["rows"]).as_py() or 0)
 
 
 def kmeans(
@@ -370,16 +354,21 @@ def kmeans(
     """
     spark = points.sparkSession
     known = _collect_centroids(centroids)
+    cache = cache and not points.is_cached
     source, points = points, points.select("id", "v")
     if cache:
         points.persist(StorageLevel.MEMORY_AND_DISK)
-    history, done, iteration = [], False, 0
+    history, done, iteration, few_rows = [], False, 0, False
     while iteration < max_iter and not done:
         iteration += 1
-        sums, sizes, costs = _step(points, known)
-        means = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], known.matrix)
+        step = _step(points, known, few_rows)
+        # The shuffled pass counts a row once per dimension, so this bounds their values.
+        few_rows = few_rows or step.rows <= DRIVER_VALUES
+        used = step.sizes > 0
+        means = known.matrix.copy()
+        means[used] = step.sums[used] / step.sizes[used, None]
         shifts = np.sqrt(((means - known.matrix) ** 2).sum(1))
-        history.append((iteration, means, sizes, shifts, costs))
+        history.append((iteration, means, step.sizes, shifts, step.costs))
         known = _Centroids(known.ids, means)
         done = bool((shifts <= tol).all())
     if cache:

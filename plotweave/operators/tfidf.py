@@ -11,13 +11,17 @@ MATCHING_REVIEWS = "matching_reviews"
 ALL_REVIEWS = "all_reviews"
 
 
-def term_frequency(counts: DataFrame, denominator: str = MATCHING_REVIEWS) -> DataFrame:
+def term_frequency(
+    counts: DataFrame, denominator: str = MATCHING_REVIEWS, budget: int = BROADCAST_BYTES
+) -> DataFrame:
     """``product_id, term, tf`` from the counts per review.
 
     The denominator is the number of kept terms in the product's reviews that contain the
     term, or with ``all_reviews`` in all its reviews. One shuffle on (product, term), with
     partial sums before it, so neither a large product nor a frequent term is a hot group.
     """
+    if denominator not in (MATCHING_REVIEWS, ALL_REVIEWS):
+        raise ValueError(f"denominator must be {MATCHING_REVIEWS!r} or {ALL_REVIEWS!r}")
     per_term = counts.groupBy("product_id", "term").agg(
         F.sum("term_count").alias("occurrences"), F.sum("total_count").alias("matching")
     )
@@ -25,14 +29,17 @@ def term_frequency(counts: DataFrame, denominator: str = MATCHING_REVIEWS) -> Da
         return per_term.select(
             "product_id", "term", (F.col("occurrences") / F.col("matching")).alias("tf")
         )
-    if denominator != ALL_REVIEWS:
-        raise ValueError(f"denominator must be {MATCHING_REVIEWS!r} or {ALL_REVIEWS!r}")
     per_term = stage(per_term, "term_counts")
     products = per_term.groupBy("product_id").agg(
         F.sum("occurrences").alias("all_terms"), F.count("*").alias("product_terms")
     )
     joined = join_lookup(
-        per_term, stage(products, "product_terms"), "product_id", "product_terms", payload=16
+        per_term,
+        stage(products, "product_terms"),
+        "product_id",
+        weight="product_terms",
+        payload=16,
+        budget=budget,
     )
     return joined.select(
         "product_id", "term", (F.col("occurrences") / F.col("all_terms")).alias("tf")
@@ -86,6 +93,6 @@ def tfidf(tf: DataFrame, budget: int = BROADCAST_BYTES) -> DataFrame:
     """
     frequencies = stage(document_frequency(tf), "document_frequency")
     n_products = product_count(tf).first().n_products
-    joined = join_lookup(tf, frequencies, "term", "df", budget=budget, payload=8)
+    joined = join_lookup(tf, frequencies, "term", weight="df", budget=budget)
     idf = F.log(F.lit(float(n_products)) / (F.lit(1.0) + F.col("df")))
     return joined.select("product_id", "term", (F.col("tf") * idf).alias("tfidf"))

@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from plotweave.session import stage
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 # What a row of a broadcast hash table costs besides its key and payload.
 ROW_OVERHEAD = 100
@@ -43,20 +45,26 @@ def join_lookup(
     rows: DataFrame,
     lookup: DataFrame,
     key: str,
-    weight: str,
     how: str = "inner",
+    weight: str | None = None,
+    payload: int = 8,
     budget: int = BROADCAST_BYTES,
-    payload: int = 0,
 ) -> DataFrame:
     """``rows`` joined to ``lookup`` on ``key``, which is unique in ``lookup``.
 
-    ``weight`` is a column of ``lookup`` with the number of rows per key; it stays in the
-    result. ``payload`` is the width in bytes of the other columns, ``how`` is ``inner`` or
-    ``left``. Both tables should be stored ones: they are read more than once.
+    ``how`` is ``inner`` or ``left``. ``weight`` is a column of ``lookup`` with the number of
+    rows per key; without one the rows are counted if the lookup turns out to be too large.
+    ``payload`` is the width in bytes of the columns beside the key. Both tables should be
+    stored ones: they are read more than once.
     """
     if broadcast_bytes(lookup, key, payload) <= budget:
         return rows.join(F.broadcast(lookup), key, how)
-    hot = hot_rows(lookup, key, weight, budget, payload)
+    weighted = lookup
+    if weight is None:
+        weight = "rows_per_key"
+        used = rows.groupBy(key).agg(F.count("*").alias(weight))
+        weighted = stage(lookup.join(used, key, "left").fillna(0, weight), "weighted_lookup")
+    hot = hot_rows(weighted, key, weight, budget, payload).select(lookup.columns)
     by_broadcast = rows.join(F.broadcast(hot), key, "inner")
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
     return by_broadcast.unionByName(rest.join(lookup.hint("shuffle_merge"), key, how))

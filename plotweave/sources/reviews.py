@@ -26,12 +26,12 @@ FULL = "full"
 def _after_key(line: Column) -> Column:
     """What follows the first colon of a ``key: value`` line, null without a value."""
     return F.when(
-        F.regexp_replace(line, ":+$", "").contains(":"), F.regexp_extract(line, r"(?s)^[^:]*:(.*)$", 1)
+        F.regexp_replace(line, r":+\z", "").contains(":"), F.regexp_extract(line, r"(?s)^[^:]*:(.*)\z", 1)
     )
 
 
 def _product_id(value: Column) -> Column:
-    return trim_control(F.get(F.split(F.when(F.regexp_replace(value, ":+$", "") != "", value), ":"), F.lit(0)))
+    return trim_control(F.get(F.split(F.when(F.regexp_replace(value, r":+\z", "") != "", value), ":"), F.lit(0)))
 
 
 def _review_text(line: Column, text_rule: str) -> Column:
@@ -91,7 +91,7 @@ def read_reviews(
     block = F.regexp_replace("value", rf"^{PRODUCT_KEY}:", "")
     first_line = F.regexp_extract("block", r"^[^\r\n]*", 0)
     # Only the first block of a file can lack the id; it starts with a line of another key.
-    no_id = first_line.rlike(r"^[^:\s]+/[^:\s]+(:|$)")
+    no_id = first_line.rlike(r"^[^:\s]+/[^:\s]+(:|\z)")
     lines = blocks.select(block.alias("block")).select(
         F.when(~no_id, _product_id(first_line)).alias("product_id"),
         F.explode(_key_lines(F.col("block"), TEXT_KEY)).alias("line"),
