@@ -30,7 +30,7 @@ def parse_vector(text: Column) -> Column:
 
 def format_vector(v: Column) -> Column:
     """An array as space-separated numbers that read back as the same doubles."""
-    return F.array_join(v.cast("array<string>"), " ")
+    return F.array_join(v.cast("array<double>").cast("array<string>"), " ")
 
 
 def fixed_decimals(v: Column) -> Column:
