@@ -12,14 +12,15 @@ point and sums per cluster and term, but not the coordinates.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from plotweave.operators.dense import CLUSTERS, MAX_ITERATIONS, TOLERANCE
-from plotweave.plans.lookup import BROADCAST_BYTES, join_lookup
-from plotweave.session import stage
+from plotweave.plans.lookup import BROADCAST_BYTES, join_lookup, row_bytes
+from plotweave.session import stage, stage_measured
 
 SALTS = 8
 # Below this share of |x|² + |c|² a squared distance may be nothing but rounding.
@@ -52,81 +53,101 @@ def lay_out(coordinates: DataFrame) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class _Summary:
-    """One row per cluster: its squared norm and how many terms it has."""
-
-    ids: list[int]
-    norms: dict[int, float]
-    terms: dict[int, int]
+class _Wide:
+    """All centroids as one stored table: ``term`` and one column ``c<place>`` per cluster.
 
+    The rest was measured while it was written: per cluster the squared norm and the number
+    of terms, and the size of the table.
+    """
 
-def _summarize(centroids: DataFrame) -> _Summary:
-    rows = (
-        centroids.groupBy("cluster_id")
-        .agg(
-            F.sum(F.col("value") * F.col("value")).alias("norm"),
-            F.count_if(F.col("value") != 0).alias("terms"),
-        )
-        .orderBy("cluster_id")
-        .collect()
+    table: DataFrame
+    ids: list[int]
+    norms: list[float]
+    terms: list[int]
+    bytes: float
+
+
+def _store(wide: DataFrame, ids: list[int], extra: list[Column] = ()) -> tuple[_Wide, dict]:
+    """Store ``term, c0, c1, …`` and the sums over it that the next turn needs."""
+    places = range(len(ids))
+    c = [F.col(f"c{j}") for j in places]
+    table, found = stage_measured(
+        wide,
+        "centroids",
+        F.sum(row_bytes("term", 8 * len(ids))).alias("bytes"),
+        *[F.sum(c[j] * c[j]).alias(f"norm{j}") for j in places],
+        *[F.count_if(c[j] != 0).alias(f"terms{j}") for j in places],
+        *extra,
     )
-    return _Summary(
-        [r.cluster_id for r in rows],
-        {r.cluster_id: r.norm for r in rows},
-        {r.cluster_id: r.terms for r in rows},
+    norms = [found[f"norm{j}"] or 0.0 for j in places]
+    terms = [found[f"terms{j}"] for j in places]
+    return _Wide(table, ids, norms, terms, found["bytes"] or 0.0), found
+
+
+def _widen(centroids: DataFrame) -> _Wide:
+    """Centroids ``cluster_id, term, value`` as a wide table."""
+    ids = sorted(r.cluster_id for r in centroids.select("cluster_id").distinct().collect())
+    columns = [
+        F.sum(F.when(F.col("cluster_id") == i, F.col("value"))).alias(f"c{j}")
+        for j, i in enumerate(ids)
+    ]
+    return _store(centroids.groupBy("term").agg(*columns), ids)[0]
+
+
+def _narrow(wide: _Wide) -> DataFrame:
+    """A wide table as centroids ``cluster_id, term, value``."""
+    each = F.array(
+        *[
+            F.struct(F.lit(i).alias("cluster_id"), F.col(f"c{j}").alias("value"))
+            for j, i in enumerate(wide.ids)
+        ]
     )
+    rows = wide.table.select("term", F.explode(each).alias("c"))
+    return rows.select("c.cluster_id", "term", "c.value").where(F.col("value").isNotNull())
 
 
-def _squared_distances(
-    coordinates: DataFrame, centroids: DataFrame, summary: _Summary, exact: bool, budget: int
+def _assigned(
+    coordinates: DataFrame, wide: _Wide, exact: bool = False, budget: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """``id``, ``norm`` and one column ``d<cluster>`` of squared distances per cluster.
+    """``id, cluster_id, distance, norm``: the lowest cluster among equally near ones.
 
     ``exact`` sums squared differences instead of products, which takes three sums per
     cluster and gives precisely 0 for a point that equals the centroid.
     """
-    wide = stage(
-        centroids.groupBy("term").pivot("cluster_id", summary.ids).agg(F.sum("value")), "centroids"
-    )
     joined = join_lookup(
-        coordinates, wide, "term", "left", payload=8 * len(summary.ids), budget=budget
+        coordinates,
+        wide.table,
+        "term",
+        "left",
+        payload=8 * len(wide.ids),
+        budget=budget,
+        lookup_bytes=wide.bytes,
     )
     x = F.col("value")
     sums, distances = [F.sum(x * x).alias("norm")], []
-    for i in summary.ids:
-        c, norm = F.col(f"`{i}`"), F.lit(summary.norms[i])
+    for j, i in enumerate(wide.ids):
+        c, norm = F.col(f"c{j}"), F.lit(wide.norms[j])
         if not exact:
-            sums.append(F.sum(x * c).alias(f"dot{i}"))
-            d = F.col("norm") + norm - 2.0 * F.coalesce(f"dot{i}", F.lit(0.0))
+            sums.append(F.sum(x * c).alias(f"dot{j}"))
+            d = F.col("norm") + norm - 2.0 * F.coalesce(f"dot{j}", F.lit(0.0))
         else:
             difference = x - F.coalesce(c, F.lit(0.0))
             sums += [
-                F.sum(difference * difference).alias(f"differences{i}"),
-                F.sum(c * c).alias(f"shared{i}"),
-                F.count_if(c != 0).alias(f"terms{i}"),
+                F.sum(difference * difference).alias(f"differences{j}"),
+                F.sum(c * c).alias(f"shared{j}"),
+                F.count_if(c != 0).alias(f"terms{j}"),
             ]
-            other = F.when(F.col(f"terms{i}") == summary.terms[i], F.lit(0.0)).otherwise(
-                F.greatest(norm - F.coalesce(f"shared{i}", F.lit(0.0)), F.lit(0.0))
+            other = F.when(F.col(f"terms{j}") == wide.terms[j], F.lit(0.0)).otherwise(
+                F.greatest(norm - F.coalesce(f"shared{j}", F.lit(0.0)), F.lit(0.0))
             )
-            d = F.col(f"differences{i}") + other
-        distances.append(F.greatest(d, F.lit(0.0)).alias(f"d{i}"))
-    return joined.groupBy("id").agg(*sums).select("id", "norm", *distances)
-
-
-def _nearest(summary: _Summary) -> Column:
-    """The smallest of (d², cluster_id): the lowest cluster among equals."""
-    return F.array_min(
-        F.array(*[F.struct(F.col(f"d{i}").alias("d"), F.lit(i).alias("cluster_id")) for i in summary.ids])
-    )
-
-
-def _assigned(coordinates, centroids, summary, exact=False, budget=BROADCAST_BYTES) -> DataFrame:
-    squared = _squared_distances(coordinates, centroids, summary, exact, budget)
-    found = squared.select("id", "norm", _nearest(summary).alias("found"))
-    return found.select(
+            d = F.col(f"differences{j}") + other
+        squared = F.greatest(d, F.lit(0.0)).alias("d")
+        distances.append(F.struct(squared, F.lit(i).alias("cluster_id")))
+    nearest = F.array_min(F.array(*distances)).alias("nearest")
+    return joined.groupBy("id").agg(*sums).select("id", "norm", nearest).select(
         "id",
-        F.col("found.cluster_id").alias("cluster_id"),
-        F.sqrt("found.d").alias("distance"),
+        F.col("nearest.cluster_id").alias("cluster_id"),
+        F.sqrt("nearest.d").alias("distance"),
         "norm",
     )
 
@@ -135,31 +156,62 @@ def assign_sparse(
     coordinates: DataFrame, centroids: DataFrame, budget: int = BROADCAST_BYTES
 ) -> DataFrame:
     """``id, cluster_id, distance``: the nearest centroid, the lowest id among equals."""
-    assigned = _assigned(coordinates, centroids, _summarize(centroids), budget=budget)
+    assigned = _assigned(coordinates, _widen(centroids), budget=budget)
     return assigned.select("id", "cluster_id", "distance")
 
 
-def update_sparse(
-    coordinates: DataFrame, assignments: DataFrame, centroids: DataFrame
+def _moved(
+    coordinates: DataFrame, assignments: DataFrame, sizes: list[int], wide: _Wide
 ) -> DataFrame:
-    """``cluster_id, term, value``: the mean of each cluster's points.
+    """Wide centroids after a turn, ``term, c0, …``, with the old ones as ``old0, …``.
 
-    A cluster without points keeps its centroid. Pass stored assignments.
+    ``sizes`` are the numbers of points per cluster; a cluster without any keeps its
+    centroid.
     """
-    sizes = assignments.groupBy("cluster_id").agg(F.count("*").alias("size"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     members = assignments.select("id", "cluster_id", salts.alias("salt"))
-    sums = (
+    places = range(len(wide.ids))
+    points = (
         _salted(coordinates)
         .join(members.hint("shuffle_hash"), ["id", "salt"])
-        .groupBy("cluster_id", "term")
-        .agg(F.sum("value").alias("total"))
+        .select("term", "cluster_id", "value", *[F.lit(None).cast("double").alias(f"old{j}") for j in places])
     )
-    means = sums.join(F.broadcast(sizes), "cluster_id").select(
-        "cluster_id", "term", (F.col("total") / F.col("size")).alias("value")
+    old = wide.table.select(
+        "term",
+        F.lit(None).cast("int").alias("cluster_id"),
+        F.lit(None).cast("double").alias("value"),
+        *[F.col(f"c{j}").alias(f"old{j}") for j in places],
     )
-    kept = centroids.join(F.broadcast(sizes), "cluster_id", "left_anti")
-    return means.unionByName(kept.select("cluster_id", "term", "value"))
+    sums = [F.max(f"old{j}").alias(f"old{j}") for j in places]
+    for j, i in enumerate(wide.ids):
+        if sizes[j]:
+            total = F.sum(F.when(F.col("cluster_id") == i, F.col("value")))
+            sums.append((total / F.lit(float(sizes[j]))).alias(f"c{j}"))
+        else:
+            sums.append(F.max(f"old{j}").alias(f"c{j}"))
+    return points.unionByName(old).groupBy("term").agg(*sums)
+
+
+def _sizes_of(found: dict, wide: _Wide) -> list[int]:
+    return [found[f"size{j}"] for j in range(len(wide.ids))]
+
+
+def _size_measures(wide: _Wide) -> list[Column]:
+    return [F.count_if(F.col("cluster_id") == i).alias(f"size{j}") for j, i in enumerate(wide.ids)]
+
+
+def update_sparse(
+    coordinates: DataFrame, assignments: DataFrame, centroids: DataFrame
+) -> DataFrame:
+    """``cluster_id, term, value``: the mean of each cluster's points.
+
+    A cluster without points keeps its centroid. Pass stored assignments.
+    """
+    wide = _widen(centroids)
+    sizes = _sizes_of(assignments.agg(*_size_measures(wide)).first().asDict(), wide)
+    columns = ["term", *[f"c{j}" for j in range(len(wide.ids))]]
+    moved = _moved(coordinates, assignments, sizes, wide).select(columns)
+    return _narrow(replace(wide, table=moved))
 
 
 def shifts_sparse(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -180,41 +232,37 @@ def choose_centroids_sparse(
     """Farthest-first centroids and the picks they came from.
 
     Starts from the points with the ids ``seeds`` (the smallest id by default). Returns
-    ``cluster_id, term, value`` and ``cluster_id, id, min_distance``.
+    ``cluster_id, term, value`` and ``cluster_id, id, min_distance``. Two jobs per pick.
     """
     spark = coordinates.sparkSession
     table = lay_out(coordinates).persist(StorageLevel.MEMORY_AND_DISK)
     picks = [(i, None) for i in sorted(seeds or [table.agg(F.min("id")).first()[0]])[:k]]
-    id_type = coordinates.schema["id"].dataType
 
-    def current() -> DataFrame:
-        numbers = F.create_map(
-            *[F.lit(x).cast(t) for i, (p, _) in enumerate(picks) for x, t in ((p, id_type), (i, "int"))]
-        )
-        chosen = table.where(F.col("id").isin([p for p, _ in picks]))
-        return chosen.select(F.try_element_at(numbers, F.col("id")).alias("cluster_id"), "term", "value")
+    def chosen() -> _Wide:
+        columns = [
+            F.sum(F.when(F.col("id") == F.lit(p), F.col("value"))).alias(f"c{j}")
+            for j, (p, _) in enumerate(picks)
+        ]
+        rows = table.where(F.col("id").isin([p for p, _ in picks]))
+        return _store(rows.groupBy("term").agg(*columns), list(range(len(picks))))[0]
+
+    def farthest(wide: _Wide, exact: bool) -> Row | None:
+        return _assigned(table, wide, exact, budget).orderBy(F.desc("distance"), "id").first()
 
+    wide = chosen()
     while len(picks) < k:
-        centroids = stage(current(), "seeds")
-        summary = _summarize(centroids)
-        farthest = _assigned(table, centroids, summary, budget=budget).orderBy(
-            F.desc("distance"), "id"
-        ).first()
-        if farthest is None:
+        found = farthest(wide, exact=False)
+        if found and found.distance**2 <= ROUNDING * (found.norm + max(wide.norms)):
+            found = farthest(wide, exact=True)
+        if not found or found.distance == 0.0:
             break
-        scale = farthest.norm + max(summary.norms.values())
-        if farthest.distance**2 <= ROUNDING * scale:
-            farthest = _assigned(table, centroids, summary, True, budget).orderBy(
-                F.desc("distance"), "id"
-            ).first()
-            if farthest.distance == 0.0:
-                break
-        picks.append((farthest.id, farthest.distance))
-    result = stage(current(), "centroids")
+        picks.append((found.id, found.distance))
+        wide = chosen()
     table.unpersist()
-    rows = [(i, p, d) for i, (p, d) in enumerate(picks)]
-    schema = f"cluster_id int, id {id_type.simpleString()}, min_distance double"
-    return result, spark.createDataFrame(rows, schema)
+    rows = [(j, p, d) for j, (p, d) in enumerate(picks)]
+    id_type = coordinates.schema["id"].dataType.simpleString()
+    schema = f"cluster_id int, id {id_type}, min_distance double"
+    return _narrow(wide), spark.createDataFrame(rows, schema)
 
 
 @dataclass(frozen=True)
@@ -238,27 +286,34 @@ def kmeans_sparse(
 ) -> SparseKMeansResult:
     """Lloyd's iterations on coordinates, as ``kmeans`` does on dense vectors.
 
-    Assignments and centroids of a turn are stored in the shared folder, which cuts the
-    lineage and survives the loss of executors.
+    Two jobs per turn: one stores the assignments, the other the new centroids, and what
+    the driver needs to know is measured while they are written. The stored tables cut the
+    lineage and survive the loss of executors.
     """
     spark = coordinates.sparkSession
     table = lay_out(coordinates).persist(StorageLevel.MEMORY_AND_DISK)
-    current = stage(centroids.select("cluster_id", "term", "value"), "centroids")
+    wide = _widen(centroids)
+    places = range(len(wide.ids))
+    moves = [F.coalesce(f"c{j}", F.lit(0.0)) - F.coalesce(f"old{j}", F.lit(0.0)) for j in places]
+    shift_measures = [F.sum(m * m).alias(f"shift{j}") for j, m in zip(places, moves)]
     history, done, iteration = [], False, 0
     while iteration < max_iter and not done:
         iteration += 1
-        summary = _summarize(current)
-        assignments = stage(
-            _assigned(table, current, summary, budget=budget).select("id", "cluster_id"),
+        assignments, found = stage_measured(
+            _assigned(table, wide, budget=budget).select("id", "cluster_id"),
             "assignments",
+            *_size_measures(wide),
         )
-        following = stage(update_sparse(table, assignments, current), "centroids")
-        sizes = {r.cluster_id: r["count"] for r in assignments.groupBy("cluster_id").count().collect()}
-        shifts = {r.cluster_id: r["shift"] for r in shifts_sparse(current, following).collect()}
-        history += [(iteration, i, sizes.get(i, 0), shifts.get(i, 0.0)) for i in summary.ids]
-        current = following
-        done = all(s <= tol for s in shifts.values())
-    assignments = stage(assign_sparse(table, current, budget), "assignments")
+        sizes = _sizes_of(found, wide)
+        moved = _moved(table, assignments, sizes, wide)
+        following, found = _store(moved, wide.ids, shift_measures)
+        columns = ["term", *[f"c{j}" for j in places]]
+        wide = replace(following, table=following.table.select(columns))
+        shifts = [math.sqrt(found[f"shift{j}"] or 0.0) for j in places]
+        history += [(iteration, i, sizes[j], shifts[j]) for j, i in enumerate(wide.ids)]
+        done = all(s <= tol for s in shifts)
+    final = _assigned(table, wide, budget=budget).select("id", "cluster_id", "distance")
+    assignments = stage(final, "assignments")
     table.unpersist()
     past = spark.createDataFrame(history, "iteration int, cluster_id int, size long, shift double")
-    return SparseKMeansResult(current, assignments, past, iteration, done)
+    return SparseKMeansResult(_narrow(wide), assignments, past, iteration, done)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, functions as F
 
-from plotweave.plans.lookup import BROADCAST_BYTES, join_lookup
-from plotweave.session import shared_dir, stage
+from plotweave.plans.lookup import BROADCAST_BYTES, join_lookup, row_bytes
+from plotweave.session import stage, stage_measured
 
 MATCHING_REVIEWS = "matching_reviews"
 ALL_REVIEWS = "all_reviews"
@@ -59,29 +61,35 @@ def product_count(tf: DataFrame) -> DataFrame:
 def term_dictionary(tf: DataFrame) -> DataFrame:
     """``term, term_index``: the distinct terms, numbered from 0 in sorted order.
 
-    The terms are range-partitioned and sorted, and checkpointed in that order. From then on
-    a row's place in its partition is fixed, and its index is the place plus the number of
-    terms in the partitions before. Only the partition sizes reach the driver.
+    The terms are range-partitioned, sorted and stored, one file per range. A row's place in
+    its file is then fixed, and its index is that place plus the number of terms in the
+    files before. Only the file sizes reach the driver.
     """
     spark = tf.sparkSession
-    shared_dir(spark)
-    ordered = (
-        tf.select("term").distinct().repartitionByRange("term").sortWithinPartitions("term")
-    ).checkpoint()
-    placed = ordered.select(
+    ordered = stage(
+        tf.select("term").distinct().repartitionByRange("term").sortWithinPartitions("term"),
+        "sorted_terms",
+    ).select(
         "term",
-        F.spark_partition_id().alias("part"),
-        # The upper bits of the generated id are the partition, the lower 33 the row in it.
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.row_index").alias("place"),
     )
-    sizes = {r.part: r.n for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    sizes = ordered.groupBy("file").agg(F.count("*").alias("n")).collect()
     offsets, total = [], 0
-    for part in range(max(sizes, default=-1) + 1):
-        offsets.append(total)
-        total += sizes.get(part, 0)
-    before = F.get(F.lit(offsets) if offsets else F.array(F.lit(0)), F.col("part"))
+    for row in sorted(sizes, key=lambda r: _file_number(r.file)):
+        offsets.append((row.file, total))
+        total += row.n
+    starts = spark.createDataFrame(offsets, "file string, start long")
     index_type = "int" if total <= 2**31 - 1 else "long"
-    return placed.select("term", (F.col("place") + before).cast(index_type).alias("term_index"))
+    return ordered.join(F.broadcast(starts), "file").select(
+        "term", (F.col("start") + F.col("place")).cast(index_type).alias("term_index")
+    )
+
+
+def _file_number(name: str) -> tuple[int, int]:
+    """The partition and, for partitions of several files, the file within it."""
+    part, within = re.fullmatch(r"part-(\d+)-.*c(\d+)\..*", name).groups()
+    return int(part), int(within)
 
 
 def tfidf(tf: DataFrame, budget: int = BROADCAST_BYTES) -> DataFrame:
@@ -91,8 +99,12 @@ def tfidf(tf: DataFrame, budget: int = BROADCAST_BYTES) -> DataFrame:
     frequencies are joined on by ``join_lookup``: ``df`` is itself the number of rows a
     term has, so it tells the frequent terms from the rare ones.
     """
-    frequencies = stage(document_frequency(tf), "document_frequency")
+    frequencies, measured = stage_measured(
+        document_frequency(tf), "document_frequency", F.sum(row_bytes("term")).alias("bytes")
+    )
     n_products = product_count(tf).first().n_products
-    joined = join_lookup(tf, frequencies, "term", weight="df", budget=budget)
+    joined = join_lookup(
+        tf, frequencies, "term", weight="df", budget=budget, lookup_bytes=measured["bytes"] or 0.0
+    )
     idf = F.log(F.lit(float(n_products)) / (F.lit(1.0) + F.col("df")))
     return joined.select("product_id", "term", (F.col("tf") * idf).alias("tfidf"))

@@ -22,13 +22,14 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 100
 
 
-def _row_bytes(key: str, payload: int) -> Column:
+def row_bytes(key: str, payload: int = 8) -> Column:
+    """What a lookup row takes in a broadcast hash table."""
     return (F.octet_length(F.col(key).cast("string")) + F.lit(ROW_OVERHEAD + payload)).cast("double")
 
 
 def broadcast_bytes(lookup: DataFrame, key: str, payload: int = 0) -> float:
     """What broadcasting the whole lookup would take. Runs a job: pass a stored table."""
-    return lookup.agg(F.sum(_row_bytes(key, payload))).first()[0] or 0.0
+    return lookup.agg(F.sum(row_bytes(key, payload))).first()[0] or 0.0
 
 
 def hot_rows(
@@ -37,7 +38,7 @@ def hot_rows(
     """The rows of ``lookup`` to broadcast; together at most ``budget`` bytes."""
     total = lookup.agg(F.sum(F.col(weight).cast("double"))).first()[0] or 0.0
     return lookup.where(
-        F.col(weight).cast("double") * F.lit(float(budget)) >= F.lit(total) * _row_bytes(key, payload)
+        F.col(weight).cast("double") * F.lit(float(budget)) >= F.lit(total) * row_bytes(key, payload)
     )
 
 
@@ -49,15 +50,19 @@ def join_lookup(
     weight: str | None = None,
     payload: int = 8,
     budget: int = BROADCAST_BYTES,
+    lookup_bytes: float | None = None,
 ) -> DataFrame:
     """``rows`` joined to ``lookup`` on ``key``, which is unique in ``lookup``.
 
     ``how`` is ``inner`` or ``left``. ``weight`` is a column of ``lookup`` with the number of
     rows per key; without one the rows are counted if the lookup turns out to be too large.
-    ``payload`` is the width in bytes of the columns beside the key. Both tables should be
-    stored ones: they are read more than once.
+    ``payload`` is the width in bytes of the columns beside the key; ``lookup_bytes`` is the
+    sum of ``row_bytes`` where the caller has measured it. Both tables should be stored ones:
+    they are read more than once.
     """
-    if broadcast_bytes(lookup, key, payload) <= budget:
+    if lookup_bytes is None:
+        lookup_bytes = broadcast_bytes(lookup, key, payload)
+    if lookup_bytes <= budget:
         return rows.join(F.broadcast(lookup), key, how)
     weighted = lookup
     if weight is None:

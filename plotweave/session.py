@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -64,3 +64,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_measured(df: DataFrame, name: str, *measures: Column) -> tuple[DataFrame, dict]:
+    """``stage``, with aggregates over the rows taken while they are written."""
+    observed = Observation()
+    return stage(df.observe(observed, *measures), name), observed.get
