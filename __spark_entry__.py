@@ -27,10 +27,6 @@ STOP_WORDS = ["and", "das", "der", "des", "die", "les", "los", "que", "the", "un
 # -- inputs ----------------------------------------------------------------------------
 
 
-def _stop_words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOP_WORDS], "term string")
-
-
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = sources.read_table(spark, f"{sf_dir}/conversations.parquet", spread=True)
     return texts.as_reviews(table, "conv_id", "turn")
@@ -81,7 +77,7 @@ def tokenize(spark, sf_dir):
 
 
 def stop_word_filter(spark, sf_dir):
-    return texts.drop_stop_words(texts.tokenize(_documents(spark, sf_dir)), _stop_words(spark))
+    return texts.drop_stop_words(texts.tokenize(_documents(spark, sf_dir)), STOP_WORDS)
 
 
 def synopsis_rule(spark, sf_dir):
@@ -95,11 +91,11 @@ def synopsis_rule(spark, sf_dir):
 
 
 def word_count(spark, sf_dir):
-    return counting.word_count(_documents(spark, sf_dir), _stop_words(spark))
+    return counting.word_count(_documents(spark, sf_dir), STOP_WORDS)
 
 
 def top_words(spark, sf_dir):
-    return flows.corpus_top_words(_documents(spark, sf_dir), _stop_words(spark))
+    return flows.corpus_top_words(_documents(spark, sf_dir), STOP_WORDS)
 
 
 def max_counts(spark, sf_dir):
@@ -111,7 +107,7 @@ def max_counts(spark, sf_dir):
 
 
 def review_term_counts(spark, sf_dir):
-    return texts.review_term_counts(_documents(spark, sf_dir), _stop_words(spark))
+    return texts.review_term_counts(_documents(spark, sf_dir), STOP_WORDS)
 
 
 def term_frequency(spark, sf_dir):
@@ -308,6 +304,12 @@ def centroid_file(spark, sf_dir):
     return _long(sources.read_centroids(spark, path), "cluster_id", digits=5)
 
 
+def history_files(spark, sf_dir):
+    path = stage_path(spark, "history_files")
+    sources.write_history(_five_turns(spark, sf_dir).history, path)
+    return _long(sources.read_history(spark, path), "iteration", "cluster_id", "size")
+
+
 def word_count_file(spark, sf_dir):
     path = stage_path(spark, "word_count_file")
     sources.write_word_counts(counting.word_count(_documents(spark, sf_dir)), path)
@@ -334,7 +336,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             update_centroids, convergence, kmeans, kmeans_history, kmeans_assignments,
             choose_centroids_tfidf, assign_tfidf, kmeans_tfidf, review_file_scan,
             review_line_scan, word_count_of_files, stop_word_file, tf_file, tfidf_file,
-            dictionary_file, vector_file, seed_file, centroid_file, word_count_file,
+            dictionary_file, vector_file, seed_file, centroid_file, history_files,
+            word_count_file,
         )
     }
 
@@ -563,5 +566,9 @@ def oracle_sql() -> dict[str, str]:
         "vector_file": "WITH p AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings) " + _long_sql("p", "id"),
         "seed_file": f"WITH {_seed_ctes()} " + _long_sql("seeds", "cluster_id"),
         "centroid_file": f"WITH {_turns(1)} " + _long_sql("s1", "cluster_id", 5),
+        "history_files": f"WITH {_turns(5)} " + " UNION ALL ".join(
+            f"SELECT {i} AS iteration, cluster_id, n AS size, CAST(dim AS BIGINT) AS dim, round(x, 6) AS value FROM m{i}"
+            for i in range(1, 6)
+        ),
         "word_count_file": all_counted,
     }

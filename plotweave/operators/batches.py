@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,9 @@ from pyspark import cloudpickle
 # Tasks get these functions by value, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Size of the largest distance matrix a task holds.
+BLOCK_VALUES = 2_000_000
+
 
 def batch_matrix(column: pa.Array, dims: int) -> np.ndarray:
     """The non-null vectors of a batch as rows of a matrix."""
@@ -22,18 +26,36 @@ def batch_matrix(column: pa.Array, dims: int) -> np.ndarray:
     return present.flatten().to_numpy(zero_copy_only=False).astype("float64", copy=False).reshape(-1, dims)
 
 
+def blocks(x: np.ndarray, columns: int) -> Iterator[np.ndarray]:
+    """Row blocks of ``x`` whose product with ``columns`` stays within ``BLOCK_VALUES``."""
+    rows = max(1, BLOCK_VALUES // max(columns, 1))
+    for start in range(0, len(x), rows):
+        yield x[start : start + rows]
+
+
 def nearest_rows(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of and distance to the nearest row of ``c``; the first of equals.
 
     Candidates come from one matrix product. Where rounding of that form could hide the
     true order, the rows are decided by differences; reported distances always are.
     """
-    rough = (x * x).sum(1)[:, None] - 2.0 * (x @ c.T) + (c * c).sum(1)
+    parts = [_nearest_in_block(block, c) for block in blocks(x, len(c))]
+    if not parts:
+        return np.zeros(0, "int64"), np.zeros(0)
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def _nearest_in_block(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    xx, cc = (x * x).sum(1), (c * c).sum(1)
+    rough = xx[:, None] - 2.0 * (x @ c.T) + cc
     best = rough.argmin(1)
-    slack = 1e-12 * ((x * x).sum(1) + (c * c).sum(1).max(initial=0.0))
-    close = (rough <= (rough[np.arange(len(x)), best] + slack)[:, None]).sum(1) > 1
+    slack = 1e-12 * (xx + cc.max(initial=0.0))
+    candidates = rough <= (rough[np.arange(len(x)), best] + slack)[:, None]
+    close = candidates.sum(1) > 1
     if close.any():
-        rows = x[close]
-        exact = np.stack([((rows - center) ** 2).sum(1) for center in c], axis=1)
-        best[close] = exact.argmin(1)
+        rows, allowed = x[close], candidates[close]
+        columns = np.flatnonzero(allowed.any(0))
+        exact = np.stack([((rows - c[j]) ** 2).sum(1) for j in columns], axis=1)
+        exact[~allowed[:, columns]] = np.inf
+        best[close] = columns[exact.argmin(1)]
     return best, np.sqrt(((x - c[best]) ** 2).sum(1))

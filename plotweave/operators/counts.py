@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from plotweave.functions.text import MIN_TERM_LENGTH
-from plotweave.operators.terms import drop_stop_words, stop_word_list, tokenize
+from plotweave.operators.terms import StopWords, drop_stop_words, stop_word_list, tokenize
 
 # Fixed value: the length of the top-words report.
 TOP_WORDS = 1000
 
 
 def word_count(
-    reviews: DataFrame, stop_words: DataFrame | None = None, min_length: int = MIN_TERM_LENGTH
+    reviews: DataFrame, stop_words: StopWords = None, min_length: int = MIN_TERM_LENGTH
 ) -> DataFrame:
     """``term, count`` over all reviews, also those without a product.
 
@@ -25,9 +25,8 @@ def word_count(
     stop = stop_word_list(stop_words)
     if stop is not None:
         return counts.where(~F.col("term").isin(stop)) if stop else counts
-    return drop_stop_words(counts.withColumns({"product_id": F.col("term"), "review_id": F.lit(0)}), stop_words).select(
-        "term", "count"
-    )
+    keyed = counts.withColumns({"product_id": F.col("term"), "review_id": F.lit(0)})
+    return drop_stop_words(keyed, stop_words).select("term", "count")
 
 
 def max_counts(counts: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plotweave.functions.vectors import distance
-from plotweave.operators.batches import batch_matrix, nearest_rows
+from plotweave.operators.batches import batch_matrix, blocks, nearest_rows
 from plotweave.plans.lookup import BROADCAST_BYTES, join_lookup
 
 # When a centroid counts as unmoved, and how many the seeding picks.
@@ -152,7 +152,8 @@ def centroid_distances(points: DataFrame, centroids: DataFrame) -> DataFrame:
         x = batch_matrix(v, matrix.shape[1])
         d = np.stack([np.sqrt(((x - center) ** 2).sum(1)) for center in matrix], axis=1)
         rows = iter(d.tolist())
-        return pa.array([next(rows) if ok else None for ok in v.is_valid().to_pylist()], pa.list_(pa.float64()))
+        found = [next(rows) if ok else None for ok in v.is_valid().to_pylist()]
+        return pa.array(found, pa.list_(pa.float64()))
 
     each = points.select("id", F.posexplode(distances("v")).alias("place", "distance"))
     cluster = F.get(F.lit([int(i) for i in ids]), F.col("place"))
@@ -289,13 +290,13 @@ def _step(points: DataFrame, known: _Centroids, few_rows: bool) -> _Step:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, sizes, costs = np.zeros((k, dims)), np.zeros(k, "int64"), np.zeros(k)
         for batch in batches:
-            x = batch_matrix(batch.column("v"), dims)
-            best, d = nearest_rows(x, matrix)
-            member = np.zeros((k, len(x)))
-            member[best, np.arange(len(x))] = 1.0
-            sums += member @ x
-            sizes += np.bincount(best, minlength=k)
-            costs += np.bincount(best, weights=d * d, minlength=k)
+            for x in blocks(batch_matrix(batch.column("v"), dims), k):
+                best, d = nearest_rows(x, matrix)
+                member = np.zeros((k, len(x)))
+                member[best, np.arange(len(x))] = 1.0
+                sums += member @ x
+                sizes += np.bincount(best, minlength=k)
+                costs += np.bincount(best, weights=d * d, minlength=k)
         used = np.flatnonzero(sizes)
         if len(used):
             yield pa.RecordBatch.from_pydict(

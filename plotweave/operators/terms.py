@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from plotweave.functions.text import MIN_TERM_LENGTH, terms_in
 from plotweave.plans.lookup import BROADCAST_BYTES, broadcast_bytes
@@ -12,6 +12,9 @@ LITERAL_STOP_WORDS = 5000
 # A longer list that is too big to broadcast is joined on (term, salt).
 STOP_WORD_SALTS = 32
 
+# A table with a column ``term``, or the words themselves.
+StopWords = DataFrame | list[str] | None
+
 
 def as_reviews(
     table: DataFrame, product_id: str = "product_id", review_id="review_id", text: str = "text"
@@ -27,12 +30,24 @@ def as_reviews(
     )
 
 
-def stop_word_list(stop_words: DataFrame | None) -> list[str] | None:
+def stop_word_list(stop_words: StopWords) -> list[str] | None:
     """The stop words as a list, or None if there are too many for a literal."""
     if stop_words is None:
         return []
-    found = stop_words.select("term").distinct().limit(LITERAL_STOP_WORDS + 1).collect()
-    return sorted(r.term for r in found) if len(found) <= LITERAL_STOP_WORDS else None
+    if isinstance(stop_words, DataFrame):
+        rows = stop_words.select("term").limit(LITERAL_STOP_WORDS + 1).collect()
+        stop_words = [r.term for r in rows]
+    if len(stop_words) > LITERAL_STOP_WORDS:
+        return None
+    return sorted({word for word in stop_words if word is not None})
+
+
+def _stop_word_table(spark: SparkSession, stop_words: StopWords) -> DataFrame:
+    if isinstance(stop_words, DataFrame):
+        table = stop_words.select("term")
+    else:
+        table = spark.createDataFrame([(w,) for w in stop_words], "term string")
+    return table.where(F.col("term").isNotNull()).distinct()
 
 
 def _kept(text: Column, stop: list[str], min_length: int) -> Column:
@@ -41,7 +56,7 @@ def _kept(text: Column, stop: list[str], min_length: int) -> Column:
 
 
 def tokenize(
-    reviews: DataFrame, stop_words: DataFrame | None = None, min_length: int = MIN_TERM_LENGTH
+    reviews: DataFrame, stop_words: StopWords = None, min_length: int = MIN_TERM_LENGTH
 ) -> DataFrame:
     """One row per kept term occurrence: ``product_id, review_id, term``. No shuffle."""
     stop = stop_word_list(stop_words)
@@ -52,14 +67,14 @@ def tokenize(
 
 
 def drop_stop_words(
-    terms: DataFrame, stop_words: DataFrame, budget: int = BROADCAST_BYTES
+    terms: DataFrame, stop_words: StopWords, budget: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Rows whose ``term`` is no stop word, compared exactly.
 
     A list within the broadcast budget is broadcast. A larger one is repeated per salt, so
     a very frequent term is spread over many tasks.
     """
-    stop = stop_words.select("term").where(F.col("term").isNotNull()).distinct()
+    stop = _stop_word_table(terms.sparkSession, stop_words)
     if broadcast_bytes(stop, "term") <= budget:
         return terms.join(F.broadcast(stop), "term", "left_anti").select(terms.columns)
     salts = F.explode(F.sequence(F.lit(0), F.lit(STOP_WORD_SALTS - 1)))
@@ -72,7 +87,7 @@ def drop_stop_words(
 
 
 def review_term_counts(
-    reviews: DataFrame, stop_words: DataFrame | None = None, min_length: int = MIN_TERM_LENGTH
+    reviews: DataFrame, stop_words: StopWords = None, min_length: int = MIN_TERM_LENGTH
 ) -> DataFrame:
     """``product_id, review_id, term, term_count, total_count`` per review and term.
 

@@ -10,7 +10,7 @@ from plotweave.functions.text import MIN_TERM_LENGTH
 from plotweave.operators import sparse
 from plotweave.operators.counts import TOP_WORDS, top_words, word_count
 from plotweave.operators.dense import CLUSTERS, MAX_ITERATIONS, TOLERANCE, vector_coordinates
-from plotweave.operators.terms import review_term_counts
+from plotweave.operators.terms import StopWords, review_term_counts
 from plotweave.operators.tfidf import (
     MATCHING_REVIEWS,
     product_count,
@@ -35,7 +35,7 @@ class TfidfTables:
 
 def tfidf_vectors(
     reviews: DataFrame,
-    stop_words: DataFrame | None = None,
+    stop_words: StopWords = None,
     denominator: str = MATCHING_REVIEWS,
     min_length: int = MIN_TERM_LENGTH,
 ) -> TfidfTables:
@@ -62,7 +62,7 @@ def cluster_products(
 
 
 def corpus_top_words(
-    reviews: DataFrame, stop_words: DataFrame | None = None, n: int = TOP_WORDS
+    reviews: DataFrame, stop_words: StopWords = None, n: int = TOP_WORDS
 ) -> DataFrame:
     """Reviews to the most frequent words of the corpus."""
     return top_words(word_count(reviews, stop_words), n)

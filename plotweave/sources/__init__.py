@@ -3,6 +3,7 @@ from plotweave.sources.tables import read_table
 from plotweave.sources.text_tables import (
     read_centroids,
     read_dictionary,
+    read_history,
     read_keyed_centroids,
     read_stop_words,
     read_triples,
@@ -10,6 +11,7 @@ from plotweave.sources.text_tables import (
     read_word_counts,
     write_centroids,
     write_dictionary,
+    write_history,
     write_keyed_centroids,
     write_triples,
     write_vectors,
@@ -19,6 +21,7 @@ from plotweave.sources.text_tables import (
 __all__ = [
     "read_centroids",
     "read_dictionary",
+    "read_history",
     "read_keyed_centroids",
     "read_review_lines",
     "read_reviews",
@@ -29,6 +32,7 @@ __all__ = [
     "read_word_counts",
     "write_centroids",
     "write_dictionary",
+    "write_history",
     "write_keyed_centroids",
     "write_triples",
     "write_vectors",

@@ -112,3 +112,14 @@ def write_centroids(centroids: DataFrame, path: str) -> None:
 def write_word_counts(counts: DataFrame, path: str) -> None:
     """``term \\t count`` lines."""
     _lines(counts, "term", "count").write.text(path)
+
+
+def write_history(history: DataFrame, path: str) -> None:
+    """A k-means history as Parquet with one folder per iteration."""
+    history.write.partitionBy("iteration").parquet(path)
+
+
+def read_history(spark: SparkSession, path: str, iteration: int | None = None) -> DataFrame:
+    """All iterations, or only the folder of one."""
+    history = spark.read.parquet(path)
+    return history if iteration is None else history.where(F.col("iteration") == iteration)
