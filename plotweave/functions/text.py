@@ -8,10 +8,12 @@ from pyspark.sql import Column, functions as F
 MIN_TERM_LENGTH = 3
 SYNOPSIS_LABEL = "synopsis"
 
+CONTROL_CHARACTERS = "".join(chr(c) for c in range(0x21))
+
 
 def trim_control(text: Column) -> Column:
     """Strip every character up to U+0020 from both ends (``F.trim`` strips spaces only)."""
-    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+\z", "")
+    return F.trim(text, F.lit(CONTROL_CHARACTERS))
 
 
 def terms_in(text: Column, min_length: int = MIN_TERM_LENGTH) -> Column:
@@ -23,25 +25,17 @@ def terms_in(text: Column, min_length: int = MIN_TERM_LENGTH) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"[a-z]{{{min_length},}}"), F.lit(0))
 
 
-def _segments(text: Column) -> Column:
-    """Pieces between colons; trailing empty pieces do not count."""
-    return F.split(F.regexp_replace(text, r":+\z", ""), ":")
-
-
-def _starts_with_label(segments: Column) -> Column:
-    return F.lower(trim_control(F.get(segments, F.lit(0)))) == SYNOPSIS_LABEL
-
-
 def first_segment(text: Column) -> Column:
     """Text up to the first colon, or the next piece where the first is the synopsis label.
 
-    Null where that piece is missing.
+    Empty pieces at the end do not count. Null where the wanted piece is missing.
     """
-    parts = _segments(text)
-    piece = F.when(_starts_with_label(parts), F.get(parts, F.lit(1))).otherwise(
-        F.get(parts, F.lit(0))
-    )
-    return trim_control(F.when(F.regexp_replace(text, r":+\z", "") != "", piece))
+    pieces = F.rtrim(text, F.lit(":"))
+    first = F.substring_index(pieces, ":", 1)
+    second = F.substring_index(F.substring_index(pieces, ":", 2), ":", -1)
+    is_label = F.lower(trim_control(first)) == SYNOPSIS_LABEL
+    wanted = F.when(~is_label, first).when(pieces.contains(":"), second)
+    return trim_control(F.when(pieces != "", wanted))
 
 
 def whole_text(text: Column) -> Column:

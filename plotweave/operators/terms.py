@@ -8,7 +8,7 @@ from plotweave.functions.text import MIN_TERM_LENGTH, terms_in
 from plotweave.plans.lookup import BROADCAST_BYTES, broadcast_bytes
 
 # Up to this many stop words travel as a literal set inside the plan.
-LITERAL_STOP_WORDS = 5000
+LITERAL_STOP_WORDS = 1000
 # A longer list that is too big to broadcast is joined on (term, salt).
 STOP_WORD_SALTS = 32
 

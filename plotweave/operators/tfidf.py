@@ -79,6 +79,7 @@ def term_dictionary(tf: DataFrame) -> DataFrame:
     for row in sorted(sizes, key=lambda r: _file_number(r.file)):
         offsets.append((row.file, total))
         total += row.n
+    # One row per file, so no more than there are shuffle partitions.
     starts = spark.createDataFrame(offsets, "file string, start long")
     index_type = "int" if total <= 2**31 - 1 else "long"
     return ordered.join(F.broadcast(starts), "file").select(

@@ -25,13 +25,12 @@ FULL = "full"
 
 def _after_key(line: Column) -> Column:
     """What follows the first colon of a ``key: value`` line, null without a value."""
-    return F.when(
-        F.regexp_replace(line, r":+\z", "").contains(":"), F.regexp_extract(line, r"(?s)^[^:]*:(.*)\z", 1)
-    )
+    key = F.substring_index(line, ":", 1)
+    return F.when(F.rtrim(line, F.lit(":")) != key, F.substr(line, F.length(key) + 2))
 
 
 def _product_id(value: Column) -> Column:
-    return trim_control(F.get(F.split(F.when(F.regexp_replace(value, r":+\z", "") != "", value), ":"), F.lit(0)))
+    return trim_control(F.when(F.rtrim(value, F.lit(":")) != "", F.substring_index(value, ":", 1)))
 
 
 def _review_text(line: Column, text_rule: str) -> Column:
@@ -88,8 +87,9 @@ def read_reviews(
     dropped; ``malformed`` counts them as ``malformed_lines``.
     """
     blocks = spark.read.option("lineSep", f"{line_break}{PRODUCT_KEY}:").text(path)
-    block = F.regexp_replace("value", rf"^{PRODUCT_KEY}:", "")
-    first_line = F.regexp_extract("block", r"^[^\r\n]*", 0)
+    value, key = F.col("value"), f"{PRODUCT_KEY}:"
+    block = F.when(value.startswith(key), F.substr(value, F.lit(len(key) + 1))).otherwise(value)
+    first_line = F.substring_index(F.substring_index("block", "\n", 1), "\r", 1)
     # Only the first block of a file can lack the id; it starts with a line of another key.
     no_id = first_line.rlike(r"^[^:\s]+/[^:\s]+(:|\z)")
     lines = blocks.select(block.alias("block")).select(
@@ -121,7 +121,7 @@ def read_review_lines(
         F.monotonically_increasing_id().alias("review_id"),
         F.col("value").alias("line"),
     )
-    key = F.get(F.split("line", ":", 2), F.lit(0))
+    key = F.substring_index("line", ":", 1)
     own_id = F.struct(_product_id(_after_key(F.col("line"))).alias("id"))
     wanted = stage(
         lines.select(

@@ -6,14 +6,18 @@ do not parse are dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from plotweave.functions.text import trim_control
 from plotweave.functions.vectors import fixed_decimals, format_vector, parse_vector
 
 
-def _field(i: int):
-    return F.get(F.split("value", "\t"), F.lit(i))
+def _fields(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(F.split("value", "\t").alias("fields"))
+
+
+def _field(i: int) -> Column:
+    return F.get("fields", F.lit(i))
 
 
 def _with_all_numbers(vectors: DataFrame) -> DataFrame:
@@ -37,9 +41,11 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return read_stop_words(spark, path)
 
 
-def read_triples(spark: SparkSession, path: str, score: str = "tf", id_type: str = "string") -> DataFrame:
+def read_triples(
+    spark: SparkSession, path: str, score: str = "tf", id_type: str = "string"
+) -> DataFrame:
     """``product_id, term, <score>`` from tab-separated lines."""
-    return spark.read.text(path).select(
+    return _fields(spark, path).select(
         _field(0).try_cast(id_type).alias("product_id"),
         _field(1).alias("term"),
         _field(2).try_cast("double").alias(score),
@@ -49,7 +55,7 @@ def read_triples(spark: SparkSession, path: str, score: str = "tf", id_type: str
 def read_vectors(spark: SparkSession, path: str, id_type: str = "string") -> DataFrame:
     """``id, v`` from lines of an id, a tab and space-separated numbers."""
     return _with_all_numbers(
-        spark.read.text(path).select(
+        _fields(spark, path).select(
             _field(0).try_cast(id_type).alias("id"), parse_vector(_field(1)).alias("v")
         )
     ).where(F.col("id").isNotNull())
@@ -58,7 +64,7 @@ def read_vectors(spark: SparkSession, path: str, id_type: str = "string") -> Dat
 def read_keyed_centroids(spark: SparkSession, path: str) -> DataFrame:
     """``cluster_id, v`` from lines of any key, a tab and the vector."""
     return _with_file_order(
-        _with_all_numbers(spark.read.text(path).select(parse_vector(_field(1)).alias("v")))
+        _with_all_numbers(_fields(spark, path).select(parse_vector(_field(1)).alias("v")))
     )
 
 
@@ -71,13 +77,14 @@ def read_centroids(spark: SparkSession, path: str) -> DataFrame:
 
 def read_word_counts(spark: SparkSession, path: str) -> DataFrame:
     """``term, count`` from tab-separated lines."""
-    return spark.read.text(path).select(
+    return _fields(spark, path).select(
         _field(0).alias("term"), _field(1).try_cast("long").alias("count")
     ).where(F.col("term").isNotNull() & F.col("count").isNotNull())
 
 
-def _lines(table: DataFrame, *columns) -> DataFrame:
-    return table.select(F.concat_ws("\t", *[F.col(c).cast("string") if isinstance(c, str) else c for c in columns]))
+def _lines(table: DataFrame, *columns: str | Column) -> DataFrame:
+    fields = [F.col(c).cast("string") if isinstance(c, str) else c for c in columns]
+    return table.select(F.concat_ws("\t", *fields))
 
 
 def write_triples(table: DataFrame, path: str, score: str = "tf") -> None:
