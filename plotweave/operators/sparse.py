@@ -28,9 +28,13 @@ ROUNDING = 1e-9
 
 
 def coordinates_of(points: DataFrame) -> DataFrame:
-    """Dense ``id, v`` as coordinates; the position in the vector is the term."""
-    exploded = points.select("id", F.posexplode("v").alias("term", "value"))
-    return exploded.where(F.col("value") != 0).select("id", "term", F.col("value").cast("double").alias("value"))
+    """Dense ``id, v`` as coordinates; the position in the vector is the term.
+
+    Zeros are left out but for the first position, which keeps points of zeros only.
+    """
+    exploded = points.select("id", F.posexplode("v").alias("term", "x"))
+    kept = exploded.where((F.col("x") != 0) | (F.col("term") == 0))
+    return kept.select("id", "term", F.col("x").cast("double").alias("value"))
 
 
 def as_coordinates(scores: DataFrame, score: str = "tfidf") -> DataFrame:

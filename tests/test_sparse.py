@@ -16,7 +16,7 @@ def points(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(120, 9)) * (rng.random((120, 9)) < 0.4)
     x[5] = x[17] = x[40]
-    x[:, 0] += 0.1  # no point without a coordinate
+    x[60] = 0.0
     return spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "id long, v array<double>").persist()
 
 
