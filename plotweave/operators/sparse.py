@@ -13,6 +13,8 @@ point and sums per cluster and term, but not the coordinates.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
@@ -50,12 +52,28 @@ def _salted(coordinates: DataFrame) -> DataFrame:
 
 
 def lay_out(coordinates: DataFrame) -> DataFrame:
-    """The coordinates partitioned by point and salt, to be persisted for several turns."""
+    """The coordinates partitioned by point and salt.
+
+    Persist the result to share it between seeding and k-means.
+    """
     spark = coordinates.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return _salted(coordinates).repartition(partitions, "id", "salt")
 
 
+@contextmanager
+def _persisted(coordinates: DataFrame) -> Iterator[DataFrame]:
+    """The coordinates laid out and persisted, by the caller or for as long as needed here."""
+    if "salt" in coordinates.columns and coordinates.is_cached:
+        yield coordinates
+        return
+    table = lay_out(coordinates).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield table
+    finally:
+        table.unpersist()
+
+
 @dataclass(frozen=True)
 class _Wide:
     """All centroids as one stored table: ``term`` and one column ``c<place>`` per cluster.
@@ -239,36 +257,36 @@ def choose_centroids_sparse(
     ``cluster_id, term, value`` and ``cluster_id, id, min_distance``. Two jobs per pick.
     """
     spark = coordinates.sparkSession
-    table = lay_out(coordinates).persist(StorageLevel.MEMORY_AND_DISK)
-    picks = [(i, None) for i in sorted(seeds or [table.agg(F.min("id")).first()[0]])[:k]]
-
-    def chosen() -> _Wide:
-        columns = [
-            F.sum(F.when(F.col("id") == F.lit(p), F.col("value"))).alias(f"c{j}")
-            for j, (p, _) in enumerate(picks)
-        ]
-        rows = table.where(F.col("id").isin([p for p, _ in picks]))
-        return _store(rows.groupBy("term").agg(*columns), list(range(len(picks))))[0]
-
-    def farthest(wide: _Wide, exact: bool) -> Row | None:
-        return _assigned(table, wide, exact, budget).orderBy(F.desc("distance"), "id").first()
-
-    wide = chosen()
-    while len(picks) < k:
-        found = farthest(wide, exact=False)
-        if found and found.distance**2 <= ROUNDING * (found.norm + max(wide.norms)):
-            found = farthest(wide, exact=True)
-        if not found or found.distance == 0.0:
-            break
-        picks.append((found.id, found.distance))
-        wide = chosen()
-    table.unpersist()
+    with _persisted(coordinates) as table:
+        picks = [(i, None) for i in sorted(seeds or [table.agg(F.min("id")).first()[0]])[:k]]
+        wide = _points_as_centroids(table, picks)
+        while len(picks) < k:
+            found = _farthest(table, wide, False, budget)
+            if found and found.distance**2 <= ROUNDING * (found.norm + max(wide.norms)):
+                found = _farthest(table, wide, True, budget)
+            if not found or found.distance == 0.0:
+                break
+            picks.append((found.id, found.distance))
+            wide = _points_as_centroids(table, picks)
     rows = [(j, p, d) for j, (p, d) in enumerate(picks)]
     id_type = coordinates.schema["id"].dataType.simpleString()
     schema = f"cluster_id int, id {id_type}, min_distance double"
     return _narrow(wide), spark.createDataFrame(rows, schema)
 
 
+def _points_as_centroids(table: DataFrame, picks: list[tuple]) -> _Wide:
+    columns = [
+        F.sum(F.when(F.col("id") == F.lit(p), F.col("value"))).alias(f"c{j}")
+        for j, (p, _) in enumerate(picks)
+    ]
+    rows = table.where(F.col("id").isin([p for p, _ in picks]))
+    return _store(rows.groupBy("term").agg(*columns), list(range(len(picks))))[0]
+
+
+def _farthest(table: DataFrame, wide: _Wide, exact: bool, budget: int) -> Row | None:
+    return _assigned(table, wide, exact, budget).orderBy(F.desc("distance"), "id").first()
+
+
 @dataclass(frozen=True)
 class SparseKMeansResult:
     """``centroids``: cluster_id, term, value. ``assignments``: id, cluster_id, distance.
@@ -295,29 +313,28 @@ def kmeans_sparse(
     lineage and survive the loss of executors.
     """
     spark = coordinates.sparkSession
-    table = lay_out(coordinates).persist(StorageLevel.MEMORY_AND_DISK)
     wide = _widen(centroids)
     places = range(len(wide.ids))
     moves = [F.coalesce(f"c{j}", F.lit(0.0)) - F.coalesce(f"old{j}", F.lit(0.0)) for j in places]
     shift_measures = [F.sum(m * m).alias(f"shift{j}") for j, m in zip(places, moves)]
     history, done, iteration = [], False, 0
-    while iteration < max_iter and not done:
-        iteration += 1
-        assignments, found = stage_measured(
-            _assigned(table, wide, budget=budget).select("id", "cluster_id"),
-            "assignments",
-            *_size_measures(wide),
-        )
-        sizes = _sizes_of(found, wide)
-        moved = _moved(table, assignments, sizes, wide)
-        following, found = _store(moved, wide.ids, shift_measures)
-        columns = ["term", *[f"c{j}" for j in places]]
-        wide = replace(following, table=following.table.select(columns))
-        shifts = [math.sqrt(found[f"shift{j}"] or 0.0) for j in places]
-        history += [(iteration, i, sizes[j], shifts[j]) for j, i in enumerate(wide.ids)]
-        done = all(s <= tol for s in shifts)
-    final = _assigned(table, wide, budget=budget).select("id", "cluster_id", "distance")
-    assignments = stage(final, "assignments")
-    table.unpersist()
+    with _persisted(coordinates) as table:
+        while iteration < max_iter and not done:
+            iteration += 1
+            assignments, found = stage_measured(
+                _assigned(table, wide, budget=budget).select("id", "cluster_id"),
+                "assignments",
+                *_size_measures(wide),
+            )
+            sizes = _sizes_of(found, wide)
+            moved = _moved(table, assignments, sizes, wide)
+            following, found = _store(moved, wide.ids, shift_measures)
+            columns = ["term", *[f"c{j}" for j in places]]
+            wide = replace(following, table=following.table.select(columns))
+            shifts = [math.sqrt(found[f"shift{j}"] or 0.0) for j in places]
+            history += [(iteration, i, sizes[j], shifts[j]) for j, i in enumerate(wide.ids)]
+            done = all(s <= tol for s in shifts)
+        final = _assigned(table, wide, budget=budget).select("id", "cluster_id", "distance")
+        assignments = stage(final, "assignments")
     past = spark.createDataFrame(history, "iteration int, cluster_id int, size long, shift double")
     return SparseKMeansResult(_narrow(wide), assignments, past, iteration, done)

@@ -107,9 +107,10 @@ def review_term_counts(
         F.size("terms").cast("long").alias("total_count"),
     )
     term = F.substring_index("run", " ", 1)
-    per_term = (F.length("run") / (F.length(term) + 1)).cast("long")
+    # A run is the term and a space, as often as the term occurs.
+    occurrences = F.call_function("div", F.octet_length("run"), F.octet_length(term) + 1)
     counts = runs.select(
-        "product_id", "review_id", term.alias("term"), per_term.alias("term_count"), "total_count"
+        "product_id", "review_id", term.alias("term"), occurrences.alias("term_count"), "total_count"
     )
     if stop is not None:
         return counts

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from plotweave.functions.text import MIN_TERM_LENGTH
@@ -56,9 +57,13 @@ def cluster_products(
     max_iter: int = MAX_ITERATIONS,
 ) -> sparse.SparseKMeansResult:
     """TF-IDF scores to ``k`` clusters: farthest-first seeding, then k-means."""
-    coordinates = sparse.as_coordinates(scores)
-    centroids, _ = sparse.choose_centroids_sparse(coordinates, k, seeds)
-    return sparse.kmeans_sparse(coordinates, centroids, tol, max_iter)
+    coordinates = sparse.lay_out(sparse.as_coordinates(scores))
+    coordinates.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        centroids, _ = sparse.choose_centroids_sparse(coordinates, k, seeds)
+        return sparse.kmeans_sparse(coordinates, centroids, tol, max_iter)
+    finally:
+        coordinates.unpersist()
 
 
 def corpus_top_words(

@@ -33,11 +33,11 @@ def _product_id(value: Column) -> Column:
     return trim_control(F.when(F.rtrim(value, F.lit(":")) != "", F.substring_index(value, ":", 1)))
 
 
-def _review_text(line: Column, text_rule: str) -> Column:
+def _review_text(value: Column, text_rule: str) -> Column:
     if text_rule == FIRST_SEGMENT:
-        return first_segment(_after_key(line))
+        return first_segment(value)
     if text_rule == FULL:
-        return whole_text(_after_key(line))
+        return whole_text(value)
     raise ValueError(f"text_rule must be {FIRST_SEGMENT!r} or {FULL!r}")
 
 
@@ -98,8 +98,8 @@ def read_reviews(
         *(_other_fields(F.col("block")) if all_fields else []),
     )
     reviews = lines.withColumns(
-        {"review_id": F.monotonically_increasing_id(), "text": _review_text(F.col("line"), text_rule)}
-    )
+        {"review_id": F.monotonically_increasing_id(), "value": _after_key(F.col("line"))}
+    ).withColumn("text", _review_text(F.col("value"), text_rule))
     return _well_formed(reviews, malformed, list(OTHER_KEYS) if all_fields else [])
 
 
@@ -149,6 +149,8 @@ def read_review_lines(
     reviews = carried.join(splits, ["file", "split"], "left").select(
         F.coalesce("own", "carried").getField("id").alias("product_id"),
         "review_id",
-        _review_text(F.col("line"), text_rule).alias("text"),
+        _after_key(F.col("line")).alias("value"),
+    )
+    return _well_formed(
+        reviews.withColumn("text", _review_text(F.col("value"), text_rule)), malformed, []
     )
-    return _well_formed(reviews, malformed, [])
