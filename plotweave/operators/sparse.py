@@ -20,11 +20,14 @@ from dataclasses import dataclass, replace
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
+from plotweave.operators import sparse_many as many
 from plotweave.operators.dense import CLUSTERS, MAX_ITERATIONS, TOLERANCE
 from plotweave.plans.lookup import BROADCAST_BYTES, join_lookup, row_bytes
 from plotweave.session import stage, stage_measured
 
 SALTS = 8
+# Up to this many clusters a centroid table has a column per cluster.
+WIDE_CLUSTERS = 24
 # Below this share of |x|² + |c|² a squared distance may be nothing but rounding.
 ROUNDING = 1e-9
 
@@ -106,9 +109,11 @@ def _store(wide: DataFrame, ids: list[int], extra: list[Column] = ()) -> tuple[_
     return _Wide(table, ids, norms, terms, found["bytes"] or 0.0), found
 
 
-def _widen(centroids: DataFrame) -> _Wide:
-    """Centroids ``cluster_id, term, value`` as a wide table."""
+def _widen(centroids: DataFrame) -> _Wide | many.ManyCentroids:
+    """Centroids ``cluster_id, term, value`` as a wide table, or as entries if there are many."""
     ids = sorted(r.cluster_id for r in centroids.select("cluster_id").distinct().collect())
+    if len(ids) > WIDE_CLUSTERS:
+        return many.from_centroids(centroids, ids)
     columns = [
         F.sum(F.when(F.col("cluster_id") == i, F.col("value"))).alias(f"c{j}")
         for j, i in enumerate(ids)
@@ -116,8 +121,10 @@ def _widen(centroids: DataFrame) -> _Wide:
     return _store(centroids.groupBy("term").agg(*columns), ids)[0]
 
 
-def _narrow(wide: _Wide) -> DataFrame:
-    """A wide table as centroids ``cluster_id, term, value``."""
+def _narrow(wide: _Wide | many.ManyCentroids) -> DataFrame:
+    """Back to centroids ``cluster_id, term, value``."""
+    if isinstance(wide, many.ManyCentroids):
+        return many.to_centroids(wide)
     each = F.array(
         *[
             F.struct(F.lit(i).alias("cluster_id"), F.col(f"c{j}").alias("value"))
@@ -129,13 +136,18 @@ def _narrow(wide: _Wide) -> DataFrame:
 
 
 def _assigned(
-    coordinates: DataFrame, wide: _Wide, exact: bool = False, budget: int = BROADCAST_BYTES
+    coordinates: DataFrame,
+    wide: _Wide | many.ManyCentroids,
+    exact: bool = False,
+    budget: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``id, cluster_id, distance, norm``: the lowest cluster among equally near ones.
 
     ``exact`` sums squared differences instead of products, which takes three sums per
     cluster and gives precisely 0 for a point that equals the centroid.
     """
+    if isinstance(wide, many.ManyCentroids):
+        return many.assigned(coordinates, wide, exact, budget)
     joined = join_lookup(
         coordinates,
         wide.table,
@@ -182,26 +194,28 @@ def assign_sparse(
     return assigned.select("id", "cluster_id", "distance")
 
 
-def _moved(
-    coordinates: DataFrame, assignments: DataFrame, sizes: list[int], wide: _Wide
-) -> DataFrame:
-    """Wide centroids after a turn, ``term, c0, …``, with the old ones as ``old0, …``.
+def _members(coordinates: DataFrame, assignments: DataFrame) -> DataFrame:
+    """The coordinates with their point's cluster: ``cluster_id, term, value``.
 
-    ``sizes`` are the numbers of points per cluster; a cluster without any keeps its
-    centroid.
+    The assignments are repeated per salt and shuffled to where the coordinates are.
     """
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     members = assignments.select("id", "cluster_id", salts.alias("salt"))
+    joined = _salted(coordinates).join(members.hint("shuffle_hash"), ["id", "salt"])
+    return joined.select("cluster_id", "term", "value")
+
+
+def _moved_wide(members: DataFrame, sizes: list[int], wide: _Wide) -> DataFrame:
+    """Wide centroids after a turn, ``term, c0, …``, with the old ones as ``old0, …``."""
     places = range(len(wide.ids))
-    points = (
-        _salted(coordinates)
-        .join(members.hint("shuffle_hash"), ["id", "salt"])
-        .select("term", "cluster_id", "value", *[F.lit(None).cast("double").alias(f"old{j}") for j in places])
+    none = F.lit(None)
+    points = members.select(
+        "term", "cluster_id", "value", *[none.cast("double").alias(f"old{j}") for j in places]
     )
     old = wide.table.select(
         "term",
-        F.lit(None).cast("int").alias("cluster_id"),
-        F.lit(None).cast("double").alias("value"),
+        none.cast("int").alias("cluster_id"),
+        none.cast("double").alias("value"),
         *[F.col(f"c{j}").alias(f"old{j}") for j in places],
     )
     sums = [F.max(f"old{j}").alias(f"old{j}") for j in places]
@@ -214,12 +228,42 @@ def _moved(
     return points.unionByName(old).groupBy("term").agg(*sums)
 
 
-def _sizes_of(found: dict, wide: _Wide) -> list[int]:
-    return [found[f"size{j}"] for j in range(len(wide.ids))]
-
+def _moved(
+    coordinates: DataFrame, assignments: DataFrame, sizes: list[int], wide: _Wide | many.ManyCentroids
+) -> tuple[_Wide | many.ManyCentroids, list[float]]:
+    """The stored centroids after a turn, and how far each moved.
 
-def _size_measures(wide: _Wide) -> list[Column]:
-    return [F.count_if(F.col("cluster_id") == i).alias(f"size{j}") for j, i in enumerate(wide.ids)]
+    ``sizes`` are the numbers of points per cluster; a cluster without any keeps its
+    centroid.
+    """
+    members = _members(coordinates, assignments)
+    if isinstance(wide, many.ManyCentroids):
+        new = many.moved(members, sizes, wide)
+        return new, [math.sqrt(s) for s in new.shifts]
+    places = range(len(wide.ids))
+    moves = [F.coalesce(f"c{j}", F.lit(0.0)) - F.coalesce(f"old{j}", F.lit(0.0)) for j in places]
+    measures = [F.sum(m * m).alias(f"shift{j}") for j, m in zip(places, moves)]
+    new, found = _store(_moved_wide(members, sizes, wide), wide.ids, measures)
+    columns = ["term", *[f"c{j}" for j in places]]
+    shifts = [math.sqrt(found[f"shift{j}"] or 0.0) for j in places]
+    return replace(new, table=new.table.select(columns)), shifts
+
+
+def _stored_assignments(
+    assigned: DataFrame, wide: _Wide | many.ManyCentroids
+) -> tuple[DataFrame, list[int]]:
+    """The stored assignments and the number of points per cluster."""
+    rows = assigned.select("id", "cluster_id")
+    if len(wide.ids) > WIDE_CLUSTERS:
+        table = stage(rows, "assignments")
+        counted = table.groupBy("cluster_id").agg(F.count("*").alias("size")).collect()
+        sizes = {r.cluster_id: r.size for r in counted}
+        return table, [sizes.get(i, 0) for i in wide.ids]
+    measures = [
+        F.count_if(F.col("cluster_id") == i).alias(f"size{j}") for j, i in enumerate(wide.ids)
+    ]
+    table, found = stage_measured(rows, "assignments", *measures)
+    return table, [found[f"size{j}"] for j in range(len(wide.ids))]
 
 
 def update_sparse(
@@ -230,10 +274,9 @@ def update_sparse(
     A cluster without points keeps its centroid. Pass stored assignments.
     """
     wide = _widen(centroids)
-    sizes = _sizes_of(assignments.agg(*_size_measures(wide)).first().asDict(), wide)
-    columns = ["term", *[f"c{j}" for j in range(len(wide.ids))]]
-    moved = _moved(coordinates, assignments, sizes, wide).select(columns)
-    return _narrow(replace(wide, table=moved))
+    counted = assignments.groupBy("cluster_id").agg(F.count("*").alias("size")).collect()
+    sizes = {r.cluster_id: r.size for r in counted}
+    return _narrow(_moved(coordinates, assignments, [sizes.get(i, 0) for i in wide.ids], wide)[0])
 
 
 def shifts_sparse(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -274,13 +317,21 @@ def choose_centroids_sparse(
     return _narrow(wide), spark.createDataFrame(rows, schema)
 
 
-def _points_as_centroids(table: DataFrame, picks: list[tuple]) -> _Wide:
+def _points_as_centroids(table: DataFrame, picks: list[tuple]) -> _Wide | many.ManyCentroids:
+    ids = list(range(len(picks)))
+    rows = table.where(F.col("id").isin([p for p, _ in picks]))
+    if len(ids) > WIDE_CLUSTERS:
+        id_type = table.schema["id"].dataType
+        places = F.create_map(
+            *[F.lit(x).cast(t) for j, (p, _) in enumerate(picks) for x, t in ((p, id_type), (j, "int"))]
+        )
+        place = F.try_element_at(places, F.col("id")).alias("cluster_id")
+        return many.from_centroids(rows.select(place, "term", "value"), ids)
     columns = [
         F.sum(F.when(F.col("id") == F.lit(p), F.col("value"))).alias(f"c{j}")
         for j, (p, _) in enumerate(picks)
     ]
-    rows = table.where(F.col("id").isin([p for p, _ in picks]))
-    return _store(rows.groupBy("term").agg(*columns), list(range(len(picks))))[0]
+    return _store(rows.groupBy("term").agg(*columns), ids)[0]
 
 
 def _farthest(table: DataFrame, wide: _Wide, exact: bool, budget: int) -> Row | None:
@@ -314,24 +365,12 @@ def kmeans_sparse(
     """
     spark = coordinates.sparkSession
     wide = _widen(centroids)
-    places = range(len(wide.ids))
-    moves = [F.coalesce(f"c{j}", F.lit(0.0)) - F.coalesce(f"old{j}", F.lit(0.0)) for j in places]
-    shift_measures = [F.sum(m * m).alias(f"shift{j}") for j, m in zip(places, moves)]
     history, done, iteration = [], False, 0
     with _persisted(coordinates) as table:
         while iteration < max_iter and not done:
             iteration += 1
-            assignments, found = stage_measured(
-                _assigned(table, wide, budget=budget).select("id", "cluster_id"),
-                "assignments",
-                *_size_measures(wide),
-            )
-            sizes = _sizes_of(found, wide)
-            moved = _moved(table, assignments, sizes, wide)
-            following, found = _store(moved, wide.ids, shift_measures)
-            columns = ["term", *[f"c{j}" for j in places]]
-            wide = replace(following, table=following.table.select(columns))
-            shifts = [math.sqrt(found[f"shift{j}"] or 0.0) for j in places]
+            assignments, sizes = _stored_assignments(_assigned(table, wide, budget=budget), wide)
+            wide, shifts = _moved(table, assignments, sizes, wide)
             history += [(iteration, i, sizes[j], shifts[j]) for j, i in enumerate(wide.ids)]
             done = all(s <= tol for s in shifts)
         final = _assigned(table, wide, budget=budget).select("id", "cluster_id", "distance")

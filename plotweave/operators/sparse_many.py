@@ -1,0 +1,166 @@
+"""Centroid tables for many clusters: a list of entries per term instead of a column each.
+
+With a column per cluster every sum is as wide as there are clusters. Here a coordinate
+meets only the clusters whose centroid has its term, which for text is a small part of them.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from plotweave.plans.lookup import join_lookup, row_bytes
+from plotweave.session import stage_measured
+
+ENTRY_BYTES = 24
+
+
+@dataclass(frozen=True)
+class ManyCentroids:
+    """``table``: term, entries (place, value, old). The rest is one value per cluster, in
+    the order of ``ids``: squared norm, number of terms, squared shift from ``old``."""
+
+    table: DataFrame
+    ids: list[int]
+    norms: list[float]
+    terms: list[int]
+    shifts: list[float]
+    bytes: float
+
+
+def _place_of(ids: list[int]) -> Column:
+    numbers = F.create_map(*[F.lit(x) for j, i in enumerate(ids) for x in (i, j)])
+    return F.try_element_at(numbers, F.col("cluster_id"))
+
+
+def store(rows: DataFrame, ids: list[int]) -> ManyCentroids:
+    """Store ``term, place, value, old``; a term has at most one entry per cluster."""
+    entries = F.collect_list(F.struct("place", "value", "old")).alias("entries")
+    table, found = stage_measured(
+        rows.groupBy("term").agg(entries),
+        "centroids",
+        F.sum(row_bytes("term", 0) + F.size("entries") * F.lit(ENTRY_BYTES)).alias("bytes"),
+    )
+    value, old = F.coalesce("e.value", F.lit(0.0)), F.coalesce("e.old", F.lit(0.0))
+    sums = (
+        table.select(F.explode("entries").alias("e"))
+        .groupBy("e.place")
+        .agg(
+            F.sum(value * value).alias("norm"),
+            F.count_if(value != 0).alias("terms"),
+            F.sum((value - old) * (value - old)).alias("shift"),
+        )
+    )
+    by_place = {r.place: r for r in sums.collect()}
+    each = [by_place.get(j) for j in range(len(ids))]
+    return ManyCentroids(
+        table,
+        ids,
+        [r.norm if r else 0.0 for r in each],
+        [r.terms if r else 0 for r in each],
+        [r["shift"] if r else 0.0 for r in each],
+        found["bytes"] or 0.0,
+    )
+
+
+def from_centroids(centroids: DataFrame, ids: list[int]) -> ManyCentroids:
+    """Centroids ``cluster_id, term, value`` as a stored table."""
+    rows = centroids.select("term", _place_of(ids).alias("place"), "value")
+    return store(rows.groupBy("term", "place").agg(F.sum("value").alias("value"), F.lit(None).cast("double").alias("old")), ids)
+
+
+def to_centroids(many: ManyCentroids) -> DataFrame:
+    """Back to ``cluster_id, term, value``."""
+    rows = many.table.select("term", F.explode("entries").alias("e")).where("e.value is not null")
+    cluster = F.get(F.lit(many.ids), F.col("e.place")).cast("int")
+    return rows.select(cluster.alias("cluster_id"), "term", "e.value")
+
+
+def assigned(coordinates: DataFrame, many: ManyCentroids, exact: bool, budget: int) -> DataFrame:
+    """``id, cluster_id, distance, norm``: the lowest cluster among equally near ones.
+
+    Products are summed per point and cluster with a common term. Of the clusters without
+    one the nearest is the one with the smallest norm.
+    """
+    present = F.filter("entries", lambda e: F.coalesce(e["value"], F.lit(0.0)) != 0)
+    lookup = many.table.select(
+        "term",
+        F.transform(present, lambda e: F.struct(e["place"].alias("place"), e["value"].alias("c"))).alias("entries"),
+    )
+    joined = join_lookup(coordinates, lookup, "term", "left", budget=budget, lookup_bytes=many.bytes)
+    # The point itself takes part as place -1: its product is the squared norm.
+    itself = F.array(F.struct(F.lit(-1).alias("place"), F.col("value").alias("c")))
+    pairs = joined.select(
+        "id", F.col("value").alias("x"), F.explode(F.concat(itself, F.coalesce("entries", F.filter(itself, lambda e: F.lit(False))))).alias("e")
+    ).select("id", "x", "e.place", "e.c")
+    x, c = F.col("x"), F.col("c")
+    sums = [F.sum(x * c).alias("dot")]
+    if exact:
+        sums += [
+            F.sum((x - c) * (x - c)).alias("differences"),
+            F.sum(x * x).alias("of_point"),
+            F.sum(c * c).alias("of_centroid"),
+            F.count_if(x != 0).alias("point_terms"),
+            F.count_if(c != 0).alias("centroid_terms"),
+        ]
+    per_pair = pairs.groupBy("id", "place").agg(*sums)
+    is_cluster = F.col("place") >= 0
+    per_point = per_pair.groupBy("id").agg(
+        F.max(F.when(~is_cluster, F.col("dot"))).alias("norm"),
+        *([F.max(F.when(~is_cluster, F.col("point_terms"))).alias("own_terms")] if exact else []),
+        F.collect_list(F.when(is_cluster, F.struct(*[n for n in per_pair.columns if n != "id"]))).alias("shared"),
+    )
+    norms, norm = F.lit(many.norms), F.col("norm")
+
+    def squared(s: Column) -> Column:
+        if not exact:
+            return norm + F.get(norms, s["place"]) - 2.0 * s["dot"]
+        zero = F.lit(0.0)
+        all_of_point = s["point_terms"] == F.col("own_terms")
+        all_of_centroid = s["centroid_terms"] == F.get(F.lit(many.terms), s["place"])
+        return (
+            s["differences"]
+            + F.when(all_of_point, zero).otherwise(F.greatest(norm - s["of_point"], zero))
+            + F.when(all_of_centroid, zero).otherwise(
+                F.greatest(F.get(norms, s["place"]) - s["of_centroid"], zero)
+            )
+        )
+
+    def candidate(d: Column, place: Column) -> Column:
+        return F.struct(F.greatest(d, F.lit(0.0)).alias("d"), place.alias("place"))
+
+    by_norm = sorted(range(len(many.ids)), key=lambda j: (many.norms[j], j))
+    apart = F.get(F.array_except(F.lit(by_norm), F.transform("shared", lambda s: s["place"])), F.lit(0))
+    candidates = F.concat(
+        F.transform("shared", lambda s: candidate(squared(s), s["place"])),
+        F.when(apart.isNotNull(), F.array(candidate(norm + F.get(norms, apart), apart))).otherwise(
+            F.array().cast("array<struct<d: double, place: int>>")
+        ),
+    )
+    nearest = per_point.select("id", "norm", F.array_min(candidates).alias("nearest"))
+    return nearest.select(
+        "id",
+        F.get(F.lit(many.ids), F.col("nearest.place")).cast("int").alias("cluster_id"),
+        F.sqrt("nearest.d").alias("distance"),
+        "norm",
+    )
+
+
+def moved(members: DataFrame, sizes: list[int], many: ManyCentroids) -> ManyCentroids:
+    """The centroids after a turn, from the members' coordinates ``cluster_id, term, value``.
+
+    A cluster without points keeps its centroid.
+    """
+    totals = members.groupBy("cluster_id", "term").agg(F.sum("value").alias("total"))
+    size = F.get(F.lit([float(n) for n in sizes]), F.col("place"))
+    means = totals.select("term", _place_of(many.ids).alias("place"), "total").select(
+        "term", "place", (F.col("total") / size).alias("value"), F.lit(None).cast("double").alias("old")
+    )
+    old = many.table.select("term", F.explode("entries").alias("e")).where("e.value is not null")
+    kept = old.select("term", "e.place", F.lit(None).cast("double").alias("value"), F.col("e.value").alias("old"))
+    both = means.unionByName(kept).groupBy("term", "place").agg(
+        F.max("value").alias("value"), F.max("old").alias("old")
+    )
+    value = F.when(size == 0, F.col("old")).otherwise(F.col("value"))
+    return store(both.select("term", "place", value.alias("value"), "old"), many.ids)

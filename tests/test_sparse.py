@@ -34,8 +34,14 @@ def sparse_values(centroids):
     return {(r.cluster_id, r.term): r.value for r in centroids.collect() if abs(r.value) > 1e-12}
 
 
+@pytest.fixture(params=["a column per cluster", "entries per term"])
+def form(request, monkeypatch):
+    if request.param == "entries per term":
+        monkeypatch.setattr("plotweave.operators.sparse.WIDE_CLUSTERS", 0)
+
+
 @pytest.mark.parametrize("budget", [1 << 26, 400])
-def test_agrees_with_dense(points, budget):
+def test_agrees_with_dense(points, form, budget):
     dense = choose_centroids(points, 4)
     sparse, picks = choose_centroids_sparse(coordinates_of(points), 4, budget=budget)
     assert sparse_values(sparse) == pytest.approx(dense_values(dense))
@@ -58,7 +64,7 @@ def test_agrees_with_dense(points, budget):
     )
 
 
-def test_copies_of_a_centroid_are_not_picked(spark):
+def test_copies_of_a_centroid_are_not_picked(spark, form):
     rows = [(i, t, v) for i in range(6) for t, v in [("a", 0.1 + i % 2), ("b", 0.7), ("c", 1 / 3)]]
     coordinates = spark.createDataFrame(rows, "id long, term string, value double")
     centroids, picks = choose_centroids_sparse(coordinates, 5)
@@ -73,7 +79,7 @@ def test_given_seeds(points):
     ]
 
 
-def test_empty_cluster_keeps_its_centroid(spark):
+def test_empty_cluster_keeps_its_centroid(spark, form):
     coordinates = spark.createDataFrame([("x", "a", 1.0), ("y", "a", 2.0)], "id string, term string, value double")
     start = spark.createDataFrame([(0, "a", 1.4), (1, "b", 50.0)], "cluster_id int, term string, value double")
     result = kmeans_sparse(coordinates, start)
@@ -85,14 +91,14 @@ def test_empty_cluster_keeps_its_centroid(spark):
 
 
 def test_coordinates_are_not_shuffled_again(points):
-    from plotweave.operators.sparse import lay_out, update_sparse
+    from plotweave.operators.sparse import _members, lay_out
     from plotweave.session import stage
 
     centroids, _ = choose_centroids_sparse(coordinates_of(points), 2)
     table = lay_out(coordinates_of(points)).persist()
     table.count()
     assignments = stage(assign_sparse(table, centroids).select("id", "cluster_id"), "a")
-    plan = update_sparse(table, assignments, centroids)._jdf.queryExecution().executedPlan().toString()
+    plan = _members(table, assignments)._jdf.queryExecution().executedPlan().toString()
     lines = [line for line in plan.splitlines() if "Relation" not in line]
     join = next(i for i, line in enumerate(lines) if "ShuffledHashJoin" in line)
     scan = next(i for i, line in enumerate(lines) if "InMemoryTableScan" in line)
