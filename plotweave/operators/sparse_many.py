@@ -67,7 +67,8 @@ def store(rows: DataFrame, ids: list[int]) -> ManyCentroids:
 def from_centroids(centroids: DataFrame, ids: list[int]) -> ManyCentroids:
     """Centroids ``cluster_id, term, value`` as a stored table."""
     rows = centroids.select("term", _place_of(ids).alias("place"), "value")
-    return store(rows.groupBy("term", "place").agg(F.sum("value").alias("value"), F.lit(None).cast("double").alias("old")), ids)
+    merged = rows.groupBy("term", "place").agg(F.sum("value").alias("value"))
+    return store(merged.withColumn("old", F.lit(None).cast("double")), ids)
 
 
 def to_centroids(many: ManyCentroids) -> DataFrame:
@@ -84,15 +85,16 @@ def assigned(coordinates: DataFrame, many: ManyCentroids, exact: bool, budget: i
     one the nearest is the one with the smallest norm.
     """
     present = F.filter("entries", lambda e: F.coalesce(e["value"], F.lit(0.0)) != 0)
-    lookup = many.table.select(
-        "term",
-        F.transform(present, lambda e: F.struct(e["place"].alias("place"), e["value"].alias("c"))).alias("entries"),
+    entries = F.transform(
+        present, lambda e: F.struct(e["place"].alias("place"), e["value"].alias("c"))
     )
+    lookup = many.table.select("term", entries.alias("entries"))
     joined = join_lookup(coordinates, lookup, "term", "left", budget=budget, lookup_bytes=many.bytes)
     # The point itself takes part as place -1: its product is the squared norm.
     itself = F.array(F.struct(F.lit(-1).alias("place"), F.col("value").alias("c")))
+    all_entries = F.when(F.col("entries").isNull(), itself).otherwise(F.concat(itself, "entries"))
     pairs = joined.select(
-        "id", F.col("value").alias("x"), F.explode(F.concat(itself, F.coalesce("entries", F.filter(itself, lambda e: F.lit(False))))).alias("e")
+        "id", F.col("value").alias("x"), F.explode(all_entries).alias("e")
     ).select("id", "x", "e.place", "e.c")
     x, c = F.col("x"), F.col("c")
     sums = [F.sum(x * c).alias("dot")]
@@ -109,7 +111,7 @@ def assigned(coordinates: DataFrame, many: ManyCentroids, exact: bool, budget: i
     per_point = per_pair.groupBy("id").agg(
         F.max(F.when(~is_cluster, F.col("dot"))).alias("norm"),
         *([F.max(F.when(~is_cluster, F.col("point_terms"))).alias("own_terms")] if exact else []),
-        F.collect_list(F.when(is_cluster, F.struct(*[n for n in per_pair.columns if n != "id"]))).alias("shared"),
+        F.collect_list(F.when(is_cluster, F.struct(*per_pair.columns[1:]))).alias("shared"),
     )
     norms, norm = F.lit(many.norms), F.col("norm")
 
@@ -158,7 +160,9 @@ def moved(members: DataFrame, sizes: list[int], many: ManyCentroids) -> ManyCent
         "term", "place", (F.col("total") / size).alias("value"), F.lit(None).cast("double").alias("old")
     )
     old = many.table.select("term", F.explode("entries").alias("e")).where("e.value is not null")
-    kept = old.select("term", "e.place", F.lit(None).cast("double").alias("value"), F.col("e.value").alias("old"))
+    kept = old.select(
+        "term", "e.place", F.lit(None).cast("double").alias("value"), F.col("e.value").alias("old")
+    )
     both = means.unionByName(kept).groupBy("term", "place").agg(
         F.max("value").alias("value"), F.max("old").alias("old")
     )
