@@ -21,6 +21,14 @@ from plotweave.plans import flows
 from plotweave import sources
 from plotweave.session import stage, stage_path
 
+try:
+    from plotweave.llm import registry as _llm
+except ImportError as missing:
+    # Only the whole subpackage may be missing; anything else is a fault to show.
+    if missing.name not in ("plotweave.llm", "corpus_pipeline"):
+        raise
+    _llm = None
+
 STOP_WORDS = ["and", "das", "der", "des", "die", "les", "los", "que", "the", "una", "und", "with"]
 
 
@@ -326,7 +334,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries by name; each takes (spark, sf_dir)."""
-    return {
+    return (_llm.queries() if _llm else {}) | {
         f.__name__: f
         for f in (
             tokenize, stop_word_filter, synopsis_rule, word_count, top_words, max_counts,
@@ -514,7 +522,7 @@ def oracle_sql() -> dict[str, str]:
     three_turns = ", ".join(
         [_sparse_seeds(), first, _sparse_assign(4, "sc1"), second, _sparse_assign(5, "sc2"), _sparse_update(3, "sa5")]
     )
-    return {
+    return (_llm.oracles() if _llm else {}) | {
         "tokenize": _DOCUMENT_TERMS,
         "stop_word_filter": f"SELECT * FROM ({_DOCUMENT_TERMS}) WHERE term NOT IN ({words})",
         "synopsis_rule": f"SELECT doc_id, {_first_segment_sql('text')} AS plain, "
