@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from plotweave.llm import id_files, packing
+from plotweave.llm import decontamination, id_files, licenses, packing, pii
 
-_MODULES = [packing, id_files]
+_MODULES = [packing, licenses, decontamination, id_files, pii]
 
 
 def queries() -> dict:
