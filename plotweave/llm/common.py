@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from plotweave.session import stage, stage_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Text handed to Python code is worked on in slices of about this many characters.
-SLICE_CHARS = 2_000_000
+# Text handed to Python code is worked on in slices of about this many bytes.
+SLICE_BYTES = 8_000_000
 ROW = "row_no"
 
 
@@ -61,19 +61,28 @@ def bucketed(table: DataFrame, key: str, name: str, move: bool = True) -> DataFr
     return spark.table(known_as)
 
 
-def slices(batch: pa.RecordBatch, column: str, chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose ``column`` has about ``chars`` bytes together."""
+def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose ``column`` has about ``most`` bytes together."""
     sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
     start = total = 0
     for i, size in enumerate(sizes):
         total += size
-        if total >= chars:
+        if total >= most:
             yield batch.slice(start, i + 1 - start)
             start, total = i + 1, 0
     if start < len(sizes):
         yield batch.slice(start)
 
 
+def own_texts(texts: pa.Array) -> pa.Array:
+    """The texts, nulls as empty ones, in an array that is no slice of another.
+
+    Arrow's ``ascii_lower`` misreads slices.
+    """
+    texts = texts.cast(pa.large_string())
+    return pa.compute.if_else(texts.is_valid(), texts, "")
+
+
 def smallest_by_hash(table: DataFrame, key: str, most: int) -> DataFrame:
     """At most ``most`` rows, chosen by a hash of ``key``: the documented training samples."""
     return table.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(most)

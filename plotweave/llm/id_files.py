@@ -20,14 +20,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from plotweave.llm.common import bucketed, documents, slices
-from plotweave.llm.token_ids import Encoder, default_path
+from plotweave.llm.token_ids import default_path, encoder as encoder_of
 from plotweave.session import stage
 
 END = 2
 SHARD_IDS = 1 << 19
 SHARDS_PER_TASK = 1 << 24
 BUCKET_KEYS = 2000
-KEYS_PER_PILOT = 4
+KEYS_PER_PILOT = 3
+PILOTS_AT_ONCE = 64
 
 _ONE, _TWO = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -35,8 +36,12 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
     """A 64-bit mix of 64-bit keys, one-to-one for each seed."""
+    return mixed_by(keys, np.array(seed))
+
+
+def mixed_by(keys: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        x = keys + np.uint64(seed + 1) * _STEP
+        x = keys + (seeds.astype("uint64") + np.uint64(1)) * _STEP
         x = (x ^ (x >> np.uint64(30))) * _ONE
         x = (x ^ (x >> np.uint64(27))) * _TWO
         return x ^ (x >> np.uint64(31))
@@ -70,11 +75,16 @@ def build_pilots(keys: np.ndarray) -> np.ndarray:
             continue
         pilot = 1
         while True:
-            slots = (mixed(members, pilot) % np.uint64(n)).astype("int64")
-            if not used[slots].any() and len(set(slots.tolist())) == len(slots):
+            # A run of pilots at a time: one row of slots for each.
+            tried = np.arange(pilot, pilot + PILOTS_AT_ONCE)
+            slots = (mixed_by(members[None, :], tried[:, None]) % np.uint64(n)).astype("int64")
+            ordered = np.sort(slots, axis=1)
+            good = ~used[slots].any(axis=1) & (ordered[:, 1:] != ordered[:, :-1]).all(axis=1)
+            if good.any():
                 break
-            pilot += 1
-        used[slots], pilots[g] = True, pilot
+            pilot += PILOTS_AT_ONCE
+        first = int(good.argmax())
+        used[slots[first]], pilots[g] = True, tried[first]
     for g, slot in zip(singles, np.flatnonzero(~used)):
         pilots[g] = -1 - slot
     return pilots
@@ -85,9 +95,8 @@ def slots_of(keys: np.ndarray, pilots: np.ndarray, n: int) -> np.ndarray:
     group_of = (mixed(keys, 0) % np.uint64(len(pilots))).astype("int64")
     pilot = pilots[group_of].astype("int64")
     slots = np.where(pilot < 0, -1 - pilot, 0)
-    for p in np.unique(pilot[pilot >= 0]):
-        at = pilot == p
-        slots[at] = (mixed(keys[at], int(p)) % np.uint64(n)).astype("int64")
+    at = pilot >= 0
+    slots[at] = (mixed_by(keys[at], pilot[at]) % np.uint64(n)).astype("int64")
     return slots
 
 
@@ -121,7 +130,7 @@ def write_ids(
     path = tokenizer or default_path()
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(path), TaskContext.get().partitionId()
+        encoder, part = encoder_of(path), TaskContext.get().partitionId()
         width = "<u2" if encoder.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         tail = int(end).to_bytes(4, "little")
         shard, total, last, repeat = part * SHARDS_PER_TASK, 0, object(), 0
@@ -143,7 +152,7 @@ def write_ids(
 
         for batch in batches:
             for piece in slices(batch, "text"):
-                encoded = encoder.encode(piece.column("text").to_pylist())
+                encoded = encoder.encode(piece.column("text"))
                 for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoded):
                     repeat = repeat + 1 if doc_id == last else 0
                     last = doc_id

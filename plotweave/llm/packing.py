@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from plotweave.llm.common import documents, slices
-from plotweave.llm.token_ids import Encoder, default_path
+from plotweave.llm.token_ids import default_path, encoder as encoder_of
 
 CAPACITY = 1024
 SEPARATOR = 0
@@ -182,12 +182,12 @@ def pack(
     end = int(separator).to_bytes(4, "little")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         packer = _Packer(capacity, window, TaskContext.get().partitionId() * SEQUENCES_PER_TASK)
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = part.column("text").to_pylist()
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(texts)):
+                encoded = encoder.encode(part.column("text"))
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoded):
                     packer.add(doc_id, ids + end)
                 if packer.rows:
                     yield packer.taken()
