@@ -91,8 +91,9 @@ def shingle_sets(texts: pa.Array, size: int = SHINGLE_WORDS) -> list[np.ndarray]
     return out
 
 
-def _sketched(docs: DataFrame, size: int, k: int) -> DataFrame:
-    """``row_no, doc_id, text, n, key, sketch``; key identifies the set, null for an empty one."""
+def _sketched(docs: DataFrame, size: int, k: int, others: tuple[str, ...]) -> DataFrame:
+    """``row_no, doc_id, text, others, n, key, sketch``; key identifies the set, null for an empty one."""
+    carried = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(None).cast("string")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -103,15 +104,16 @@ def _sketched(docs: DataFrame, size: int, k: int) -> DataFrame:
                 values = pa.array(np.concatenate(heads) if heads else np.zeros(0, "int64"))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(ROW), part.column("doc_id"), part.column("text"),
+                        part.column(ROW), part.column("doc_id"), part.column("text"), part.column("others"),
                         pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(bounds), values),
                     ],
-                    names=[ROW, "doc_id", "text", "n", "key", "sketch"],
+                    names=[ROW, "doc_id", "text", "others", "n", "key", "sketch"],
                 )
 
-    rows = docs.select(F.monotonically_increasing_id().alias(ROW), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, f"{ROW} long, doc_id long, text string, n long, key binary, sketch array<long>")
+    rows = docs.select(F.monotonically_increasing_id().alias(ROW), F.col("doc_id").cast("long").alias("doc_id"), "text", carried.alias("others"))
+    kind = rows.schema["others"].dataType.simpleString()
+    return rows.mapInArrow(run, f"{ROW} long, doc_id long, text string, others {kind}, n long, key binary, sketch array<long>")
 
 
 def _lists(nodes: DataFrame, similarity: int, k: int) -> DataFrame:
@@ -213,11 +215,16 @@ def _remaining_pairs(lists: DataFrame, similarity: int) -> tuple[DataFrame, Data
 
 
 def near_duplicates(
-    docs: DataFrame, similarity: int = SIMILARITY, size: int = SHINGLE_WORDS, k: int = SKETCH
+    docs: DataFrame,
+    similarity: int = SIMILARITY,
+    size: int = SHINGLE_WORDS,
+    k: int = SKETCH,
+    others: tuple[str, ...] = (),
 ) -> DataFrame:
     """``row_no, doc_id, text, n_shingles, component_id, kept, kept_row`` for each row of ``docs``.
 
-    ``docs`` has ``doc_id, text``; other columns are ignored. Two rows are linked when
+    ``docs`` has ``doc_id, text``; of its other columns those named in ``others`` are passed
+    on, as one struct ``others``. Two rows are linked when
     ``100 * common shingles >= similarity * shingles of either``. ``component_id`` is the
     smallest id that links lead to (no id counts as the smallest), ``kept`` says whether it is
     the row's own, and ``kept_row`` is true for one row of each component, even if an id
@@ -227,7 +234,7 @@ def near_duplicates(
     Texts are shuffled once, into buckets that later steps join to where they lie; after that
     only hashes, pairs, and the texts of pairs that are confirmed are moved.
     """
-    table = bucketed(_sketched(docs, size, k), ROW, "sketches")
+    table = bucketed(_sketched(docs, size, k, others), ROW, "sketches")
     classes = stage(
         table.where("n > 0").groupBy("key").agg(
             F.min(ROW).alias("node"), F.min(F.struct("doc_id", ROW)).alias("least")
@@ -256,15 +263,23 @@ def near_duplicates(
     least = known.groupBy("component").agg(F.min("least").alias("least_of_all"))
     of_key = stage(known.join(least, "component").select("key", "least_of_all"), "kept")
     keeper = F.col("least_of_all")
-    out = table.select(ROW, "doc_id", "text", "n", "key").join(of_key, "key", "left")
+    out = table.select(ROW, "doc_id", "text", "others", "n", "key").join(of_key, "key", "left")
     return out.select(
-        ROW, "doc_id", "text", F.col("n").alias("n_shingles"),
+        ROW, "doc_id", "text", "others", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, keeper["doc_id"]).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n") > 0, keeper["doc_id"].eqNullSafe(F.col("doc_id"))).otherwise(F.lit(True)).alias("kept"),
         F.when(F.col("n") > 0, keeper[ROW] == F.col(ROW)).otherwise(F.lit(True)).alias("kept_row"),
     )
 
 
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row of each component, columns as they are; of copies the row with the smallest id."""
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    kept = near_duplicates(docs, others=rest).where("kept_row")
+    named = [F.col("others").getField(c).alias(c) if c in rest else F.col(c) for c in docs.columns]
+    return kept.select(named)
+
+
 def op4_near_duplicates(spark, sf_dir):
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
 

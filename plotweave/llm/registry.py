@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from plotweave.llm import decontamination, id_files, licenses, packing, pii
+import corpus_pipeline
+from plotweave.llm import (
+    decontamination,
+    id_files,
+    licenses,
+    near_duplicates,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    repeats,
+    toxicity,
+)
 
-_MODULES = [packing, licenses, decontamination, id_files, pii]
+_MODULES = [
+    packing, licenses, decontamination, near_duplicates, toxicity, quality, id_files, pii, neighbours, repeats,
+]
 
 
 def queries() -> dict:
-    return {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+    return {name: query for module in _MODULES for name, query in module.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
