@@ -195,15 +195,17 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS) ->
     return QualityModel(mean, scale, weights, base, True)
 
 
-def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
+def score_quality(
+    docs: DataFrame, model: QualityModel, score_as: str = "score", passage_as: str = "main_passage"
+) -> DataFrame:
     """``docs`` with ``score``, the probability of good quality, and ``main_passage``, the number
-    of the passage with the greatest attention weight.
+    of the passage with the greatest attention weight, or under other names.
 
     All passages of a text count. Only the text is looked at; a null text is an empty one, and
     an empty text is one passage of nothing. Equal texts score equally; all columns are kept
-    (one called ``score`` or ``main_passage`` is replaced). No shuffle.
+    (one of the same name is replaced). No shuffle.
     """
-    kept = [f for f in docs.schema.fields if f.name not in ("score", "main_passage")]
+    kept = [f for f in docs.schema.fields if f.name not in (score_as, passage_as)]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,15 +222,16 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
                 else:
                     p, main = np.full(n, model.base), np.zeros(n, "int64")
                 columns = [part.column(f.name) for f in kept] + [pa.array(p), pa.array(main, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in kept] + ["score", "main_passage"])
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in kept] + [score_as, passage_as])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return docs.select([f"`{f.name}`" for f in kept]).mapInArrow(score, f"{types}, score double, main_passage long")
+    return docs.select([f"`{f.name}`" for f in kept]).mapInArrow(score, f"{types}, `{score_as}` double, `{passage_as}` long")
 
 
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, columns as they are."""
-    return score_quality(docs, model).where(F.col("score") >= threshold).select(docs.columns)
+    scored = score_quality(docs, model, "__score", "__passage")
+    return scored.where(F.col("__score") >= threshold).select([f"`{c}`" for c in docs.columns])
 
 
 def op6_quality(spark, sf_dir):

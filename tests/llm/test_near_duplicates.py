@@ -67,7 +67,7 @@ def test_query(spark, sf_dir):
 def test_families_and_a_shared_passage(spark, monkeypatch):
     """Chains of edits, a family larger than a short list, and texts that share one passage."""
     monkeypatch.setattr(near, "SHORT_LIST", 6)
-    monkeypatch.setattr(near, "FIRST_NODES", 2)
+    monkeypatch.setattr(near, "BLOCK", 5)
     pick = random.Random(11)
     word = lambda: f"w{pick.randrange(4000)}"
     passage = [word() for _ in range(60)]
