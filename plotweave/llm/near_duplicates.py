@@ -5,9 +5,10 @@ Documents with equal sets are one node. Inverted lists of the retained hashes pr
 the sketch of the union of both estimates their similarity, and the exact Jaccard coefficient
 of the full sets confirms each link.
 
-No list gives all its pairs at once. Every node is compared with the list's first node; after
-that only nodes which are not connected yet can still add anything, and the lists of copies,
-however many, are done. Of a node's hashes only the rarest need lists: two sets with more
+Every node is first compared with the first node of each of its lists; after that only nodes
+which are not connected yet can still add anything, and lists of copies, however many, are
+done. What is left of short lists are pairs; what is left of long ones is compared in blocks,
+which leave out whatever is connected and give no rows but links. Of a node's hashes only the rarest need lists: two sets with more
 common hashes than one leaves out must share one of the rest.
 """
 
@@ -20,11 +21,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plotweave.llm.common import ROW, bucketed, documents, own_texts, slices
 from plotweave.llm.components import components
-from plotweave.session import stage, stage_measured
+from plotweave.session import stage
 
 SHINGLE_WORDS = 5
 # Links have 100 * intersection >= SIMILARITY * union.
@@ -34,10 +35,11 @@ SKETCH = 64
 # that, with a probability under 1e-8: six deviations below the mean.
 LEAST_SHARED = 26
 LEAST_ESTIMATE = 0.42
-# Lists of up to this many nodes give their remaining pairs at once, longer ones give those
-# with so many nodes at a time.
+# Lists of up to this many nodes give their remaining pairs as rows; the nodes of longer ones
+# are compared in blocks of so many, by matrices of so many columns.
 SHORT_LIST = 32
-FIRST_NODES = 8
+BLOCK = 256
+COLUMNS = 4096
 
 _BYTES = np.arange(256, dtype="uint8")
 _BYTES[65:91] += 32
@@ -188,30 +190,102 @@ def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return known.drop("size").join(still, "value")
 
 
-def _remaining_pairs(lists: DataFrame, similarity: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs between unconnected nodes, and the long lists without the nodes now compared."""
-    short, long = lists.where(F.col("size") <= SHORT_LIST), lists.where(F.col("size") > SHORT_LIST)
-    other = short.select("value", *[F.col(c).alias(f"{c}_2") for c in ("node", "n", "component")])
-    within = short.join(other, "value").where("node < node_2 and component <> component_2")
-    within = within.where(_similar_sizes(F.col("n"), F.col("n_2"), similarity)).select(
-        F.col("node").alias("a"), F.col("node_2").alias("b")
-    )
-    # The first node of each of the first components; the limit is taken within tasks first.
-    starts = long.groupBy("value", "component").agg(F.min(F.struct("node", "n")).alias("s"))
-    order = Window.partitionBy("value").orderBy("component")
-    starts = stage(
-        starts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= FIRST_NODES)
-        .select("value", F.col("component").alias("component_2"), F.col("s.node").alias("node_2"), F.col("s.n").alias("n_2")),
-        "first_nodes",
-    )
-    # All first nodes of a list side by side, so that a member is joined once.
-    of_list = starts.groupBy("value").agg(F.collect_list(F.struct("node_2", "n_2", "component_2")).alias("firsts"))
-    star = long.join(of_list, "value").select("node", "n", "component", F.explode("firsts").alias("f")).select("node", "n", "component", "f.*")
-    star = star.where((F.col("component") != F.col("component_2")) & _similar_sizes(F.col("n"), F.col("n_2"), similarity)).select(
-        F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b")
+def _pairs_within(lists: DataFrame, similarity: int) -> DataFrame:
+    """All pairs of unconnected nodes in the same list; for short lists."""
+    other = lists.select("value", *[F.col(c).alias(f"{c}_2") for c in ("node", "n", "component")])
+    within = lists.join(other, "value").where("node < node_2 and component <> component_2")
+    within = within.where(_similar_sizes(F.col("n"), F.col("n_2"), similarity))
+    return within.select(F.col("node").alias("a"), F.col("node_2").alias("b")).distinct()
+
+
+def _blocks(lists: DataFrame) -> DataFrame:
+    """``node, component, block, whole``: every node in one block of at most about ``BLOCK``.
+
+    Nodes go by the longest of their lists, and by their component if that is a large one;
+    then ``whole`` names it, since nothing within it is left to compare.
+    """
+    nodes = lists.groupBy("node", "component").agg(F.max(F.struct("size", "value")).alias("longest"))
+    nodes = nodes.select("node", "component", F.col("longest.value").alias("of_list"))
+    large = nodes.groupBy("component").agg(F.count("*").alias("members")).where(F.col("members") >= BLOCK)
+    nodes = nodes.join(large.select("component", F.col("component").alias("whole")), "component", "left")
+    keys = ["of_list", F.coalesce("whole", F.lit(-1)).alias("whole")]
+    nodes = stage(nodes.select("node", "component", *keys), "open_nodes")
+    parts = nodes.groupBy("of_list", "whole").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    return stage(
+        nodes.join(parts, ["of_list", "whole"]).select(
+            "node", "component", F.xxhash64("of_list", "whole", part).alias("block"), "whole"
+        ),
+        "blocks",
     )
-    rest = long.join(starts.select("value", F.col("node_2").alias("node")), ["value", "node"], "left_anti")
-    return within.unionByName(star).distinct(), rest.select("value", "node", "n")
+
+
+def _links_of_long_lists(lists: DataFrame, table: DataFrame, size: int, similarity: int) -> DataFrame:
+    """Links ``a, b`` between unconnected nodes of long lists, as many as connect them.
+
+    Two blocks meet if a list has nodes of both. A meeting compares full sets by one matrix
+    product over the hashes that several of its nodes have; no pair is a row until it is a
+    link, and links that connect nothing new in the meeting are left out.
+    """
+    blocks = _blocks(lists)
+    of_list = lists.select("value", "node").join(blocks, "node").select("value", "block", "whole").distinct()
+    of_list = stage(of_list, "blocks_of_lists")
+    other = of_list.select("value", F.col("block").alias("block_2"), F.col("whole").alias("whole_2"))
+    meetings = of_list.join(other, "value").where("block <= block_2 and (whole <> whole_2 or whole = -1)")
+    meetings = meetings.select(F.col("block").alias("one"), F.col("block_2").alias("two")).distinct()
+    sides = F.when(F.col("one") == F.col("two"), F.array("one")).otherwise(F.array("one", "two"))
+    sent = meetings.select("one", "two", F.explode(sides).alias("block")).join(blocks, "block")
+    texts = table.select(F.col(ROW).alias("node"), "text")
+    sent = sent.select("one", "two", "block", "node", "component").join(texts, "node")
+
+    def compare(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        node, component = rows.column("node").to_numpy(), rows.column("component").to_numpy()
+        side = rows.column("block").to_numpy() == rows.column("one")[0].as_py()
+        alone = rows.column("one")[0] == rows.column("two")[0]
+        sets = shingle_sets(rows.column("text").combine_chunks(), size)
+        left = np.flatnonzero(side)
+        right = left if alone else np.flatnonzero(~side)
+        n = np.array([len(s) for s in sets], "float64")
+        common = _common([sets[i] for i in left], [sets[i] for i in right])
+        union = n[left][:, None] + n[right][None, :] - common
+        linked = (100 * common >= similarity * union) & (component[left][:, None] != component[right][None, :])
+        joined: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while joined.setdefault(x, x) != x:
+                joined[x] = joined[joined[x]]
+                x = joined[x]
+            return x
+
+        out = []
+        for i, j in zip(*np.nonzero(linked)):
+            x, y = root(component[left[i]]), root(component[right[j]])
+            if x != y:
+                joined[max(x, y)] = min(x, y)
+                out.append((node[left[i]], node[right[j]]))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return sent.groupBy("one", "two").applyInArrow(compare, "a long, b long")
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each set of ``left`` has in common with each of ``right``."""
+    out = np.zeros((len(left), len(right)))
+    sizes = [len(s) for s in left + right]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, counts = np.unique(np.concatenate(left + right), return_inverse=True, return_counts=True)
+    several = np.cumsum(counts > 1) - 1
+    shared = counts[column] > 1
+    owner, column = owner[shared], several[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for begin in range(0, int(several[-1]) + 1 if len(several) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [begin, begin + COLUMNS])
+        block = np.zeros((len(sizes), COLUMNS), "float32")
+        block[owner[a:b], column[a:b] - begin] = 1
+        out += block[: len(left)] @ block[len(left) :].T
+    return out
 
 
 def near_duplicates(
@@ -250,15 +324,10 @@ def near_duplicates(
 
     edges = links(_pairs_of_first(lists, similarity))
     labels = stage(components(edges), "labels")
-    # The first nodes have met all others of their lists.
-    rest = lists
-    while True:
-        open_lists, found = stage_measured(_open_lists(rest, labels), "open_lists", F.count("*").alias("n"))
-        if not found["n"]:
-            break
-        pairs, rest = _remaining_pairs(open_lists, similarity)
-        edges = edges.unionByName(links(pairs))
-        labels = stage(components(edges), "labels")
+    left = stage(_open_lists(lists, labels), "open_lists")
+    short, long = left.where(F.col("size") <= SHORT_LIST), left.where(F.col("size") > SHORT_LIST)
+    more = links(_pairs_within(short, similarity)).unionByName(_links_of_long_lists(long, table, size, similarity))
+    labels = stage(components(edges.unionByName(more)), "labels")
     known = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = known.groupBy("component").agg(F.min("least").alias("least_of_all"))
     of_key = stage(known.join(least, "component").select("key", "least_of_all"), "kept")
