@@ -8,6 +8,8 @@ matches, the matches are mapped, and both are put together again, all within the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plotweave.llm.common import documents
@@ -36,6 +38,11 @@ ANY = "|".join(f"(?:{p})" for p in FORMATS.values())
 _HINT = r"[0-9]{2}|@|[0-9]\.[0-9]"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _round(key: str, what: str, i: Column, value: Column) -> Column:
     """A keyed 60-bit number."""
     text = F.concat_ws("|", F.lit(key), F.lit(what), i.cast("string"), value.cast("string"))
@@ -55,6 +62,10 @@ def _feistel(key: str, what: str, left: Column, right: Column, left_size: Column
 
 def permuted_digits(key: str, what: str, digits: Column) -> Column:
     """A string of digits as another of the same length (up to 19 digits)."""
+    return _let(digits, lambda d: _permuted(key, what, d))
+
+
+def _permuted(key: str, what: str, digits: Column) -> Column:
     n = F.length(digits)
     left = (n / 2).cast("int")
     right = n - left
@@ -65,7 +76,7 @@ def permuted_digits(key: str, what: str, digits: Column) -> Column:
         F.get(powers, left), F.get(powers, right),
     )
     pad = lambda x, width: F.when(width == 0, "").otherwise(F.lpad(x.cast("string"), width, "0"))
-    return F.concat(pad(moved["a"], left), pad(moved["b"], right))
+    return _let(moved, lambda m: F.concat(pad(m["a"], left), pad(m["b"], right)))
 
 
 def _digits(text: Column) -> Column:
@@ -88,22 +99,25 @@ def _check_sum(digits: Column, double_last: bool) -> Column:
 def _laid_out(like: Column, digits: Column) -> Column:
     """``digits`` with the separators of ``like``."""
 
-    def step(s: Column, c: Column) -> Column:
-        digit = c.rlike("^[0-9]$")
-        return F.struct(
-            F.concat(s["out"], F.when(digit, F.substr(digits, s["at"], F.lit(1))).otherwise(c)).alias("out"),
-            (s["at"] + digit.cast("int")).alias("at"),
-        )
+    def laid(digits: Column) -> Column:
+        def step(s: Column, c: Column) -> Column:
+            digit = c.rlike("^[0-9]$")
+            return F.struct(
+                F.concat(s["out"], F.when(digit, F.substr(digits, s["at"], F.lit(1))).otherwise(c)).alias("out"),
+                (s["at"] + digit.cast("int")).alias("at"),
+            )
 
-    return F.aggregate(F.split(like, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), step)["out"]
+        return F.aggregate(F.split(like, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), step)["out"]
+
+    return _let(digits, laid)
 
 
 def card(key: str, hit: Column) -> Column:
     """All digits but the check digit are permuted; the check digit is made to fit."""
-    digits = _digits(hit)
-    body = permuted_digits(key, "card", F.substr(digits, F.lit(1), F.length(digits) - 1))
-    check = F.pmod(F.lit(10) - _check_sum(body, True) % 10, F.lit(10))
-    return F.when(_check_sum(digits, False) % 10 == 0, _laid_out(hit, F.concat(body, check.cast("string"))))
+    check = lambda body: F.pmod(F.lit(10) - _check_sum(body, True) % 10, F.lit(10)).cast("string")
+    other = lambda body: _laid_out(hit, F.concat(body, check(body)))
+    moved = lambda digits: _let(permuted_digits(key, "card", F.substr(digits, F.lit(1), F.length(digits) - 1)), other)
+    return _let(_digits(hit), lambda digits: F.when(_check_sum(digits, False) % 10 == 0, moved(digits)))
 
 
 def phone(key: str, hit: Column) -> Column:
@@ -118,10 +132,11 @@ def ip(key: str, hit: Column) -> Column:
     """The 32 bits are permuted."""
     octets = F.transform(F.split(hit, r"\."), lambda x: x.cast("long"))
     side = F.lit(1 << 16)
-    out = _feistel(key, "ip", octets[0] * 256 + octets[1], octets[2] * 256 + octets[3], side, side)
-    return F.concat_ws(
-        ".", *[x.cast("string") for part in ("a", "b") for x in (F.shiftright(out[part], 8), out[part] % 256)]
+    moved = lambda o: _feistel(key, "ip", o[0] * 256 + o[1], o[2] * 256 + o[3], side, side)
+    shown = lambda m: F.concat_ws(
+        ".", *[x.cast("string") for part in ("a", "b") for x in (F.shiftright(m[part], 8), m[part] % 256)]
     )
+    return _let(_let(octets, moved), shown)
 
 
 def date(key: str, hit: Column) -> Column:
@@ -130,25 +145,35 @@ def date(key: str, hit: Column) -> Column:
     The permutation is one of a square that is a little larger than the number of days, and is
     applied again until it leads to a day.
     """
+    return _let(_day(hit), lambda day: F.when((day >= 0) & (day < DAYS), _moved_date(key, hit, day)))
+
+
+def _day(hit: Column) -> Column:
+    """Days since the first one; null where there is no such date."""
     iso = hit.rlike("^[0-9]{4}-")
-    separator = F.substr(hit, F.lit(3), F.lit(1))
     ordered = F.when(iso, hit).otherwise(
         F.concat_ws("-", F.substr(hit, F.lit(7), F.lit(4)), F.substr(hit, F.lit(4), F.lit(2)), F.substr(hit, F.lit(1), F.lit(2)))
     )
-    day = F.date_diff(ordered.try_cast("date"), F.lit(FIRST_DAY).cast("date")).cast("long")
+    return F.date_diff(ordered.try_cast("date"), F.lit(FIRST_DAY).cast("date")).cast("long")
+
+
+def _moved_date(key: str, hit: Column, day: Column) -> Column:
     side = F.lit(DAY_SIDE)
 
     def walk(x: Column, i: Column) -> Column:
         moved = _feistel(key, "date", F.floor(x / DAY_SIDE), x % DAY_SIDE, side, side)
         arrived = (i > 0) & (x < DAYS)
-        return F.when(arrived, x).otherwise(moved["a"] * DAY_SIDE + moved["b"])
+        return F.when(arrived, x).otherwise(_let(moved, lambda m: m["a"] * DAY_SIDE + m["b"]))
 
-    out = F.aggregate(F.lit(list(range(WALKS))), day, walk)
-    new = F.date_add(F.lit(FIRST_DAY).cast("date"), out.cast("int"))
-    shown = F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(
-        F.concat(F.date_format(new, "dd"), separator, F.date_format(new, "MM"), separator, F.date_format(new, "yyyy"))
-    )
-    return F.when((day >= 0) & (day < DAYS) & (out < DAYS), shown)
+    def shown(out: Column) -> Column:
+        new = F.date_add(F.lit(FIRST_DAY).cast("date"), out.cast("int"))
+        separator = F.substr(hit, F.lit(3), F.lit(1))
+        text = F.when(hit.rlike("^[0-9]{4}-"), F.date_format(new, "yyyy-MM-dd")).otherwise(
+            F.concat(F.date_format(new, "dd"), separator, F.date_format(new, "MM"), separator, F.date_format(new, "yyyy"))
+        )
+        return F.when(out < DAYS, text)
+
+    return _let(F.aggregate(F.lit(list(range(WALKS))), day, walk), shown)
 
 
 def _stream(key: str, what: str, value: Column) -> Column:
@@ -165,20 +190,23 @@ def secret(key: str, hit: Column) -> Column:
 def email(key: str, hit: Column) -> Column:
     """The local part becomes other letters and digits of the same length; the domain stays."""
     local = F.substring_index(hit, "@", 1)
-    stream = _stream(key, "email", F.lower(hit))
-    letters = F.translate(stream, "0123456789", "ghijklmnop")
-
-    def step(s: Column, c: Column) -> Column:
-        at = F.pmod(s["at"], F.lit(128)) + 1
-        other = (
-            F.when(c.rlike("^[0-9]$"), F.translate(F.substr(stream, at, F.lit(1)), "abcdef", "135792"))
-            .when(c.rlike("^[A-Z]$"), F.upper(F.substr(letters, at, F.lit(1))))
-            .when(c.rlike("^[a-z]$"), F.substr(letters, at, F.lit(1)))
-            .otherwise(c)
-        )
-        return F.struct(F.concat(s["out"], other).alias("out"), (s["at"] + 1).alias("at"))
 
-    new = F.aggregate(F.split(local, ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step)["out"]
+    def renamed(stream: Column) -> Column:
+        letter = lambda at: F.translate(F.substr(stream, at, F.lit(1)), "0123456789", "ghijklmnop")
+
+        def step(s: Column, c: Column) -> Column:
+            at = F.pmod(s["at"], F.lit(128)) + 1
+            other = (
+                F.when(c.rlike("^[0-9]$"), F.translate(F.substr(stream, at, F.lit(1)), "abcdef", "135792"))
+                .when(c.rlike("^[A-Z]$"), F.upper(letter(at)))
+                .when(c.rlike("^[a-z]$"), letter(at))
+                .otherwise(c)
+            )
+            return F.struct(F.concat(s["out"], other).alias("out"), (s["at"] + 1).alias("at"))
+
+        return F.aggregate(F.split(local, ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step)["out"]
+
+    new = _let(_stream(key, "email", F.lower(hit)), renamed)
     return F.concat(new, F.substr(hit, F.length(local) + 1, F.length(hit)))
 
 
@@ -189,13 +217,18 @@ def _mapped(key: str, hit: Column) -> Column:
     """The match and what replaces it: struct kind, text. Kind is null where nothing is replaced."""
     out = None
     for kind, make in _PSEUDONYMS.items():
-        new = make(key, hit)
-        pair = F.struct(F.when(new.isNotNull(), F.lit(kind)).alias("kind"), F.coalesce(new, hit).alias("text"))
         is_kind = hit.rlike(f"^(?:{FORMATS[kind]})$")
+        pair = _replaced(kind, make(key, hit), hit)
         out = F.when(is_kind, pair) if out is None else out.when(is_kind, pair)
     return out.otherwise(F.struct(F.lit(None).cast("string").alias("kind"), hit.alias("text")))
 
 
+def _replaced(kind: str, new: Column, hit: Column) -> Column:
+    return _let(
+        new, lambda x: F.struct(F.when(x.isNotNull(), F.lit(kind)).alias("kind"), F.coalesce(x, hit).alias("text"))
+    )
+
+
 def pseudonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with pseudonyms in ``text``, and ``replaced``: the kinds replaced, in order.
 
