@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from plotweave.functions import first_segment, vector_add, vector_divide
+from plotweave.functions import first_segment, fixed_decimals, vector_add, vector_divide
 from plotweave.operators import counts as counting
 from plotweave.operators import dense, sparse
 from plotweave.operators import terms as texts
@@ -183,8 +183,8 @@ def assign(spark, sf_dir):
 
 
 def _one_update(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    points, seeds = _points(spark, sf_dir), _seeds(spark, sf_dir)
-    assigned = dense.assign(points, seeds).join(points, "id")
+    seeds = _seeds(spark, sf_dir)
+    assigned = dense.assign(_points(spark, sf_dir), seeds, with_vectors=True)
     return seeds, dense.update_centroids(assigned, seeds)
 
 
@@ -196,21 +196,29 @@ def convergence(spark, sf_dir):
     return _rounded(dense.converged(dense.centroid_shifts(*_one_update(spark, sf_dir))), "max_shift")
 
 
-def _five_turns(spark, sf_dir) -> dense.KMeansResult:
-    return dense.kmeans(_points(spark, sf_dir), _seeds(spark, sf_dir), tol=0.0, max_iter=5)
+def _clustered(spark, sf_dir) -> dense.LloydResult:
+    return dense.lloyd(_points(spark, sf_dir), _seeds(spark, sf_dir))
 
 
-def kmeans(spark, sf_dir):
-    return _long(_five_turns(spark, sf_dir).centroids, "cluster_id")
+def lloyd_centroids(spark, sf_dir):
+    return _long(_clustered(spark, sf_dir).centroids, "cluster_id")
 
 
-def kmeans_history(spark, sf_dir):
-    history = _five_turns(spark, sf_dir).history.drop("v")
+def lloyd_history(spark, sf_dir):
+    history = _clustered(spark, sf_dir).history.drop("v")
     return _rounded(history, "shift", "cost")
 
 
-def kmeans_assignments(spark, sf_dir):
-    return _rounded(_five_turns(spark, sf_dir).assignments, "distance")
+def lloyd_assignments(spark, sf_dir):
+    return _rounded(_clustered(spark, sf_dir).assignments, "distance")
+
+
+def seeds_from_file(spark, sf_dir):
+    """Two picks written as a centroid file, read back, and carried on to four."""
+    path = stage_path(spark, "first_seeds")
+    sources.write_keyed_centroids(_seeds(spark, sf_dir, 2), path)
+    chosen = dense.choose_centroids(_points(spark, sf_dir), 4, sources.read_keyed_centroids(spark, path))
+    return _rounded(chosen.select("cluster_id", "id", "min_distance"), "min_distance")
 
 
 # -- sparse clustering -----------------------------------------------------------------
@@ -225,16 +233,43 @@ def choose_centroids_tfidf(spark, sf_dir):
     return _rounded(picks, "min_distance")
 
 
+def seeds_from_file_tfidf(spark, sf_dir):
+    """Two picks written as coordinates, read back, and carried on to four."""
+    coordinates, path = _coordinates(spark, sf_dir), stage_path(spark, "first_seeds")
+    sources.write_coordinate_centroids(sparse.choose_centroids_sparse(coordinates, 2)[0], path)
+    _, picks = sparse.choose_centroids_sparse(coordinates, 4, sources.read_coordinate_centroids(spark, path))
+    return _rounded(picks, "min_distance")
+
+
 def assign_tfidf(spark, sf_dir):
     coordinates = _coordinates(spark, sf_dir)
     centroids, _ = sparse.choose_centroids_sparse(coordinates, 3)
     return _rounded(sparse.assign_sparse(coordinates, centroids), "distance")
 
 
-def kmeans_tfidf(spark, sf_dir):
-    scores = _stored_tfidf(_conversations(spark, sf_dir))
-    result = flows.cluster_products(scores, 3, tol=0.0, max_iter=3)
-    return _rounded(result.centroids, "value")
+def assign_tfidf_k40(spark, sf_dir):
+    """The nearest of 40 centroids: the means of the conversations with equal id modulo 40."""
+    coordinates = _coordinates(spark, sf_dir)
+    groups = coordinates.select("id", F.pmod("id", F.lit(40)).cast("int").alias("cluster_id")).distinct()
+    none = coordinates.select(F.lit(0).alias("cluster_id"), "term", "value").where("false")
+    means = stage(sparse.update_sparse(coordinates, stage(groups, "groups"), none), "means")
+    return _rounded(sparse.assign_sparse(coordinates, means), "distance")
+
+
+def _products(spark, sf_dir, **options) -> sparse.SparseLloydResult:
+    return flows.cluster_products(_stored_tfidf(_conversations(spark, sf_dir)), 3, **options)
+
+
+def lloyd_tfidf(spark, sf_dir):
+    return _rounded(_products(spark, sf_dir).centroids, "value")
+
+
+def lloyd_tfidf_history(spark, sf_dir):
+    return _rounded(_products(spark, sf_dir).history, "shift", "cost")
+
+
+def lloyd_tfidf_assignments(spark, sf_dir):
+    return _rounded(_products(spark, sf_dir).assignments, "distance")
 
 
 # -- files -----------------------------------------------------------------------------
@@ -312,12 +347,92 @@ def centroid_file(spark, sf_dir):
     return _long(sources.read_centroids(spark, path), "cluster_id", digits=5)
 
 
+def centroid_folder(spark, sf_dir):
+    """Vectors in many files of uneven size, numbered in the order of files and lines."""
+    path = stage_path(spark, "centroid_folder")
+    points = _points(spark, sf_dir).withColumn("v", F.col("v").cast("array<double>"))
+    split = points.repartitionByRange(7, F.sqrt("id")).sortWithinPartitions("id")
+    split.select(fixed_decimals(F.col("v"))).write.text(path)
+    return _long(sources.read_centroids(spark, path), "cluster_id", digits=5)
+
+
 def history_files(spark, sf_dir):
     path = stage_path(spark, "history_files")
-    sources.write_history(_five_turns(spark, sf_dir).history, path)
+    sources.write_history(_clustered(spark, sf_dir).history, path)
     return _long(sources.read_history(spark, path), "iteration", "cluster_id", "size")
 
 
+def history_files_tfidf(spark, sf_dir):
+    path = stage_path(spark, "history_files")
+    sources.write_history(_products(spark, sf_dir).past_centroids, path)
+    return _rounded(sources.read_history(spark, path), "value")
+
+
+def centroid_file_tfidf(spark, sf_dir):
+    """The final centroids on coordinates, with five decimals."""
+    path = stage_path(spark, "centroid_file")
+    sources.write_coordinate_centroids(_products(spark, sf_dir).centroids, path, digits=5)
+    return sources.read_coordinate_centroids(spark, path)
+
+
+def review_all_fields(spark, sf_dir):
+    """All eight fields of a block."""
+    path = stage_path(spark, "review_files")
+    field = lambda key, value: F.concat(F.lit(f"\n{key}: "), value)
+    number = F.col("review_id").cast("string")
+    block = F.concat(
+        F.lit("product/productId: "), F.col("product_id"), field("review/userId", F.concat(F.lit("u"), number)),
+        field("review/profileName", F.concat(F.lit("name: "), number)), field("review/helpfulness", F.concat(number, F.lit("/9"))),
+        field("review/score", F.lit("3.5")), field("review/time", number), field("review/summary", F.concat(F.lit(" about "), number)),
+        field("review/text", F.regexp_replace("text", r"[\r\n]+", " ")), F.lit("\n"),
+    )
+    _documents(spark, sf_dir).select(block).write.text(path)
+    reviews = sources.read_reviews(spark, path, text_rule="full", all_fields=True)
+    return reviews.drop("review_id").withColumn("time", F.unix_timestamp("time"))
+
+
+def review_defects(spark, sf_dir):
+    """Texts per product, among them orphans, of files with every defect; and the dropped lines.
+
+    Every product id heads two texts; of the ids that are multiples of 5 the product line has
+    no value, of those of 7 the first text has none.
+    """
+    path = stage_path(spark, "review_files")
+    text = F.regexp_replace("text", r"[\r\n]+", " ")
+    block = F.concat(
+        F.lit("product/productId:"), F.when(F.col("review_id") % 5 == 0, "").otherwise(F.concat(F.lit(" "), "product_id")),
+        F.lit("\nreview/text"), F.when(F.col("review_id") % 7 == 0, "").otherwise(F.concat(F.lit(": "), text)),
+        F.lit("\nreview/text: Synopsis: "), text, F.lit("\n"),
+    )
+    _documents(spark, sf_dir).select(block).write.text(path)
+    malformed = Observation()
+    reviews = stage(sources.read_reviews(spark, path, malformed=malformed), "reviews")
+    counted = texts.review_term_counts(reviews).agg(F.sum("term_count").alias("kept_terms"))
+    return reviews.agg(
+        F.count("*").alias("texts"), F.count_if(F.col("product_id").isNull()).alias("orphans")
+    ).withColumn("malformed", F.lit(malformed.get["malformed_lines"]).cast("long")).join(counted)
+
+
+def files_to_clusters(spark, sf_dir):
+    """The whole flow: review files, TF, TF-IDF, seeds, clusters; the clusters of the sources."""
+    reviews = sources.read_reviews(spark, _write_reviews(spark, sf_dir))
+    tables = flows.tfidf_vectors(reviews, STOP_WORDS)
+    return _rounded(flows.cluster_products(tables.tfidf, 3).assignments, "distance")
+
+
+def _many_stop_words(spark, sf_dir) -> DataFrame:
+    """The 20,000 most frequent words of the corpus."""
+    return stage(flows.corpus_top_words(_documents(spark, sf_dir), n=20_000), "stop_words").select("term")
+
+
+def word_count_many_stop_words(spark, sf_dir):
+    return counting.word_count(_documents(spark, sf_dir), _many_stop_words(spark, sf_dir))
+
+
+def review_term_counts_many_stop_words(spark, sf_dir):
+    return texts.review_term_counts(_documents(spark, sf_dir), _many_stop_words(spark, sf_dir))
+
+
 def word_count_file(spark, sf_dir):
     path = stage_path(spark, "word_count_file")
     sources.write_word_counts(counting.word_count(_documents(spark, sf_dir)), path)
@@ -341,11 +456,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             review_term_counts, term_frequency, term_frequency_all_reviews, term_dictionary,
             product_count, document_frequency, tfidf, tfidf_by_source, vector_coordinates,
             vector_dense, centroid_distances, vector_arithmetic, choose_centroids, assign,
-            update_centroids, convergence, kmeans, kmeans_history, kmeans_assignments,
-            choose_centroids_tfidf, assign_tfidf, kmeans_tfidf, review_file_scan,
-            review_line_scan, word_count_of_files, stop_word_file, tf_file, tfidf_file,
-            dictionary_file, vector_file, seed_file, centroid_file, history_files,
-            word_count_file,
+            update_centroids, convergence, lloyd_centroids, lloyd_history, lloyd_assignments,
+            seeds_from_file, choose_centroids_tfidf, seeds_from_file_tfidf, assign_tfidf,
+            assign_tfidf_k40, lloyd_tfidf, lloyd_tfidf_history, lloyd_tfidf_assignments,
+            review_file_scan, review_line_scan, review_all_fields, review_defects,
+            word_count_of_files, stop_word_file, word_count_many_stop_words,
+            review_term_counts_many_stop_words, tf_file, tfidf_file, dictionary_file,
+            vector_file, seed_file, centroid_file, centroid_folder, centroid_file_tfidf,
+            history_files, history_files_tfidf, word_count_file, files_to_clusters,
         )
     }
 
@@ -369,11 +487,6 @@ _ROLE_TERMS = _kept_sql("conversations", "role", "(conv_id, turn)")
 
 def _tf_ctes(terms: str, all_reviews: bool = False) -> str:
     """CTEs k, c, t, tf, df."""
-    denominator = (
-        "sum(c) / any_value((SELECT count(*) FROM k AS q WHERE q.product_id = c.product_id))"
-        if all_reviews
-        else "sum(c) / sum(tot)"
-    )
     if all_reviews:
         tf = (
             "p AS (SELECT product_id, count(*) AS n FROM k GROUP BY ALL), "
@@ -382,7 +495,7 @@ def _tf_ctes(terms: str, all_reviews: bool = False) -> str:
         )
     else:
         tf = (
-            f"tf AS MATERIALIZED (SELECT product_id, term, {denominator} AS tf "
+            "tf AS MATERIALIZED (SELECT product_id, term, sum(c) / sum(tot) AS tf "
             "FROM c JOIN t USING (product_id, review_id) GROUP BY product_id, term)"
         )
     return (
@@ -402,7 +515,7 @@ def _tfidf_ctes(terms: str) -> str:
 
 
 _DICTIONARY = (
-    "dictionary AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_index "
+    "dictionary AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_index "
     "FROM (SELECT DISTINCT term FROM {}))"
 )
 
@@ -440,23 +553,54 @@ def _turns(n: int) -> str:
     return ", ".join([_seed_ctes(), *steps])
 
 
-def _sparse_assign(i: int, old: str) -> str:
-    """CTE sa<i>(id, cluster_id, d): nearest of the centroids old(cluster_id, term, value)."""
+def _to_convergence() -> str:
+    """CTEs up to h(iteration, cluster_id, v, size, shift, cost, moved): all turns until no
+    centroid moves farther than 0.01, and last(cluster_id, v)."""
+    assigned = (
+        "SELECT pt.id, arg_min(q.cluster_id, (list_distance(pt.v, q.v), q.cluster_id)) AS cluster_id, "
+        "min(list_distance(pt.v, q.v)) AS d, any_value(pt.v) AS v FROM pt, h AS q GROUP BY pt.id"
+    )
+    means = (
+        "SELECT cluster_id, list(x ORDER BY dim) AS v, any_value(n) AS n, any_value(cost) AS cost FROM "
+        "(SELECT cluster_id, dim, avg(x) AS x, count(*) AS n, sum(dd) AS cost FROM "
+        f"(SELECT cluster_id, d * d AS dd, unnest(v) AS x, generate_subscripts(v, 1) AS dim FROM ({assigned})) "
+        "GROUP BY cluster_id, dim) GROUP BY cluster_id"
+    )
+    return (
+        f"{_seed_ctes()}, h AS (SELECT 0 AS iteration, cluster_id, v, 0::BIGINT AS size, 0.0::DOUBLE AS shift, "
+        "0.0::DOUBLE AS cost, 1e300::DOUBLE AS moved FROM seeds UNION ALL SELECT *, max(shift) OVER () AS moved FROM "
+        "(SELECT o.iteration + 1, o.cluster_id, coalesce(m.v, o.v), coalesce(m.n, 0), "
+        "list_distance(o.v, coalesce(m.v, o.v)) AS shift, coalesce(m.cost, 0.0) FROM h AS o "
+        f"LEFT JOIN ({means}) AS m ON m.cluster_id = o.cluster_id WHERE o.moved > 0.01)), "
+        "last AS MATERIALIZED (SELECT cluster_id, v FROM h WHERE iteration = (SELECT max(iteration) FROM h))"
+    )
+
+
+def _sparse_distances(old: str) -> str:
+    """Squared distances (id, cluster_id, d) of all points to old(cluster_id, term, value), each
+    the sum of the squared differences over the terms of either."""
     return (
-        f"sn{i} AS MATERIALIZED (SELECT cluster_id, sum(value * value) AS cc FROM {old} GROUP BY ALL), "
-        f"sd{i} AS MATERIALIZED (SELECT s.product_id AS id, q.cluster_id, sum(s.tfidf * q.value) AS dot "
-        f"FROM s JOIN {old} AS q USING (term) GROUP BY ALL), "
-        f"sa{i} AS MATERIALIZED (SELECT id, arg_min(cluster_id, (d, cluster_id)) AS cluster_id, sqrt(min(d)) AS d FROM "
-        f"(SELECT x.id, n.cluster_id, greatest(x.xx + n.cc - 2 * coalesce(o.dot, 0), 0) AS d FROM "
-        f"(SELECT product_id AS id, sum(tfidf * tfidf) AS xx FROM s GROUP BY ALL) AS x CROSS JOIN sn{i} AS n "
-        f"LEFT JOIN sd{i} AS o ON o.id = x.id AND o.cluster_id = n.cluster_id) GROUP BY id)"
+        "SELECT id, cluster_id, sum(e) AS d FROM ("
+        f"SELECT i.id, q.cluster_id, (coalesce(s.tfidf, 0) - q.value) ** 2 AS e FROM {old} AS q CROSS JOIN ids AS i "
+        "LEFT JOIN s ON s.product_id = i.id AND s.term = q.term UNION ALL "
+        f"SELECT s.product_id, n.cluster_id, s.tfidf ** 2 FROM s CROSS JOIN (SELECT DISTINCT cluster_id FROM {old}) AS n "
+        f"LEFT JOIN {old} AS q ON q.cluster_id = n.cluster_id AND q.term = s.term WHERE q.term IS NULL) GROUP BY ALL"
     )
 
 
-def _sparse_seeds(k: int = 3) -> str:
-    """CTEs p0..p<k-1>(cluster_id, id, d) and g<j>, the first j picks' coordinates."""
+def _nearest_sql(old: str) -> str:
+    return (
+        "SELECT id, arg_min(cluster_id, (d, cluster_id)) AS cluster_id, min(d) AS d FROM "
+        f"({_sparse_distances(old)}) GROUP BY id"
+    )
+
+
+def _sparse_seeds(k: int = 3, terms: str = "") -> str:
+    """CTEs s, ids, p0..p<k-1>(cluster_id, id, d), g<j>, the first j picks' coordinates, and sa<j>,
+    the points' nearest ones."""
     ctes = [
-        _tfidf_ctes(_CONVERSATION_TERMS),
+        _tfidf_ctes(terms or _CONVERSATION_TERMS),
+        "ids AS MATERIALIZED (SELECT DISTINCT product_id AS id FROM s)",
         "p0 AS MATERIALIZED (SELECT 0 AS cluster_id, min(product_id) AS id, NULL::DOUBLE AS d FROM s)",
     ]
     for i in range(1, k + 1):
@@ -464,22 +608,44 @@ def _sparse_seeds(k: int = 3) -> str:
         ctes.append(
             f"g{i} AS MATERIALIZED (SELECT p.cluster_id, s.term, s.tfidf AS value FROM s JOIN ({known}) AS p ON p.id = s.product_id)"
         )
-        ctes.append(_sparse_assign(i, f"g{i}"))
+        ctes.append(f"sa{i} AS MATERIALIZED ({_nearest_sql(f'g{i}')})")
         if i < k:
             ctes.append(
-                f"p{i} AS MATERIALIZED (SELECT {i} AS cluster_id, id, d FROM sa{i} ORDER BY d DESC, id LIMIT 1)"
+                f"p{i} AS MATERIALIZED (SELECT {i} AS cluster_id, id, sqrt(d) AS d FROM sa{i} ORDER BY sa{i}.d DESC, id LIMIT 1)"
             )
     return ", ".join(ctes)
 
 
-def _sparse_update(i: int, assigned: str) -> str:
-    """CTE sc<i>(cluster_id, term, value): the means of the clusters."""
-    return (
-        f"sc{i} AS MATERIALIZED (SELECT a.cluster_id, s.term, sum(s.tfidf) / any_value(z.n) AS value "
-        f"FROM s JOIN {assigned} AS a ON a.id = s.product_id "
-        f"JOIN (SELECT cluster_id, count(*) AS n FROM {assigned} GROUP BY ALL) AS z ON z.cluster_id = a.cluster_id "
-        "GROUP BY a.cluster_id, s.term)"
-    )
+SPARSE_TURNS = 6
+
+
+def _sparse_to_convergence(terms: str = "") -> str:
+    """CTEs t<i>(cluster_id, term, value), n<i>(cluster_id, size, shift, cost) per turn, and
+    done<i>(moved); a turn after the last one has no rows. Ends with last and la, its assignment."""
+    ctes, old = [_sparse_seeds(3, terms), "done0 AS MATERIALIZED (SELECT 1e300 AS moved)"], "g3"
+    for i in range(1, SPARSE_TURNS + 1):
+        ctes += [
+            f"w{i} AS MATERIALIZED (SELECT * FROM ({_nearest_sql(old)}) WHERE (SELECT moved FROM done{i - 1}) > 0.01)",
+            f"z{i} AS MATERIALIZED (SELECT cluster_id, count(*) AS size, sum(d) AS cost FROM w{i} GROUP BY ALL)",
+            f"t{i} AS MATERIALIZED (SELECT w.cluster_id, s.term, sum(s.tfidf) / any_value(z.size) AS value "
+            f"FROM s JOIN w{i} AS w ON w.id = s.product_id JOIN z{i} AS z ON z.cluster_id = w.cluster_id "
+            f"GROUP BY w.cluster_id, s.term UNION ALL SELECT o.* FROM {old} AS o WHERE EXISTS (FROM w{i}) "
+            f"AND NOT EXISTS (FROM z{i} AS z WHERE z.cluster_id = o.cluster_id))",
+            f"n{i} AS MATERIALIZED (SELECT cluster_id, any_value(coalesce(z.size, 0)) AS size, sqrt(sum(e)) AS shift, "
+            f"any_value(coalesce(z.cost, 0)) AS cost FROM (SELECT coalesce(o.cluster_id, t.cluster_id) AS cluster_id, "
+            f"(coalesce(o.value, 0) - coalesce(t.value, 0)) ** 2 AS e FROM {old} AS o FULL JOIN t{i} AS t "
+            f"ON t.cluster_id = o.cluster_id AND t.term = o.term WHERE EXISTS (FROM w{i})) "
+            f"LEFT JOIN z{i} AS z USING (cluster_id) GROUP BY cluster_id)",
+            f"done{i} AS MATERIALIZED (SELECT coalesce(max(shift), 0) AS moved FROM n{i})",
+        ]
+        old = f"t{i}"
+    numbers = " UNION ALL ".join(f"SELECT {i} AS iteration, * FROM t{i}" for i in range(1, SPARSE_TURNS + 1))
+    ctes += [
+        f"past AS MATERIALIZED ({numbers})",
+        "last AS MATERIALIZED (SELECT cluster_id, term, value FROM past WHERE iteration = (SELECT max(iteration) FROM past))",
+        f"la AS MATERIALIZED ({_nearest_sql('last')})",
+    ]
+    return ", ".join(ctes)
 
 
 _TRIM = r"regexp_replace({}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
@@ -510,18 +676,15 @@ def oracle_sql() -> dict[str, str]:
     tf_rows = "SELECT product_id, term, round(tf, 6) AS tf FROM tf"
     tfidf_rows = "SELECT product_id, term, round(tfidf, 6) AS tfidf FROM s"
     label = "' SYNOPSIS :' || text || ': tail'"
-    turns = "UNION ALL".join(
-        f" SELECT {i} AS iteration, m.cluster_id, n AS size, round(shift, 6) AS shift, round(cost, 6) AS cost FROM "
-        f"(SELECT cluster_id, any_value(n) AS n FROM m{i} GROUP BY ALL) AS m "
-        f"JOIN (SELECT o.cluster_id, list_distance(o.v, w.v) AS shift FROM {'seeds' if i == 1 else f's{i - 1}'} AS o "
-        f"JOIN s{i} AS w USING (cluster_id)) USING (cluster_id) "
-        f"JOIN (SELECT cluster_id, sum(distance * distance) AS cost FROM a{i} GROUP BY ALL) USING (cluster_id) "
-        for i in range(1, 6)
-    )
-    first, second = _sparse_update(1, "sa3"), _sparse_update(2, "sa4")
-    three_turns = ", ".join(
-        [_sparse_seeds(), first, _sparse_assign(4, "sc1"), second, _sparse_assign(5, "sc2"), _sparse_update(3, "sa5")]
+    sparse_history = " UNION ALL ".join(
+        f"SELECT {i} AS iteration, cluster_id, size, round(shift, 6) AS shift, round(cost, 6) AS cost FROM n{i}"
+        for i in range(1, SPARSE_TURNS + 1)
     )
+    lloyd, lloyd_sparse = f"WITH RECURSIVE {_to_convergence()}", f"WITH {_sparse_to_convergence()}"
+    stops = f"w AS MATERIALIZED ({all_counted}), q AS MATERIALIZED (SELECT term FROM w ORDER BY count DESC, term DESC LIMIT {{}})"
+    not_stopped = f"SELECT k.* FROM ({_DOCUMENT_TERMS}) AS k ANTI JOIN q ON q.term = k.term"
+    file_kept = _kept_sql("documents", "source", "doc_id", _FILE_TEXT, stop=True)
+    one_line = f"{_ONE_LINE}"
     return (_llm.oracles() if _llm else {}) | {
         "tokenize": _DOCUMENT_TERMS,
         "stop_word_filter": f"SELECT * FROM ({_DOCUMENT_TERMS}) WHERE term NOT IN ({words})",
@@ -555,28 +718,53 @@ def oracle_sql() -> dict[str, str]:
         "update_centroids": f"WITH {_turns(1)} SELECT cluster_id, n AS size, CAST(dim AS BIGINT) AS dim, round(x, 6) AS value FROM m1",
         "convergence": f"WITH {_turns(1)} SELECT round(max(d), 6) AS max_shift, max(d) <= 0.01 AS converged FROM "
         "(SELECT list_distance(seeds.v, s1.v) AS d FROM seeds JOIN s1 USING (cluster_id))",
-        "kmeans": f"WITH {_turns(5)} SELECT cluster_id, CAST(dim AS BIGINT) AS dim, round(x, 6) AS value FROM m5",
-        "kmeans_history": f"WITH {_turns(5)} {turns}",
-        "kmeans_assignments": f"WITH {_turns(6)} SELECT id, cluster_id, round(distance, 6) AS distance FROM a6",
+        "lloyd_centroids": f"{lloyd} SELECT cluster_id, dim, round(value, 6) AS value FROM ({_long_sql('last', 'cluster_id', 12)})",
+        "lloyd_history": f"{lloyd} SELECT iteration, cluster_id, size, round(shift, 6) AS shift, round(cost, 6) AS cost FROM h WHERE iteration > 0",
+        "lloyd_assignments": f"{lloyd} SELECT pt.id, arg_min(q.cluster_id, (list_distance(pt.v, q.v), q.cluster_id)) AS cluster_id, "
+        "round(min(list_distance(pt.v, q.v)), 6) AS distance FROM pt, last AS q GROUP BY pt.id",
+        "seeds_from_file": f"WITH {_seed_ctes(4)} SELECT cluster_id, CASE WHEN cluster_id > 1 THEN id END AS id, "
+        "CASE WHEN cluster_id > 1 THEN round(d, 6) END AS min_distance FROM seeds",
         "choose_centroids_tfidf": f"WITH {_sparse_seeds()} SELECT cluster_id, id, round(d, 6) AS min_distance FROM "
         "(SELECT * FROM p0 UNION ALL SELECT * FROM p1 UNION ALL SELECT * FROM p2)",
-        "assign_tfidf": f"WITH {_sparse_seeds()} SELECT id, cluster_id, round(d, 6) AS distance FROM sa3",
-        "kmeans_tfidf": f"WITH {three_turns} SELECT cluster_id, term, round(value, 6) AS value FROM sc3",
+        "seeds_from_file_tfidf": f"WITH {_sparse_seeds(4)} SELECT cluster_id, CASE WHEN cluster_id > 1 THEN id END AS id, "
+        "CASE WHEN cluster_id > 1 THEN round(d, 6) END AS min_distance FROM "
+        "(SELECT * FROM p0 UNION ALL SELECT * FROM p1 UNION ALL SELECT * FROM p2 UNION ALL SELECT * FROM p3)",
+        "assign_tfidf": f"WITH {_sparse_seeds()} SELECT id, cluster_id, round(sqrt(d), 6) AS distance FROM sa3",
+        "assign_tfidf_k40": f"WITH {_tfidf_ctes(_CONVERSATION_TERMS)}, ids AS MATERIALIZED (SELECT DISTINCT product_id AS id FROM s), "
+        "sizes AS (SELECT CAST(id % 40 AS INTEGER) AS cluster_id, count(*) AS size FROM ids GROUP BY ALL), "
+        "g AS MATERIALIZED (SELECT z.cluster_id, s.term, sum(s.tfidf) / any_value(z.size) AS value FROM s "
+        "JOIN sizes AS z ON z.cluster_id = s.product_id % 40 GROUP BY z.cluster_id, s.term) "
+        f"SELECT id, cluster_id, round(sqrt(d), 6) AS distance FROM ({_nearest_sql('g')})",
+        "lloyd_tfidf": f"{lloyd_sparse} SELECT cluster_id, term, round(value, 6) AS value FROM last",
+        "lloyd_tfidf_history": f"{lloyd_sparse} {sparse_history}",
+        "lloyd_tfidf_assignments": f"{lloyd_sparse} SELECT id, cluster_id, round(sqrt(d), 6) AS distance FROM la",
         "review_file_scan": f"SELECT source AS product_id, 'u' || doc_id AS user_id, 4.0::DOUBLE AS score, {_FILE_TEXT} AS text FROM documents",
         "review_line_scan": f"SELECT source AS product_id, {_FILE_TEXT} AS text FROM documents",
+        "review_all_fields": "SELECT source AS product_id, 'u' || doc_id AS user_id, 'name: ' || doc_id AS profile_name, "
+        "doc_id || '/9' AS helpfulness, 3.5::DOUBLE AS score, doc_id AS time, 'about ' || doc_id AS summary, "
+        f"{_TRIM.format(one_line)} AS text FROM documents",
+        "review_defects": "SELECT count(*) AS texts, count(*) FILTER (doc_id % 5 = 0) AS orphans, "
+        "(SELECT count(*) FROM documents WHERE doc_id % 7 = 0) AS malformed, "
+        "CAST(sum(len(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: length(x) > 2))) "
+        "FILTER (doc_id % 5 <> 0) AS BIGINT) AS kept_terms FROM "
+        f"(SELECT doc_id, {_FILE_TEXT} AS text FROM documents WHERE doc_id % 7 <> 0 UNION ALL SELECT doc_id, {_FILE_TEXT} FROM documents)",
         "word_count_of_files": "SELECT term, count(*) AS count FROM "
         f"({_kept_sql('documents', 'source', 'doc_id', _FILE_TEXT)}) GROUP BY term",
-        "stop_word_file": f"WITH w AS ({all_counted}) SELECT term, count FROM w WHERE term NOT IN "
-        "(SELECT term FROM w ORDER BY count DESC, term DESC LIMIT 1000)",
+        "stop_word_file": f"WITH {stops.format(1000)} SELECT term, count FROM w ANTI JOIN q USING (term)",
+        "word_count_many_stop_words": f"WITH {stops.format(20000)} SELECT term, count FROM w ANTI JOIN q USING (term)",
+        "review_term_counts_many_stop_words": f"WITH {stops.format(20000)}, {_tf_ctes(not_stopped)} "
+        "SELECT product_id, review_id, term, c AS term_count, CAST(tot AS BIGINT) AS total_count FROM c JOIN t USING (product_id, review_id)",
         "tf_file": f"WITH {tf} {tf_rows}",
         "tfidf_file": f"WITH {_tfidf_ctes(_CONVERSATION_TERMS)} {tfidf_rows}",
         "dictionary_file": f"WITH {_DICTIONARY.format(f'({_CONVERSATION_TERMS})')} SELECT * FROM dictionary",
         "vector_file": "WITH p AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings) " + _long_sql("p", "id"),
         "seed_file": f"WITH {_seed_ctes()} " + _long_sql("seeds", "cluster_id"),
         "centroid_file": f"WITH {_turns(1)} " + _long_sql("s1", "cluster_id", 5),
-        "history_files": f"WITH {_turns(5)} " + " UNION ALL ".join(
-            f"SELECT {i} AS iteration, cluster_id, n AS size, CAST(dim AS BIGINT) AS dim, round(x, 6) AS value FROM m{i}"
-            for i in range(1, 6)
-        ),
+        "centroid_folder": "WITH p AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cluster_id, embedding::DOUBLE[] AS v FROM embeddings) "
+        "SELECT CAST(cluster_id AS INTEGER) AS cluster_id, dim, value FROM (" + _long_sql("p", "cluster_id", 5) + ")",
+        "centroid_file_tfidf": f"{lloyd_sparse} SELECT cluster_id, term, round(value, 5) AS value FROM last",
+        "history_files": f"{lloyd} " + _long_sql("(SELECT * FROM h WHERE iteration > 0)", "iteration, cluster_id, size"),
+        "history_files_tfidf": f"{lloyd_sparse} SELECT iteration, cluster_id, term, round(value, 6) AS value FROM past",
+        "files_to_clusters": f"WITH {_sparse_to_convergence(file_kept)} SELECT id, cluster_id, round(sqrt(d), 6) AS distance FROM la",
         "word_count_file": all_counted,
     }

@@ -10,7 +10,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plotweave.operators.dense import assign, choose_centroids, kmeans, update_centroids
+from plotweave.operators.dense import assign, choose_centroids, lloyd, update_centroids
 from plotweave.operators.terms import as_reviews, review_term_counts
 from plotweave.operators.tfidf import term_dictionary, term_frequency, tfidf
 from plotweave.plans.flows import cluster_products, corpus_top_words
@@ -43,11 +43,10 @@ def headline(spark: SparkSession) -> dict:
     seeds = stage(choose_centroids(points(), 10), "bench_seeds")
 
     def one_step():
-        assigned = assign(points(), seeds)
-        finish(update_centroids(assigned.join(points(), "id"), seeds))
+        finish(update_centroids(assign(points(), seeds, with_vectors=True), seeds))
 
     def to_convergence():
-        finish(kmeans(points(), seeds).assignments)
+        finish(lloyd(points(), seeds).assignments)
 
     return {
         "word_count_top_1000": lambda: finish(corpus_top_words(documents())),
@@ -57,9 +56,9 @@ def headline(spark: SparkSession) -> dict:
         "tfidf_conversations": lambda: finish(scores(conversations())),
         "choose_centroids_k10": lambda: choose_centroids(points(), 10),
         "assign_update_step_k10": one_step,
-        "kmeans_k10": to_convergence,
+        "lloyd_k10": to_convergence,
         "cluster_conversations_k3": lambda: finish(
-            cluster_products(stage(scores(conversations()), "tfidf"), 3, max_iter=3).assignments
+            cluster_products(stage(scores(conversations()), "tfidf"), 3).assignments
         ),
     }
 

@@ -33,12 +33,20 @@ def blocks(x: np.ndarray, columns: int) -> Iterator[np.ndarray]:
         yield x[start : start + rows]
 
 
-def nearest_rows(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def nearest_rows(x: np.ndarray, c: np.ndarray, step: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Index of and distance to the nearest row of ``c``; the first of equals.
 
+    ``c`` is worked through ``step`` rows at a time.
+
     Candidates come from one matrix product. Where rounding of that form could hide the
     true order, the rows are decided by differences; reported distances always are.
     """
+    if step is not None and step < len(c):
+        best, least = nearest_rows(x, c[:step])
+        for start in range(step, len(c), step):
+            found, d = nearest_rows(x, c[start : start + step])
+            best, least = np.where(d < least, found + start, best), np.minimum(d, least)
+        return best, least
     parts = [_nearest_in_block(block, c) for block in blocks(x, len(c))]
     if not parts:
         return np.zeros(0, "int64"), np.zeros(0)

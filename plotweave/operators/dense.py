@@ -1,4 +1,4 @@
-"""Dense vectors: vectorising, nearest centroids, seeding and k-means.
+"""Dense vectors: vectorising, nearest centroids, seeding and Lloyd's iterations.
 
 Points are ``id, v`` with ``v`` an array of float or double; centroids are
 ``cluster_id, v``. Centroids are few: they go to the tasks as one matrix, and the points
@@ -14,22 +14,21 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plotweave.functions.vectors import distance
 from plotweave.operators.batches import batch_matrix, blocks, nearest_rows
 from plotweave.plans.lookup import BROADCAST_BYTES, join_lookup
+from plotweave.session import drop_stage, stage
 
 # When a centroid counts as unmoved, and how many the seeding picks.
 TOLERANCE = 0.01
 CLUSTERS = 3
-MAX_ITERATIONS = 100
 
-# The centroid matrix is held by the driver and by every task.
+# Centroids go to the tasks in blocks of about so many values.
 CENTROID_VALUES = BROADCAST_BYTES // 8
-# Up to this many partial sums are added up by the driver.
-DRIVER_VALUES = 1_000_000
+# A seeding stores the points' distances after so many picks, and starts from there.
+PICKS_PER_STORE = 16
 
 
 # -- vectors ---------------------------------------------------------------------------
@@ -91,19 +90,19 @@ class _Centroids:
 
 
 def _collect_centroids(centroids: DataFrame) -> _Centroids:
-    """The centroids in cluster order, after a check of their size."""
-    values = centroids.agg(F.sum(F.size("v")).alias("n")).first().n or 0
-    if values > CENTROID_VALUES:
-        raise ValueError(
-            f"{values} centroid values exceed {CENTROID_VALUES}; use plotweave.operators.sparse,"
-            " which keeps centroids distributed"
-        )
-    rows = centroids.select("cluster_id", "v").orderBy("cluster_id").collect()
-    if not rows:
+    """The centroids in cluster order. They are few by nature; ``sparse`` keeps them in Spark."""
+    rows = centroids.select("cluster_id", F.col("v").cast("array<double>").alias("v")).orderBy("cluster_id").toArrow()
+    if not rows.num_rows:
         raise ValueError("no centroids")
-    return _Centroids(
-        np.array([r.cluster_id for r in rows]), np.array([r.v for r in rows], dtype="float64")
-    )
+    v = rows["v"].combine_chunks()
+    matrix = v.flatten().to_numpy().reshape(rows.num_rows, -1)
+    return _Centroids(rows["cluster_id"].to_numpy(), matrix)
+
+
+def _vectors(matrix: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    offsets = np.arange(0, matrix.size + 1, matrix.shape[1] or 1, dtype="int32")
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
 
 
 def _local_table(spark: SparkSession, columns: dict, types: dict) -> DataFrame:
@@ -114,7 +113,7 @@ def _local_table(spark: SparkSession, columns: dict, types: dict) -> DataFrame:
 def _centroid_table(spark: SparkSession, ids, matrix) -> DataFrame:
     return _local_table(
         spark,
-        {"cluster_id": pa.array(ids, pa.int32()), "v": [row.tolist() for row in matrix]},
+        {"cluster_id": pa.array(ids, pa.int32()), "v": _vectors(matrix)},
         {"cluster_id": pa.int32(), "v": pa.list_(pa.float64())},
     )
 
@@ -122,24 +121,31 @@ def _centroid_table(spark: SparkSession, ids, matrix) -> DataFrame:
 # -- operators -------------------------------------------------------------------------
 
 
-def assign(points: DataFrame, centroids: DataFrame) -> DataFrame:
-    """``id, cluster_id, distance``: the nearest centroid, the lowest id among equals."""
-    known = _collect_centroids(centroids)
-    ids, matrix = known.ids, known.matrix
+def assign(points: DataFrame, centroids: DataFrame, with_vectors: bool = False) -> DataFrame:
+    """``id, cluster_id, distance``: the nearest centroid, the lowest id among equals.
 
-    @F.arrow_udf("struct<cluster_id: int, distance: double>")
-    def nearest(v: pa.Array) -> pa.Array:
-        best, d = nearest_rows(batch_matrix(v, matrix.shape[1]), matrix)
-        valid = v.is_valid().to_numpy(zero_copy_only=False)
-        cluster, distance = np.zeros(len(v), "int32"), np.zeros(len(v))
-        cluster[valid], distance[valid] = ids[best], d
-        return pa.StructArray.from_arrays(
-            [pa.array(cluster, mask=~valid), pa.array(distance, mask=~valid)],
-            names=["cluster_id", "distance"],
-        )
+    ``with_vectors`` passes ``v`` on, so that ``update_centroids`` needs no second look at the
+    points. A point without a vector has no cluster.
+    """
+    known = _collect_centroids(centroids)
+    step = max(1, CENTROID_VALUES // max(known.matrix.shape[1], 1))
 
-    found = points.select("id", nearest("v").alias("found"))
-    return found.select("id", "found.cluster_id", "found.distance")
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = batch.column("v")
+            valid = v.is_valid().to_numpy(zero_copy_only=False)
+            best, d = nearest_rows(batch_matrix(v, known.matrix.shape[1]), known.matrix, step)
+            cluster, distance = np.zeros(len(v), "int32"), np.zeros(len(v))
+            cluster[valid], distance[valid] = known.ids[best], d
+            columns = [batch.column("id"), pa.array(cluster, mask=~valid), pa.array(distance, mask=~valid)]
+            names = ["id", "cluster_id", "distance"]
+            if with_vectors:
+                columns, names = columns + [v], names + ["v"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    kind = {c: points.schema[c].dataType.simpleString() for c in ("id", "v")}
+    schema = f"id {kind['id']}, cluster_id int, distance double" + (f", v {kind['v']}" if with_vectors else "")
+    return points.select("id", "v").mapInArrow(nearest, schema)
 
 
 def centroid_distances(points: DataFrame, centroids: DataFrame) -> DataFrame:
@@ -151,9 +157,11 @@ def centroid_distances(points: DataFrame, centroids: DataFrame) -> DataFrame:
     def distances(v: pa.Array) -> pa.Array:
         x = batch_matrix(v, matrix.shape[1])
         d = np.stack([np.sqrt(((x - center) ** 2).sum(1)) for center in matrix], axis=1)
-        rows = iter(d.tolist())
-        found = [next(rows) if ok else None for ok in v.is_valid().to_pylist()]
-        return pa.array(found, pa.list_(pa.float64()))
+        valid = v.is_valid().to_numpy(zero_copy_only=False)
+        # Null where the vector is; all others have as many distances as there are centroids.
+        offsets = np.concatenate([[0], np.cumsum(np.where(valid, len(matrix), 0))]).astype("int32")
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(d.ravel()))
+        return pc.if_else(pa.array(valid), lists, pa.scalar(None, lists.type))
 
     each = points.select("id", F.posexplode(distances("v")).alias("place", "distance"))
     cluster = F.get(F.lit([int(i) for i in ids]), F.col("place"))
@@ -198,65 +206,94 @@ def converged(shifts: DataFrame, tol: float = TOLERANCE) -> DataFrame:
     return shifts.agg(largest.alias("max_shift"), (largest <= tol).alias("converged"))
 
 
-def choose_centroids(
-    points: DataFrame, k: int = CLUSTERS, seeds: DataFrame | None = None, cache: bool = True
-) -> DataFrame:
+def choose_centroids(points: DataFrame, k: int = CLUSTERS, seeds: DataFrame | None = None) -> DataFrame:
     """``cluster_id, id, v, min_distance``: farthest-first centroids.
 
-    Starts from ``seeds`` (``id, v``; the point with the smallest id by default) and adds
-    the point whose nearest centroid is farthest, the smallest id among equals, until there
-    are ``k`` or every point equals a centroid. Each pick is one pass over the points, from
-    which every task returns one row.
+    Starts from ``seeds`` (``id, v``, or centroids ``cluster_id, v`` as a file has them, whose
+    ids are then null; the point with the smallest id by default) and adds the point whose
+    nearest centroid is farthest, the smallest id among equals, until there are ``k`` or every
+    point equals a centroid. All seeds are kept, even if there are more than ``k``.
+
+    Each pick is one pass over the points, from which every task returns one row. Now and then
+    the points' distances to what is chosen so far are stored with them, and only newer
+    centroids are compared, so the work grows with ``k``, not its square.
     """
     spark = points.sparkSession
-    cache = cache and not points.is_cached
-    points = points.select("id", "v")
-    if cache:
-        points.persist(StorageLevel.MEMORY_AND_DISK)
+    id_type = points.schema["id"].dataType.simpleString()
+    table = points.select("id", "v", F.lit(None).cast("double").alias("least"))
     if seeds is None:
         seeds = points.orderBy("id").limit(1)
-    chosen = [(r.id, list(r.v), None) for r in seeds.select("id", "v").orderBy("id").limit(k).collect()]
+    if "id" not in seeds.columns:
+        rows = seeds.select(F.lit(None).cast(id_type).alias("id"), "v", "cluster_id").orderBy("cluster_id").collect()
+    else:
+        rows = seeds.select("id", "v").orderBy("id").collect()
+    chosen = [(r.id, list(r.v), None) for r in rows]
     if not chosen:
         raise ValueError("no seed: there are no points")
-    schema = points.select("id", F.col("v").cast("array<double>").alias("v"), F.lit(0.0).alias("d")).schema
-    arrow_names = ["id", "v", "d"]
+    stored, newest = None, [v for _, v, _ in chosen]
+
     while len(chosen) < k:
-        matrix = np.array([v for _, v, _ in chosen], dtype="float64")
-
-        def farthest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best_id, best_v, best_d = None, None, 0.0
-            for batch in batches:
-                batch = batch.filter(batch.column("v").is_valid())
-                if not batch.num_rows:
-                    continue
-                d = nearest_rows(batch_matrix(batch.column("v"), matrix.shape[1]), matrix)[1]
-                d = np.where(np.isnan(d), 0.0, d)
-                top = batch.filter(pa.array(d == d.max()))
-                first = pc.sort_indices(top.column("id"))[0].as_py()
-                found = top.column("id")[first].as_py()
-                if d.max() > best_d or (d.max() == best_d > 0 and found < best_id):
-                    best_id, best_v, best_d = found, top.column("v")[first].as_py(), float(d.max())
-            if best_d > 0:
-                yield pa.RecordBatch.from_pydict(
-                    {"id": pa.array([best_id], batch.schema.field("id").type),
-                     "v": pa.array([best_v], pa.list_(pa.float64())), "d": [best_d]}
-                )
-
-        pick = points.mapInArrow(farthest, schema).orderBy(F.desc("d"), "id").first()
+        matrix = np.array(newest, dtype="float64")
+        pick = _farthest(table, matrix).orderBy(F.desc("d"), "id").first()
         if pick is None:
             break
         chosen.append((pick.id, list(pick.v), pick.d))
-    if cache:
-        points.unpersist()
-    id_type = points.schema["id"].dataType.simpleString()
+        newest.append(list(pick.v))
+        if len(newest) >= PICKS_PER_STORE and len(chosen) < k:
+            before, stored = stored, stage(_with_least(table, np.array(newest, dtype="float64")), "least_distances")
+            drop_stage(before)
+            table, newest = stored, [newest[-1]]
+    drop_stage(stored)
     return spark.createDataFrame(
         [(i, *row) for i, row in enumerate(chosen)],
         f"cluster_id int, id {id_type}, v array<double>, min_distance double",
     )
 
 
+def _least_distances(batch: pa.RecordBatch, matrix: np.ndarray) -> np.ndarray:
+    """Per row with a vector the distance to the nearest of ``matrix`` and of those before."""
+    d = nearest_rows(batch_matrix(batch.column("v"), matrix.shape[1]), matrix)[1]
+    before = batch.column("least").fill_null(np.inf).to_numpy(zero_copy_only=False)
+    return np.minimum(np.where(np.isnan(d), 0.0, d), before)
+
+
+def _with_least(table: DataFrame, matrix: np.ndarray) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(batch.column("v").is_valid())
+            if batch.num_rows:
+                least = pa.array(_least_distances(batch, matrix))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), least], names=["id", "v", "least"])
+
+    return table.mapInArrow(run, table.schema)
+
+
+def _farthest(table: DataFrame, matrix: np.ndarray) -> DataFrame:
+    """One row ``id, v, d`` per task: its point that is farthest from all centroids."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best_id, best_v, best_d = None, None, 0.0
+        for batch in batches:
+            batch = batch.filter(batch.column("v").is_valid())
+            if not batch.num_rows:
+                continue
+            d = _least_distances(batch, matrix)
+            top = batch.filter(pa.array(d == d.max()))
+            first = pc.sort_indices(top.column("id"))[0].as_py()
+            found = top.column("id")[first].as_py()
+            if d.max() > best_d or (d.max() == best_d > 0 and found < best_id):
+                best_id, best_v, best_d = found, top.column("v")[first].as_py(), float(d.max())
+        if best_d > 0:
+            yield pa.RecordBatch.from_pydict(
+                {"id": pa.array([best_id], batch.schema.field("id").type),
+                 "v": pa.array([best_v], pa.list_(pa.float64())), "d": [best_d]}
+            )
+
+    schema = table.select("id", F.col("v").cast("array<double>").alias("v"), F.lit(0.0).alias("d")).schema
+    return table.mapInArrow(run, schema)
+
+
 @dataclass(frozen=True)
-class KMeansResult:
+class LloydResult:
     """``centroids``: cluster_id, v. ``assignments``: id, cluster_id, distance.
     ``history``: iteration, cluster_id, v, size, shift, cost."""
 
@@ -269,20 +306,18 @@ class KMeansResult:
 
 @dataclass
 class _Step:
-    """What one pass over the points yields per cluster, and how many rows that took."""
+    """What one pass over the points yields per cluster."""
 
     sums: np.ndarray
     sizes: np.ndarray
     costs: np.ndarray
-    rows: int
 
 
-def _step(points: DataFrame, known: _Centroids, few_rows: bool) -> _Step:
+def _step(points: DataFrame, known: _Centroids) -> _Step:
     """Sums, sizes and costs per cluster from one pass over the points.
 
     Every task adds up its points per cluster, so it passes on one row per cluster and
-    nothing of the points. These rows are summed up by a shuffle, or by the driver when an
-    earlier pass has shown that there are but a few.
+    nothing of the points; these rows are summed up by a shuffle.
     """
     matrix = known.matrix
     k, dims = matrix.shape
@@ -304,7 +339,7 @@ def _step(points: DataFrame, known: _Centroids, few_rows: bool) -> _Step:
                     "cluster": pa.array(used, pa.int32()),
                     "size": sizes[used],
                     "cost": costs[used],
-                    "total": pa.array(sums[used].tolist(), pa.list_(pa.float64())),
+                    "total": _vectors(sums[used]),
                 }
             )
 
@@ -312,14 +347,6 @@ def _step(points: DataFrame, known: _Centroids, few_rows: bool) -> _Step:
         partial, "cluster int, size long, cost double, total array<double>"
     )
     sums, sizes, costs = np.zeros((k, dims)), np.zeros(k, "int64"), np.zeros(k)
-    if few_rows:
-        found = parts.toArrow()
-        cluster = found["cluster"].to_numpy()
-        total = found["total"].combine_chunks().flatten().to_numpy().reshape(-1, dims)
-        np.add.at(sums, cluster, total)
-        np.add.at(sizes, cluster, found["size"].to_numpy())
-        np.add.at(costs, cluster, found["cost"].to_numpy())
-        return _Step(sums, sizes, costs, found.num_rows)
     merged = (
         parts.select("cluster", "size", "cost", F.posexplode("total").alias("dim", "x"))
         .groupBy("cluster", "dim")
@@ -327,7 +354,6 @@ def _step(points: DataFrame, known: _Centroids, few_rows: bool) -> _Step:
             F.sum("x").alias("x"),
             F.sum("size").alias("size"),
             F.sum("cost").alias("cost"),
-            F.count("*").alias("rows"),
         )
         .toArrow()
     )
@@ -335,65 +361,56 @@ def _step(points: DataFrame, known: _Centroids, few_rows: bool) -> _Step:
     sums[cluster, dim] = merged["x"].to_numpy()
     sizes[cluster] = merged["size"].to_numpy()
     costs[cluster] = merged["cost"].to_numpy()
-    return _Step(sums, sizes, costs, pc.sum(merged["rows"]).as_py() or 0)
+    return _Step(sums, sizes, costs)
 
 
-def kmeans(
+def lloyd(
     points: DataFrame,
     centroids: DataFrame,
     tol: float = TOLERANCE,
-    max_iter: int = MAX_ITERATIONS,
+    max_iter: int | None = None,
     round_digits: int | None = None,
-    cache: bool = True,
-) -> KMeansResult:
+) -> LloydResult:
     """Lloyd's iterations from given centroids until none moves farther than ``tol``.
 
-    One job and one pass over the points per iteration. A cluster without points keeps its
-    centroid. ``round_digits`` rounds the returned centroids, not the ones iterated on.
-    ``cache`` keeps the points in memory or on local disk between iterations; turn it off
-    for a stored table that is larger than the cluster's memory.
+    One job and one pass over the points per iteration; persist them beforehand if they fit
+    the cluster's memory. With ``max_iter`` it may end before it converges, which
+    ``converged`` tells. A cluster without points keeps its centroid. ``round_digits`` rounds
+    the returned centroids, not the ones iterated on. The centroids of every turn are stored.
     """
     spark = points.sparkSession
     known = _collect_centroids(centroids)
-    cache = cache and not points.is_cached
-    source, points = points, points.select("id", "v")
-    if cache:
-        points.persist(StorageLevel.MEMORY_AND_DISK)
-    history, done, iteration, few_rows = [], False, 0, False
-    while iteration < max_iter and not done:
+    k = len(known.ids)
+    table = points.select("id", "v")
+    past, done, iteration = None, False, 0
+    while not done and (max_iter is None or iteration < max_iter):
         iteration += 1
-        step = _step(points, known, few_rows)
-        # The shuffled pass counts a row once per dimension, so this bounds their values.
-        few_rows = few_rows or step.rows <= DRIVER_VALUES
+        step = _step(table, known)
         used = step.sizes > 0
         means = known.matrix.copy()
         means[used] = step.sums[used] / step.sizes[used, None]
         shifts = np.sqrt(((means - known.matrix) ** 2).sum(1))
-        history.append((iteration, means, step.sizes, shifts, step.costs))
+        turn = stage(_history(spark, iteration, known.ids, means, step, shifts), "turn")
+        past = turn if past is None else past.unionByName(turn)
         known = _Centroids(known.ids, means)
         done = bool((shifts <= tol).all())
-    if cache:
-        points.unpersist()
     final = known.matrix if round_digits is None else known.matrix.round(round_digits)
     result = _centroid_table(spark, known.ids, final)
-    k = len(known.ids)
-    past = _local_table(
+    if past is None:
+        none = _Step(final, np.zeros(k, "int64"), np.zeros(k))
+        past = _history(spark, 0, known.ids, final, none, np.zeros(k)).where("false")
+    return LloydResult(result, assign(table, result), past, iteration, done)
+
+
+def _history(spark: SparkSession, iteration: int, ids, means, step: _Step, shifts) -> DataFrame:
+    return _local_table(
         spark,
         {
-            "iteration": pa.array([h[0] for h in history for _ in range(k)], pa.int32()),
-            "cluster_id": pa.array([i for _ in history for i in known.ids], pa.int32()),
-            "v": [row.tolist() for h in history for row in h[1]],
-            "size": pa.array([n for h in history for n in h[2]], pa.int64()),
-            "shift": pa.array([s for h in history for s in h[3]], pa.float64()),
-            "cost": pa.array([c for h in history for c in h[4]], pa.float64()),
+            "iteration": pa.array([iteration] * len(ids), pa.int32()), "cluster_id": pa.array(ids, pa.int32()),
+            "v": _vectors(means), "size": pa.array(step.sizes), "shift": pa.array(shifts), "cost": pa.array(step.costs),
         },
         {
-            "iteration": pa.int32(),
-            "cluster_id": pa.int32(),
-            "v": pa.list_(pa.float64()),
-            "size": pa.int64(),
-            "shift": pa.float64(),
-            "cost": pa.float64(),
+            "iteration": pa.int32(), "cluster_id": pa.int32(), "v": pa.list_(pa.float64()), "size": pa.int64(),
+            "shift": pa.float64(), "cost": pa.float64(),
         },
     )
-    return KMeansResult(result, assign(source.select("id", "v"), result), past, iteration, done)

@@ -1,35 +1,32 @@
-"""Seeding and k-means on coordinates: one row per point and non-zero term.
+"""Seeding and Lloyd's iterations on coordinates: one row per point and non-zero term.
 
 Vectors over a dictionary of millions of terms are stored as ``id, term, value`` and never
-made dense; centroids are ``cluster_id, term, value``. Distances use
-d² = |x|² + |c|² - 2 x·c, for which only terms that point and centroid share are multiplied.
+made dense; centroids are ``cluster_id, term, value``. Everything stays in Spark: the driver
+sees one row per cluster.
 
-Everything stays in Spark: the driver sees one row per cluster (its size, norm and shift).
-The coordinates are laid out once by point and a salt of the term, so that even a point
-with a third of all coordinates is spread over several tasks. A turn then shuffles sums per
-point and sums per cluster and term, but not the coordinates.
+A squared distance is summed from differences over the point's terms, plus the squares of the
+centroid's other terms. These are counted in whole units of ``|c|² / UNITS``, so what is left
+after the shared ones are taken off is exact, and 0 where the point has all terms.
+
+Centroids come in blocks of ``BLOCK`` clusters, a column each. A coordinate meets a block once,
+sums are added up per point within its layout, and only the nearest centroid of a block leaves
+it: shuffles have a row per point, never one per point and cluster.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from contextlib import contextmanager
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from plotweave.operators import sparse_many as many
-from plotweave.operators.dense import CLUSTERS, MAX_ITERATIONS, TOLERANCE
+from plotweave.operators.dense import CLUSTERS, TOLERANCE
 from plotweave.plans.lookup import BROADCAST_BYTES, join_lookup, row_bytes
-from plotweave.session import stage, stage_measured
+from plotweave.session import drop_stage, stage, stage_measured
 
-SALTS = 8
-# Up to this many clusters a centroid table has a column per cluster.
-WIDE_CLUSTERS = 24
-# Below this share of |x|² + |c|² a squared distance may be nothing but rounding.
-ROUNDING = 1e-9
+BLOCK = 16
+# Blocks whose nearest centroids are found by one job.
+BLOCKS_AT_ONCE = 4
+UNITS = float(1 << 60)
 
 
 def coordinates_of(points: DataFrame) -> DataFrame:
@@ -47,236 +44,111 @@ def as_coordinates(scores: DataFrame, score: str = "tfidf") -> DataFrame:
     return scores.select(F.col("product_id").alias("id"), "term", F.col(score).alias("value"))
 
 
-def _salted(coordinates: DataFrame) -> DataFrame:
-    if "salt" in coordinates.columns:
-        return coordinates
-    salt = F.pmod(F.xxhash64("term"), F.lit(SALTS)).cast("int")
-    return coordinates.select("id", "term", "value", salt.alias("salt"))
-
-
-def lay_out(coordinates: DataFrame) -> DataFrame:
-    """The coordinates partitioned by point and salt.
-
-    Persist the result to share it between seeding and k-means.
-    """
-    spark = coordinates.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return _salted(coordinates).repartition(partitions, "id", "salt")
+def centroids_of(vectors: DataFrame) -> DataFrame:
+    """Dense centroids ``cluster_id, v`` as coordinates; zeros are left out."""
+    entries = vectors.select("cluster_id", F.posexplode("v").alias("term", "value"))
+    return entries.where("value <> 0").withColumn("value", F.col("value").cast("double"))
 
 
-@contextmanager
-def _persisted(coordinates: DataFrame) -> Iterator[DataFrame]:
-    """The coordinates laid out and persisted, by the caller or for as long as needed here."""
-    if "salt" in coordinates.columns and coordinates.is_cached:
-        yield coordinates
-        return
-    table = lay_out(coordinates).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield table
-    finally:
-        table.unpersist()
+def stored_coordinates(coordinates: DataFrame) -> DataFrame:
+    """The coordinates stored once, for the many passes over them."""
+    return stage(coordinates.select("id", "term", "value"), "coordinates")
 
 
 @dataclass(frozen=True)
-class _Wide:
-    """All centroids as one stored table: ``term`` and one column ``c<place>`` per cluster.
-
-    The rest was measured while it was written: per cluster the squared norm and the number
-    of terms, and the size of the table.
-    """
+class _Block:
+    """Up to ``BLOCK`` centroids: ``term``, and ``c<j>`` with ``q<j>``, its units, per cluster."""
 
     table: DataFrame
     ids: list[int]
-    norms: list[float]
-    terms: list[int]
+    units: list[float]
+    totals: list[int]
     bytes: float
 
 
-def _store(wide: DataFrame, ids: list[int], extra: list[Column] = ()) -> tuple[_Wide, dict]:
-    """Store ``term, c0, c1, …`` and the sums over it that the next turn needs."""
-    places = range(len(ids))
-    c = [F.col(f"c{j}") for j in places]
+def _block(centroids: DataFrame, ids: list[int]) -> _Block:
+    """The clusters ``ids`` side by side, stored, with what a distance needs of them."""
+    of_ids = centroids.where(F.col("cluster_id").isin(ids))
+    norms = {r.cluster_id: r.s for r in of_ids.groupBy("cluster_id").agg(F.sum(F.col("value") * F.col("value")).alias("s")).collect()}
+    units = [(norms.get(i) or 0.0) / UNITS for i in ids]
+    columns = []
+    for j, i in enumerate(ids):
+        value = F.sum(F.when(F.col("cluster_id") == i, F.col("value")))
+        columns.append(value.alias(f"c{j}"))
+    wide = of_ids.groupBy("term").agg(*columns)
+    for j, unit in enumerate(units):
+        c = F.col(f"c{j}")
+        wide = wide.withColumn(f"q{j}", F.round(c * c / unit).cast("long") if unit else F.lit(0).cast("long"))
     table, found = stage_measured(
-        wide,
-        "centroids",
-        F.sum(row_bytes("term", 8 * len(ids))).alias("bytes"),
-        *[F.sum(c[j] * c[j]).alias(f"norm{j}") for j in places],
-        *[F.count_if(c[j] != 0).alias(f"terms{j}") for j in places],
-        *extra,
+        wide, "centroid_block", F.sum(row_bytes("term", 16 * len(ids))).alias("bytes"),
+        *[F.sum(f"q{j}").alias(f"q{j}") for j in range(len(ids))],
     )
-    norms = [found[f"norm{j}"] or 0.0 for j in places]
-    terms = [found[f"terms{j}"] for j in places]
-    return _Wide(table, ids, norms, terms, found["bytes"] or 0.0), found
+    return _Block(table, ids, units, [found[f"q{j}"] or 0 for j in range(len(ids))], found["bytes"] or 0.0)
 
 
-def _widen(centroids: DataFrame) -> _Wide | many.ManyCentroids:
-    """Centroids ``cluster_id, term, value`` as a wide table, or as entries if there are many."""
-    ids = sorted(r.cluster_id for r in centroids.select("cluster_id").distinct().collect())
-    if len(ids) > WIDE_CLUSTERS:
-        return many.from_centroids(centroids, ids)
-    columns = [
-        F.sum(F.when(F.col("cluster_id") == i, F.col("value"))).alias(f"c{j}")
-        for j, i in enumerate(ids)
-    ]
-    return _store(centroids.groupBy("term").agg(*columns), ids)[0]
-
-
-def _narrow(wide: _Wide | many.ManyCentroids) -> DataFrame:
-    """Back to centroids ``cluster_id, term, value``."""
-    if isinstance(wide, many.ManyCentroids):
-        return many.to_centroids(wide)
-    each = F.array(
-        *[
-            F.struct(F.lit(i).alias("cluster_id"), F.col(f"c{j}").alias("value"))
-            for j, i in enumerate(wide.ids)
-        ]
-    )
-    rows = wide.table.select("term", F.explode(each).alias("c"))
-    return rows.select("c.cluster_id", "term", "c.value").where(F.col("value").isNotNull())
-
-
-def _assigned(
-    coordinates: DataFrame,
-    wide: _Wide | many.ManyCentroids,
-    exact: bool = False,
-    budget: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """``id, cluster_id, distance, norm``: the lowest cluster among equally near ones.
-
-    ``exact`` sums squared differences instead of products, which takes three sums per
-    cluster and gives precisely 0 for a point that equals the centroid.
-    """
-    if isinstance(wide, many.ManyCentroids):
-        return many.assigned(coordinates, wide, exact, budget)
+def _nearest_of_block(coordinates: DataFrame, block: _Block, budget: int) -> DataFrame:
+    """``id, d, cluster_id``: the block's nearest centroid (squared distance), the lowest of equals."""
     joined = join_lookup(
-        coordinates,
-        wide.table,
-        "term",
-        "left",
-        payload=8 * len(wide.ids),
-        budget=budget,
-        lookup_bytes=wide.bytes,
+        coordinates, block.table, "term", "left", payload=16 * len(block.ids), budget=budget, lookup_bytes=block.bytes
     )
-    x = F.col("value")
-    sums, distances = [F.sum(x * x).alias("norm")], []
-    for j, i in enumerate(wide.ids):
-        c, norm = F.col(f"c{j}"), F.lit(wide.norms[j])
-        if not exact:
-            sums.append(F.sum(x * c).alias(f"dot{j}"))
-            d = F.col("norm") + norm - 2.0 * F.coalesce(f"dot{j}", F.lit(0.0))
-        else:
-            difference = x - F.coalesce(c, F.lit(0.0))
-            sums += [
-                F.sum(difference * difference).alias(f"differences{j}"),
-                F.sum(c * c).alias(f"shared{j}"),
-                F.count_if(c != 0).alias(f"terms{j}"),
-            ]
-            other = F.when(F.col(f"terms{j}") == wide.terms[j], F.lit(0.0)).otherwise(
-                F.greatest(norm - F.coalesce(f"shared{j}", F.lit(0.0)), F.lit(0.0))
-            )
-            d = F.col(f"differences{j}") + other
-        squared = F.greatest(d, F.lit(0.0)).alias("d")
-        distances.append(F.struct(squared, F.lit(i).alias("cluster_id")))
+    sums, distances = [], []
+    for j, i in enumerate(block.ids):
+        difference = F.col("value") - F.coalesce(f"c{j}", F.lit(0.0))
+        sums += [F.sum(difference * difference).alias(f"d{j}"), F.sum(f"q{j}").alias(f"q{j}")]
+        others = F.lit(block.totals[j]) - F.coalesce(f"q{j}", F.lit(0))
+        distances.append(
+            F.struct((F.col(f"d{j}") + others * F.lit(block.units[j])).alias("d"), F.lit(i).cast("int").alias("cluster_id"))
+        )
     nearest = F.array_min(F.array(*distances)).alias("nearest")
-    return joined.groupBy("id").agg(*sums).select("id", "norm", nearest).select(
-        "id",
-        F.col("nearest.cluster_id").alias("cluster_id"),
-        F.sqrt("nearest.d").alias("distance"),
-        "norm",
-    )
+    return joined.groupBy("id").agg(*sums).select("id", nearest).select("id", "nearest.d", "nearest.cluster_id")
 
 
-def assign_sparse(
-    coordinates: DataFrame, centroids: DataFrame, budget: int = BROADCAST_BYTES
-) -> DataFrame:
-    """``id, cluster_id, distance``: the nearest centroid, the lowest id among equals."""
-    assigned = _assigned(coordinates, _widen(centroids), budget=budget)
-    return assigned.select("id", "cluster_id", "distance")
+def _least(found: list[DataFrame]) -> DataFrame:
+    """The nearest of several tables of nearest centroids."""
+    if len(found) == 1:
+        return found[0]
+    every = found[0]
+    for one in found[1:]:
+        every = every.unionByName(one)
+    best = every.groupBy("id").agg(F.min(F.struct("d", "cluster_id")).alias("nearest"))
+    return best.select("id", "nearest.d", "nearest.cluster_id")
 
 
-def _members(coordinates: DataFrame, assignments: DataFrame) -> DataFrame:
-    """The coordinates with their point's cluster: ``cluster_id, term, value``.
+def _nearest(coordinates: DataFrame, centroids: DataFrame, budget: int) -> DataFrame:
+    ids = sorted(r.cluster_id for r in centroids.select("cluster_id").distinct().collect())
+    if not ids:
+        raise ValueError("no centroids")
+    blocks = [ids[k : k + BLOCK] for k in range(0, len(ids), BLOCK)]
+    best: DataFrame | None = None
+    for k in range(0, len(blocks), BLOCKS_AT_ONCE):
+        found = [_nearest_of_block(coordinates, _block(centroids, b), budget) for b in blocks[k : k + BLOCKS_AT_ONCE]]
+        before, best = best, _least(found + ([best] if best is not None else []))
+        if len(blocks) > BLOCKS_AT_ONCE:
+            best = stage(best, "nearest")
+            drop_stage(before)
+    return best
+
+
+def assign_sparse(coordinates: DataFrame, centroids: DataFrame, budget: int = BROADCAST_BYTES) -> DataFrame:
+    """``id, cluster_id, distance``: the nearest centroid, the lowest id among equals."""
+    found = _nearest(coordinates, centroids, budget)
+    return found.select("id", "cluster_id", F.sqrt("d").alias("distance"))
 
-    The assignments are repeated per salt and shuffled to where the coordinates are.
-    """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    members = assignments.select("id", "cluster_id", salts.alias("salt"))
-    joined = _salted(coordinates).join(members.hint("shuffle_hash"), ["id", "salt"])
-    return joined.select("cluster_id", "term", "value")
-
-
-def _moved_wide(members: DataFrame, sizes: list[int], wide: _Wide) -> DataFrame:
-    """Wide centroids after a turn, ``term, c0, …``, with the old ones as ``old0, …``."""
-    places = range(len(wide.ids))
-    none = F.lit(None)
-    points = members.select(
-        "term", "cluster_id", "value", *[none.cast("double").alias(f"old{j}") for j in places]
-    )
-    old = wide.table.select(
-        "term",
-        none.cast("int").alias("cluster_id"),
-        none.cast("double").alias("value"),
-        *[F.col(f"c{j}").alias(f"old{j}") for j in places],
-    )
-    sums = [F.max(f"old{j}").alias(f"old{j}") for j in places]
-    for j, i in enumerate(wide.ids):
-        if sizes[j]:
-            total = F.sum(F.when(F.col("cluster_id") == i, F.col("value")))
-            sums.append((total / F.lit(float(sizes[j]))).alias(f"c{j}"))
-        else:
-            sums.append(F.max(f"old{j}").alias(f"c{j}"))
-    return points.unionByName(old).groupBy("term").agg(*sums)
-
-
-def _moved(
-    coordinates: DataFrame, assignments: DataFrame, sizes: list[int], wide: _Wide | many.ManyCentroids
-) -> tuple[_Wide | many.ManyCentroids, list[float]]:
-    """The stored centroids after a turn, and how far each moved.
-
-    ``sizes`` are the numbers of points per cluster; a cluster without any keeps its
-    centroid.
-    """
-    members = _members(coordinates, assignments)
-    if isinstance(wide, many.ManyCentroids):
-        new = many.moved(members, sizes, wide)
-        return new, [math.sqrt(s) for s in new.shifts]
-    places = range(len(wide.ids))
-    moves = [F.coalesce(f"c{j}", F.lit(0.0)) - F.coalesce(f"old{j}", F.lit(0.0)) for j in places]
-    measures = [F.sum(m * m).alias(f"shift{j}") for j, m in zip(places, moves)]
-    new, found = _store(_moved_wide(members, sizes, wide), wide.ids, measures)
-    columns = ["term", *[f"c{j}" for j in places]]
-    shifts = [math.sqrt(found[f"shift{j}"] or 0.0) for j in places]
-    return replace(new, table=new.table.select(columns)), shifts
-
-
-def _stored_assignments(
-    assigned: DataFrame, wide: _Wide | many.ManyCentroids
-) -> tuple[DataFrame, list[int]]:
-    """The stored assignments and the number of points per cluster."""
-    rows = assigned.select("id", "cluster_id")
-    if len(wide.ids) > WIDE_CLUSTERS:
-        table = stage(rows, "assignments")
-        counted = table.groupBy("cluster_id").agg(F.count("*").alias("size")).collect()
-        sizes = {r.cluster_id: r.size for r in counted}
-        return table, [sizes.get(i, 0) for i in wide.ids]
-    measures = [
-        F.count_if(F.col("cluster_id") == i).alias(f"size{j}") for j, i in enumerate(wide.ids)
-    ]
-    table, found = stage_measured(rows, "assignments", *measures)
-    return table, [found[f"size{j}"] for j in range(len(wide.ids))]
-
-
-def update_sparse(
-    coordinates: DataFrame, assignments: DataFrame, centroids: DataFrame
-) -> DataFrame:
+
+def update_sparse(coordinates: DataFrame, assignments: DataFrame, centroids: DataFrame) -> DataFrame:
     """``cluster_id, term, value``: the mean of each cluster's points.
 
     A cluster without points keeps its centroid. Pass stored assignments.
     """
-    wide = _widen(centroids)
-    counted = assignments.groupBy("cluster_id").agg(F.count("*").alias("size")).collect()
-    sizes = {r.cluster_id: r.size for r in counted}
-    return _narrow(_moved(coordinates, assignments, [sizes.get(i, 0) for i in wide.ids], wide)[0])
+    sizes = assignments.groupBy("cluster_id").agg(F.count("*").alias("size"))
+    members = coordinates.join(assignments.select("id", "cluster_id"), "id")
+    totals = members.groupBy("cluster_id", "term").agg(F.sum("value").alias("total"))
+    # One row per cluster.
+    means = totals.join(F.broadcast(sizes), "cluster_id").select(
+        "cluster_id", "term", (F.col("total") / F.col("size")).alias("value")
+    )
+    kept = centroids.join(F.broadcast(sizes), "cluster_id", "left_anti").select("cluster_id", "term", "value")
+    return means.unionByName(kept)
 
 
 def shifts_sparse(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -291,89 +163,119 @@ def shifts_sparse(old: DataFrame, new: DataFrame) -> DataFrame:
 def choose_centroids_sparse(
     coordinates: DataFrame,
     k: int = CLUSTERS,
-    seeds: list | None = None,
+    seeds: list | DataFrame | None = None,
     budget: int = BROADCAST_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """Farthest-first centroids and the picks they came from.
 
-    Starts from the points with the ids ``seeds`` (the smallest id by default). Returns
-    ``cluster_id, term, value`` and ``cluster_id, id, min_distance``. Two jobs per pick.
+    ``seeds`` are ids of points (each must exist; the smallest id by default), or centroids
+    ``cluster_id, term, value``, which need not be points. All of them are kept, even if there
+    are more than ``k``. Returns ``cluster_id, term, value`` and ``cluster_id, id,
+    min_distance``; the id of a given centroid is null. Each pick compares the points with the
+    newest centroid only: two jobs, of which one stores a row per point. Pass stored
+    coordinates.
     """
     spark = coordinates.sparkSession
-    with _persisted(coordinates) as table:
-        picks = [(i, None) for i in sorted(seeds or [table.agg(F.min("id")).first()[0]])[:k]]
-        wide = _points_as_centroids(table, picks)
-        while len(picks) < k:
-            found = _farthest(table, wide, False, budget)
-            if found and found.distance**2 <= ROUNDING * (found.norm + max(wide.norms)):
-                found = _farthest(table, wide, True, budget)
-            if not found or found.distance == 0.0:
-                break
-            picks.append((found.id, found.distance))
-            wide = _points_as_centroids(table, picks)
-    rows = [(j, p, d) for j, (p, d) in enumerate(picks)]
+    id_type = coordinates.schema["id"].dataType
+    centroids, picks = _given(coordinates, seeds)
+    best: DataFrame | None = None
+    newest = centroids
+    while len(picks) < k:
+        found = _nearest(coordinates, newest, budget)
+        before, best = best, _least([found] + ([best] if best is not None else []))
+        best, measured = stage_measured(best, "nearest", F.max("d").alias("d"))
+        drop_stage(before)
+        if not measured["d"]:
+            break
+        pick = best.where(F.col("d") == F.lit(measured["d"])).agg(F.min("id").alias("id")).first().id
+        cluster = max(p[0] for p in picks) + 1
+        picks.append((cluster, pick, measured["d"] ** 0.5))
+        newest = _points(coordinates, [(cluster, pick)])
+        centroids = centroids.unionByName(newest)
+    drop_stage(best)
+    schema = f"cluster_id int, id {id_type.simpleString()}, min_distance double"
+    return stage(centroids, "centroids"), spark.createDataFrame(picks, schema)
+
+
+def _points(coordinates: DataFrame, chosen: list[tuple]) -> DataFrame:
+    """The points with the given ids as centroids; few, since the caller names them."""
     id_type = coordinates.schema["id"].dataType.simpleString()
-    schema = f"cluster_id int, id {id_type}, min_distance double"
-    return _narrow(wide), spark.createDataFrame(rows, schema)
-
-
-def _points_as_centroids(table: DataFrame, picks: list[tuple]) -> _Wide | many.ManyCentroids:
-    ids = list(range(len(picks)))
-    rows = table.where(F.col("id").isin([p for p, _ in picks]))
-    if len(ids) > WIDE_CLUSTERS:
-        id_type = table.schema["id"].dataType
-        places = F.create_map(
-            *[F.lit(x).cast(t) for j, (p, _) in enumerate(picks) for x, t in ((p, id_type), (j, "int"))]
-        )
-        place = F.try_element_at(places, F.col("id")).alias("cluster_id")
-        return many.from_centroids(rows.select(place, "term", "value"), ids)
-    columns = [
-        F.sum(F.when(F.col("id") == F.lit(p), F.col("value"))).alias(f"c{j}")
-        for j, (p, _) in enumerate(picks)
-    ]
-    return _store(rows.groupBy("term").agg(*columns), ids)[0]
-
-
-def _farthest(table: DataFrame, wide: _Wide, exact: bool, budget: int) -> Row | None:
-    return _assigned(table, wide, exact, budget).orderBy(F.desc("distance"), "id").first()
+    named = coordinates.sparkSession.createDataFrame(chosen, f"cluster_id int, id {id_type}")
+    return stage(coordinates.join(F.broadcast(named), "id").select("cluster_id", "term", "value"), "points")
+
+
+def _given(coordinates: DataFrame, seeds: list | DataFrame | None) -> tuple[DataFrame, list[tuple]]:
+    if isinstance(seeds, DataFrame):
+        ids = sorted(r.cluster_id for r in seeds.select("cluster_id").distinct().collect())
+        if not ids:
+            raise ValueError("no seed was given")
+        return seeds.select(F.col("cluster_id").cast("int").alias("cluster_id"), "term", "value"), [(i, None, None) for i in ids]
+    if seeds is None:
+        first = coordinates.agg(F.min("id").alias("id")).first().id
+        if first is None:
+            raise ValueError("no seed: there are no points")
+        seeds = [first]
+    chosen = list(enumerate(sorted(set(seeds))))
+    centroids = _points(coordinates, chosen)
+    known = {r.cluster_id for r in centroids.select("cluster_id").distinct().collect()}
+    missing = [p for i, p in chosen if i not in known]
+    if missing:
+        raise ValueError(f"seeds that are no points: {missing}")
+    return centroids, [(i, p, None) for i, p in chosen]
 
 
 @dataclass(frozen=True)
-class SparseKMeansResult:
+class SparseLloydResult:
     """``centroids``: cluster_id, term, value. ``assignments``: id, cluster_id, distance.
-    ``history``: iteration, cluster_id, size, shift."""
+    ``history``: iteration, cluster_id, size, shift, cost. ``past_centroids``: iteration,
+    cluster_id, term, value."""
 
     centroids: DataFrame
     assignments: DataFrame
     history: DataFrame
+    past_centroids: DataFrame
     iterations: int
     converged: bool
 
 
-def kmeans_sparse(
+def lloyd_sparse(
     coordinates: DataFrame,
     centroids: DataFrame,
     tol: float = TOLERANCE,
-    max_iter: int = MAX_ITERATIONS,
+    max_iter: int | None = None,
+    round_digits: int | None = None,
     budget: int = BROADCAST_BYTES,
-) -> SparseKMeansResult:
-    """Lloyd's iterations on coordinates, as ``kmeans`` does on dense vectors.
+) -> SparseLloydResult:
+    """Lloyd's iterations on coordinates, as ``lloyd`` does on dense vectors.
 
-    Two jobs per turn: one stores the assignments, the other the new centroids, and what
-    the driver needs to know is measured while they are written. The stored tables cut the
-    lineage and survive the loss of executors.
+    Runs until no centroid moves farther than ``tol``; with ``max_iter`` it may end before,
+    which ``converged`` tells. Every turn stores its assignments, deleted when the next turn
+    has its own, and its centroids, which are the history. Pass stored coordinates.
     """
     spark = coordinates.sparkSession
-    wide = _widen(centroids)
-    history, done, iteration = [], False, 0
-    with _persisted(coordinates) as table:
-        while iteration < max_iter and not done:
-            iteration += 1
-            assignments, sizes = _stored_assignments(_assigned(table, wide, budget=budget), wide)
-            wide, shifts = _moved(table, assignments, sizes, wide)
-            history += [(iteration, i, sizes[j], shifts[j]) for j, i in enumerate(wide.ids)]
-            done = all(s <= tol for s in shifts)
-        final = _assigned(table, wide, budget=budget).select("id", "cluster_id", "distance")
-        assignments = stage(final, "assignments")
-    past = spark.createDataFrame(history, "iteration int, cluster_id int, size long, shift double")
-    return SparseKMeansResult(_narrow(wide), assignments, past, iteration, done)
+    turns, rows, done, iteration = [], [], False, 0
+    assigned: DataFrame | None = None
+    while not done and (max_iter is None or iteration < max_iter):
+        iteration += 1
+        before, assigned = assigned, stage(_nearest(coordinates, centroids, budget), "assignments")
+        drop_stage(before)
+        found = assigned.groupBy("cluster_id").agg(F.count("*").alias("size"), F.sum("d").alias("cost"))
+        of_cluster = {r.cluster_id: r for r in found.collect()}
+        new = stage(update_sparse(coordinates, assigned, centroids), "centroids")
+        shifts = {r.cluster_id: r["shift"] for r in shifts_sparse(centroids, new).collect()}
+        for i in sorted(shifts):
+            own = of_cluster.get(i)
+            rows.append((iteration, i, own.size if own else 0, shifts[i], own.cost if own else 0.0))
+        turns.append(new.select(F.lit(iteration).alias("iteration"), "cluster_id", "term", "value"))
+        centroids = new
+        done = all(s <= tol for s in shifts.values())
+    drop_stage(assigned)
+    final = centroids
+    if round_digits is not None:
+        final = stage(centroids.withColumn("value", F.bround("value", round_digits)), "rounded")
+    past = turns[0] if turns else centroids.select(F.lit(0).alias("iteration"), "*").where("false")
+    for turn in turns[1:]:
+        past = past.unionByName(turn)
+    assignments = stage(assign_sparse(coordinates, final, budget), "assignments")
+    history = spark.createDataFrame(rows, "iteration int, cluster_id int, size long, shift double, cost double")
+    return SparseLloydResult(final, assignments, history, past, iteration, done)

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from plotweave.functions.text import MIN_TERM_LENGTH, terms_in
-from plotweave.plans.lookup import BROADCAST_BYTES, broadcast_bytes
+from plotweave.plans.lookup import BROADCAST_BYTES, broadcast_bytes, join_lookup
+from plotweave.session import stage
 
-# Up to this many stop words travel as a literal set inside the plan.
-LITERAL_STOP_WORDS = 1000
-# A longer list that is too big to broadcast is joined on (term, salt).
-STOP_WORD_SALTS = 32
+# Stop words of up to so many bytes travel as a literal set inside the plan.
+LITERAL_BYTES = 64 * 1024
 
 # A table with a column ``term``, or the words themselves.
 StopWords = DataFrame | list[str] | None
@@ -31,15 +30,16 @@ def as_reviews(
 
 
 def stop_word_list(stop_words: StopWords) -> list[str] | None:
-    """The stop words as a list, or None if there are too many for a literal."""
+    """The stop words as a list, or None if they measure too much for a literal."""
     if stop_words is None:
         return []
     if isinstance(stop_words, DataFrame):
-        rows = stop_words.select("term").limit(LITERAL_STOP_WORDS + 1).collect()
-        stop_words = [r.term for r in rows]
-    if len(stop_words) > LITERAL_STOP_WORDS:
-        return None
-    return sorted({word for word in stop_words if word is not None})
+        size = stop_words.agg(F.sum(F.octet_length("term")).alias("n")).first().n or 0
+        if size > LITERAL_BYTES:
+            return None
+        stop_words = [r.term for r in stop_words.select("term").distinct().collect()]
+    words = sorted({word for word in stop_words if word is not None})
+    return words if sum(len(w.encode()) for w in words) <= LITERAL_BYTES else None
 
 
 def _stop_word_table(spark: SparkSession, stop_words: StopWords) -> DataFrame:
@@ -71,19 +71,16 @@ def drop_stop_words(
 ) -> DataFrame:
     """Rows whose ``term`` is no stop word, compared exactly.
 
-    A list within the broadcast budget is broadcast. A larger one is repeated per salt, so
-    a very frequent term is spread over many tasks.
+    A list within the broadcast budget is broadcast. Of a larger one the words that make up
+    most rows are, by ``join_lookup``, so that no frequent term is one task.
     """
     stop = _stop_word_table(terms.sparkSession, stop_words)
-    if broadcast_bytes(stop, "term") <= budget:
+    size = broadcast_bytes(stop, "term")
+    if size <= budget:
         return terms.join(F.broadcast(stop), "term", "left_anti").select(terms.columns)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(STOP_WORD_SALTS - 1)))
-    salted = terms.withColumn(
-        "salt", F.pmod(F.xxhash64("product_id", "review_id"), F.lit(STOP_WORD_SALTS)).cast("int")
-    )
-    return salted.join(
-        stop.select("term", salts.alias("salt")), ["term", "salt"], "left_anti"
-    ).select(terms.columns)
+    marked = stage(stop.withColumn("is_stop_word", F.lit(True)), "stop_words")
+    joined = join_lookup(stage(terms, "terms"), marked, "term", "left", budget=budget, lookup_bytes=size)
+    return joined.where(F.col("is_stop_word").isNull()).select(terms.columns)
 
 
 def review_term_counts(

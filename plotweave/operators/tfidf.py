@@ -81,9 +81,8 @@ def term_dictionary(tf: DataFrame) -> DataFrame:
         total += row.n
     # One row per file, so no more than there are shuffle partitions.
     starts = spark.createDataFrame(offsets, "file string, start long")
-    index_type = "int" if total <= 2**31 - 1 else "long"
     return ordered.join(F.broadcast(starts), "file").select(
-        "term", (F.col("start") + F.col("place")).cast(index_type).alias("term_index")
+        "term", (F.col("start") + F.col("place")).alias("term_index")
     )
 
 

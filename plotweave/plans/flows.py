@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from plotweave.functions.text import MIN_TERM_LENGTH
 from plotweave.operators import sparse
 from plotweave.operators.counts import TOP_WORDS, top_words, word_count
-from plotweave.operators.dense import CLUSTERS, MAX_ITERATIONS, TOLERANCE, vector_coordinates
+from plotweave.operators.dense import CLUSTERS, TOLERANCE, vector_coordinates
 from plotweave.operators.terms import StopWords, review_term_counts
 from plotweave.operators.tfidf import (
     MATCHING_REVIEWS,
@@ -52,18 +51,15 @@ def tfidf_vectors(
 def cluster_products(
     scores: DataFrame,
     k: int = CLUSTERS,
-    seeds: list | None = None,
+    seeds: list | DataFrame | None = None,
     tol: float = TOLERANCE,
-    max_iter: int = MAX_ITERATIONS,
-) -> sparse.SparseKMeansResult:
-    """TF-IDF scores to ``k`` clusters: farthest-first seeding, then k-means."""
-    coordinates = sparse.lay_out(sparse.as_coordinates(scores))
-    coordinates.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        centroids, _ = sparse.choose_centroids_sparse(coordinates, k, seeds)
-        return sparse.kmeans_sparse(coordinates, centroids, tol, max_iter)
-    finally:
-        coordinates.unpersist()
+    max_iter: int | None = None,
+    round_digits: int | None = None,
+) -> sparse.SparseLloydResult:
+    """TF-IDF scores to ``k`` clusters: farthest-first seeding, then Lloyd's iterations."""
+    coordinates = sparse.stored_coordinates(sparse.as_coordinates(scores))
+    centroids, _ = sparse.choose_centroids_sparse(coordinates, k, seeds)
+    return sparse.lloyd_sparse(coordinates, centroids, tol, max_iter, round_digits)
 
 
 def corpus_top_words(

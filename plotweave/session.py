@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -10,8 +9,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
-def local_session(cpus: int | str = "*", app_name: str = "plotweave") -> SparkSession:
-    """A session for tests and the bench; a cluster brings its own."""
+def local_session(
+    cpus: int | str = "*", app_name: str = "plotweave", checkpoint_dir: str = "/tmp/plotweave-checkpoints"
+) -> SparkSession:
+    """A session for tests and the bench, which name the folder; a cluster brings its own."""
     partitions = "8" if cpus == "*" else str(cpus)
     return (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -21,6 +22,7 @@ def local_session(cpus: int | str = "*", app_name: str = "plotweave") -> SparkSe
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config(CHECKPOINT_SETTING, checkpoint_dir)
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.log.level", "ERROR")
         .getOrCreate()
@@ -30,22 +32,17 @@ def local_session(cpus: int | str = "*", app_name: str = "plotweave") -> SparkSe
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of this session, set on first use.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master, where
-    every task sees the same disk, gets a temporary folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, as in tests, it is
+    a folder beside the warehouse's tables, which all executors reach as well.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     configured = spark.conf.get(CHECKPOINT_SETTING, None) or sc.getConf().get(CHECKPOINT_SETTING)
-    if configured:
-        if current is None:
-            sc.setCheckpointDir(configured)
-        return configured.rstrip("/")
+    if not configured:
+        configured = current or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
     if current is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="plotweave-"))
-        current = sc.getCheckpointDir()
-    return current.rstrip("/")
+        sc.setCheckpointDir(configured)
+    return configured.rstrip("/")
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
@@ -63,7 +60,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = stage_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def drop_stage(table: DataFrame | None) -> None:
+    """Delete the files of what ``stage`` returned, once nothing reads them any more."""
+    stored_at = vars(table).get("stored_at") if table is not None else None
+    if stored_at:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage_measured(df: DataFrame, name: str, *measures: Column) -> tuple[DataFrame, dict]:

@@ -2,6 +2,7 @@ from plotweave.sources.reviews import read_review_lines, read_reviews
 from plotweave.sources.tables import read_table
 from plotweave.sources.text_tables import (
     read_centroids,
+    read_coordinate_centroids,
     read_dictionary,
     read_history,
     read_keyed_centroids,
@@ -10,6 +11,7 @@ from plotweave.sources.text_tables import (
     read_vectors,
     read_word_counts,
     write_centroids,
+    write_coordinate_centroids,
     write_dictionary,
     write_history,
     write_keyed_centroids,
@@ -20,6 +22,7 @@ from plotweave.sources.text_tables import (
 
 __all__ = [
     "read_centroids",
+    "read_coordinate_centroids",
     "read_dictionary",
     "read_history",
     "read_keyed_centroids",
@@ -31,6 +34,7 @@ __all__ = [
     "read_vectors",
     "read_word_counts",
     "write_centroids",
+    "write_coordinate_centroids",
     "write_dictionary",
     "write_history",
     "write_keyed_centroids",

@@ -6,10 +6,11 @@ do not parse are dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plotweave.functions.text import trim_control
 from plotweave.functions.vectors import fixed_decimals, format_vector, parse_vector
+from plotweave.session import stage
 
 
 def _fields(spark: SparkSession, path: str) -> DataFrame:
@@ -24,11 +25,26 @@ def _with_all_numbers(vectors: DataFrame) -> DataFrame:
     return vectors.where(F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()))
 
 
-def _with_file_order(vectors: DataFrame) -> DataFrame:
-    """Number the rows of a centroid file, which has one row per cluster, from 0."""
-    placed = vectors.withColumn("place", F.monotonically_increasing_id())
-    index = F.row_number().over(Window.orderBy("place")) - 1
-    return placed.select(index.alias("cluster_id"), "v")
+def _numbered_vectors(spark: SparkSession, path: str, vector: Column) -> DataFrame:
+    """``cluster_id, v``: the rows of centroid files from 0, in the order of file names and lines.
+
+    A row's number is its place in its file split plus the rows of the splits before; the
+    driver sees one number per split.
+    """
+    rows = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), vector.alias("v")
+    )
+    placed = stage(_with_all_numbers(rows).withColumn("place", F.monotonically_increasing_id()), "vector_lines")
+    sizes = placed.groupBy("file", "split").agg(F.count("*").alias("n"), F.min("place").alias("first")).collect()
+    starts, total = [], 0
+    for r in sorted(sizes, key=lambda r: (r.file, r.split)):
+        starts.append((r.file, r.split, total - r.first))
+        total += r.n
+    # One row per file split.
+    offsets = spark.createDataFrame(starts, "file string, split long, offset long")
+    return placed.join(F.broadcast(offsets), ["file", "split"]).select(
+        (F.col("place") + F.col("offset")).cast("int").alias("cluster_id"), "v"
+    )
 
 
 def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
@@ -63,16 +79,18 @@ def read_vectors(spark: SparkSession, path: str, id_type: str = "string") -> Dat
 
 def read_keyed_centroids(spark: SparkSession, path: str) -> DataFrame:
     """``cluster_id, v`` from lines of any key, a tab and the vector."""
-    return _with_file_order(
-        _with_all_numbers(_fields(spark, path).select(parse_vector(_field(1)).alias("v")))
-    )
+    return _numbered_vectors(spark, path, parse_vector(F.get(F.split("value", "\t"), F.lit(1))))
 
 
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:
     """``cluster_id, v`` from lines with nothing but the vector."""
-    return _with_file_order(
-        _with_all_numbers(spark.read.text(path).select(parse_vector(F.col("value")).alias("v")))
-    )
+    return _numbered_vectors(spark, path, parse_vector(F.col("value")))
+
+
+def read_coordinate_centroids(spark: SparkSession, path: str) -> DataFrame:
+    """``cluster_id, term, value`` from tab-separated lines."""
+    rows = read_triples(spark, path, "value", "int")
+    return rows.select(F.col("product_id").alias("cluster_id"), "term", "value")
 
 
 def read_word_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -116,13 +134,19 @@ def write_centroids(centroids: DataFrame, path: str) -> None:
     ordered.select(fixed_decimals(F.col("v"))).write.text(path)
 
 
+def write_coordinate_centroids(centroids: DataFrame, path: str, digits: int | None = None) -> None:
+    """``cluster_id \\t term \\t value`` lines, rounded half to even if ``digits`` are given."""
+    value = F.col("value") if digits is None else F.bround("value", digits)
+    _lines(centroids.withColumn("value", value), "cluster_id", "term", "value").write.text(path)
+
+
 def write_word_counts(counts: DataFrame, path: str) -> None:
     """``term \\t count`` lines."""
     _lines(counts, "term", "count").write.text(path)
 
 
 def write_history(history: DataFrame, path: str) -> None:
-    """A k-means history as Parquet with one folder per iteration."""
+    """A clustering history as Parquet with one folder per iteration."""
     history.write.partitionBy("iteration").parquet(path)
 
 

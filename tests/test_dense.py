@@ -9,7 +9,7 @@ from plotweave.operators.dense import (
     centroid_shifts,
     choose_centroids,
     converged,
-    kmeans,
+    lloyd,
     update_centroids,
     vectorize,
 )
@@ -118,19 +118,19 @@ def test_update_and_empty_cluster(spark):
     assert converged(shifts, 3.0).first().converged
 
 
-def test_kmeans_matches_mllib(points, spark, local, centroids):
-    from pyspark.mllib.clustering import KMeans, KMeansModel
+def test_lloyd_matches_mllib(points, spark, local, centroids):
+    from pyspark.mllib import clustering as mllib
 
     start = matrix_of(centroids)
-    result = kmeans(points, centroids, tol=0.0, max_iter=5)
+    result = lloyd(points, centroids, tol=0.0, max_iter=5)
     rdd = points.rdd.map(lambda r: list(r.v))
-    model = KMeans.train(rdd, 4, maxIterations=5, initialModel=KMeansModel(start), epsilon=0.0)
+    model = mllib.KMeans.train(rdd, 4, maxIterations=5, initialModel=mllib.KMeansModel(start), epsilon=0.0)
     assert matrix_of(result.centroids) == pytest.approx(np.array(model.clusterCenters), abs=1e-6)
     assert result.iterations == 5
 
 
-def test_kmeans_properties(points, local, centroids):
-    result = kmeans(points, centroids)
+def test_lloyd_properties(points, local, centroids):
+    result = lloyd(points, centroids)
     history = result.history.collect()
     cost = {}
     for r in history:
@@ -144,13 +144,13 @@ def test_kmeans_properties(points, local, centroids):
 
 
 def test_partitioning_and_order_do_not_matter(points, centroids):
-    one = kmeans(points.coalesce(1), centroids, max_iter=3)
-    many = kmeans(points.orderBy(F.desc("id")).repartition(7), centroids, max_iter=3, cache=False)
+    one = lloyd(points.coalesce(1), centroids, max_iter=3)
+    many = lloyd(points.orderBy(F.desc("id")).repartition(7), centroids, max_iter=3)
     assert matrix_of(one.centroids) == pytest.approx(matrix_of(many.centroids), abs=1e-12)
 
 
 def test_rounding_and_iteration_limit(points, centroids):
-    result = kmeans(points, centroids, tol=0.0, max_iter=2, round_digits=5)
+    result = lloyd(points, centroids, tol=0.0, max_iter=2, round_digits=5)
     assert result.iterations == 2 and not result.converged
     assert (matrix_of(result.centroids) == matrix_of(result.centroids).round(5)).all()
 
@@ -158,7 +158,7 @@ def test_rounding_and_iteration_limit(points, centroids):
 def test_an_empty_cluster_keeps_its_centroid(spark):
     points = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id long, v array<double>")
     start = spark.createDataFrame([(0, [0.4]), (1, [99.0])], "cluster_id int, v array<double>")
-    result = kmeans(points, start)
+    result = lloyd(points, start)
     assert sorted(rows_of(result.centroids)) == [(0, [0.5]), (1, [99.0])]
 
 
@@ -172,3 +172,32 @@ def test_duplicate_score_is_an_error(spark):
 def test_no_points_move_between_tasks(points, centroids):
     plan = assign(points, centroids)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_all_seeds_are_kept_and_may_come_from_a_file(points, centroids):
+    rows = choose_centroids(points, 2, seeds=points.where("id < 4")).collect()
+    assert [r.id for r in rows] == [0, 1, 2, 3]
+    known = centroids.where("cluster_id < 2").select("cluster_id", "v")
+    going_on = choose_centroids(points, 4, seeds=known).orderBy("cluster_id").collect()
+    expected = centroids.orderBy("cluster_id").collect()
+    assert [r.id for r in going_on] == [None, None, expected[2].id, expected[3].id]
+    assert [r.min_distance for r in going_on[2:]] == [r.min_distance for r in expected[2:]]
+
+
+def test_stored_distances_change_nothing(points, centroids, monkeypatch):
+    monkeypatch.setattr("plotweave.operators.dense.PICKS_PER_STORE", 2)
+    rows = lambda df: [(r.cluster_id, r.id, r.min_distance) for r in df.orderBy("cluster_id").collect()]
+    assert rows(choose_centroids(points, 4)) == rows(centroids)
+
+
+def test_blocks_of_centroids_change_nothing(points, centroids, monkeypatch):
+    whole = sorted(rows_of(assign(points, centroids)))
+    monkeypatch.setattr("plotweave.operators.dense.CENTROID_VALUES", 1)
+    assert sorted(rows_of(assign(points, centroids))) == whole
+
+
+def test_update_reads_the_points_once(points, spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    seeds = choose_centroids(table, 3)
+    plan = update_centroids(assign(table, seeds, with_vectors=True), seeds)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("MapInArrow") == 1

@@ -2,12 +2,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plotweave.operators.dense import assign, choose_centroids, kmeans
+from plotweave.operators.dense import assign, choose_centroids, lloyd
 from plotweave.operators.sparse import (
     assign_sparse,
     choose_centroids_sparse,
     coordinates_of,
-    kmeans_sparse,
+    centroids_of,
+    lloyd_sparse,
 )
 
 
@@ -34,10 +35,11 @@ def sparse_values(centroids):
     return {(r.cluster_id, r.term): r.value for r in centroids.collect() if abs(r.value) > 1e-12}
 
 
-@pytest.fixture(params=["a column per cluster", "entries per term"])
+@pytest.fixture(params=["one block", "many blocks"])
 def form(request, monkeypatch):
-    if request.param == "entries per term":
-        monkeypatch.setattr("plotweave.operators.sparse.WIDE_CLUSTERS", 0)
+    if request.param == "many blocks":
+        monkeypatch.setattr("plotweave.operators.sparse.BLOCK", 1)
+        monkeypatch.setattr("plotweave.operators.sparse.BLOCKS_AT_ONCE", 2)
 
 
 @pytest.mark.parametrize("budget", [1 << 26, 400])
@@ -51,9 +53,9 @@ def test_agrees_with_dense(points, form, budget):
     a = sorted_rows(assign(points, dense))
     b = sorted_rows(assign_sparse(coordinates_of(points), sparse, budget))
     assert [r[:2] for r in a] == [r[:2] for r in b]
-    assert [r[2] for r in b] == pytest.approx([r[2] for r in a], abs=1e-7)
-    one = kmeans(points, dense, tol=0.0, max_iter=3)
-    two = kmeans_sparse(coordinates_of(points), sparse, tol=0.0, max_iter=3, budget=budget)
+    assert [r[2] for r in b] == pytest.approx([r[2] for r in a], abs=1e-9)
+    one = lloyd(points, dense, tol=0.0, max_iter=3)
+    two = lloyd_sparse(coordinates_of(points), sparse, tol=0.0, max_iter=3, budget=budget)
     assert sparse_values(two.centroids) == pytest.approx(dense_values(one.centroids), abs=1e-9)
     assert two.iterations == one.iterations
     h1 = sorted_rows(one.history.select("iteration", "cluster_id", "size", F.round("shift", 9)))
@@ -82,7 +84,7 @@ def test_given_seeds(points):
 def test_empty_cluster_keeps_its_centroid(spark, form):
     coordinates = spark.createDataFrame([("x", "a", 1.0), ("y", "a", 2.0)], "id string, term string, value double")
     start = spark.createDataFrame([(0, "a", 1.4), (1, "b", 50.0)], "cluster_id int, term string, value double")
-    result = kmeans_sparse(coordinates, start)
+    result = lloyd_sparse(coordinates, start)
     assert result.converged
     assert sorted_rows(result.centroids) == [(0, "a", 1.5), (1, "b", 50.0)]
     assert sorted_rows(result.history.select("iteration", "cluster_id", "size")) == [
@@ -90,17 +92,43 @@ def test_empty_cluster_keeps_its_centroid(spark, form):
     ]
 
 
-def test_coordinates_are_not_shuffled_again(points):
-    from plotweave.operators.sparse import _members, lay_out
-    from plotweave.session import stage
-
-    centroids, _ = choose_centroids_sparse(coordinates_of(points), 2)
-    table = lay_out(coordinates_of(points)).persist()
-    table.count()
-    assignments = stage(assign_sparse(table, centroids).select("id", "cluster_id"), "a")
-    plan = _members(table, assignments)._jdf.queryExecution().executedPlan().toString()
-    lines = [line for line in plan.splitlines() if "Relation" not in line]
-    join = next(i for i, line in enumerate(lines) if "ShuffledHashJoin" in line)
-    scan = next(i for i, line in enumerate(lines) if "InMemoryTableScan" in line)
-    assert not any("Exchange" in line for line in lines[join:scan]), plan
-    table.unpersist()
+def test_a_point_on_its_centroid_and_ties(spark):
+    """Long vectors: distance 0 on the centroid itself, and dense and sparse agree on ties."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(scale=100.0, size=(40, 300))
+    points = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, v array<double>")
+    centre = rng.normal(size=300)
+    rows = [(3, x[7].tolist()), (1, (centre + 1).tolist()), (2, (centre + 1).tolist())]
+    centroids = spark.createDataFrame(rows, "cluster_id int, v array<double>")
+    dense = sorted_rows(assign(points, centroids))
+    sparse = sorted_rows(assign_sparse(coordinates_of(points), centroids_of(centroids)))
+    assert sparse[7] == (7, 3, 0.0)
+    assert [r[:2] for r in sparse] == [r[:2] for r in dense]
+    assert [r[2] for r in sparse] == pytest.approx([r[2] for r in dense], abs=1e-9)
+    assert {r[1] for r in sparse} == {1, 3}
+
+
+def test_seeds_are_kept_checked_and_may_be_centroids(points):
+    coordinates = coordinates_of(points)
+    _, picks = choose_centroids_sparse(coordinates, 2, seeds=[1, 2, 3, 4])
+    assert [r.id for r in picks.orderBy("cluster_id").collect()] == [1, 2, 3, 4]
+    with pytest.raises(ValueError, match="no points"):
+        choose_centroids_sparse(coordinates, 2, seeds=[9999])
+    dense = choose_centroids(points, 2).select("cluster_id", "v")
+    expected = choose_centroids(points, 4).orderBy("cluster_id").collect()
+    _, picks = choose_centroids_sparse(coordinates, 4, seeds=centroids_of(dense))
+    found = picks.orderBy("cluster_id").collect()
+    assert [r.id for r in found] == [None, None, expected[2].id, expected[3].id]
+    assert [r.min_distance for r in found[2:]] == pytest.approx([r.min_distance for r in expected[2:]])
+
+
+def test_history_has_every_turn(points):
+    coordinates = coordinates_of(points)
+    start, _ = choose_centroids_sparse(coordinates, 3)
+    result = lloyd_sparse(coordinates, start)
+    turns = {r.iteration for r in result.past_centroids.select("iteration").distinct().collect()}
+    assert result.converged and turns == set(range(1, result.iterations + 1))
+    costs = [r.c for r in result.history.groupBy("iteration").agg(F.sum("cost").alias("c")).orderBy("iteration").collect()]
+    assert all(b <= a + 1e-9 for a, b in zip(costs, costs[1:]))
+    rounded = lloyd_sparse(coordinates, start, round_digits=5)
+    assert all(r.value == round(r.value, 5) for r in rounded.centroids.collect())

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plotweave.operators.counts import max_counts, top_words, word_count
-from plotweave.operators.dense import assign, choose_centroids, kmeans, vector_coordinates, vectorize
+from plotweave.operators.dense import assign, choose_centroids, lloyd, vector_coordinates, vectorize
 from plotweave.operators.terms import as_reviews, drop_stop_words, review_term_counts, tokenize
 from plotweave.operators.tfidf import (
     document_frequency,
@@ -133,7 +133,7 @@ def test_vectors_seeds_and_clusters(tf):
     centroids = choose_centroids(vectors, 3)
     assert [r.id for r in centroids.orderBy("cluster_id").collect()] == ["P1", "P4", "P2"]
     assert [round(r.min_distance, 6) for r in centroids.orderBy("cluster_id").collect()[1:]] == [0.622323, 0.491728]
-    result = kmeans(vectors, centroids)
+    result = lloyd(vectors, centroids)
     assert rows_of(result.assignments.select("id", "cluster_id")) == [("P1", 0), ("P2", 2), ("P3", 0), ("P4", 1)]
     assert rows_of(result.history.select("iteration", "cluster_id", F.round("shift", 6))) == [
         # Half the distance 0.471739 between P1 and P3.
@@ -218,7 +218,7 @@ def test_long_stop_word_list(conversations, spark, monkeypatch):
 
     stop = spark.createDataFrame([("the",), ("and",), ("que",), (None,)], "term string")
     expected = [rows_of(f(conversations, stop.where("term is not null"))) for f in (tokenize, review_term_counts, word_count)]
-    monkeypatch.setattr(terms, "LITERAL_STOP_WORDS", 1)
+    monkeypatch.setattr(terms, "LITERAL_BYTES", 1)
     assert [rows_of(f(conversations, stop)) for f in (tokenize, review_term_counts, word_count)] == expected
     salted = drop_stop_words(tokenize(conversations), stop, budget=0)
     assert rows_of(salted) == expected[0]
