@@ -33,10 +33,12 @@ TRAINING_PASSAGES = 48
 HIDDEN, ATTENTION = 24, 12
 EPOCHS, BATCH, STEP, DECAY = 30, 64, 0.01, 1e-4
 THRESHOLD = 0.3
+# Text that is encoded at a time, in bytes; it takes some thirty times as much memory.
+SLICE = 1_000_000
 
 
 def _class_table() -> np.ndarray:
-    table = np.full(256, len(CLASSES) + 1, "int64")
+    table = np.full(256, len(CLASSES) + 1, "int32")
     table[128:] = len(CLASSES)
     for k, members in enumerate(CLASSES):
         table[list(members)] = k
@@ -45,7 +47,7 @@ def _class_table() -> np.ndarray:
 
 _CLASS_OF = _class_table()
 _N_CLASSES = len(CLASSES) + 2
-_PAIRS = _N_CLASSES * _N_CLASSES
+_PAIR_OF = (np.arange(_N_CLASSES * _N_CLASSES) * 2654435761 % 4294967296 % HASHED).astype("int32")
 N_FEATURES = _N_CLASSES + 4 + HASHED
 
 
@@ -68,11 +70,11 @@ def encode_passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     begins = ends[:-1][owner] + (np.arange(len(owner)) - first[owner]) * PASSAGE_BYTES
     lengths = np.minimum(ends[1:][owner] - begins, PASSAGE_BYTES)
     n = len(owner)
-    passage = np.repeat(np.arange(n), lengths)
+    passage = np.repeat(np.arange(n, dtype="int32"), lengths)
     classes = _CLASS_OF[data]
     per = np.maximum(lengths, 1).astype("float64")
     shares = np.bincount(passage * _N_CLASSES + classes, minlength=n * _N_CLASSES).reshape(n, _N_CLASSES) / per[:, None]
-    pair = (classes[:-1] * _N_CLASSES + classes[1:]) * 2654435761 % 4294967296 % HASHED
+    pair = _PAIR_OF[classes[:-1] * _N_CLASSES + classes[1:]]
     inside = passage[:-1] == passage[1:]
     hashed = np.bincount((passage[:-1] * HASHED + pair)[inside], minlength=n * HASHED).reshape(n, HASHED) / per[:, None]
     same = np.zeros((len(LAGS), n))
@@ -172,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS) ->
 
     def bags_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 x, counts = encode_passages(part.column("text"))
                 ends = np.cumsum(counts)
                 bags = []
@@ -185,7 +187,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS) ->
 
     # The sample is bounded by ``most``.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("quality").cast("int").alias("quality"))
-    sample = rows.mapInArrow(bags_of, "quality int, bag binary").orderBy(F.xxhash64("bag"), "quality").toArrow()
+    sample = rows.mapInArrow(bags_of, "quality int, bag binary").toArrow()
+    # In one order whatever the partitions were.
+    sample = sample.sort_by([("bag", "ascending"), ("quality", "ascending")])
     y = np.array(sample.column("quality").to_pylist(), float)
     base = float(y.mean()) if len(y) else 0.5
     if base in (0.0, 1.0) or not len(y):
@@ -209,7 +213,7 @@ def score_quality(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 4_000_000):
+            for part in slices(batch, "text", SLICE):
                 n = part.num_rows
                 if model.trained:
                     x, counts = encode_passages(part.column("text"))
