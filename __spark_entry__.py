@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from plotweave.functions import first_segment, fixed_decimals, vector_add, vector_divide
+from plotweave.functions import first_segment, fixed_decimals, vector_add, vector_divide, vector_equal
 from plotweave.operators import counts as counting
 from plotweave.operators import dense, sparse
 from plotweave.operators import terms as texts
@@ -174,6 +174,14 @@ def vector_arithmetic(spark, sf_dir):
     return _long(points, "id")
 
 
+def vector_equality(spark, sf_dir):
+    """The points that equal a seed, component by component."""
+    seeds = _seeds(spark, sf_dir).select("cluster_id", F.col("v").alias("c"))
+    points = _points(spark, sf_dir).withColumn("v", F.col("v").cast("array<double>"))
+    # Three seeds.
+    return points.join(F.broadcast(seeds), vector_equal(F.col("v"), F.col("c"))).select("id", "cluster_id")
+
+
 def choose_centroids(spark, sf_dir):
     return _rounded(_seeds(spark, sf_dir).select("cluster_id", "id", "min_distance"), "min_distance")
 
@@ -455,7 +463,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             tokenize, stop_word_filter, synopsis_rule, word_count, top_words, max_counts,
             review_term_counts, term_frequency, term_frequency_all_reviews, term_dictionary,
             product_count, document_frequency, tfidf, tfidf_by_source, vector_coordinates,
-            vector_dense, centroid_distances, vector_arithmetic, choose_centroids, assign,
+            vector_dense, centroid_distances, vector_arithmetic, vector_equality, choose_centroids, assign,
             update_centroids, convergence, lloyd_centroids, lloyd_history, lloyd_assignments,
             seeds_from_file, choose_centroids_tfidf, seeds_from_file_tfidf, assign_tfidf,
             assign_tfidf_k40, lloyd_tfidf, lloyd_tfidf_history, lloyd_tfidf_assignments,
@@ -713,6 +721,7 @@ def oracle_sql() -> dict[str, str]:
         "round(list_distance(pt.v, seeds.v), 6) AS distance FROM pt, seeds",
         "vector_arithmetic": "SELECT id, CAST(dim - 1 AS BIGINT) AS dim, round((value + value) / 4.0, 6) AS value FROM "
         "(SELECT vec_id AS id, unnest(embedding::DOUBLE[]) AS value, generate_subscripts(embedding, 1) AS dim FROM embeddings)",
+        "vector_equality": f"WITH {_seed_ctes()} SELECT pt.id, cluster_id FROM pt JOIN seeds ON pt.v = seeds.v",
         "choose_centroids": f"WITH {_seed_ctes()} SELECT cluster_id, id, round(d, 6) AS min_distance FROM seeds",
         "assign": f"WITH {_turns(1)} SELECT id, cluster_id, round(distance, 6) AS distance FROM a1",
         "update_centroids": f"WITH {_turns(1)} SELECT cluster_id, n AS size, CAST(dim AS BIGINT) AS dim, round(x, 6) AS value FROM m1",

@@ -6,6 +6,7 @@ from plotweave.functions.vectors import (
     parse_vector,
     vector_add,
     vector_divide,
+    vector_equal,
 )
 
 __all__ = [
@@ -18,5 +19,6 @@ __all__ = [
     "trim_control",
     "vector_add",
     "vector_divide",
+    "vector_equal",
     "whole_text",
 ]

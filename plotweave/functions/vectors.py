@@ -14,6 +14,12 @@ def distance(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
 
 
+def vector_equal(a: Column, b: Column) -> Column:
+    """Whether two arrays have the same length and numbers; null if either is null."""
+    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    return (F.size(a) == F.size(b)) & F.forall(same, lambda x: x)
+
+
 def vector_add(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x + y)
 

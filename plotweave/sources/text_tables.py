@@ -123,14 +123,14 @@ def write_vectors(vectors: DataFrame, path: str) -> None:
 
 def write_keyed_centroids(centroids: DataFrame, path: str) -> None:
     """``min_distance \\t v1 v2 …`` lines in cluster order; a seed has distance 0."""
-    ordered = centroids.coalesce(1).sortWithinPartitions("cluster_id")
+    ordered = centroids.repartition(1).sortWithinPartitions("cluster_id")
     key = F.coalesce("min_distance", F.lit(0.0)).cast("string")
     _lines(ordered, key, format_vector(F.col("v"))).write.text(path)
 
 
 def write_centroids(centroids: DataFrame, path: str) -> None:
     """The vectors alone, with five decimals, in cluster order."""
-    ordered = centroids.coalesce(1).sortWithinPartitions("cluster_id")
+    ordered = centroids.repartition(1).sortWithinPartitions("cluster_id")
     ordered.select(fixed_decimals(F.col("v"))).write.text(path)
 
 

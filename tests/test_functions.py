@@ -17,6 +17,7 @@ from plotweave.functions import (
     trim_control,
     vector_add,
     vector_divide,
+    vector_equal,
     whole_text,
 )
 
@@ -96,3 +97,9 @@ def test_vectors(spark):
 def test_fixed_decimals_has_no_grouping(spark):
     df = spark.createDataFrame([([1234567.891, 0.0, -0.5],)], "v array<double>")
     assert df.select(fixed_decimals(F.col("v"))).first()[0] == "1234567.89100 0.00000 -0.50000"
+
+
+def test_vector_equal(spark):
+    rows = [([1.0, 2.0], [1.0, 2.0], True), ([1.0], [1.0, 2.0], False), ([1.0, 2.0], [2.0, 1.0], False), ([], [], True)]
+    table = spark.createDataFrame(rows, "a array<double>, b array<double>, same boolean")
+    assert all(r.e == r.same for r in table.select(vector_equal(F.col("a"), F.col("b")).alias("e"), "same").collect())
