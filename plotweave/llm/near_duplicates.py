@@ -329,16 +329,19 @@ def near_duplicates(
     more = links(_pairs_within(short, similarity)).unionByName(_links_of_long_lists(long, table, size, similarity))
     labels = stage(components(edges.unionByName(more)), "labels")
     known = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = known.groupBy("component").agg(F.min("least").alias("least_of_all"))
+    # Stored first, so that the join can split a large component.
+    known = stage(known.select("key", "least", "component"), "known")
+    least = stage(known.groupBy("component").agg(F.min("least").alias("least_of_all")), "least")
     of_key = stage(known.join(least, "component").select("key", "least_of_all"), "kept")
-    keeper = F.col("least_of_all")
-    out = table.select(ROW, "doc_id", "text", "others", "n", "key").join(of_key, "key", "left")
-    return out.select(
-        ROW, "doc_id", "text", "others", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, keeper["doc_id"]).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(F.col("n") > 0, keeper["doc_id"].eqNullSafe(F.col("doc_id"))).otherwise(F.lit(True)).alias("kept"),
-        F.when(F.col("n") > 0, keeper[ROW] == F.col(ROW)).otherwise(F.lit(True)).alias("kept_row"),
+    keeper, some = F.col("least_of_all"), F.col("n") > 0
+    decided = table.select(ROW, "doc_id", "n", "key").join(of_key, "key", "left").select(
+        ROW,
+        F.when(some, keeper["doc_id"]).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(some, keeper["doc_id"].eqNullSafe(F.col("doc_id"))).otherwise(F.lit(True)).alias("kept"),
+        F.when(some, keeper[ROW] == F.col(ROW)).otherwise(F.lit(True)).alias("kept_row"),
     )
+    rows = table.select(ROW, "doc_id", "text", "others", F.col("n").alias("n_shingles"))
+    return rows.join(decided.hint("shuffle_hash"), ROW)
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
@@ -354,4 +357,25 @@ def op4_near_duplicates(spark, sf_dir):
 
 
 QUERIES = {"op4_near_duplicates": op4_near_duplicates}
-ORACLES: dict[str, str] = {}
+
+# Every pair of documents with a common shingle, and everything that links lead to.
+_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) >= 5
+    THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+shingles AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles AS a JOIN shingles AS b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets UNION
+  SELECT r.a, l.b FROM reached AS r JOIN links AS l ON l.a = r.b)
+SELECT s.doc_id, len(s) AS n_shingles, min(r.b) AS component_id, s.doc_id = min(r.b) AS kept
+FROM sets AS s JOIN reached AS r ON r.a = s.doc_id GROUP BY s.doc_id, s.s
+"""
+ORACLES = {"op4_near_duplicates": _SQL}

@@ -64,6 +64,17 @@ def test_query(spark, sf_dir):
     assert found(near.op4_near_duplicates(spark, sf_dir).collect()) == expected(docs)
 
 
+def test_sql_twin(spark, sf_dir):
+    import duckdb
+
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    rows = near.op4_near_duplicates(spark, sf_dir)
+    expected = connection.sql(near.ORACLES["op4_near_duplicates"])
+    assert rows.columns == expected.columns
+    assert sorted(map(tuple, rows.collect())) == sorted(expected.fetchall())
+
+
 def test_families_and_a_shared_passage(spark, monkeypatch):
     """Chains of edits, a family larger than a short list, and texts that share one passage."""
     monkeypatch.setattr(near, "SHORT_LIST", 6)
