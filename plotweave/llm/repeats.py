@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from plotweave.llm.common import ROW, bucketed, documents, own_texts, slices
-from plotweave.session import stage
+from plotweave.session import drop_stage, stage
 
 LENGTH = 200
 GRAM = 32
@@ -189,7 +189,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     table = bucketed(rows, ROW, "texts")
     texts = table.select(ROW, "text")
     runs = stage(texts.mapInArrow(_all_runs, _RUNS), "runs")
-    spans, left = _resolve(runs)
+    # Most runs are alone in their bucket: only counts are needed to leave them out.
+    several = runs.groupBy("core").agg(F.count("*").alias("members")).where("members > 1")
+    shared = stage(runs.join(several.select("core"), "core", "left_semi").select(runs.columns), "shared_runs")
+    drop_stage(runs)
+    spans, left = _resolve(shared)
     for block in (BLOCK, 1):
         of_text = left.groupBy(ROW).agg(F.collect_list(F.struct("anchor", "first", "last")).alias("runs"))
         finer = texts.join(of_text.hint("shuffle_hash"), ROW).select(ROW, "text", "runs").mapInArrow(_finer(block), _RUNS)
