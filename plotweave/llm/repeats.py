@@ -190,7 +190,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     texts = table.select(ROW, "text")
     runs = stage(texts.mapInArrow(_all_runs, _RUNS), "runs")
     # Most runs are alone in their bucket: only counts are needed to leave them out.
-    several = runs.groupBy("core").agg(F.count("*").alias("members")).where("members > 1")
+    # They are stored first, so that the join can split a bucket that many runs are in.
+    several = stage(runs.groupBy("core").agg(F.count("*").alias("members")).where("members > 1"), "buckets")
     shared = stage(runs.join(several.select("core"), "core", "left_semi").select(runs.columns), "shared_runs")
     drop_stage(runs)
     spans, left = _resolve(shared)
