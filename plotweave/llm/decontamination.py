@@ -3,7 +3,7 @@
 A seed is a fixed mask over word positions: the words under the mask are hashed, the others
 are ignored, so a substituted word spoils only the seeds that look at it. Hashes of all corpus
 positions meet those of the benchmark; the words around every hit are then compared with the
-item, and the longest overlap that tolerates substitutions decides.
+item, and the longest run that is equal but for few substitutions decides.
 
 Built-in functions only. The corpus is never shuffled: hits are rare, and those of one
 alignment are reduced to one row in the task that finds them.
@@ -11,20 +11,25 @@ alignment are reduced to one row in the task that finds them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plotweave.llm.common import documents, split_words
 from plotweave.session import stage
 
-# Positions a seed looks at; no two masks ignore the same words.
-MASKS = [(0, 1, 2, 4, 7, 8), (0, 2, 3, 5, 6, 9), (0, 1, 4, 5, 8, 10)]
+# Positions a seed looks at; no two masks ignore the same words. Every run of 10 to 23 words that
+# meets OVERLAP_WORDS and OVERLAP_SHARE has one of them on equal words only, wherever the others
+# are, and every longer run that meets them contains such a run.
+MASKS = [(0, 1, 3, 4, 5, 6), (0, 1, 2, 5, 7, 9), (0, 1, 2, 4, 9, 10)]
 SPAN = 1 + max(max(m) for m in MASKS)
 # Items with fewer words say nothing about where a text comes from.
 LEAST_WORDS = 3
 # What an overlap needs: so many equal words (or all of a shorter item), and such a share.
 OVERLAP_WORDS = 10
 OVERLAP_SHARE = 0.8
-MISMATCH = -2
+# So many equal words make up for one that differs.
+MATCHES = round(OVERLAP_SHARE / (1 - OVERLAP_SHARE))
 BROADCAST_BYTES = 32 * 1024 * 1024
 SEED_BYTES = 64
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -49,31 +54,76 @@ def _positions(words: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), F.size(words) - 1))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _overlap(doc: Column, item: Column) -> Column:
-    """The best run of aligned words: a match counts 1, a mismatch ``MISMATCH``.
+    """The run of aligned words with the most matches among all whose share of matches is at
+    least ``OVERLAP_SHARE``: struct start, n_words, n_matched.
 
-    One pass with the running score, restarted where it falls to 0.
+    Ties go to the earlier run. It begins and ends with a match; without any match it is empty.
     """
     same = F.zip_with(doc, item, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    zero = F.lit(0)
-    names = "at score start matched best best_start best_end best_matched".split()
+    # The edges of runs: the mismatches, and the places before and after all words.
+    edges = lambda same: F.concat(
+        F.array(F.lit(-1)),
+        F.filter(F.sequence(F.lit(0), F.size(same) - 1), lambda i: ~F.get(same, i)),
+        F.array(F.size(same)),
+    )
+    return _let(same, lambda same: _let(edges(same), lambda e: _let(_widest(e), lambda w: _trimmed(same, e, w))))
+
+
+def _widest(edges: Column) -> Column:
+    """The run between two edges, as struct first, last of their numbers.
+
+    The run between edges a and b has the share where level(b) >= level(a) - ``MATCHES``, with
+    level(x) = edge(x) - (``MATCHES`` + 1) x. Only edges below all levels before them can begin
+    a best run; those are met with the ends from both lists' ends in one walk.
+    """
+    level = F.transform(edges, lambda at, x: at - x * (MATCHES + 1))
+
+    def lower(s: Column, here: Column) -> Column:
+        kept = F.when(here < s["least"], F.concat(s["starts"], F.array(s["x"]))).otherwise(s["starts"])
+        return F.struct((s["x"] + 1).alias("x"), F.least(s["least"], here).alias("least"), kept.alias("starts"))
+
+    none = F.array().cast("array<int>")
+    first = F.struct(F.lit(0).alias("x"), F.lit(2**31 - 1).alias("least"), none.alias("starts"))
+    starts = lambda level: F.aggregate(level, first, lower, lambda s: s["starts"])
+    names = "r b first last matched".split()
 
     def state(*values: Column) -> Column:
         return F.struct(*[v.cast("int").alias(n) for n, v in zip(names, values)])
 
-    def step(s: Column, hit: Column) -> Column:
-        fresh = s["score"] <= 0
-        score = F.when(fresh, zero).otherwise(s["score"]) + F.when(hit, 1).otherwise(MISMATCH)
-        start = F.when(fresh, s["at"]).otherwise(s["start"])
-        matched = F.when(fresh, zero).otherwise(s["matched"]) + hit.cast("int")
-        better = score > s["best"]
-        pick = lambda new, old: F.when(better, new).otherwise(s[old])
-        return state(
-            s["at"] + 1, score, start, matched,
-            pick(score, "best"), pick(start, "best_start"), pick(s["at"] + 1, "best_end"), pick(matched, "best_matched"),
-        )
-
-    return F.aggregate(same, state(*[zero] * len(names)), step)
+    def walk(level: Column, starts: Column) -> Column:
+        def step(s: Column, _: Column) -> Column:
+            a, b = F.get(starts, s["r"]), s["b"]
+            fits = F.get(level, b) >= F.get(level, a) - MATCHES
+            matched = (F.get(edges, b) - b) - (F.get(edges, a) - a)
+            better = fits & (matched >= s["matched"])
+            pick = lambda new, old: F.when(better, new).otherwise(s[old])
+            moved = state(
+                s["r"] - fits.cast("int"), b - (~fits).cast("int"), pick(a, "first"), pick(b, "last"), pick(matched, "matched")
+            )
+            return F.when((s["r"] >= 0) & (b >= 0), moved).otherwise(s)
+
+        start = state(F.size(starts) - 1, F.size(level) - 1, F.lit(0), F.lit(1), F.lit(0))
+        return F.aggregate(F.sequence(F.lit(1), F.size(starts) + F.size(level)), start, step)
+
+    return _let(level, lambda level: _let(starts(level), lambda starts: walk(level, starts)))
+
+
+def _trimmed(same: Column, edges: Column, widest: Column) -> Column:
+    begin = F.get(edges, widest["first"]) + 1
+    inner = F.slice(same, begin + 1, F.get(edges, widest["last"]) - begin)
+    before = lambda run: F.greatest(F.array_position(run, True) - 1, F.lit(0)).cast("int")
+    length = F.size(inner) - before(inner) - before(F.reverse(inner))
+    return F.struct(
+        (begin + before(inner)).alias("start"),
+        F.when(widest["matched"] > 0, length).otherwise(0).alias("n_words"),
+        widest["matched"].alias("n_matched"),
+    )
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -83,8 +133,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROAD
     ``docs`` has ``doc_id, text`` and ``benchmark`` has ``item_id, text``; other columns are
     ignored. ``text_key`` is a hash of the text, so rows that share an id stay apart, and equal
     rows give one result. Null and empty texts overlap with nothing. Items shorter than the
-    masks are searched for whole, items under ``LEAST_WORDS`` words not at all. Ties between
-    overlaps go to the earlier place.
+    masks are searched for whole, items under ``LEAST_WORDS`` words not at all. An overlap is any
+    run of aligned words with ``OVERLAP_WORDS`` matches (all words of a shorter item) and a share
+    of matches of ``OVERLAP_SHARE``; the one with the most matches is given. Ties between
+    overlaps go to the earlier place, then to the shorter run.
 
     The benchmark's seeds are broadcast if they fit ``broadcast_bytes``; a larger benchmark is
     worked through in blocks of items, each of which fits.
@@ -103,7 +155,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROAD
         some = _overlaps_of_block(docs, part, masks)
         found = some if found is None else found.unionByName(some)
     keys = ["doc_id", "text_key", "item_id"]
-    best = F.max_by(F.struct("start", "n_words", "n_matched", "item_words"), F.struct("n_matched", -F.col("start"))).alias("b")
+    best = F.max_by(F.struct("start", "n_words", "n_matched", "item_words"), F.struct("n_matched", -F.col("start"), -F.col("n_words"))).alias("b")
     return found.groupBy(*keys).agg(best).select(*keys, "b.*")
 
 
@@ -136,15 +188,11 @@ def _overlaps_of_block(docs: DataFrame, items: DataFrame, masks: list[tuple[int,
         "doc_id", "text_key", "item_id", "item_words", "shift",
         _overlap(F.col("around"), F.slice(item, head + 1, F.size("around"))).alias("o"),
     )
-    length = F.col("o.best_end") - F.col("o.best_start")
     return compared.select(
         "doc_id", "text_key", "item_id",
-        (F.greatest(F.col("shift"), F.lit(0)) + F.col("o.best_start")).alias("start"),
-        length.alias("n_words"), F.col("o.best_matched").alias("n_matched"), "item_words",
-    ).where(
-        (F.col("n_matched") >= F.least(F.lit(OVERLAP_WORDS), F.col("item_words")))
-        & (F.col("n_matched") >= F.col("n_words") * F.lit(OVERLAP_SHARE))
-    )
+        (F.greatest(F.col("shift"), F.lit(0)) + F.col("o.start")).alias("start"),
+        F.col("o.n_words"), F.col("o.n_matched"), "item_words",
+    ).where(F.col("n_matched") >= F.least(F.lit(OVERLAP_WORDS), F.col("item_words")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

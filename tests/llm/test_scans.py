@@ -1,6 +1,7 @@
 """Licence scan, decontamination and pseudonyms against plain versions."""
 
 import datetime
+import itertools
 import random
 import re
 
@@ -119,6 +120,53 @@ def test_every_single_substitution_is_found(spark, items):
     assert {d for d, _ in overlap_ids(spark, items, texts)} == set(range(len(w)))
 
 
+def brute_overlap(doc, item):
+    """The best of all runs of all alignments: matches, then the earlier and the shorter one."""
+    best = None
+    for shift in range(1 - len(item), len(doc)):
+        same = [0 <= k + shift < len(doc) and doc[k + shift] == x for k, x in enumerate(item)]
+        for i in range(len(item)):
+            for j in range(i + 1, len(item) + 1):
+                n = sum(same[i:j])
+                if same[i] and same[j - 1] and n >= min(10, len(item)) and 5 * n >= 4 * (j - i):
+                    best = max(best or (0,), (n, -(i + shift), -(j - i)))
+    return best and (-best[1], -best[2], best[0])
+
+
+def changed(pick, words, places):
+    return [f"other{pick.randrange(10**6)}" if k in places else x for k, x in enumerate(words)]
+
+
+def test_overlaps_with_substitutions_against_brute_force(spark):
+    pick = random.Random(7)
+    texts = [[f"w{n}x{k}" for k in range(n)] for n in (7, 10, 11, 12, 13, 14, 15, 20, 39)]
+    docs = []
+    for item in texts:
+        n = len(item)
+        if n == 12:
+            docs += [changed(pick, item, {i, j}) for i in range(n) for j in range(i, n)]
+        for share in (0.1, 0.15, 0.2, 0.25):
+            docs += [changed(pick, item, {k for k in range(n) if pick.random() < share}) for _ in range(12)]
+    # A qualifying run within a longer one that does not qualify.
+    docs.append(changed(pick, texts[-1], {*range(10, 14), *range(23, 28)}))
+    docs = [changed(pick, ["x"] * 3, range(3)) + d + ["end"] * (k % 3) for k, d in enumerate(docs)]
+    table = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.start, r.n_words, r.n_matched) for r in dec.overlaps(table, items).collect()}
+    by_first = lambda d: next(i for i, t in enumerate(texts) if set(t) & set(d))
+    expected = {(i, by_first(d)): brute_overlap(d, texts[by_first(d)]) for i, d in enumerate(docs)}
+    assert found == {k: v for k, v in expected.items() if v}
+    assert (len(docs) - 1, len(texts) - 1) in found
+
+
+def test_masks_seed_every_overlap_of_10_to_23_words():
+    for n in range(10, 24):
+        most = min(n - dec.OVERLAP_WORDS, n // 5)
+        placed = [{o + k for k in m} for m in dec.MASKS for o in range(n - max(m))]
+        for places in itertools.combinations(range(n), most):
+            assert any(p.isdisjoint(places) for p in placed), (n, places)
+
+
 def test_blocks_give_the_same(spark, sf_dir):
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     rows = lambda df: sorted(map(tuple, df.collect()))
