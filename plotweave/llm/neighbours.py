@@ -48,8 +48,8 @@ def rotated(vectors: np.ndarray, table: int, seed: int) -> np.ndarray:
     return x
 
 
-def buckets(vectors: np.ndarray, table: int, seed: int, probes: int) -> np.ndarray:
-    """Per row the ``probes`` signed axes nearest to it, the nearest first: axis * 2 + sign."""
+def buckets(vectors: np.ndarray, table: int, seed: int, probes: int | None) -> np.ndarray:
+    """Per row the ``probes`` signed axes nearest to it (all if None), the nearest first: axis * 2 + sign."""
     x = rotated(vectors, table, seed)
     signed = np.stack([x, -x], axis=2).reshape(len(x), -1)
     return np.argsort(-signed, axis=1, kind="stable")[:, :probes]
@@ -87,7 +87,7 @@ def distinct_vectors(rows: DataFrame, most: int) -> DataFrame:
     return stage(classes.select(F.monotonically_increasing_id().alias("class_id"), "v", "ids"), "vector_classes")
 
 
-def _hashed(rows: DataFrame, columns: list[str], tables: int, probes: int, seed: int) -> DataFrame:
+def _hashed(rows: DataFrame, columns: list[str], tables: int, probes: int | None, seed: int) -> DataFrame:
     """``dims, table, bucket`` and ``columns`` (among them ``v``), a row per table and probe."""
     kept = [rows.schema[c] for c in columns]
 
@@ -112,33 +112,9 @@ def _hashed(rows: DataFrame, columns: list[str], tables: int, probes: int, seed:
     return rows.select(columns).mapInArrow(run, f"dims int, table int, bucket int, {types}")
 
 
-def search(
-    vectors: DataFrame,
-    is_query: Column,
-    id_column: str = "vec_id",
-    vector_column: str = "embedding",
-    nearest: int = NEAREST,
-    tables: int = TABLES,
-    probes: int = PROBES,
-    seed: int = SEED,
-) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``nearest`` rows found for each query row.
-
-    ``is_query`` chooses query rows by ``vec_id``; all rows are candidates, but for the
-    query's own id. ``score`` is the cosine in double precision; ties go to the smaller id.
-    Rows without an id, and vectors that are null, empty, zero or hold a null or a number
-    that is not finite, take no part. Vectors of different lengths are never compared. Rows
-    that repeat id and vector count once. An empty table gives no rows.
-
-    Equal vectors are searched for, and found, as one. A query's cost is the share of the
-    index in its ``tables * probes`` buckets. Work is dealt out in cells of a bucket's vectors
-    by its queries, both bounded, so neither a full bucket nor a popular query is one task.
-    """
-    rows = usable_vectors(vectors, id_column, vector_column)
-    classes = distinct_vectors(rows, nearest + 1)
-    queries = rows.where(is_query).distinct().join(classes.select("class_id", "v"), "v").select("vec_id", "class_id")
-    queries = stage(queries.withColumnRenamed("vec_id", "query_id"), "queries")
-    asked = classes.join(queries.select("class_id").distinct(), "class_id", "left_semi")
+def _lists(classes: DataFrame, asked: DataFrame, nearest: int, tables: int, probes: int | None, seed: int) -> DataFrame:
+    """``query_class, found``: the ``nearest`` + 1 best entries that each class of ``asked`` meets
+    in its ``probes`` buckets of each table; in all buckets if ``probes`` is None."""
     place = ["dims", "table", "bucket"]
     index = _hashed(classes, ["class_id", "v", "ids"], tables, 1, seed)
     probe = _hashed(asked, ["class_id", "v"], tables, probes, seed)
@@ -201,10 +177,52 @@ def search(
     entries = pairs.select("query_class", "score", F.explode("ids").alias("vec_id"))
     order = Window.partitionBy("query_class").orderBy(F.desc("score"), "vec_id")
     best = entries.withColumn("n", F.row_number().over(order)).where(F.col("n") <= nearest + 1)
-    lists = best.groupBy("query_class").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("found"))
-    answered = queries.join(lists, F.col("class_id") == F.col("query_class"))
-    others = F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("query_id")), 1, nearest)
-    return answered.select("query_id", F.posexplode(others).alias("p", "x")).select(
+    return best.groupBy("query_class").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("found"))
+
+
+def search(
+    vectors: DataFrame,
+    is_query: Column,
+    id_column: str = "vec_id",
+    vector_column: str = "embedding",
+    nearest: int = NEAREST,
+    tables: int = TABLES,
+    probes: int = PROBES,
+    seed: int = SEED,
+) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``nearest`` rows found for each query row.
+
+    ``is_query`` chooses query rows by ``vec_id``; all rows are candidates, but for the
+    query's own id. ``score`` is the cosine in double precision; ties go to the smaller id.
+    Rows without an id, and vectors that are null, empty, zero or hold a null or a number
+    that is not finite, take no part. Vectors of different lengths are never compared. Rows
+    that repeat id and vector count once. An empty table gives no rows.
+
+    A query has ``nearest`` rows, or all other vectors of its length if they are fewer: one
+    whose buckets hold too few looks into all buckets of one table, an exact search.
+
+    Equal vectors are searched for, and found, as one. Any other query's cost is the share of the
+    index in its ``tables * probes`` buckets. Work is dealt out in cells of a bucket's vectors
+    by its queries, both bounded, so neither a full bucket nor a popular query is one task.
+    """
+    rows = usable_vectors(vectors, id_column, vector_column)
+    classes = distinct_vectors(rows, nearest + 1)
+    queries = rows.where(is_query).distinct().join(classes.select("class_id", "v"), "v").select("vec_id", "class_id")
+    queries = stage(queries.withColumnRenamed("vec_id", "query_id"), "queries")
+    asked = classes.join(queries.select("class_id").distinct(), "class_id", "left_semi")
+    short = lambda rows: rows.where(F.coalesce(F.size(others), F.lit(0)) < nearest)
+    others = F.filter("found", lambda x: x["vec_id"] != F.col("query_id"))
+    lists = stage(_lists(classes, asked, nearest, tables, probes, seed), "lists")
+    answered = queries.join(lists, F.col("class_id") == F.col("query_class"), "left")
+    # The buckets of these held too little: one table, whose buckets hold every vector once.
+    lacking = stage(short(answered).select("class_id").distinct(), "lacking")
+    if not lacking.isEmpty():
+        rest = classes.join(lacking, "class_id", "left_semi")
+        lists = lists.join(lacking, F.col("query_class") == F.col("class_id"), "left_anti").unionByName(
+            _lists(classes, rest, nearest, 1, None, seed)
+        )
+        answered = queries.join(lists, F.col("class_id") == F.col("query_class"))
+    return answered.select("query_id", F.posexplode(F.slice(others, 1, nearest)).alias("p", "x")).select(
         "query_id", (F.col("p") + 1).cast("int").alias("rank"), "x.vec_id", "x.score"
     )
 

@@ -211,6 +211,33 @@ def test_recall(spark, sf_dir):
     assert set(found) == set(expected) and np.mean(hits) >= 0.9
 
 
+def listed(found):
+    out = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r["rank"])):
+        out.setdefault(r.query_id, []).append((round(-r.score, 9), r.vec_id))
+    return out
+
+
+def test_small_tables_and_isolated_queries_have_all_neighbours(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 3, 6, 10, 20):
+        rows = [(i * 50, rng.normal(size=64).tolist()) for i in range(n)]
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/{n}/embeddings.parquet")
+        found = listed(neighbours.op9_neighbours(spark, f"{tmp_path}/{n}").collect())
+        assert {q: len(x) for q, x in found.items()} == {i: min(5, n - 1) for i, _ in rows if n > 1}
+        if n <= 6:
+            assert found == {q: x for q, x in brute_neighbours(rows, lambda i: True).items() if x}
+    # A crowd, one vector away from it, and four of another length.
+    crowd = rng.normal(size=64)
+    rows = [(i, (crowd + 0.01 * rng.normal(size=64)).tolist()) for i in range(1, 60)]
+    rows += [(0, (-crowd).tolist())] + [(100 + 50 * k, rng.normal(size=32).tolist()) for k in range(4)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = listed(neighbours.search(table, F.col("vec_id") % 50 == 0).collect())
+    expected = brute_neighbours(rows, lambda i: i % 50 == 0)
+    assert {q: len(x) for q, x in found.items()} == {q: len(x) for q, x in expected.items()}
+    assert all(found[q] == expected[q] for q in (0, 100, 150, 200, 250) if q in expected)
+
+
 # -- pipeline and registry -------------------------------------------------------------
 
 
