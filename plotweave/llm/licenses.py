@@ -1,4 +1,4 @@
-"""Licence scan: a positional index of rare template words, and phrase counts.
+"""Licence scan: template words in their places around mandatory phrases, and phrase counts.
 
 Built-in functions only, one row at a time; nothing but word counts is shuffled.
 """
@@ -6,6 +6,7 @@ Built-in functions only, one row at a time; nothing but word counts is shuffled.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -69,8 +70,8 @@ TEMPLATES = [
     ),
 ]
 
-# How many of a file's rarest licence words are looked up, and how many words a phrase may be
-# away from where the template has it.
+# How many of a template's words in a file count as its rarest ones, and how many words a phrase
+# may be away from where the template has it.
 RARE_WORDS = 8
 DRIFT = 3
 # The share of a template's looked-up words that must stand at one relative position.
@@ -136,9 +137,11 @@ def scan_licenses(
     lists sorted and distinct; ``score``, the best share of a template that was found, at
     least ``PHRASE_SCORE`` where a phrase stands.
 
-    A template counts when a file has the mandatory phrase, when at least ``COVERAGE`` of the
-    postings of the file's rarest licence words agree on one relative position, and when the
-    phrase stands near where that position puts it. ``rarity`` comes from ``word_rarity``.
+    A template counts when a file has the mandatory phrase and, at any relative position that
+    puts the phrase near one of its places, at least ``COVERAGE`` of the template's words that
+    the file has stand where the template has them: of all of them, or of the rarest. Templates
+    are judged one by one, so what else a file holds takes nothing from them. ``rarity`` comes
+    from ``word_rarity``.
     Null and empty texts have no words and no findings. Equal rows get equal findings.
     """
     words = F.col("__words")
@@ -175,75 +178,48 @@ def _has_any(words: Column, phrases) -> Column:
     return F.arrays_overlap(words, F.lit(anchors))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _templates_found(words: Column, rarity: dict[str, float], templates: list[tuple[str, str, str]]) -> Column:
     """The templates that a file has: array of struct label, share."""
-    vocabulary = sorted(_vocabulary(templates), key=lambda w: (-rarity[w], w))
-    # Postings per word, the rarest word first: (template, position).
-    postings = [
-        [(t, at) for t, (text, _, _) in enumerate(templates) for at, x in enumerate(text.split()) if x == w]
-        for w in vocabulary
-    ]
-    pairs = [F.array(*[F.struct(F.lit(t).alias("t"), F.lit(at).alias("at")) for t, at in p]) for p in postings]
-    posting_lists = F.array(*pairs)
-    # The ranks of the file's rarest licence words.
-    present = F.array_intersect(F.lit(vocabulary), words)
-    rare = F.slice(F.transform(present, lambda w: F.array_position(F.lit(vocabulary), w).cast("int") - 1), 1, RARE_WORDS)
-
-    def votes_of(rank: Column) -> Column:
-        word = F.get(F.lit(vocabulary), rank)
-        places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i) == word)
-        return F.flatten(
-            F.transform(
-                F.get(posting_lists, rank),
-                lambda p: F.transform(places, lambda i: F.struct(p["t"].alias("t"), (i - p["at"]).alias("shift"))),
-            )
-        )
-
-    votes = F.array_sort(F.flatten(F.transform(rare, votes_of)))
-
-    # Runs of equal votes, in one pass over the sorted votes; the longest run per template.
-    def step(s: Column, v: Column) -> Column:
-        same = (s["t"] == v["t"]) & (s["shift"] == v["shift"])
-        run = F.when(same, s["run"] + 1).otherwise(1)
-        new_template = s["t"] != v["t"]
-        done = F.when(
-            new_template & (s["best"] > 0),
-            F.concat(s["done"], F.array(F.struct(s["t"].alias("t"), s["best_shift"].alias("shift"), s["best"].alias("n")))),
-        ).otherwise(s["done"])
-        best = F.when(new_template, 0).otherwise(s["best"])
-        better = run > best
-        return F.struct(
-            v["t"].alias("t"), v["shift"].alias("shift"), run.alias("run"),
-            F.when(better, run).otherwise(best).alias("best"),
-            F.when(better, v["shift"]).otherwise(s["best_shift"]).alias("best_shift"),
-            done.alias("done"),
-        )
-
-    start = F.struct(
-        F.lit(-1).alias("t"), F.lit(0).alias("shift"), F.lit(0).alias("run"), F.lit(0).alias("best"),
-        F.lit(0).alias("best_shift"), F.array().cast("array<struct<t:int,shift:int,n:int>>").alias("done"),
-    )
-    end = lambda s: F.when(
-        s["best"] > 0, F.concat(s["done"], F.array(F.struct(s["t"].alias("t"), s["best_shift"].alias("shift"), s["best"].alias("n"))))
-    ).otherwise(s["done"])
-    runs = F.aggregate(votes, start, step, end)
-
-    key_at = [_offset(text.split(), phrase.split()) for text, phrase, _ in templates]
-    phrases, labels = F.lit([t[1] for t in templates]), F.lit([t[2] for t in templates])
-    # How many postings the looked-up words have in each template.
-    of_template = lambda t: F.aggregate(
-        F.transform(rare, lambda r: F.size(F.filter(F.get(posting_lists, r), lambda p: p["t"] == t))), F.lit(0), lambda a, x: a + x
+    present = F.array_intersect(words, F.lit(_vocabulary(templates)))
+    shares = lambda present: F.array(
+        *[
+            F.struct(F.lit(label).alias("label"), _share(words, present, text.split(), phrase, rarity).alias("share"))
+            for text, phrase, label in templates
+        ]
     )
+    return F.filter(_let(present, shares), lambda x: x["share"] >= COVERAGE)
 
-    def judged(run: Column) -> Column:
-        phrase = F.get(phrases, run["t"])
-        first = F.greatest(run["shift"] + F.get(F.lit(key_at), run["t"]) - DRIFT, F.lit(0)) + 1
-        near = F.array_join(F.slice(words, first, F.size(F.split(phrase, " ")) + 2 * DRIFT), " ")
-        stands = F.contains(F.concat(F.lit(" "), near, F.lit(" ")), F.concat(F.lit(" "), phrase, F.lit(" ")))
-        share = F.least(run["n"] / F.greatest(of_template(run["t"]), F.lit(1)), F.lit(1.0))
-        return F.struct(F.get(labels, run["t"]).alias("label"), F.when(stands, share).otherwise(0.0).alias("share"))
 
-    return F.filter(F.transform(runs, judged), lambda x: x["share"] >= COVERAGE)
+def _share(words: Column, present: Column, text: list[str], phrase: str, rarity: dict[str, float]) -> Column:
+    """The best share of the template's words in the file that stand at one relative position.
+
+    Positions are judged around every place of the phrase; without one the share is 0.
+    """
+    template, key_at = F.lit(text), _offset(text, phrase.split())
+    by_rarity = sorted(set(text), key=lambda w: (-rarity[w], w))
+    every = F.lit(list(range(len(text))))
+    places_of = lambda known: F.filter(every, lambda k: F.array_contains(known, F.get(template, k)))
+    rare = F.slice(F.array_intersect(F.lit(by_rarity), present), 1, RARE_WORDS)
+
+    def at_position(looked_up: Column, shift: Column) -> Column:
+        standing = F.filter(looked_up, lambda k: F.get(words, shift + k) == F.get(template, k))
+        return F.size(standing) / F.size(looked_up)
+
+    drifts = F.lit(list(range(-DRIFT, DRIFT + 1)))
+    shifts = lambda at: F.array_distinct(F.flatten(F.transform(at, lambda i: F.transform(drifts, lambda d: i - key_at + d))))
+    best = lambda looked_up, shifts: F.array_max(F.transform(shifts, lambda x: at_position(looked_up, x)))
+    judged = lambda at: _let(
+        shifts(at),
+        lambda x: F.greatest(
+            _let(places_of(present), lambda known: best(known, x)), _let(places_of(rare), lambda known: best(known, x))
+        ),
+    )
+    return _let(_phrase_places(words, phrase), lambda at: F.when(F.size(at) > 0, judged(at)).otherwise(0.0))
 
 
 def _offset(text: list[str], phrase: list[str]) -> int:

@@ -72,6 +72,26 @@ def test_templates(spark):
     assert found[4].score == 0.0
 
 
+def test_all_pairs_of_notices_in_one_file(spark, corpus):
+    rng = random.Random(3)
+    common = sorted({w for text, _, _ in licenses.TEMPLATES for w in text.split()} - {"license", "licensed", "cc"})
+    filler = lambda n: " ".join(rng.choice(common) if rng.random() < 0.2 else f"word{rng.randrange(500)}" for _ in range(n))
+    texts, wanted = [], []
+    for (a, _, x), (b, _, y) in itertools.combinations(licenses.TEMPLATES, 2):
+        texts += [f"{a} . {b}", f"{filler(300)} {b} {filler(300)} {a} {filler(300)}"]
+        wanted += [{x, y}] * 2
+    texts += [" next ".join(t for t, _, _ in licenses.TEMPLATES)]
+    wanted += [{label for _, _, label in licenses.TEMPLATES}]
+    # A phrase far from its notice, and the whole notice later.
+    text, phrase, label = licenses.TEMPLATES[1]
+    texts += [f"{phrase} {filler(40)} {text} {filler(40)} {phrase}"]
+    wanted += [{label}]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rarity = licenses.word_rarity(docs.unionByName(corpus.select("doc_id", "text")))
+    for r in licenses.scan_licenses(docs, rarity).collect():
+        assert wanted[r.doc_id] <= set(r.template_labels.split(",")) and r.score == 1.0, r.text
+
+
 def test_no_documents(empty):
     assert scan(empty) == [] and pii.pseudonymize(empty).count() == 0
     items = empty.select("item_id", "text")
