@@ -35,7 +35,7 @@ FORMATS = {
 }
 ANY = "|".join(f"(?:{p})" for p in FORMATS.values())
 # What every match has: texts without it are passed over.
-_HINT = r"[0-9]{2}|@|[0-9]\.[0-9]"
+_HINT = r"[0-9]{2}|@|[0-9]\.[0-9]|[0-9a-f]{32}"
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:

@@ -263,6 +263,12 @@ def test_secrets_and_mail(spark):
     assert again.split()[1].lower() == text.split()[-1].removesuffix("###").lower()
 
 
+def test_secret_without_adjacent_digits_standing_alone(spark):
+    secrets = ["a1b2c3d4e5f6a7b8c9d0e1f2a3b4c5d6", "a" * 31 + "1", "1" + "abcdef" * 6, "a1b2c3d4" * 8]
+    for old, (new, kinds) in zip(secrets, replaced(spark, [f"key = {x}" for x in secrets])):
+        assert kinds == ["secret"] and old not in new and re.fullmatch(r"key = [0-9a-f]{%d}" % len(old), new)
+
+
 def test_permutations_are_one_to_one(spark):
     for n in (1, 2, 3):
         numbers = spark.range(10**n).select(F.lpad(F.col("id").cast("string"), n, "0").alias("d"))
