@@ -10,6 +10,7 @@ from plotweave.llm import (
     near_duplicates,
     neighbours,
     packing,
+    passages,
     pii,
     quality,
     repeats,
@@ -18,6 +19,7 @@ from plotweave.llm import (
 
 _MODULES = [
     packing, licenses, decontamination, near_duplicates, toxicity, quality, id_files, pii, neighbours, repeats,
+    passages,
 ]
 
 
