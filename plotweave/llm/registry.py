@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from plotweave.llm import (
+    alignment,
     decontamination,
     id_files,
     licenses,
@@ -15,11 +16,12 @@ from plotweave.llm import (
     quality,
     repeats,
     toxicity,
+    vector_codes,
 )
 
 _MODULES = [
     packing, licenses, decontamination, near_duplicates, toxicity, quality, id_files, pii, neighbours, repeats,
-    passages,
+    alignment, vector_codes, passages,
 ]
 
 
