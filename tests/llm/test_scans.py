@@ -1,6 +1,7 @@
 """Licence scan, decontamination and pseudonyms against plain versions."""
 
 import datetime
+import hashlib
 import itertools
 import random
 import re
@@ -299,3 +300,128 @@ def test_query_leaves_no_valid_number(spark, sf_dir):
         assert pattern.split(old)[0] == pattern.split(r.text)[0] and r.n_replaced <= len(hits)
         for kind, hit in (("card", h) for h in re.findall(r"(?<![0-9A-Za-z.])[0-9]{16}(?![0-9A-Za-z])", old)):
             assert (hit in r.text) == (not luhn(hit)), kind
+
+
+LONG = 1_000_000
+
+
+@pytest.mark.parametrize(
+    "start,unit,end",
+    [
+        ("x@", "a.", "a"), ("", "a.", "@b.c"), ("", "1.", "2"), ("+1 ", "22 ", ""), ("", "1234 ", ""), ("", "a1", ""), ("", "A1", ""),
+        ("DE89 ", "AB12 ", ""), ("", "@", ""), ("", "2024-01-", ""), ("", "(415) ", ""), ("+", "1", ""),
+    ],
+)
+def test_long_texts_of_every_shape(spark, start, unit, end):
+    text = start + unit * (LONG // len(unit)) + end
+    ((new, _),) = replaced(spark, [text])
+    assert len(new) >= len(text) * 0.9
+
+
+def test_phone_numbers_of_every_spelling(spark):
+    texts = [
+        "+14155552671", "+442071838750", "+1 415 555 2671", "+49 30 901820", "+353 1 679 3700", "415 555 2671", "415.555.2671",
+        "(415) 555-2671", "415-555-2671",
+    ]
+    for old, (new, kinds) in zip(texts, replaced(spark, texts)):
+        code = re.match(r"(\+(?:1|44|49|353))?", old)[0]
+        assert kinds == ["phone"] and mask(new) == mask(old) and new.startswith(code)
+        assert new[len(code) :] != old[len(code) :]
+    assert all(k == [] for _, k in replaced(spark, ["115 555 2671", "version 415.155.2671", "12 34 56"]))
+
+
+def test_other_numbers(spark):
+    texts = ["123-45-6789", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "3782 822463 10005", "9B0B3C6A43EB78AA99CBD7049C572391"]
+    found = replaced(spark, texts)
+    assert [k for _, k in found] == [["social"], ["iban"], ["iban"], ["card"], ["secret"]]
+    for old, (new, kinds) in zip(texts, found):
+        assert new != old and re.sub("[A-Z]", "A", mask(new)) == re.sub("[A-Z]", "A", mask(old)) or kinds == ["secret"]
+        if kinds == ["iban"]:
+            plain = new.replace(" ", "")
+            assert plain[:2] == old[:2] and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert luhn(re.sub("[^0-9]", "", found[3][0])) and re.fullmatch("[0-9A-F]{32}", found[4][0])
+    wrong = ["000-45-6789", "123-00-6789", "DE88 3704 0044 0532 0130 00", "3782 822463 10006"]
+    assert replaced(spark, wrong) == [(t, []) for t in wrong]
+
+
+def test_as_many_pseudonyms_as_values(spark):
+    """Different values of a kind stay different, short names and many values alike."""
+    n = 20_000
+    number = F.lpad(F.col("id").cast("string"), 9, "0")
+    part = lambda a, b: F.substring(number, a, b)
+    letters = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")
+    kinds = {
+        "email": F.concat(letters, F.lit("@example.com")), "phone": F.concat(F.lit("+1415"), part(3, 7)),
+        "ip": F.concat_ws(".", F.lit("10"), F.lit("7"), F.floor(F.col("id") / 256), F.col("id") % 256),
+        "social": F.concat(F.lit("123-"), F.lpad((F.col("id") % 99 + 1).cast("string"), 2, "0"), F.lit("-"), F.lpad((F.col("id") % 9999 + 1).cast("string"), 4, "0")),
+        "secret": F.concat(number, F.lit("a" * 24)),
+    }
+    for kind, value in kinds.items():
+        docs = spark.range(n).select(F.col("id").alias("doc_id"), value.alias("text")).repartition(8)
+        rows = pii.pseudonymize(docs).where(F.size("replaced") == 1)
+        found = rows.agg(F.count("*").alias("n"), F.countDistinct("text").alias("new")).first()
+        old = docs.select("text").distinct().count()
+        assert (found.n, found.new) == (n, old), kind
+    one = [f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyz"]
+    assert len({t for t, _ in replaced(spark, one)}) == 26
+
+
+def test_a_column_named_replaced_stays(spark):
+    docs = spark.createDataFrame([(1, "call +14155552671", 5, 6)], "doc_id long, text string, replaced int, __mapped0 int")
+    rows = pii.pseudonymize(docs)
+    assert rows.columns == docs.columns and rows.schema == docs.schema
+    (row,) = rows.collect()
+    assert row.replaced == 5 and row["__mapped0"] == 6 and "4155552671" not in row.text
+
+
+def _round(key, what, i, value):
+    return int(hashlib.sha256(f"{key}|{what}|{i}|{value}".encode()).hexdigest()[:15], 16)
+
+
+def _permuted(key, what, digits):
+    left = len(digits) // 2
+    a, b = int(digits[:left] or 0), int(digits[left:] or 0)
+    sizes = (10**left, 10 ** (len(digits) - left))
+    for i in range(pii.ROUNDS):
+        a, b = b, (a + _round(key, what, i, b) % sizes[i % 2]) % sizes[i % 2]
+    pad = lambda x, n: str(x).zfill(n) if n else ""
+    return pad(a, left) + pad(b, len(digits) - left)
+
+
+def _plain(text, key=pii.KEY):
+    """A reading of its own, for cards and phone numbers in a row of separate tokens."""
+    out = []
+    for token in text.split("; "):
+        digits = re.sub("[^0-9]", "", token)
+        if re.fullmatch("[0-9]{4}(?:[ -]?[0-9]{4}){3}", token) and luhn(digits):
+            body = _permuted(key, "card", digits[:-1])
+            new = body + next(str(c) for c in range(10) if luhn(body + str(c)))
+        elif re.fullmatch(r"\+1 ?[0-9]{3}[ -][0-9]{3}[ -][0-9]{4}", token):
+            new = "1" + _permuted(key, "phone", digits[1:])
+        else:
+            out.append(token)
+            continue
+        left = iter(new)
+        out.append("".join(next(left) if c.isdigit() else c for c in token))
+    return "; ".join(out)
+
+
+def test_texts_equal_a_plain_reading(spark):
+    pick = random.Random(9)
+    digits = lambda n: "".join(pick.choice("0123456789") for _ in range(n))
+
+    def token():
+        kind = pick.randrange(4)
+        if kind == 0:
+            body = digits(15)
+            number = body + next(str(c) for c in range(10) if luhn(body + str(c)))
+            mark = pick.choice(["", " ", "-"])
+            return mark.join(number[k : k + 4] for k in range(0, 16, 4))
+        if kind == 1:
+            return digits(16)
+        if kind == 2:
+            return f"+1{pick.choice(['', ' '])}{digits(3)}{pick.choice([' ', '-'])}{digits(3)}-{digits(4)}"
+        return pick.choice(["word", "two words", "12", "x@y"])
+
+    texts = ["; ".join(token() for _ in range(pick.randrange(1, 12))) for _ in range(300)]
+    assert [t for t, _ in replaced(spark, texts)] == [_plain(t) for t in texts]
