@@ -23,6 +23,9 @@ SEED = 20_11
 # A cell, the unit of work, holds so many vectors and so many queries of one bucket.
 CELL_VECTORS = 4096
 CELL_QUERIES = 1024
+# What a product of unit vectors may be off per dimension, and pairs ranked exactly at a time.
+ROUNDING = 1e-15
+PAIRS_AT_ONCE = 1 << 14
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -153,18 +156,21 @@ def _lists(classes: DataFrame, asked: DataFrame, nearest: int, tables: int, prob
             first = np.array([x[0] for x in held.column("ids").to_pylist()])
             near = (q / np.linalg.norm(q, axis=1)[:, None]) @ (c / np.linalg.norm(c, axis=1)[:, None]).T
             most = min(nearest + 1, len(c))
-            # A few more than needed: the product only preselects, rounding included.
-            take = min(len(c), 2 * most)
-            best = np.argpartition(-near, take - 1, axis=1)[:, :take] if take < len(c) else np.tile(np.arange(len(c)), (len(q), 1))
-            x, y = q[:, None, :], c[best]
-            exact = (x * y).sum(axis=2) / (np.sqrt((x * x).sum(axis=2)) * np.sqrt((y * y).sum(axis=2)))
-            order = np.lexsort((first[best], -exact), axis=1)[:, :most]
-            rows = np.arange(len(q))[:, None]
-            members = best[rows, order].ravel()
+            # The product only preselects: everything within its rounding of the last one needed.
+            least = np.partition(near, len(c) - most, axis=1)[:, len(c) - most] - ROUNDING * d
+            row, column = np.nonzero(near >= least[:, None])
+            exact = np.empty(len(row))
+            for k in range(0, len(row), PAIRS_AT_ONCE):
+                x, y = q[row[k : k + PAIRS_AT_ONCE]], c[column[k : k + PAIRS_AT_ONCE]]
+                exact[k : k + PAIRS_AT_ONCE] = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
+            order = np.lexsort((first[column], -exact, row))
+            of_row = np.searchsorted(row, np.arange(len(q)))
+            chosen = order[(of_row[:, None] + np.arange(most)).ravel()]
+            members = column[chosen]
             out = {
                 "query_class": np.repeat(asked.column("query_class").to_numpy(), most),
                 "class_id": held.column("class_id").to_numpy()[members],
-                "score": exact[rows, order].ravel(),
+                "score": exact[chosen],
                 "ids": held.column("ids").combine_chunks().take(pa.array(members)),
             }
         schema = pa.schema([("query_class", pa.int64()), ("class_id", pa.int64()), ("score", pa.float64()), ("ids", pa.list_(pa.int64()))])
