@@ -63,7 +63,7 @@ def _byte_of_letter() -> dict[str, int]:
 @lru_cache(maxsize=2)
 def byte_tokens(path: str) -> pa.Array:
     """The bytes of each id of the byte-level tokenizer; special tokens as their own text."""
-    tokenizer = encoder(path).tokenizer
+    tokenizer = encoder(path, plain=True).tokenizer
     letters = _byte_of_letter()
     vocabulary = tokenizer.get_vocab(with_added_tokens=True)
     out = [b""] * (max(vocabulary.values()) + 1)
@@ -233,7 +233,7 @@ def _stored(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _tokens(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_a, of_b = encoder(path_a), piece_encoder(path_b)
+        of_a, of_b = encoder(path_a, plain=True), piece_encoder(path_b)
         tokens_a, tokens_b = byte_tokens(path_a), of_b.tokens
         if max(len(tokens_a), len(tokens_b)) > 1 << 16:
             raise ValueError("ids of more than 16 bits")

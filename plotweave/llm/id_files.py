@@ -2,11 +2,13 @@
 
 Format. ``shards`` is a table with one row per shard: ``shard``, ``part``, ``n_ids`` and
 ``payload``, the bare ids of its documents one after the other, little-endian, two bytes each
-(four where the vocabulary needs it). Shards are numbered in ascending document order.
-``index`` has one row per hash bucket of keys: ``pilots`` and, by slot, ``fingerprints`` and
-the places ``shards, offsets, lengths, starts, parts``. A key's slot is computed from its hash and
-one pilot, so a lookup reads one bucket row, whatever the number of documents. A key that was
-never stored is told apart by its fingerprint.
+(four where the vocabulary needs it), beside them the documents' keys and offsets. Shards are
+numbered in ascending document order. ``index`` has one row per hash bucket of keys: ``seed``,
+``pilots`` and, by slot, ``fingerprints`` and the places ``shards, offsets, lengths, starts,
+parts``. A key's slot is computed from its hash, which the bucket's seed makes distinct, and one
+pilot, so a lookup needs one bucket row, whatever the number of documents. A key that was never
+stored is told apart by its fingerprint, and for certain by the key beside the payload. Both
+tables lie in files by bucket and by shard; the lookup of a few keys reads only theirs.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ SHARDS_PER_TASK = 1 << 24
 BUCKET_KEYS = 2000
 KEYS_PER_PILOT = 3
 PILOTS_AT_ONCE = 64
+# Up to so many index buckets, or shards, a lookup names them to the scan.
+FEW = 1000
 
 _ONE, _TWO = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -51,6 +55,23 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
     return (mixed(keys, 2_000_003) >> np.uint64(32)).astype("<u4")
 
 
+def key_hashes(doc_ids: pa.Array, repeats: np.ndarray, seed: int) -> np.ndarray:
+    """A 64-bit hash of each key. Which keys share one changes with the seed."""
+    ids = doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype("int64").view("uint64")
+    rest = repeats.astype("uint64") * np.uint64(2) + doc_ids.is_null().to_numpy(zero_copy_only=False).astype("uint64")
+    return mixed(mixed(ids, 2 * seed) ^ mixed(rest, 2 * seed + 1), seed)
+
+
+def distinct_hashes(doc_ids: pa.Array, repeats: np.ndarray) -> tuple[int, np.ndarray]:
+    """The first seed by which no two of the keys, which are distinct, share a hash."""
+    seed = 0
+    while True:
+        hashes = key_hashes(doc_ids, repeats, seed)
+        if len(np.unique(hashes)) == len(hashes):
+            return seed, hashes
+        seed += 1
+
+
 def build_pilots(keys: np.ndarray) -> np.ndarray:
     """Pilots that send ``keys``, which are distinct, to the slots 0..n-1 without a clash.
 
@@ -172,7 +193,7 @@ def write_ids(
     places = stored.select(
         "part", "shard", F.explode(F.arrays_zip("doc_ids", "repeats", "starts", "offsets", "lengths")).alias("x")
     ).select(
-        F.xxhash64("x.doc_ids", "x.repeats").alias("key"), "part", "shard",
+        F.col("x.doc_ids").alias("doc_id"), F.col("x.repeats").alias("repeat"), "part", "shard",
         F.col("x.starts").alias("start"), F.col("x.offsets").alias("offset"), F.col("x.lengths").alias("length"),
     )
     totals = stored.groupBy("part").agg(
@@ -185,8 +206,8 @@ def write_ids(
     n_buckets = max(1, -(-sum(r["keys"] for r in totals) // BUCKET_KEYS))
     spark = docs.sparkSession
     return IdFiles(
-        stored.select("shard", "part", "n_ids", "payload"),
-        stage(_index(places, n_buckets), "id_index"),
+        stored.select("shard", "part", "n_ids", "payload", "doc_ids", "repeats", "offsets"),
+        bucketed(_index(places, n_buckets), "bucket", "id_index"),
         # One row per partition written.
         spark.createDataFrame(part_starts, "part int, part_start long"),
         n_buckets,
@@ -202,15 +223,16 @@ def bucketed_by_shard(shards: DataFrame) -> DataFrame:
 
 
 def _bucket(n_buckets: int):
-    return F.pmod(F.xxhash64(F.col("key"), F.lit(17)), F.lit(n_buckets)).alias("bucket")
+    return F.pmod(F.xxhash64("doc_id", "repeat", F.lit(17)), F.lit(n_buckets)).alias("bucket")
 
 
-_INDEX = "bucket long, n int, pilots binary, fingerprints binary, shards binary, parts binary, offsets binary, lengths binary, starts binary"
+_INDEX = "bucket long, n int, seed long, pilots binary, fingerprints binary, shards binary, parts binary, offsets binary, lengths binary, starts binary"
 
 
 def _index(places: DataFrame, n_buckets: int) -> DataFrame:
     def build(group: pa.Table) -> pa.Table:
-        keys = group.column("key").to_numpy().view("uint64")
+        group = group.combine_chunks()
+        seed, keys = distinct_hashes(group.column("doc_id").combine_chunks(), group.column("repeat").to_numpy())
         n, pilots = len(keys), build_pilots(keys)
         by_slot = np.argsort(slots_of(keys, pilots, n))
         column = lambda c: group.column(c).to_numpy()[by_slot].astype("<i8").tobytes()
@@ -218,6 +240,7 @@ def _index(places: DataFrame, n_buckets: int) -> DataFrame:
             {
                 "bucket": pa.array([group.column("bucket")[0].as_py()], pa.int64()),
                 "n": pa.array([n], pa.int32()),
+                "seed": pa.array([seed], pa.int64()),
                 "pilots": [pilots.tobytes()],
                 "fingerprints": [fingerprints(keys)[by_slot].tobytes()],
                 "shards": [column("shard")], "parts": [column("part")], "offsets": [column("offset")],
@@ -232,7 +255,8 @@ def find(files: IdFiles, keys: DataFrame) -> DataFrame:
     """``doc_id, repeat, part, shard, offset, length, start`` of the keys that are stored.
 
     ``keys`` has distinct ``doc_id, repeat``. One bucket of the index serves all its keys;
-    ``start`` counts the ids before the document.
+    ``start`` counts the ids before the document. A key that is not stored passes the fingerprint
+    once in 2**32 times; ``read_ids`` compares the keys themselves.
     """
 
     def look_up(wanted: pa.Table, bucket: pa.Table) -> pa.Table:
@@ -243,7 +267,7 @@ def find(files: IdFiles, keys: DataFrame) -> DataFrame:
                 "offset", pa.array([], pa.int64())
             ).append_column("length", pa.array([], pa.int64())).append_column("start", pa.array([], pa.int64()))
         row = {c: bucket.column(c)[0].as_py() for c in bucket.column_names}
-        keys = wanted.column("key").to_numpy().view("uint64")
+        keys = key_hashes(wanted.column("doc_id").combine_chunks(), wanted.column("repeat").to_numpy(), row["seed"])
         slots = slots_of(keys, np.frombuffer(row["pilots"], "<i4"), row["n"])
         stored = np.frombuffer(row["fingerprints"], "<u4")[slots] == fingerprints(keys)
         values = {c: np.frombuffer(row[c], "<i8")[slots][stored] for c in ("parts", "shards", "offsets", "lengths", "starts")}
@@ -256,15 +280,21 @@ def find(files: IdFiles, keys: DataFrame) -> DataFrame:
             }
         )
 
-    hashed = keys.select("doc_id", "repeat", F.xxhash64("doc_id", "repeat").alias("key"))
-    hashed = hashed.select(_bucket(files.n_buckets), "*")
+    hashed = keys.select(_bucket(files.n_buckets), "doc_id", "repeat")
+    index = _only(files.index, "bucket", hashed)
     schema = "doc_id long, repeat long, part int, shard long, offset long, length long, start long"
-    found = hashed.groupBy("bucket").cogroup(files.index.groupBy("bucket")).applyInArrow(look_up, schema)
+    found = hashed.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInArrow(look_up, schema)
     return found.join(F.broadcast(files.part_starts), "part").withColumn(
         "start", F.col("start") + F.col("part_start")
     ).drop("part_start")
 
 
+def _only(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``table`` with the values of ``key`` that are wanted named to its scan, if they are few."""
+    few = [r[0] for r in wanted.select(key).distinct().limit(FEW + 1).collect()]
+    return table if len(few) > FEW else table.where(F.col(key).isin(few))
+
+
 def read_ids(files: IdFiles, keys: DataFrame) -> DataFrame:
     """``doc_id, repeat, start, n_tokens, ids`` (unsigned 32-bit) of the keys that are stored.
 
@@ -272,9 +302,14 @@ def read_ids(files: IdFiles, keys: DataFrame) -> DataFrame:
     """
 
     def cut(places: pa.Table, shard: pa.Table) -> pa.Table:
-        if not places.num_rows:
-            out = []
-        else:
+        out = []
+        if places.num_rows and not shard.num_rows:
+            places = places.slice(0, 0)
+        elif places.num_rows:
+            stored = zip(*[shard.column(c)[0].as_py() for c in ("offsets", "doc_ids", "repeats")])
+            keys = {offset: (doc_id, repeat) for offset, doc_id, repeat in stored}
+            asked = zip(*[places.column(c).to_pylist() for c in ("offset", "doc_id", "repeat")])
+            places = places.filter(pa.array([keys[o] == (d, r) for o, d, r in asked]))
             payload = shard.column("payload")[0].as_py()
             width = "<u2" if len(payload) == 2 * shard.column("n_ids")[0].as_py() else "<u4"
             ids = np.frombuffer(payload, width).astype("<u4")
@@ -290,7 +325,8 @@ def read_ids(files: IdFiles, keys: DataFrame) -> DataFrame:
 
     schema = "doc_id long, repeat long, start long, n_tokens long, ids binary"
     places = find(files, keys)
-    return places.groupBy("shard").cogroup(files.shards.groupBy("shard")).applyInArrow(cut, schema)
+    shards = _only(files.shards, "shard", places)
+    return places.groupBy("shard").cogroup(shards.groupBy("shard")).applyInArrow(cut, schema)
 
 
 def keys_of(docs: DataFrame) -> DataFrame:

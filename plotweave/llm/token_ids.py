@@ -39,21 +39,27 @@ def default_path() -> str:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> "Encoder":
+def encoder(path: str, plain: bool = False) -> "Encoder":
     """The encoder of this worker process; it serves one task after the other."""
-    return Encoder(path)
+    return Encoder(path, plain)
 
 
 class Encoder:
-    """``encode`` gives the ids of texts as bytes; null is the empty text."""
+    """``encode`` gives the ids of texts as bytes; null is the empty text.
 
-    def __init__(self, path: str):
+    The strings of special tokens in a text are these tokens, as the tokenizer has it by itself;
+    if ``plain``, they are ordinary text.
+    """
+
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # The strings of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
+        special = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Texts with one of them are encoded as a whole.
+        self.special = "|".join(re.escape(t) for t in special)
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
@@ -61,10 +67,15 @@ class Encoder:
         """The ids of each of ``texts``, an array of strings."""
         texts = texts.cast(pa.large_string()).fill_null("")
         slow = pc.match_substring_regex(texts, _SLOW)
+        whole = pc.match_substring_regex(texts, self.special) if self.special else pa.array(np.zeros(len(texts), bool))
+        slow = pc.or_(slow, whole)
         plain = pc.if_else(slow, "", texts)
         out = self._joined(pc.split_pattern(pc.replace_substring(plain, " ", "\0 "), "\0"))
         for i in np.flatnonzero(slow.to_numpy(zero_copy_only=False)):
-            out[i] = b"".join(self._ids(_UNIT_START.split(texts[i].as_py())))
+            text = texts[i].as_py()
+            out[i] = self._bytes(self.tokenizer.encode(text, add_special_tokens=False)) if whole[i].as_py() else b"".join(
+                self._ids(_UNIT_START.split(text))
+            )
         if len(self.known) > KNOWN_UNITS:
             self.older = {u: x for u, x in self.known.items() if len(u) <= LONG_UNIT}
             self.known = {"": b""}
@@ -80,12 +91,16 @@ class Encoder:
                     known[u] = older[u]
             new = [u for u in new if u not in known]
             for u, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                ids = array("I", e.ids)
-                if sys.byteorder == "big":
-                    ids.byteswap()
-                known[u] = ids.tobytes()
+                known[u] = self._bytes(e)
         return [known[u] for u in units]
 
+    @staticmethod
+    def _bytes(encoded) -> bytes:
+        ids = array("I", encoded.ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
     def _joined(self, split: pa.Array) -> list[bytes]:
         """The ids of texts that are given as lists of units.
 

@@ -1,6 +1,7 @@
 """Packing and token-id files against plain encoding."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -15,7 +16,6 @@ from plotweave.llm.token_ids import Encoder, default_path
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(default_path())
-    tokenizer.encode_special_tokens = True
     return lambda text: list(tokenizer.encode(text or "", add_special_tokens=False).ids)
 
 
@@ -23,7 +23,7 @@ def test_encoder_equals_the_tokenizer(plain):
     pick = random.Random(3)
     alphabet = list("ab.'s,\n \t#é1  \0|½́-  ")
     texts = ["".join(pick.choice(alphabet) for _ in range(pick.randint(0, 30))) for _ in range(3000)]
-    texts += [None, "", "a   b", "a \n b", "it's we'll", "end\n", "<|endoftext|> x", "x . y ,z", "don't. 'S", "###a###"]
+    texts += [None, "", "a   b", "a \n b", "it's we'll", "end\n", "<|endoftext|> x", "a <|endoftext|>b  c", "<|endoftext|>" * 3, "<|endoftext| >", "x . y ,z", "don't. 'S", "###a###"]
     found = Encoder(default_path()).encode(pa.array(texts))
     assert [np.frombuffer(x, "<u4").tolist() for x in found] == [plain(t) for t in texts]
 
@@ -139,3 +139,40 @@ def test_op7_equals_plain_encoding(spark, sf_dir, plain):
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids) // 4, zlib.crc32(ids))
         at += len(ids) // 4
     assert not rows
+
+
+def test_keys_with_one_hash_are_hashed_again(monkeypatch):
+    """A bucket whose keys share a hash by its first seeds."""
+    plain, tried = id_files.key_hashes, []
+
+    def narrow(doc_ids, repeats, seed):
+        tried.append(seed)
+        return plain(doc_ids, repeats, seed) >> np.uint64(62 if seed < 2 else 0)
+
+    monkeypatch.setattr(id_files, "key_hashes", narrow)
+    ids, repeats = pa.array([5, 5, 7, None, None, 0]), np.array([0, 1, 0, 0, 1, 0])
+    seed, hashes = id_files.distinct_hashes(ids, repeats)
+    assert seed == 2 and tried == [0, 1, 2] and len(set(hashes.tolist())) == 6
+
+
+def test_lookup_of_few_keys_reads_their_files_only(spark, corpus, plain):
+    docs = corpus.select("doc_id", "text").unionByName(spark.range(1000, 1400).selectExpr("id AS doc_id", "repeat('some words ', int(id)) AS text"))
+    files = id_files.write_ids(docs, shard_ids=2000)
+    keys = spark.createDataFrame([(1001, 0), (1203, 0), (99999, 0), (11, 1)], "doc_id long, repeat long")
+    rows = id_files.read_ids(files, keys)
+    found = {(r.doc_id, r.repeat): np.frombuffer(r.ids, "<u4").tolist() for r in rows.collect()}
+    assert set(found) == {(1001, 0), (1203, 0), (11, 1)}
+    assert found[(1001, 0)] == plain("some words " * 1001) + [2]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    parts = re.findall(r"SelectedBucketsCount: (\d+) out of (\d+)", plan)
+    assert len(parts) >= 2 and all(int(some) < int(every) for some, every in parts)
+
+
+def test_a_key_with_anothers_fingerprint_is_not_read(spark, monkeypatch):
+    """Places that the index gives for keys that were never stored."""
+    docs = spark.createDataFrame([(1, "one"), (2, "two words")], "doc_id long, text string")
+    files = id_files.write_ids(docs)
+    place = id_files.find(files, id_files.keys_of(docs)).where("doc_id = 1").toPandas().assign(doc_id=77)
+    wrong = spark.createDataFrame(place)
+    monkeypatch.setattr(id_files, "find", lambda files, keys: wrong)
+    assert id_files.read_ids(files, id_files.keys_of(docs)).collect() == []
