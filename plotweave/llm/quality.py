@@ -25,11 +25,10 @@ CLASSES = [
 LAGS = tuple(range(1, 33))
 HASHED = 16
 
-# Nothing is learned from more labelled documents than this; which ones a hash decides.
+# Nothing is learned from more labelled documents than this, nor from more passages together;
+# which ones a hash decides. Those that take part do so with their whole texts.
 TRAINING_DOCUMENTS = 6_000
-# And a document takes part in training with this many passages, spread evenly over it. In
-# scoring all passages count.
-TRAINING_PASSAGES = 48
+TRAINING_PASSAGES = 200_000
 HIDDEN, ATTENTION = 24, 12
 EPOCHS, BATCH, STEP, DECAY = 30, 64, 0.01, 1e-4
 THRESHOLD = 0.3
@@ -161,33 +160,52 @@ def fit(bags: list[np.ndarray], y: np.ndarray, seed: int = 7) -> tuple[np.ndarra
     return mean, scale, tuple(w)
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS) -> QualityModel:
-    """A model from at most ``most`` labelled documents outside the held-out fold.
+def training_rows(docs: DataFrame, labels: DataFrame, most: int, passages: int) -> DataFrame:
+    """``text, quality`` of the labelled rows outside the held-out fold that are learned from.
 
-    ``labels`` has ``doc_id, quality``; rows with a null in either are left out. The
-    passages' vectors are made in Spark; those of the bounded sample, ``TRAINING_PASSAGES``
-    for a document at most, reach the driver. Without documents of both kinds the model
-    scores everything as the share of labels 1.
+    They are taken in the order of a hash, ``most`` at most and as many whole texts as have no
+    more than ``passages`` passages together; a text that alone has more is passed over. Rows
+    that repeat id and text count once.
     """
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    chosen = smallest_by_hash(usable.groupBy("doc_id").agg(F.max("quality").alias("quality")), "doc_id", most)
+    chosen = smallest_by_hash(usable.groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality")), "doc_id", most)
+    # Bounded by ``most``; so is the list of rows below.
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    size = F.greatest(F.ceil(F.octet_length(F.coalesce("text", F.lit(""))) / PASSAGE_BYTES), F.lit(1))
+    known = rows.select("doc_id", F.xxhash64("text").alias("of_text"), size.cast("long").alias("size")).distinct()
+    taken, total = [], 0
+    for r in known.orderBy(F.xxhash64("doc_id"), "doc_id", "of_text").limit(most).collect():
+        if total + r["size"] <= passages:
+            taken.append((r.doc_id, r.of_text))
+            total += r["size"]
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    listed = docs.sparkSession.createDataFrame(taken, f"doc_id {kind}, of_text long")
+    return rows.withColumn("of_text", F.xxhash64("text")).join(F.broadcast(listed), ["doc_id", "of_text"]).select("doc_id", "text", "quality")
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS, passages: int = TRAINING_PASSAGES
+) -> QualityModel:
+    """A model from the rows that ``training_rows`` chooses.
+
+    ``labels`` has ``doc_id, quality``; rows with a null in either are left out. The passages'
+    vectors are made in Spark; those of the bounded sample reach the driver. Without documents of
+    both kinds the model scores everything as the share of labels 1.
+    """
 
     def bags_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 x, counts = encode_passages(part.column("text"))
                 ends = np.cumsum(counts)
-                bags = []
-                for a, b in zip(ends - counts, ends):
-                    at = np.unique(np.linspace(a, b - 1, min(TRAINING_PASSAGES, b - a)).astype("int64"))
-                    bags.append(x[at].astype("<f4").tobytes())
+                bags = [x[a:b].astype("<f4").tobytes() for a, b in zip(ends - counts, ends)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("quality"), pa.array(bags, pa.binary())], names=["quality", "bag"]
+                    [part.column("doc_id"), part.column("quality"), pa.array(bags, pa.binary())], names=["doc_id", "quality", "bag"]
                 )
 
-    # The sample is bounded by ``most``.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("quality").cast("int").alias("quality"))
-    sample = rows.mapInArrow(bags_of, "quality int, bag binary").toArrow()
+    rows = training_rows(docs, labels, most, passages)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    sample = rows.mapInArrow(bags_of, f"doc_id {kind}, quality int, bag binary").distinct().select("quality", "bag").toArrow()
     # In one order whatever the partitions were.
     sample = sample.sort_by([("bag", "ascending"), ("quality", "ascending")])
     y = np.array(sample.column("quality").to_pylist(), float)

@@ -161,6 +161,21 @@ def test_quality_of_odd_rows(spark, corpus, empty, sf_dir):
     assert quality.score_quality(corpus, quality.train(empty, labels)).count() == corpus.count()
 
 
+def test_training_takes_whole_texts(spark, monkeypatch):
+    """Bags of all passages, no more than allowed together, and repeated rows once."""
+    bags = []
+    plain = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda b, y: bags.append([len(x) for x in b]) or plain(b, y))
+    rows = [(k, "good words here " * 16 * (200 if k % 4 else 1)) for k in range(40)]
+    docs = spark.createDataFrame(rows + rows[:10] * 3, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(40)], "doc_id long, quality int")
+    fold = [k for k in range(40) if zlib.crc32(str(k).encode()) % 5]
+    quality.train(docs, labels)
+    assert sorted(bags[0]) == sorted(200 if k % 4 else 1 for k in fold)
+    quality.train(docs, labels, passages=1000)
+    assert 600 < sum(bags[1]) <= 1000 and set(bags[1]) <= {1, 200}
+
+
 # -- neighbours ------------------------------------------------------------------------
 
 
@@ -218,6 +233,17 @@ def listed(found):
     return out
 
 
+def test_ties_of_many_multiples_go_to_the_smallest_ids(spark):
+    """Multiples of one vector by powers of two have one cosine with each other."""
+    base = [0.3, -1.7, 2.2, 0.9, 0.1, -0.4, 1.1, 3.3]
+    rows = [(k, [x * 2.0 ** (k % 37) for x in base]) for k in range(1, 300)]
+    random.Random(4).shuffle(rows)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = listed(neighbours.search(table, F.col("vec_id") % 50 == 0).collect())
+    for q, near in found.items():
+        assert [i for _, i in near] == [1, 2, 3, 4, 5], q
+
+
 def test_small_tables_and_isolated_queries_have_all_neighbours(spark, tmp_path):
     rng = np.random.default_rng(5)
     for n in (1, 2, 3, 6, 10, 20):
