@@ -17,6 +17,7 @@ broadcast is bounded, and what is shuffled are rare pairs only.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,21 +27,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from plotweave.llm.common import ROW, documents, slices
-from plotweave.llm.token_ids import default_path as byte_path, encoder
+from plotweave.llm.token_ids import Encoder, default_path as byte_path, encoder
 from plotweave.session import drop_stage, stage, stage_measured
 
 # Of the counts, which take ``PAIR_BYTES`` each, so many bytes are broadcast at most.
 BUDGET = 32 * 1024 * 1024
 PAIR_BYTES = 16
 # Texts, and the ids of texts, are worked on in slices of about so many bytes.
-TEXT_SLICE = 2_000_000
-ID_SLICE = 1_000_000
+TEXT_SLICE = 4_000_000
+ID_SLICE = 500_000
 # Pairs a task adds up before it passes them on.
 PAIRS_HELD = 2_000_000
-# Units remembered per worker process: between one and two times this number.
-KNOWN_UNITS = 400_000
-LONG_UNIT = 48
+# Units remembered per worker process and tokenizer: between one and two times this number.
+KNOWN_UNITS = 200_000
 SPACE = "\u2581"
+_LETTER, _MARK = "[a-zA-Z\u00c0-\u024f]", r"[!-@\[-`{-~\n]"
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 
@@ -63,7 +64,7 @@ def _byte_of_letter() -> dict[str, int]:
 @lru_cache(maxsize=2)
 def byte_tokens(path: str) -> pa.Array:
     """The bytes of each id of the byte-level tokenizer; special tokens as their own text."""
-    tokenizer = encoder(path, plain=True).tokenizer
+    tokenizer = encoder(path, True, KNOWN_UNITS).tokenizer
     letters = _byte_of_letter()
     vocabulary = tokenizer.get_vocab(with_added_tokens=True)
     out = [b""] * (max(vocabulary.values()) + 1)
@@ -78,67 +79,48 @@ def piece_encoder(path: str) -> "PieceEncoder":
     return PieceEncoder(path)
 
 
-class PieceEncoder:
-    """Ids of texts by a sentencepiece model, which sets a space before each.
+class PieceEncoder(Encoder):
+    """Ids of texts by a sentencepiece model. Texts are given with the space that it sets before them.
 
-    No piece of the vocabulary has a space after another character, so no merge crosses the
-    place where a space follows one. Texts are cut there, and a unit that recurs is encoded once
-    as long as the worker remembers it. With another vocabulary texts are encoded as a whole.
+    A merge makes a piece of the vocabulary, so none crosses a place between two characters that
+    stand side by side in no piece. Texts are cut before spaces and between letters and
+    punctuation if the vocabulary allows that, and a unit that recurs is encoded once as long as
+    the worker remembers it.
     """
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
-        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.cuts = not any(SPACE in p.lstrip(SPACE) for p in pieces)
+        ids = range(self.model.get_piece_size())
+        pieces = [self.model.id_to_piece(i) for i in ids]
+        of_text = [p.replace(SPACE, " ") for i, p in zip(ids, pieces) if not self.model.is_byte(i) and not self.model.is_control(i)]
+        allowed = lambda before, after: not any(re.search(before + after, p) for p in of_text)
+        # A line break is a byte of its own: units are encoded after one.
+        self.before = self.model.encode("\n")
+        self.at_spaces = allowed("[^ ]", " ") and not any("\n" in p for p in of_text)
+        self.cuts = [(f"({a})({b})", "\\1\0\\2") for a, b in ((_LETTER, _MARK), (_MARK, _LETTER)) if allowed(a, b)]
         self.tokens = pa.array(
             [
                 bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode()
-                for i, p in enumerate(pieces)
+                for i, p in zip(ids, pieces)
             ],
             pa.large_binary(),
         )
-        # The model gives an empty text no ids, and so no space.
-        self.short = {"": np.zeros(0, "int64"), " ": np.array([self.model.piece_to_id(SPACE)])}
-        self.known: dict[str, np.ndarray] = dict(self.short)
-        self.older: dict[str, np.ndarray] = {}
-
-    def encode(self, spaced: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, each given with the space before it, and how many each has."""
-        whole = pc.match_substring_regex(spaced, f"\\x00|{SPACE}") if self.cuts else pa.array(np.ones(len(spaced), bool))
-        split = pc.split_pattern(pc.replace_substring_regex(pc.if_else(whole, "", spaced), "([^ ]) ", "\\1\0 "), "\0")
-        units = split.flatten().dictionary_encode()
-        of_unit = self._ids(units.dictionary.to_pylist())
-        sizes = np.array([len(x) for x in of_unit], "int64")
-        table = np.concatenate([np.zeros(0, "int64"), *of_unit])
-        codes = units.indices.to_numpy()
-        ids = table[_ranges((np.cumsum(sizes) - sizes)[codes], sizes[codes])]
-        ends = split.offsets.to_numpy().astype("int64")
-        after = np.concatenate([[0], np.cumsum(sizes[codes])])[ends - ends[0]]
-        rows = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
-        if not len(rows):
-            return ids, np.diff(after)
-        parts = [ids[a:b] for a, b in zip(after.tolist(), after[1:].tolist())]
-        for i in rows:
-            parts[i] = np.array(self.model.encode(spaced[i].as_py()[1:]), "int64")
-        return np.concatenate(parts), np.array([len(p) for p in parts])
-
-    def _ids(self, units: list[str]) -> list[np.ndarray]:
-        if len(self.known) > KNOWN_UNITS:
-            self.older = {u: x for u, x in self.known.items() if len(u) <= LONG_UNIT}
-            self.known = dict(self.short)
-        known, older = self.known, self.older
-        new = []
-        for u in units:
-            if u not in known:
-                if u in older:
-                    known[u] = older[u]
-                else:
-                    new.append(u)
-        for u, ids in zip(new, self.model.encode([u[1:] for u in new], num_threads=1) if new else []):
-            known[u] = np.array(ids, "int64")
-        return [known[u] for u in units]
+        self._remember(KNOWN_UNITS)
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        whole = pc.match_substring_regex(texts, f"\\x00|{SPACE}") if self.at_spaces else pa.array(np.ones(len(texts), bool))
+        plain = pc.if_else(whole, "", texts)
+        out = self._joined(pc.split_pattern(pc.replace_substring_regex(plain, "([^ ]) ", "\\1\0 "), "\0"))
+        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)):
+            out[i] = self._bytes(self.model.encode(texts[i].as_py()[1:]))
+        self._forget()
+        return out
+
+    def _encoded(self, units: list[str]) -> list[bytes]:
+        skipped = len(self.before)
+        return [self._bytes(ids[skipped:]) for ids in self.model.encode(["\n" + u for u in units], num_threads=1)]
 
 
 # -- numpy on token ends ---------------------------------------------------------------
@@ -233,7 +215,7 @@ def _stored(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _tokens(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_a, of_b = encoder(path_a, plain=True), piece_encoder(path_b)
+        of_a, of_b = encoder(path_a, True, KNOWN_UNITS), piece_encoder(path_b)
         tokens_a, tokens_b = byte_tokens(path_a), of_b.tokens
         if max(len(tokens_a), len(tokens_b)) > 1 << 16:
             raise ValueError("ids of more than 16 bits")
@@ -242,10 +224,7 @@ def _tokens(path_a: str, path_b: str):
                 texts = part.column("text").cast(pa.large_string()).fill_null("")
                 present = pc.not_equal(texts, "")
                 spaced = pc.if_else(present, pc.binary_join_element_wise(pa.scalar("", texts.type), texts, pa.scalar(" ", texts.type)), "")
-                found_a = [np.frombuffer(x, "<u4") for x in of_a.encode(spaced)]
-                ids_b, sizes_b = of_b.encode(spaced)
-                ids_a = np.concatenate([np.zeros(0, "<u4"), *found_a])
-                sizes_a = np.array([len(x) for x in found_a], "int64")
+                (ids_a, sizes_a), (ids_b, sizes_b) = (_flat(e.encode(spaced)) for e in (of_a, of_b))
                 valid = present.to_numpy(zero_copy_only=False)
                 valid = valid & _joins(tokens_a, ids_a, sizes_a, spaced) & _joins(tokens_b, ids_b, sizes_b, spaced)
                 columns = [part.column(ROW), part.column("doc_id")]
@@ -259,6 +238,10 @@ def _tokens(path_a: str, path_b: str):
     return run
 
 
+def _flat(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(rows), "<u4"), np.array([len(r) for r in rows], "int64") // 4
+
+
 def _joins(tokens: pa.Array, ids: np.ndarray, sizes: np.ndarray, texts: pa.Array) -> np.ndarray:
     """Whether the bytes of each text's tokens are the text."""
     joined = tokens.take(pa.array(ids))

@@ -39,19 +39,21 @@ def default_path() -> str:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, plain: bool = False) -> "Encoder":
+def encoder(path: str, plain: bool = False, known_units: int | None = None) -> "Encoder":
     """The encoder of this worker process; it serves one task after the other."""
-    return Encoder(path, plain)
+    return Encoder(path, plain, known_units)
 
 
 class Encoder:
     """``encode`` gives the ids of texts as bytes; null is the empty text.
 
     The strings of special tokens in a text are these tokens, as the tokenizer has it by itself;
-    if ``plain``, they are ordinary text.
+    if ``plain``, they are ordinary text. ``known_units`` is how many units it remembers.
     """
 
-    def __init__(self, path: str, plain: bool = False):
+    cuts = _CUTS
+
+    def __init__(self, path: str, plain: bool = False, known_units: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -60,9 +62,18 @@ class Encoder:
         special = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Texts with one of them are encoded as a whole.
         self.special = "|".join(re.escape(t) for t in special)
+        self._remember(known_units)
+
+    def _remember(self, known_units: int | None) -> None:
+        self.most = known_units
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
+    def _forget(self) -> None:
+        if len(self.known) > (self.most or KNOWN_UNITS):
+            self.older = {u: x for u, x in self.known.items() if len(u) <= LONG_UNIT}
+            self.known = {"": b""}
+
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each of ``texts``, an array of strings."""
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -73,12 +84,10 @@ class Encoder:
         out = self._joined(pc.split_pattern(pc.replace_substring(plain, " ", "\0 "), "\0"))
         for i in np.flatnonzero(slow.to_numpy(zero_copy_only=False)):
             text = texts[i].as_py()
-            out[i] = self._bytes(self.tokenizer.encode(text, add_special_tokens=False)) if whole[i].as_py() else b"".join(
+            out[i] = self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids) if whole[i].as_py() else b"".join(
                 self._ids(_UNIT_START.split(text))
             )
-        if len(self.known) > KNOWN_UNITS:
-            self.older = {u: x for u, x in self.known.items() if len(u) <= LONG_UNIT}
-            self.known = {"": b""}
+        self._forget()
         return out
 
     def _ids(self, units: list[str]) -> list[bytes]:
@@ -90,13 +99,15 @@ class Encoder:
                 if u in older:
                     known[u] = older[u]
             new = [u for u in new if u not in known]
-            for u, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[u] = self._bytes(e)
+            known.update(zip(new, self._encoded(new)))
         return [known[u] for u in units]
 
+    def _encoded(self, units: list[str]) -> list[bytes]:
+        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+
     @staticmethod
-    def _bytes(encoded) -> bytes:
-        ids = array("I", encoded.ids)
+    def _bytes(ids: list[int]) -> bytes:
+        ids = array("I", ids)
         if sys.byteorder == "big":
             ids.byteswap()
         return ids.tobytes()
@@ -110,7 +121,7 @@ class Encoder:
         ends = split.offsets.to_numpy().astype("int64")
         units = split.flatten().dictionary_encode()
         cut = units.dictionary
-        for pattern, replacement in _CUTS:
+        for pattern, replacement in self.cuts:
             cut = pc.replace_substring_regex(cut, pattern, replacement)
         cut = pc.split_pattern(cut, "\0")
         pieces = cut.flatten().dictionary_encode()
