@@ -67,3 +67,62 @@ def _nearest_in_block(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndar
         exact[~allowed[:, columns]] = np.inf
         best[close] = columns[exact.argmin(1)]
     return best, np.sqrt(((x - c[best]) ** 2).sum(1))
+
+
+def second_distances(x: np.ndarray, c: np.ndarray, best: np.ndarray) -> np.ndarray:
+    """A lower bound on each row's distance to all rows of ``c`` but its ``best`` one, close to the least."""
+    out = [np.zeros(0)]
+    start = 0
+    cc = (c * c).sum(1)
+    for block in blocks(x, len(c)):
+        own = best[start : start + len(block)]
+        start += len(block)
+        xx = (block * block).sum(1)
+        rough = xx[:, None] - 2.0 * (block @ c.T) + cc
+        rough[np.arange(len(block)), own] = np.inf
+        slack = 1e-12 * (xx + cc.max(initial=0.0))
+        out.append(np.sqrt(np.maximum(rough.min(1, initial=np.inf) - slack, 0.0)))
+    return np.concatenate(out)
+
+
+class Counted:
+    """Sums per cluster in whole numbers of ``unit``, exact whatever the order.
+
+    A number of 58 bits is cut into three pieces that a product of floating-point matrices adds up
+    without rounding.
+    """
+
+    PIECE = 20
+
+    def __init__(self, shape: tuple[int, ...], unit: float):
+        self.unit, self.pieces = unit, [np.zeros(shape, "int64") for _ in range(3)]
+
+    def _cut(self, values: np.ndarray) -> list[np.ndarray]:
+        whole, mask = np.rint(values / self.unit).astype("int64"), (1 << self.PIECE) - 1
+        return [whole & mask, (whole >> self.PIECE) & mask, whole >> (2 * self.PIECE)]
+
+    def add_rows(self, rows: np.ndarray, cluster: np.ndarray) -> None:
+        """Adds each row to the sum of its cluster."""
+        k, start = len(self.pieces[0]), 0
+        for block in blocks(rows, k):
+            member = np.zeros((k, len(block)))
+            member[cluster[start : start + len(block)], np.arange(len(block))] = 1.0
+            start += len(block)
+            for total, piece in zip(self.pieces, self._cut(block)):
+                total += (member @ piece.astype("float64")).astype("int64")
+
+    def add(self, values: np.ndarray, cluster: np.ndarray) -> None:
+        for total, piece in zip(self.pieces, self._cut(values)):
+            total += np.bincount(cluster, weights=piece, minlength=len(total)).astype("int64")
+
+    def parts(self) -> tuple[np.ndarray, np.ndarray]:
+        """High and low parts of the sums; both may be added up as integers."""
+        low, middle, high = self.pieces
+        middle = middle + (low >> self.PIECE)
+        high = high + (middle >> self.PIECE)
+        mask = (1 << self.PIECE) - 1
+        return high, ((middle & mask) << self.PIECE) + (low & mask)
+
+    @classmethod
+    def value(cls, high: np.ndarray, low: np.ndarray, unit: float) -> np.ndarray:
+        return (high.astype("float64") * float(1 << (2 * cls.PIECE)) + low.astype("float64")) * unit

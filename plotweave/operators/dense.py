@@ -1,9 +1,13 @@
 """Dense vectors: vectorising, nearest centroids, seeding and Lloyd's iterations.
 
 Points are ``id, v`` with ``v`` an array of float or double; centroids are
-``cluster_id, v``. Centroids are few: they go to the tasks as one matrix, and the points
-never move. Distances are computed on Arrow batches with numpy, which measured about
-20 times faster per point than array lambdas for 10 centroids of 64 dimensions.
+``cluster_id, v``. Centroids that fit the budget go to the tasks as one matrix; more of them are
+stored in blocks, of which driver and tasks hold one at a time. The points never move. Distances
+are computed on Arrow batches with numpy, which measured about 20 times faster per point than
+array lambdas for 10 centroids of 64 dimensions.
+
+Sums over points are sums of whole numbers (``functions.exact``), so means and costs are the
+same bits whatever the partitions and whichever tasks were run again.
 """
 
 from __future__ import annotations
@@ -16,10 +20,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from plotweave.functions.exact import sum_of, sum_parts, unit_of, units
 from plotweave.functions.vectors import distance
-from plotweave.operators.batches import batch_matrix, blocks, nearest_rows
+from plotweave.operators.batches import Counted, batch_matrix, blocks, nearest_rows, second_distances
 from plotweave.plans.lookup import BROADCAST_BYTES, join_lookup
-from plotweave.session import drop_stage, stage
+from plotweave.runs import Run
+from plotweave.session import drop_stage, stage, stage_path
 
 # When a centroid counts as unmoved, and how many the seeding picks.
 TOLERANCE = 0.01
@@ -29,6 +35,12 @@ CLUSTERS = 3
 CENTROID_VALUES = BROADCAST_BYTES // 8
 # A seeding stores the points' distances after so many picks, and starts from there.
 PICKS_PER_STORE = 16
+# Farthest points that a seeding gets from each pass; it picks as many as that pass proves.
+CANDIDATES = 64
+# Bytes of past turns that the driver holds before it stores them.
+HELD_BYTES = 32 * 1024 * 1024
+# With pruning, points are settled anew when fewer comparisons than this share were spared.
+SPARED = 0.5
 
 
 # -- vectors ---------------------------------------------------------------------------
@@ -89,8 +101,12 @@ class _Centroids:
     matrix: np.ndarray
 
 
+def _centroid_bytes(centroids: DataFrame) -> int:
+    return centroids.agg(F.sum(F.size("v").cast("long") * 8).alias("n")).first().n or 0
+
+
 def _collect_centroids(centroids: DataFrame) -> _Centroids:
-    """The centroids in cluster order. They are few by nature; ``sparse`` keeps them in Spark."""
+    """The centroids in cluster order; the caller has measured them."""
     rows = centroids.select("cluster_id", F.col("v").cast("array<double>").alias("v")).orderBy("cluster_id").toArrow()
     if not rows.num_rows:
         raise ValueError("no centroids")
@@ -121,12 +137,18 @@ def _centroid_table(spark: SparkSession, ids, matrix) -> DataFrame:
 # -- operators -------------------------------------------------------------------------
 
 
-def assign(points: DataFrame, centroids: DataFrame, with_vectors: bool = False) -> DataFrame:
+def assign(
+    points: DataFrame, centroids: DataFrame, with_vectors: bool = False, budget: int = BROADCAST_BYTES
+) -> DataFrame:
     """``id, cluster_id, distance``: the nearest centroid, the lowest id among equals.
 
     ``with_vectors`` passes ``v`` on, so that ``update_centroids`` needs no second look at the
-    points. A point without a vector has no cluster.
+    points. A point without a vector has no cluster. Centroids beyond ``budget`` bytes are met
+    block by block, in a pass over the points for each.
     """
+    names = ["id", "cluster_id", "distance"] + (["v"] if with_vectors else [])
+    if _centroid_bytes(centroids) > budget:
+        return _assign_in_blocks(points, centroids, budget).select(names)
     known = _collect_centroids(centroids)
     step = max(1, CENTROID_VALUES // max(known.matrix.shape[1], 1))
 
@@ -138,16 +160,74 @@ def assign(points: DataFrame, centroids: DataFrame, with_vectors: bool = False)
             cluster, distance = np.zeros(len(v), "int32"), np.zeros(len(v))
             cluster[valid], distance[valid] = known.ids[best], d
             columns = [batch.column("id"), pa.array(cluster, mask=~valid), pa.array(distance, mask=~valid)]
-            names = ["id", "cluster_id", "distance"]
-            if with_vectors:
-                columns, names = columns + [v], names + ["v"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns + ([v] if with_vectors else []), names=names)
 
     kind = {c: points.schema[c].dataType.simpleString() for c in ("id", "v")}
     schema = f"id {kind['id']}, cluster_id int, distance double" + (f", v {kind['v']}" if with_vectors else "")
     return points.select("id", "v").mapInArrow(nearest, schema)
 
 
+def centroid_blocks(centroids: DataFrame, budget: int = BROADCAST_BYTES) -> tuple[DataFrame, int]:
+    """``cluster_id, v, block``, stored by block, and the number of blocks, none above ``budget`` bytes.
+
+    Fails if a single centroid is larger.
+    """
+    rows = centroids.select(F.col("cluster_id").cast("int").alias("cluster_id"), F.col("v").cast("array<double>").alias("v"))
+    n = max(1, -(-2 * _centroid_bytes(rows) // budget))
+    while True:
+        block = F.pmod(F.xxhash64("cluster_id"), F.lit(n)).cast("int")
+        largest = rows.groupBy(block.alias("block")).agg(F.sum(F.size("v").cast("long") * 8).alias("n"), F.count("*").alias("rows"))
+        found = largest.agg(F.max("n").alias("n"), F.min_by("rows", -F.col("n")).alias("rows")).first()
+        if found.n is None or found.n <= budget:
+            break
+        if found.rows == 1:
+            raise ValueError("a single centroid is larger than the budget")
+        n *= 2
+    path = stage_path(rows.sparkSession, "centroid_blocks")
+    rows.withColumn("block", block).write.partitionBy("block").parquet(path)
+    stored = rows.sparkSession.read.parquet(path)
+    stored.stored_at = path
+    return stored, n
+
+
+def _assign_in_blocks(points: DataFrame, centroids: DataFrame, budget: int) -> DataFrame:
+    """``id, v, cluster_id, distance``, stored. Every block is a pass that keeps the nearest so far."""
+    stored, n = centroid_blocks(centroids, budget)
+    best = points.select("id", "v", F.lit(None).cast("int").alias("cluster_id"), F.lit(None).cast("double").alias("distance"))
+    before: DataFrame | None = None
+    for b in range(n):
+        of_block = stored.where(F.col("block") == b)
+        if of_block.isEmpty():
+            continue
+        nearer = stage(best.mapInArrow(_nearer(_collect_centroids(of_block)), best.schema), "nearest")
+        drop_stage(before)
+        best = before = nearer
+    drop_stage(stored)
+    if before is None:
+        raise ValueError("no centroids")
+    return best
+
+
+def _nearer(known: _Centroids):
+    """The nearest of ``known`` and of the one found before, the lowest id among equals."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            valid = batch.column("v").is_valid().to_numpy(zero_copy_only=False)
+            place, found = nearest_rows(batch_matrix(batch.column("v"), known.matrix.shape[1]), known.matrix)
+            cluster, d = np.zeros(len(valid), "int32"), np.full(len(valid), np.inf)
+            cluster[valid], d[valid] = known.ids[place], found
+            old = batch.column("cluster_id").fill_null(0).to_numpy(zero_copy_only=False)
+            least = batch.column("distance").fill_null(np.inf).to_numpy(zero_copy_only=False)
+            better = (d < least) | ((d == least) & (cluster < old))
+            columns = [np.where(better, cluster, old).astype("int32"), np.where(better, d, least)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("v"), *[pa.array(c, mask=~valid) for c in columns]], names=batch.schema.names
+            )
+
+    return run
+
+
 def centroid_distances(points: DataFrame, centroids: DataFrame) -> DataFrame:
     """``id, cluster_id, distance`` for every point and each of the few centroids."""
     known = _collect_centroids(centroids)
@@ -168,15 +248,24 @@ def centroid_distances(points: DataFrame, centroids: DataFrame) -> DataFrame:
     return each.select("id", cluster.cast("int").alias("cluster_id"), "distance")
 
 
-def update_centroids(assigned: DataFrame, centroids: DataFrame) -> DataFrame:
+def _largest(table: DataFrame) -> float:
+    """The largest absolute value in the vectors of ``table``."""
+    return float(table.agg(F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("x")).first().x or 0.0)
+
+
+def update_centroids(assigned: DataFrame, centroids: DataFrame, bound: float | None = None) -> DataFrame:
     """``cluster_id, v, size``: the mean of each cluster's vectors.
 
-    ``assigned`` is ``cluster_id, v``. A cluster without points keeps its centroid.
+    ``assigned`` is ``cluster_id, v``, and no value in it exceeds ``bound``, which is looked up
+    otherwise: pass a stored table. A cluster without points keeps its centroid. The means are
+    the same bits whatever the order of the rows.
     """
+    unit = unit_of(_largest(assigned) if bound is None else bound)
     means = (
         assigned.select("cluster_id", F.posexplode("v").alias("dim", "x"))
         .groupBy("cluster_id", "dim")
-        .agg(F.avg(F.col("x").cast("double")).alias("x"), F.count("*").alias("size"))
+        .agg(*sum_parts(units(F.col("x").cast("double"), unit), "x"), F.count("*").alias("size"))
+        .select("cluster_id", "dim", "size", (sum_of("x", unit) / F.col("size")).alias("x"))
         .groupBy("cluster_id")
         .agg(
             F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("mean"),
@@ -214,9 +303,11 @@ def choose_centroids(points: DataFrame, k: int = CLUSTERS, seeds: DataFrame | No
     nearest centroid is farthest, the smallest id among equals, until there are ``k`` or every
     point equals a centroid. All seeds are kept, even if there are more than ``k``.
 
-    Each pick is one pass over the points, from which every task returns one row. Now and then
-    the points' distances to what is chosen so far are stored with them, and only newer
-    centroids are compared, so the work grows with ``k``, not its square.
+    A pass over the points returns the ``CANDIDATES`` farthest ones. Distances only shrink, so the
+    next picks are among them for as long as the farthest of them is ahead of the first one left
+    out: one pass at least gives one pick, mostly many. Now and then the points' distances to what
+    is chosen so far are stored with them, and only newer centroids are compared, so the work
+    grows with ``k``, not its square.
     """
     spark = points.sparkSession
     id_type = points.schema["id"].dataType.simpleString()
@@ -233,12 +324,12 @@ def choose_centroids(points: DataFrame, k: int = CLUSTERS, seeds: DataFrame | No
     stored, newest = None, [v for _, v, _ in chosen]
 
     while len(chosen) < k:
-        matrix = np.array(newest, dtype="float64")
-        pick = _farthest(table, matrix).orderBy(F.desc("d"), "id").first()
-        if pick is None:
+        found = _farthest(table, np.array(newest, dtype="float64")).orderBy(F.desc("d"), "id").limit(CANDIDATES + 1)
+        picks = next_picks([(r.id, list(r.v), r.d) for r in found.collect()], k - len(chosen))
+        if not picks:
             break
-        chosen.append((pick.id, list(pick.v), pick.d))
-        newest.append(list(pick.v))
+        chosen += picks
+        newest += [v for _, v, _ in picks]
         if len(newest) >= PICKS_PER_STORE and len(chosen) < k:
             before, stored = stored, stage(_with_least(table, np.array(newest, dtype="float64")), "least_distances")
             drop_stage(before)
@@ -250,6 +341,27 @@ def choose_centroids(points: DataFrame, k: int = CLUSTERS, seeds: DataFrame | No
     )
 
 
+def next_picks(farthest: list[tuple], most: int) -> list[tuple]:
+    """The picks that ``farthest`` proves: points id, vector, distance, the farthest and then the
+    smallest id first; of those left out, if any, the first one is the last in the list."""
+    beyond = farthest[CANDIDATES] if len(farthest) > CANDIDATES else None
+    points = farthest[:CANDIDATES]
+    if not points:
+        return []
+    matrix = np.array([v for _, v, _ in points], dtype="float64")
+    least, picks = np.array([d for _, _, d in points]), []
+    while len(picks) < most:
+        d = least.max()
+        at = min(np.flatnonzero(least == d), key=lambda i: points[i][0])
+        if d <= 0:
+            break
+        if picks and beyond is not None and (d < beyond[2] or (d == beyond[2] and points[at][0] > beyond[0])):
+            break
+        picks.append((points[at][0], points[at][1], float(d)))
+        least = np.minimum(least, nearest_rows(matrix, matrix[at : at + 1])[1])
+    return picks
+
+
 def _least_distances(batch: pa.RecordBatch, matrix: np.ndarray) -> np.ndarray:
     """Per row with a vector the distance to the nearest of ``matrix`` and of those before."""
     d = nearest_rows(batch_matrix(batch.column("v"), matrix.shape[1]), matrix)[1]
@@ -269,39 +381,41 @@ def _with_least(table: DataFrame, matrix: np.ndarray) -> DataFrame:
 
 
 def _farthest(table: DataFrame, matrix: np.ndarray) -> DataFrame:
-    """One row ``id, v, d`` per task: its point that is farthest from all centroids."""
+    """Rows ``id, v, d``: of every task the points that are farthest from all centroids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best_id, best_v, best_d = None, None, 0.0
+        kept: pa.Table | None = None
         for batch in batches:
             batch = batch.filter(batch.column("v").is_valid())
             if not batch.num_rows:
                 continue
-            d = _least_distances(batch, matrix)
-            top = batch.filter(pa.array(d == d.max()))
-            first = pc.sort_indices(top.column("id"))[0].as_py()
-            found = top.column("id")[first].as_py()
-            if d.max() > best_d or (d.max() == best_d > 0 and found < best_id):
-                best_id, best_v, best_d = found, top.column("v")[first].as_py(), float(d.max())
-        if best_d > 0:
-            yield pa.RecordBatch.from_pydict(
-                {"id": pa.array([best_id], batch.schema.field("id").type),
-                 "v": pa.array([best_v], pa.list_(pa.float64())), "d": [best_d]}
-            )
+            d = pa.array(_least_distances(batch, matrix))
+            v = batch.column("v").cast(pa.list_(pa.float64()))
+            found = pa.table({"id": batch.column("id"), "v": v, "d": d}).filter(pc.greater(d, 0.0))
+            kept = found if kept is None else pa.concat_tables([kept, found])
+            first = pc.sort_indices(kept, sort_keys=[("d", "descending"), ("id", "ascending")])[: CANDIDATES + 1]
+            kept = kept.take(first).combine_chunks()
+        if kept is not None:
+            yield from kept.to_batches()
 
     schema = table.select("id", F.col("v").cast("array<double>").alias("v"), F.lit(0.0).alias("d")).schema
     return table.mapInArrow(run, schema)
 
 
+# -- iterations ------------------------------------------------------------------------
+
+
 @dataclass(frozen=True)
 class LloydResult:
     """``centroids``: cluster_id, v. ``assignments``: id, cluster_id, distance.
-    ``history``: iteration, cluster_id, v, size, shift, cost."""
+    ``history``: iteration, cluster_id, v, size, shift, cost. ``spared``: per turn of this call
+    the share of comparisons that pruning left out."""
 
     centroids: DataFrame
     assignments: DataFrame
     history: DataFrame
     iterations: int
     converged: bool
+    spared: tuple[float, ...] = ()
 
 
 @dataclass
@@ -311,57 +425,140 @@ class _Step:
     sums: np.ndarray
     sizes: np.ndarray
     costs: np.ndarray
+    compared: int = 0
+
+
+@dataclass(frozen=True)
+class _Units:
+    """Units of the sums of values and of squared distances."""
+
+    value: float
+    square: float
+
+    @staticmethod
+    def of(points: DataFrame, matrix: np.ndarray) -> "_Units":
+        largest = max(_largest(points), float(np.abs(matrix).max(initial=0.0)))
+        return _Units(unit_of(largest), unit_of(4.0 * max(matrix.shape[1], 1) * largest * largest))
 
 
-def _step(points: DataFrame, known: _Centroids) -> _Step:
+def _step(points: DataFrame, known: _Centroids, unit: _Units, settled: np.ndarray | None = None) -> _Step:
     """Sums, sizes and costs per cluster from one pass over the points.
 
     Every task adds up its points per cluster, so it passes on one row per cluster and
-    nothing of the points; these rows are summed up by a shuffle.
+    nothing of the points; these rows are summed up by a shuffle. With ``settled``, the centroids
+    by which ``points`` got their ``cluster`` and the bound ``other`` on all other distances,
+    points that cannot have changed are compared with their own centroid only.
     """
     matrix = known.matrix
     k, dims = matrix.shape
+    moved = None if settled is None else np.sqrt(((matrix - settled) ** 2).sum(1))
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, sizes, costs = np.zeros((k, dims)), np.zeros(k, "int64"), np.zeros(k)
+        sums, costs = Counted((k, dims), unit.value), Counted((k,), unit.square)
+        sizes, compared = np.zeros(k, "int64"), 0
         for batch in batches:
-            for x in blocks(batch_matrix(batch.column("v"), dims), k):
+            valid = batch.column("v").is_valid()
+            x = batch_matrix(batch.column("v"), dims)
+            if moved is None:
                 best, d = nearest_rows(x, matrix)
-                member = np.zeros((k, len(x)))
-                member[best, np.arange(len(x))] = 1.0
-                sums += member @ x
-                sizes += np.bincount(best, minlength=k)
-                costs += np.bincount(best, weights=d * d, minlength=k)
+                compared += len(x) * k
+            else:
+                cluster, other = (batch.column(c).filter(valid).to_numpy() for c in ("cluster", "other"))
+                best, d, open_rows = _nearest_if_moved(x, matrix, cluster, other, moved)
+                compared += len(x) + open_rows * k
+            sizes += np.bincount(best, minlength=k)
+            sums.add_rows(x, best)
+            costs.add(d * d, best)
         used = np.flatnonzero(sizes)
-        if len(used):
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "cluster": pa.array(used, pa.int32()),
-                    "size": sizes[used],
-                    "cost": costs[used],
-                    "total": _vectors(sums[used]),
-                }
-            )
-
-    parts = points.select("v").mapInArrow(
-        partial, "cluster int, size long, cost double, total array<double>"
-    )
-    sums, sizes, costs = np.zeros((k, dims)), np.zeros(k, "int64"), np.zeros(k)
+        if len(used) or compared:
+            used = used if len(used) else np.zeros(1, "int64")
+            high, low = sums.parts()
+            cost_high, cost_low = costs.parts()
+            share = np.zeros(len(used), "int64")
+            share[0] = compared
+            columns = {
+                "cluster": pa.array(used, pa.int32()), "size": sizes[used], "compared": share, "cost_high": cost_high[used],
+                "cost_low": cost_low[used], "high": _vectors(high[used]), "low": _vectors(low[used]),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+    numbers = ["size", "compared", "cost_high", "cost_low"]
+    schema = "cluster int, " + ", ".join(f"{n} long" for n in numbers) + ", high array<long>, low array<long>"
+    columns = [] if settled is None else ["cluster", "other"]
+    parts = points.select("v", *columns).mapInArrow(partial, schema)
     merged = (
-        parts.select("cluster", "size", "cost", F.posexplode("total").alias("dim", "x"))
+        parts.select("cluster", *numbers, F.posexplode(F.arrays_zip("high", "low")).alias("dim", "x"))
         .groupBy("cluster", "dim")
-        .agg(
-            F.sum("x").alias("x"),
-            F.sum("size").alias("size"),
-            F.sum("cost").alias("cost"),
-        )
+        .agg(*[F.sum(n).alias(n) for n in numbers], F.sum("x.high").alias("high"), F.sum("x.low").alias("low"))
         .toArrow()
     )
     cluster, dim = merged["cluster"].to_numpy(), merged["dim"].to_numpy()
-    sums[cluster, dim] = merged["x"].to_numpy()
+    sums, sizes, costs = np.zeros((k, dims)), np.zeros(k, "int64"), np.zeros(k)
+    sums[cluster, dim] = Counted.value(merged["high"].to_numpy(), merged["low"].to_numpy(), unit.value)
     sizes[cluster] = merged["size"].to_numpy()
-    costs[cluster] = merged["cost"].to_numpy()
-    return _Step(sums, sizes, costs)
+    costs[cluster] = Counted.value(merged["cost_high"].to_numpy(), merged["cost_low"].to_numpy(), unit.square)
+    return _Step(sums, sizes, costs, int(merged["compared"].to_numpy()[dim == 0].sum()))
+
+
+def _nearest_if_moved(x, matrix, cluster, other, moved) -> tuple[np.ndarray, np.ndarray, int]:
+    """``nearest_rows``, with no look at other centroids where these are too far away to have
+    come nearest: each is at least ``other`` away less what the one that moved most has moved."""
+    own = np.sqrt(((x - matrix[cluster]) ** 2).sum(1))
+    order = np.argsort(-moved, kind="stable")[:2]
+    others = np.where(cluster == order[0], moved[order[-1]] if len(moved) > 1 else 0.0, moved[order[0]])
+    near = own >= (other - others) - 1e-9 * (other + own)
+    best, d = cluster.astype("int64"), own
+    if near.any():
+        best[near], d[near] = nearest_rows(x[near], matrix)
+    return best, d, int(near.sum())
+
+
+def _settled(points: DataFrame, known: _Centroids) -> DataFrame:
+    """``v, cluster, other``, stored: each point's nearest centroid, and a bound on the distances to
+    all others."""
+    matrix = known.matrix
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(batch.column("v").is_valid())
+            x = batch_matrix(batch.column("v"), matrix.shape[1])
+            best, _ = nearest_rows(x, matrix)
+            other = second_distances(x, matrix, best)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("v"), pa.array(best.astype("int32")), pa.array(other)], names=["v", "cluster", "other"]
+            )
+
+    kind = points.schema["v"].dataType.simpleString()
+    return stage(points.select("v").mapInArrow(run, f"v {kind}, cluster int, other double"), "settled_points")
+
+
+_HISTORY = "iteration int, cluster_id int, v array<double>, size long, shift double, cost double"
+
+
+class _Past:
+    """The turns so far: held by the driver, and stored in groups of ``HELD_BYTES``."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.held, self.bytes, self.stored = spark, [], 0, []
+
+    def add(self, turn: pa.Table) -> None:
+        self.held.append(turn)
+        self.bytes += turn.nbytes
+        if self.bytes >= HELD_BYTES:
+            self._store()
+
+    def _store(self) -> None:
+        self.stored.append(stage(self.spark.createDataFrame(pa.concat_tables(self.held)), "turns"))
+        self.held, self.bytes = [], 0
+
+    def table(self, empty: pa.Table) -> DataFrame:
+        if self.held or not self.stored:
+            self.held = self.held or [empty]
+            self._store()
+        out = self.stored[0]
+        for more in self.stored[1:]:
+            out = out.unionByName(more)
+        return out
 
 
 def lloyd(
@@ -370,47 +567,105 @@ def lloyd(
     tol: float = TOLERANCE,
     max_iter: int | None = None,
     round_digits: int | None = None,
+    run: str | None = None,
+    prune: bool = False,
+    budget: int = BROADCAST_BYTES,
 ) -> LloydResult:
     """Lloyd's iterations from given centroids until none moves farther than ``tol``.
 
     One job and one pass over the points per iteration; persist them beforehand if they fit
     the cluster's memory. With ``max_iter`` it may end before it converges, which
     ``converged`` tells. A cluster without points keeps its centroid. ``round_digits`` rounds
-    the returned centroids, not the ones iterated on. The centroids of every turn are stored.
+    the returned centroids, not the ones iterated on.
+
+    With ``run``, a folder, every turn is committed there, and a call with the same arguments
+    goes on after the last one that was. With ``prune``, the points are stored with their nearest
+    centroid and a bound on the distance to all others, and those that cannot change are compared
+    with one centroid only; the result is the same, and it pays with many clusters. Centroids
+    beyond ``budget`` bytes are worked on as tables, ``assign`` and ``update_centroids`` in turn;
+    that form knows neither ``run`` nor ``prune``.
     """
     spark = points.sparkSession
+    if _centroid_bytes(centroids) > budget:
+        if run or prune:
+            raise ValueError("centroids beyond the budget: neither run nor prune")
+        return _lloyd_on_tables(points, centroids, tol, max_iter, round_digits, budget)
     known = _collect_centroids(centroids)
-    k = len(known.ids)
+    k, dims = known.matrix.shape
     table = points.select("id", "v")
-    past, done, iteration = None, False, 0
+    past, done, iteration, spared = _Past(spark), False, 0, []
+    log = run and Run(spark, run, {"form": "dense", "clusters": known.ids.tolist(), "start": known.matrix.ravel().tolist()[:64], "tol": tol})
+    unit = None
+    if not (log and log.turns and log.turns[-1]["done"]):
+        unit = _Units.of(table, known.matrix)
+    if log and log.turns:
+        iteration, done = log.turns[-1]["turn"], log.turns[-1]["done"]
+        past.stored.append(log.tables("history", _HISTORY))
+        last = log.table(iteration, "history", _HISTORY).toArrow().sort_by("cluster_id")
+        known = _Centroids(known.ids, last["v"].combine_chunks().flatten().to_numpy().reshape(k, dims))
+    settled: DataFrame | None = None
+    anchor, pays = None, 0.0
     while not done and (max_iter is None or iteration < max_iter):
         iteration += 1
-        step = _step(table, known)
+        settle = prune and iteration > 1 and (settled is None or pays < SPARED)
+        if settle:
+            before, settled, anchor = settled, _settled(table, known), known.matrix
+            drop_stage(before)
+        step = _step(table, known, unit) if settled is None else _step(settled, known, unit, anchor)
+        every = max(int(step.sizes.sum()) * k, 1)
+        pays = 1.0 - step.compared / every
+        spared.append(0.0 if settle else pays)
         used = step.sizes > 0
         means = known.matrix.copy()
         means[used] = step.sums[used] / step.sizes[used, None]
         shifts = np.sqrt(((means - known.matrix) ** 2).sum(1))
-        turn = stage(_history(spark, iteration, known.ids, means, step, shifts), "turn")
-        past = turn if past is None else past.unionByName(turn)
         known = _Centroids(known.ids, means)
         done = bool((shifts <= tol).all())
+        turn = _turn(iteration, known, step, shifts)
+        past.add(turn)
+        if log:
+            log.commit({"history": spark.createDataFrame(turn)}, done=done)
+    drop_stage(settled)
     final = known.matrix if round_digits is None else known.matrix.round(round_digits)
     result = _centroid_table(spark, known.ids, final)
-    if past is None:
-        none = _Step(final, np.zeros(k, "int64"), np.zeros(k))
-        past = _history(spark, 0, known.ids, final, none, np.zeros(k)).where("false")
-    return LloydResult(result, assign(table, result), past, iteration, done)
+    empty = _turn(0, known, _Step(final, np.zeros(k, "int64"), np.zeros(k)), np.zeros(k)).slice(0, 0)
+    return LloydResult(result, assign(table, result), past.table(empty), iteration, done, tuple(spared))
 
 
-def _history(spark: SparkSession, iteration: int, ids, means, step: _Step, shifts) -> DataFrame:
-    return _local_table(
-        spark,
-        {
-            "iteration": pa.array([iteration] * len(ids), pa.int32()), "cluster_id": pa.array(ids, pa.int32()),
-            "v": _vectors(means), "size": pa.array(step.sizes), "shift": pa.array(shifts), "cost": pa.array(step.costs),
-        },
-        {
-            "iteration": pa.int32(), "cluster_id": pa.int32(), "v": pa.list_(pa.float64()), "size": pa.int64(),
-            "shift": pa.float64(), "cost": pa.float64(),
-        },
-    )
+def _turn(iteration: int, known: _Centroids, step: _Step, shifts) -> pa.Table:
+    columns = {
+        "iteration": pa.array([iteration] * len(known.ids), pa.int32()), "cluster_id": pa.array(known.ids, pa.int32()),
+        "v": _vectors(known.matrix), "size": pa.array(step.sizes), "shift": pa.array(shifts), "cost": pa.array(step.costs),
+    }
+    return pa.table(columns)
+
+
+def _lloyd_on_tables(
+    points: DataFrame, centroids: DataFrame, tol: float, max_iter: int | None, round_digits: int | None, budget: int
+) -> LloydResult:
+    """The iterations with centroids that neither the driver nor a task can hold."""
+    bound = max(_largest(points), _largest(centroids))
+    dims = centroids.agg(F.max(F.size("v")).alias("n")).first().n
+    unit = unit_of(4.0 * dims * bound * bound)
+    known = stage(centroids.select("cluster_id", F.col("v").cast("array<double>").alias("v")), "centroids")
+    past, done, iteration = [], False, 0
+    while not done and (max_iter is None or iteration < max_iter):
+        iteration += 1
+        assigned = assign(points, known, True, budget).where("cluster_id IS NOT NULL")
+        square = units(F.col("distance") * F.col("distance"), unit)
+        costs = assigned.groupBy("cluster_id").agg(*sum_parts(square, "cost")).select("cluster_id", sum_of("cost", unit).alias("cost"))
+        new = update_centroids(assigned, known, bound).join(costs, "cluster_id", "left").fillna(0.0, "cost")
+        shifts = centroid_shifts(known, new)
+        turn = stage(
+            new.join(shifts, "cluster_id").select(F.lit(iteration).alias("iteration"), "cluster_id", "v", "size", "shift", "cost"), "turn"
+        )
+        past.append(turn)
+        known = turn.select("cluster_id", "v")
+        done = converged(turn, tol).first().converged
+    history = past[0] if past else known.select(F.lit(0).alias("iteration"), "*", F.lit(0).cast("long").alias("size"), F.lit(0.0).alias("shift"), F.lit(0.0).alias("cost")).where("false")
+    for turn in past[1:]:
+        history = history.unionByName(turn)
+    final = known
+    if round_digits is not None:
+        final = stage(known.withColumn("v", F.transform("v", lambda x: F.bround(x, round_digits))), "rounded")
+    return LloydResult(final, assign(points, final, budget=budget), history, iteration, done)

@@ -65,13 +65,37 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def stage_bucketed(df: DataFrame, keys: list[str], name: str, move: bool = True) -> DataFrame:
+    """Store ``df`` in hash buckets of ``keys``: sums over and joins on them don't move it again.
+
+    There are as many buckets as shuffle partitions. The files lie in the shared folder; the
+    catalog entry is the session's own. Without ``move`` the rows stay with their tasks, each of
+    which writes a file per bucket it has.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known_as, path = f"plotweave_{name}_{uuid.uuid4().hex}", stage_path(spark, name)
+    rows = df.repartition(n, *keys) if move else df
+    rows.write.bucketBy(n, *keys).option("path", path).format("parquet").saveAsTable(known_as)
+    table = spark.table(known_as)
+    table.stored_at, table.known_as = path, known_as
+    return table
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path``, and the path as it takes it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def drop_stage(table: DataFrame | None) -> None:
-    """Delete the files of what ``stage`` returned, once nothing reads them any more."""
-    stored_at = vars(table).get("stored_at") if table is not None else None
-    if stored_at:
-        spark = table.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(stored_at)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete what ``stage`` or ``stage_bucketed`` stored, once nothing reads it any more."""
+    known = vars(table) if table is not None else {}
+    if known.get("known_as"):
+        table.sparkSession.sql(f"DROP TABLE IF EXISTS {known['known_as']}")
+    if known.get("stored_at"):
+        files, path = file_system(table.sparkSession, known["stored_at"])
+        files.delete(path, True)
 
 
 def stage_measured(df: DataFrame, name: str, *measures: Column) -> tuple[DataFrame, dict]:

@@ -1,8 +1,11 @@
+import uuid
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from plotweave.functions import distance
+from plotweave.operators import dense
 from plotweave.operators.dense import (
     assign,
     centroid_distances,
@@ -118,14 +121,13 @@ def test_update_and_empty_cluster(spark):
     assert converged(shifts, 3.0).first().converged
 
 
-def test_lloyd_matches_mllib(points, spark, local, centroids):
-    from pyspark.mllib import clustering as mllib
-
-    start = matrix_of(centroids)
+def test_lloyd_against_brute_force(points, local, centroids):
+    x, c = local[1], matrix_of(centroids)
+    for _ in range(5):
+        best = brute_nearest(x, c)[0]
+        c = np.array([x[best == j].mean(0) if (best == j).any() else c[j] for j in range(len(c))])
     result = lloyd(points, centroids, tol=0.0, max_iter=5)
-    rdd = points.rdd.map(lambda r: list(r.v))
-    model = mllib.KMeans.train(rdd, 4, maxIterations=5, initialModel=mllib.KMeansModel(start), epsilon=0.0)
-    assert matrix_of(result.centroids) == pytest.approx(np.array(model.clusterCenters), abs=1e-6)
+    assert matrix_of(result.centroids) == pytest.approx(c, abs=1e-9)
     assert result.iterations == 5
 
 
@@ -143,10 +145,100 @@ def test_lloyd_properties(points, local, centroids):
     assert sorted(r.id for r in result.assignments.collect()) == local[0]
 
 
+def history_of(result):
+    return sorted(tuple(map(str, r)) for r in result.history.collect())
+
+
 def test_partitioning_and_order_do_not_matter(points, centroids):
-    one = lloyd(points.coalesce(1), centroids, max_iter=3)
-    many = lloyd(points.orderBy(F.desc("id")).repartition(7), centroids, max_iter=3)
-    assert matrix_of(one.centroids) == pytest.approx(matrix_of(many.centroids), abs=1e-12)
+    """Not even in the last bit."""
+    found = [lloyd(points.orderBy(F.desc("id")).repartition(n), centroids, max_iter=4) for n in (1, 7, 64)]
+    histories = [history_of(r) for r in found]
+    assert histories[0] == histories[1] == histories[2]
+    means = []
+    for n in (1, 7, 64):
+        assigned = assign(points.repartition(n), centroids, with_vectors=True).persist()
+        means.append(matrix_of(update_centroids(assigned, centroids)).tobytes())
+    assert len(set(means)) == 1
+
+
+def test_a_run_goes_on_after_its_last_committed_turn(points, centroids, tmp_path, monkeypatch):
+    whole = lloyd(points, centroids)
+    assert whole.iterations > 4
+    path = str(tmp_path / "run")
+    lloyd(points, centroids, max_iter=3, run=path)
+    # What a lost driver had not committed.
+    (tmp_path / "run" / "turn-000004-history-lost").mkdir()
+    (tmp_path / "run" / "turn-000004-history-lost" / "part-0.parquet").write_bytes(b"cut off")
+    (tmp_path / "run" / ".turn-000004-lost").write_text("{")
+    steps, plain = [], dense._step
+    monkeypatch.setattr(dense, "_step", lambda *a: steps.append(1) or plain(*a))
+    again = lloyd(points, centroids, run=path)
+    assert history_of(again) == history_of(whole) and again.converged
+    assert len(steps) == whole.iterations - 3
+    done = lloyd(points, centroids, run=path)
+    assert history_of(done) == history_of(whole) and done.iterations == whole.iterations == 3 + len(steps)
+    with pytest.raises(ValueError, match="another run"):
+        lloyd(points, centroids, tol=0.5, run=path)
+
+
+def jobs_of(spark, work):
+    """How many jobs ``work`` starts."""
+    name = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+@pytest.fixture(scope="module")
+def grouped(spark):
+    """Points in separate groups."""
+    rng = np.random.default_rng(8)
+    middle = rng.normal(scale=20.0, size=(30, 6))
+    x = middle[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 6))
+    x[11] = x[12]
+    return x, spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, v array<double>").persist()
+
+
+def test_pruning_changes_nothing(grouped):
+    x, points = grouped
+    seeds = choose_centroids(points, 40)
+    plain, pruned = (lloyd(points, seeds, prune=p) for p in (False, True))
+    assert plain.iterations > 3 and history_of(plain) == history_of(pruned)
+    assert sorted(rows_of(plain.assignments)) == sorted(rows_of(pruned.assignments))
+    assert set(plain.spared) == {0.0} and max(pruned.spared) > 0.8
+
+
+def test_many_picks_of_one_pass(spark, grouped):
+    x, points = grouped
+    found = []
+    jobs = jobs_of(spark, lambda: found.append(choose_centroids(points, 100)))
+    picked, least = [0], np.full(len(x), np.inf)
+    while len(picked) < 100:
+        least = np.minimum(least, np.sqrt(((x - x[picked[-1]]) ** 2).sum(1)))
+        picked.append(int(least.argmax()))
+    assert [r.id for r in found[0].orderBy("cluster_id").collect()] == picked
+    assert jobs < 100
+
+
+def test_centroids_beyond_the_budget(points, spark, monkeypatch):
+    """Blocks of a few centroids: the same nearest ones, and the same iterations."""
+    many = choose_centroids(points, 60).select("cluster_id", "v")
+    tied = many.unionByName(many.where("cluster_id < 5").selectExpr("cluster_id + 100 AS cluster_id", "v"))
+    small = 64 * 8 * 9
+    held = []
+    monkeypatch.setattr(dense, "_collect_centroids", lambda c, plain=dense._collect_centroids: held.append(plain(c)) or held[-1])
+    with_null = points.unionByName(spark.createDataFrame([(-1, None)], points.schema))
+    assert sorted(rows_of(assign(with_null, tied, budget=small)), key=str) == sorted(rows_of(assign(with_null, tied)), key=str)
+    assert max(k.matrix.nbytes for k in held[:-1]) <= small and len(held) > 7
+    one, two = lloyd(points, many, max_iter=2), lloyd(points, many, max_iter=2, budget=small)
+    assert matrix_of(two.centroids) == pytest.approx(matrix_of(one.centroids), abs=1e-12)
+    key = lambda r: sorted((h.iteration, h.cluster_id, h["size"], round(h["shift"], 9), round(h.cost, 9)) for h in r.history.collect())
+    assert key(one) == key(two)
+    with pytest.raises(ValueError, match="larger than the budget"):
+        assign(points, many, budget=100)
 
 
 def test_rounding_and_iteration_limit(points, centroids):

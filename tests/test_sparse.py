@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from plotweave.operators import sparse
 from plotweave.operators.dense import assign, choose_centroids, lloyd
 from plotweave.operators.sparse import (
     assign_sparse,
@@ -9,6 +10,7 @@ from plotweave.operators.sparse import (
     coordinates_of,
     centroids_of,
     lloyd_sparse,
+    stored_coordinates,
 )
 
 
@@ -39,7 +41,7 @@ def sparse_values(centroids):
 def form(request, monkeypatch):
     if request.param == "many blocks":
         monkeypatch.setattr("plotweave.operators.sparse.BLOCK", 1)
-        monkeypatch.setattr("plotweave.operators.sparse.BLOCKS_AT_ONCE", 2)
+        monkeypatch.setattr("plotweave.operators.sparse.CELL_ROWS", 3)
 
 
 @pytest.mark.parametrize("budget", [1 << 26, 400])
@@ -132,3 +134,85 @@ def test_history_has_every_turn(points):
     assert all(b <= a + 1e-9 for a, b in zip(costs, costs[1:]))
     rounded = lloyd_sparse(coordinates, start, round_digits=5)
     assert all(r.value == round(r.value, 5) for r in rounded.centroids.collect())
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_exchange_below_the_sum_per_point(points):
+    """Coordinates lie by point: a distance is summed where they are."""
+    coordinates = stored_coordinates(coordinates_of(points))
+    centroids, _ = choose_centroids_sparse(coordinates, 3)
+    plan = plan_of(assign_sparse(coordinates, centroids))
+    assert plan.count("HashAggregate") >= 1 and "Bucketed: true" in plan
+    # What is broadcast is the block of centroids.
+    assert plan.replace("BroadcastExchange", "").count("Exchange") == 0
+    placed = sparse._placed(sparse._nearest(coordinates, centroids, [0, 1, 2], 1e-9, 1 << 26))
+    members = plan_of(sparse.update_sparse(coordinates, placed, centroids)).split("total_high")[-1]
+    assert "ShuffledHashJoin" in members and "Exchange" not in members.split("ShuffledHashJoin")[1].split("BroadcastExchange")[0]
+
+
+def test_a_large_point_has_several_cells(spark, monkeypatch):
+    monkeypatch.setattr(sparse, "CELL_ROWS", 50)
+    rows = [("big", f"t{k}", float(k % 7)) for k in range(1000)] + [("small", "t3", 1.0), ("other", "t5", 2.0)]
+    laid = stored_coordinates(spark.createDataFrame(rows, "id string, term string, value double"))
+    cells = laid.groupBy("id", "cell").count().collect()
+    assert max(r["count"] for r in cells) < 100 and sum(r.id == "big" for r in cells) == 20
+    start = spark.createDataFrame([(0, "t3", 1.0), (1, "t4", 4.0)], "cluster_id int, term string, value double")
+    norm = sum(v * v for _, _, v in rows[:1000])
+    expected = {"big": (1, (norm - 16.0) ** 0.5), "small": (0, 0.0), "other": (0, 5**0.5)}
+    found = {r.id: (r.cluster_id, r.distance) for r in assign_sparse(laid, start).collect()}
+    assert found == {i: (c, pytest.approx(d)) for i, (c, d) in expected.items()}
+    result = lloyd_sparse(laid, start)
+    assert {(r.term, r.value) for r in result.centroids.where("cluster_id = 1 AND term = 't6'").collect()} == {("t6", 6.0)}
+
+
+def exact_rows(df):
+    return sorted(tuple(map(repr, r)) for r in df.collect())
+
+
+def test_partitions_and_order_do_not_matter(points, spark):
+    """The same bits, and as many turns."""
+    found = []
+    for n in (1, 7, 64):
+        coordinates = coordinates_of(points.orderBy(F.desc("id")).repartition(n))
+        start, picks = choose_centroids_sparse(coordinates, 4)
+        result = lloyd_sparse(stored_coordinates(coordinates), start, max_iter=3)
+        found.append((exact_rows(result.history), exact_rows(result.past_centroids), exact_rows(picks)))
+    assert found[0] == found[1] == found[2]
+
+
+def test_a_run_goes_on_after_its_last_committed_turn(points, tmp_path, monkeypatch):
+    coordinates = stored_coordinates(coordinates_of(points))
+    start, _ = choose_centroids_sparse(coordinates, 3)
+    whole = lloyd_sparse(coordinates, start)
+    assert whole.iterations > 2
+    path = str(tmp_path / "run")
+    lloyd_sparse(coordinates, start, max_iter=2, run=path)
+    (tmp_path / "run" / "turn-000003-centroids-lost").mkdir()
+    turns, plain = [], sparse._placed
+    monkeypatch.setattr(sparse, "_placed", lambda found: turns.append(1) or plain(found))
+    again = lloyd_sparse(coordinates, start, run=path)
+    for table in ("history", "past_centroids", "assignments"):
+        assert exact_rows(getattr(again, table)) == exact_rows(getattr(whole, table))
+    assert len(turns) == whole.iterations - 2 and again.converged
+    assert lloyd_sparse(coordinates, start, run=path).iterations == whole.iterations
+
+
+def test_many_picks_of_one_pass(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 30)) * (rng.random((400, 30)) < 0.5)
+    x[9] = x[10]
+    points = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, v array<double>")
+    coordinates = stored_coordinates(coordinates_of(points))
+    passes, plain = [], sparse._nearest
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(sparse, "_nearest", lambda *a: passes.append(1) or plain(*a))
+        _, picks = choose_centroids_sparse(coordinates, 40)
+    picked, least = [0], np.full(400, np.inf)
+    while len(picked) < 40:
+        least = np.minimum(least, np.sqrt(((x - x[picked[-1]]) ** 2).sum(1)))
+        picked.append(int(least.argmax()))
+    assert [r.id for r in picks.orderBy("cluster_id").collect()] == picked
+    assert len(passes) < 20
