@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from plotweave.functions import first_segment, fixed_decimals, vector_add, vector_divide, vector_equal
+from plotweave.operators import approximate as sketching
 from plotweave.operators import counts as counting
 from plotweave.operators import dense, sparse
 from plotweave.operators import terms as texts
@@ -126,6 +127,29 @@ def term_frequency_all_reviews(spark, sf_dir):
     return _rounded(_tf(_documents(spark, sf_dir), denominator=weighting.ALL_REVIEWS), "tf")
 
 
+def _loads(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """TF of the conversations, and the sketches of two loads of it that share products, merged."""
+    tf = _stored_tf(_conversations(spark, sf_dir))
+    of_first_half = F.col("product_id") % 3 < 2
+    first, second = (stage(sketching.product_sketches(tf.where(x)), "sketches") for x in (of_first_half, F.col("product_id") % 3 > 0))
+    return tf, sketching.merged_sketches(first, second)
+
+
+def document_frequency_approximate(spark, sf_dir):
+    """Document frequencies beside whether the estimate is within a tenth."""
+    tf, sketches = _loads(spark, sf_dir)
+    estimate = sketching.approximate_document_frequency(sketches).withColumnRenamed("df", "estimate")
+    both = weighting.document_frequency(tf).join(estimate, "term", "left")
+    return both.select("term", "df", (F.abs(F.col("estimate") - F.col("df")) <= F.col("df") / 10).alias("close"))
+
+
+def product_count_approximate(spark, sf_dir):
+    tf, sketches = _loads(spark, sf_dir)
+    exact, estimate = weighting.product_count(tf), sketching.approximate_product_count(sketches)
+    close = F.abs(F.col("estimate") - F.col("n_products")) <= F.col("n_products") / 10
+    return exact.join(estimate.withColumnRenamed("n_products", "estimate")).select("n_products", close.alias("close"))
+
+
 def term_dictionary(spark, sf_dir):
     return weighting.term_dictionary(_tf(_documents(spark, sf_dir)))
 
@@ -212,6 +236,38 @@ def lloyd_centroids(spark, sf_dir):
     return _long(_clustered(spark, sf_dir).centroids, "cluster_id")
 
 
+def lloyd_pruned(spark, sf_dir):
+    """The history of iterations that leave out comparisons which cannot matter."""
+    result = dense.lloyd(_points(spark, sf_dir), _seeds(spark, sf_dir), prune=True)
+    return _rounded(result.history.drop("v"), "shift", "cost")
+
+
+def lloyd_continued(spark, sf_dir):
+    """The history of a run that is ended after two turns and continued."""
+    points, seeds, run = _points(spark, sf_dir), _seeds(spark, sf_dir), stage_path(spark, "run")
+    dense.lloyd(points, seeds, max_iter=2, run=run)
+    return _rounded(dense.lloyd(points, seeds, run=run).history.drop("v"), "shift", "cost")
+
+
+def _groups(points: DataFrame, n: int) -> DataFrame:
+    """The mean of the vectors with equal id modulo ``n``."""
+    members = stage(points.select(F.pmod("id", F.lit(n)).cast("int").alias("cluster_id"), "v"), "groups")
+    none = members.groupBy("cluster_id").agg(F.first("v").alias("v"))
+    return stage(dense.update_centroids(members, none), "means")
+
+
+def assign_in_blocks(spark, sf_dir):
+    """The nearest of 90 centroids, of which driver and tasks hold 20 at a time at most."""
+    points = _points(spark, sf_dir)
+    budget = 20 * 8 * points.select(F.size("v")).first()[0]
+    return _rounded(dense.assign(points, _groups(points, 90), budget=budget), "distance")
+
+
+def choose_centroids_k12(spark, sf_dir):
+    """Twelve picks from fewer passes."""
+    return _rounded(_seeds(spark, sf_dir, 12).select("cluster_id", "id", "min_distance"), "min_distance")
+
+
 def lloyd_history(spark, sf_dir):
     history = _clustered(spark, sf_dir).history.drop("v")
     return _rounded(history, "shift", "cost")
@@ -276,6 +332,14 @@ def lloyd_tfidf_history(spark, sf_dir):
     return _rounded(_products(spark, sf_dir).history, "shift", "cost")
 
 
+def lloyd_tfidf_continued(spark, sf_dir):
+    """The history of a run on coordinates that is ended after its first turn and continued."""
+    coordinates, run = sparse.stored_coordinates(_coordinates(spark, sf_dir)), stage_path(spark, "run")
+    seeds, _ = sparse.choose_centroids_sparse(coordinates, 3)
+    sparse.lloyd_sparse(coordinates, seeds, max_iter=1, run=run)
+    return _rounded(sparse.lloyd_sparse(coordinates, seeds, run=run).history, "shift", "cost")
+
+
 def lloyd_tfidf_assignments(spark, sf_dir):
     return _rounded(_products(spark, sf_dir).assignments, "distance")
 
@@ -311,6 +375,42 @@ def word_count_of_files(spark, sf_dir):
     return counting.word_count(sources.read_reviews(spark, _write_reviews(spark, sf_dir)))
 
 
+def review_rejects(spark, sf_dir):
+    """Every dropped text line of the files with defects, and why."""
+    checked = sources.read_reviews_checked(spark, _write_defects(spark, sf_dir))
+    return checked.rejected.select(F.col("product_id").alias("product"), "line", "reason")
+
+
+def review_rejects_of_lines(spark, sf_dir):
+    """The reviews and the dropped lines that the line-by-line reader tells apart, by product."""
+    checked = sources.read_review_lines_checked(spark, _write_defects(spark, sf_dir))
+    every = checked.reviews.select("product_id", F.lit(1).alias("kept")).unionByName(
+        checked.rejected.select("product_id", F.lit(0).alias("kept"))
+    )
+    return every.groupBy(F.col("product_id").alias("product")).agg(
+        F.sum("kept").alias("kept"), F.count_if(F.col("kept") == 0).alias("dropped")
+    )
+
+
+def small_splits(spark, sf_dir):
+    """The conversations as review files, read in splits of 1 KB."""
+    path = stage_path(spark, "review_files")
+    label = F.when(F.col("review_id") % 2 == 0, F.lit("Synopsis: ")).otherwise(F.lit(""))
+    block = F.concat(
+        F.lit("product/productId: "), F.col("product_id").cast("string"), F.lit("\nreview/text: "), label,
+        F.regexp_replace("text", r"[\r\n]+", " "), F.lit("\n"),
+    )
+    _conversations(spark, sf_dir).select(block).write.text(path)
+    # The size of splits is a setting of the session.
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1k")
+    try:
+        return stage(sources.read_reviews(spark, path).select("product_id", "text"), "small_splits")
+    finally:
+        spark.conf.set(setting, before)
+
+
 def stop_word_file(spark, sf_dir):
     """The 1000 most frequent words as a stop-word file, applied to the corpus."""
     documents, path = _documents(spark, sf_dir), stage_path(spark, "stop_words")
@@ -349,6 +449,31 @@ def seed_file(spark, sf_dir):
     return _long(sources.read_keyed_centroids(spark, path), "cluster_id")
 
 
+def seed_file_distances(spark, sf_dir):
+    """The distances that stand beside the picks in their file."""
+    path = stage_path(spark, "seed_file")
+    sources.write_keyed_centroids(_seeds(spark, sf_dir), path)
+    return _rounded(sources.read_keyed_centroids(spark, path).select("cluster_id", "min_distance"), "min_distance")
+
+
+def vectorize_file(spark, sf_dir):
+    """Dense TF vectors of the roles, written and read back."""
+    tf, path = _stored_tf(_roles(spark, sf_dir)), stage_path(spark, "vector_file")
+    dictionary = stage(weighting.term_dictionary(tf), "dictionary")
+    sources.write_vectors(dense.vectorize(tf, dictionary, "tf"), path)
+    return _long(sources.read_vectors(spark, path), "id")
+
+
+def top_words_file(spark, sf_dir):
+    """The report of the most frequent words as it is written: lines in ascending order."""
+    path = stage_path(spark, "top_words")
+    best = flows.corpus_top_words(_documents(spark, sf_dir), STOP_WORDS)
+    # A report of 1000 lines is one file.
+    sources.write_word_counts(best.coalesce(1).sortWithinPartitions("count", "term"), path)
+    lines = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
+    return lines.select("line", "value")
+
+
 def centroid_file(spark, sf_dir):
     path = stage_path(spark, "centroid_file")
     sources.write_centroids(_one_update(spark, sf_dir)[1], path)
@@ -405,6 +530,16 @@ def review_defects(spark, sf_dir):
     Every product id heads two texts; of the ids that are multiples of 5 the product line has
     no value, of those of 7 the first text has none.
     """
+    path = _write_defects(spark, sf_dir)
+    malformed = Observation()
+    reviews = stage(sources.read_reviews(spark, path, malformed=malformed), "reviews")
+    counted = texts.review_term_counts(reviews).agg(F.sum("term_count").alias("kept_terms"))
+    return reviews.agg(
+        F.count("*").alias("texts"), F.count_if(F.col("product_id").isNull()).alias("orphans")
+    ).withColumn("malformed", F.lit(malformed.get["malformed_lines"]).cast("long")).join(counted)
+
+
+def _write_defects(spark, sf_dir) -> str:
     path = stage_path(spark, "review_files")
     text = F.regexp_replace("text", r"[\r\n]+", " ")
     block = F.concat(
@@ -413,12 +548,7 @@ def review_defects(spark, sf_dir):
         F.lit("\nreview/text: Synopsis: "), text, F.lit("\n"),
     )
     _documents(spark, sf_dir).select(block).write.text(path)
-    malformed = Observation()
-    reviews = stage(sources.read_reviews(spark, path, malformed=malformed), "reviews")
-    counted = texts.review_term_counts(reviews).agg(F.sum("term_count").alias("kept_terms"))
-    return reviews.agg(
-        F.count("*").alias("texts"), F.count_if(F.col("product_id").isNull()).alias("orphans")
-    ).withColumn("malformed", F.lit(malformed.get["malformed_lines"]).cast("long")).join(counted)
+    return path
 
 
 def files_to_clusters(spark, sf_dir):
@@ -472,6 +602,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             review_term_counts_many_stop_words, tf_file, tfidf_file, dictionary_file,
             vector_file, seed_file, centroid_file, centroid_folder, centroid_file_tfidf,
             history_files, history_files_tfidf, word_count_file, files_to_clusters,
+            lloyd_pruned, lloyd_continued, lloyd_tfidf_continued, assign_in_blocks, choose_centroids_k12,
+            document_frequency_approximate, product_count_approximate, review_rejects,
+            review_rejects_of_lines, small_splits, seed_file_distances, vectorize_file, top_words_file,
         )
     }
 
@@ -689,7 +822,17 @@ def oracle_sql() -> dict[str, str]:
         for i in range(1, SPARSE_TURNS + 1)
     )
     lloyd, lloyd_sparse = f"WITH RECURSIVE {_to_convergence()}", f"WITH {_sparse_to_convergence()}"
-    stops = f"w AS MATERIALIZED ({all_counted}), q AS MATERIALIZED (SELECT term FROM w ORDER BY count DESC, term DESC LIMIT {{}})"
+    ranked = f"SELECT term, count, row_number() OVER (ORDER BY count DESC, term DESC) AS place FROM ({all_counted})"
+    stops = f"q AS MATERIALIZED (SELECT term FROM ({ranked}) WHERE place <= {{}})"
+    groups = (
+        "pt AS MATERIALIZED (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings), "
+        "q AS MATERIALIZED (SELECT cluster_id, list(x ORDER BY dim) AS v FROM (SELECT CAST(id % 90 AS INTEGER) AS cluster_id, dim, "
+        "avg(x) AS x FROM (SELECT id, unnest(v) AS x, generate_subscripts(v, 1) AS dim FROM pt) GROUP BY ALL) GROUP BY cluster_id)"
+    )
+    seeds = " UNION ALL ".join(f"SELECT cluster_id, id, d FROM c{i}" for i in range(12))
+    conversation_text = _TRIM.format(r"split_part(regexp_replace(text, '[\r\n]+', ' ', 'g'), ':', 1)")
+    dropped = "doc_id % 7 = 0"
+    product = "CASE WHEN doc_id % 5 <> 0 THEN source END"
     not_stopped = f"SELECT k.* FROM ({_DOCUMENT_TERMS}) AS k ANTI JOIN q ON q.term = k.term"
     file_kept = _kept_sql("documents", "source", "doc_id", _FILE_TEXT, stop=True)
     one_line = f"{_ONE_LINE}"
@@ -759,8 +902,8 @@ def oracle_sql() -> dict[str, str]:
         f"(SELECT doc_id, {_FILE_TEXT} AS text FROM documents WHERE doc_id % 7 <> 0 UNION ALL SELECT doc_id, {_FILE_TEXT} FROM documents)",
         "word_count_of_files": "SELECT term, count(*) AS count FROM "
         f"({_kept_sql('documents', 'source', 'doc_id', _FILE_TEXT)}) GROUP BY term",
-        "stop_word_file": f"WITH {stops.format(1000)} SELECT term, count FROM w ANTI JOIN q USING (term)",
-        "word_count_many_stop_words": f"WITH {stops.format(20000)} SELECT term, count FROM w ANTI JOIN q USING (term)",
+        "stop_word_file": f"SELECT term, count FROM ({ranked}) WHERE place > 1000",
+        "word_count_many_stop_words": f"SELECT term, count FROM ({ranked}) WHERE place > 20000",
         "review_term_counts_many_stop_words": f"WITH {stops.format(20000)}, {_tf_ctes(not_stopped)} "
         "SELECT product_id, review_id, term, c AS term_count, CAST(tot AS BIGINT) AS total_count FROM c JOIN t USING (product_id, review_id)",
         "tf_file": f"WITH {tf} {tf_rows}",
@@ -776,4 +919,23 @@ def oracle_sql() -> dict[str, str]:
         "history_files_tfidf": f"{lloyd_sparse} SELECT iteration, cluster_id, term, round(value, 6) AS value FROM past",
         "files_to_clusters": f"WITH {_sparse_to_convergence(file_kept)} SELECT id, cluster_id, round(sqrt(d), 6) AS distance FROM la",
         "word_count_file": all_counted,
+        "lloyd_pruned": f"{lloyd} SELECT iteration, cluster_id, size, round(shift, 6) AS shift, round(cost, 6) AS cost FROM h WHERE iteration > 0",
+        "lloyd_continued": f"{lloyd} SELECT iteration, cluster_id, size, round(shift, 6) AS shift, round(cost, 6) AS cost FROM h WHERE iteration > 0",
+        "lloyd_tfidf_continued": f"{lloyd_sparse} {sparse_history}",
+        "assign_in_blocks": f"WITH {groups} SELECT pt.id, arg_min(q.cluster_id, (list_distance(pt.v, q.v), q.cluster_id)) AS cluster_id, "
+        "round(min(list_distance(pt.v, q.v)), 6) AS distance FROM pt, q GROUP BY pt.id",
+        "choose_centroids_k12": f"WITH {_seed_ctes(12)} SELECT cluster_id, id, round(d, 6) AS min_distance FROM ({seeds})",
+        "document_frequency_approximate": f"WITH {tf} SELECT term, df, true AS close FROM df",
+        "product_count_approximate": f"WITH {tf} SELECT count(DISTINCT product_id) AS n_products, true AS close FROM tf",
+        "review_rejects": f"SELECT {product} AS product, 'review/text' AS line, 'no value' AS reason FROM documents WHERE {dropped}",
+        "review_rejects_of_lines": f"SELECT {product} AS product, count(*) + count(*) FILTER (NOT ({dropped})) AS kept, "
+        f"count(*) FILTER ({dropped}) AS dropped FROM documents GROUP BY ALL",
+        "small_splits": f"SELECT conv_id::VARCHAR AS product_id, {conversation_text} AS text FROM conversations",
+        "seed_file_distances": f"WITH {_seed_ctes()} SELECT cluster_id, round(coalesce(d, 0), 6) AS min_distance FROM seeds",
+        "vectorize_file": f"WITH {_tf_ctes(_ROLE_TERMS)}, {_DICTIONARY.format('tf')} "
+        "SELECT p.id, CAST(term_index AS BIGINT) AS dim, round(coalesce(tf, 0), 6) AS value FROM "
+        "(SELECT DISTINCT product_id AS id FROM tf) AS p CROSS JOIN dictionary AS d "
+        "LEFT JOIN tf ON tf.product_id = p.id AND tf.term = d.term",
+        "top_words_file": "SELECT row_number() OVER (ORDER BY count, term) - 1 AS line, term || chr(9) || count AS value FROM "
+        f"(SELECT * FROM ({counted}) ORDER BY count DESC, term DESC LIMIT 1000)",
     }

@@ -1,4 +1,10 @@
-from plotweave.sources.reviews import read_review_lines, read_reviews
+from plotweave.sources.reviews import (
+    CheckedReviews,
+    read_review_lines,
+    read_review_lines_checked,
+    read_reviews,
+    read_reviews_checked,
+)
 from plotweave.sources.tables import read_table
 from plotweave.sources.text_tables import (
     read_centroids,
@@ -21,13 +27,16 @@ from plotweave.sources.text_tables import (
 )
 
 __all__ = [
+    "CheckedReviews",
     "read_centroids",
     "read_coordinate_centroids",
     "read_dictionary",
     "read_history",
     "read_keyed_centroids",
     "read_review_lines",
+    "read_review_lines_checked",
     "read_reviews",
+    "read_reviews_checked",
     "read_stop_words",
     "read_table",
     "read_triples",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from plotweave.functions.text import first_segment, trim_control, whole_text
-from plotweave.session import stage
+from plotweave.session import stage, stage_path
 
 # Fixed values of the file format.
 PRODUCT_KEY = "product/productId"
@@ -57,16 +59,52 @@ def _other_fields(block: Column) -> list[Column]:
     return [value.alias(name) for name, value in found.items()]
 
 
-def _well_formed(reviews: DataFrame, malformed: Observation | None, extra: list[str]) -> DataFrame:
+NO_VALUE, NO_TEXT = "no value", "no text"
+
+
+def _reason(value: Column) -> Column:
+    """Why a text line has no text: nothing after its key, or nothing that the text rule leaves."""
+    return F.when(value.isNull(), NO_VALUE).otherwise(NO_TEXT)
+
+
+def _well_formed(lines: DataFrame, malformed: Observation | None, extra: list[str]) -> DataFrame:
     if malformed is not None:
-        reviews = reviews.observe(
+        lines = lines.observe(
             malformed, F.count(F.when(F.col("text").isNull(), 1)).alias("malformed_lines")
         )
-    return reviews.where(F.col("text").isNotNull()).select(
+    return lines.where(F.col("text").isNotNull()).select(
         "product_id", "review_id", "text", *extra
     )
 
 
+@dataclass(frozen=True)
+class CheckedReviews:
+    """``reviews``: as the reader gives them. ``rejected``: file, block_start, product_id, line,
+    reason of each text line that it drops. Both are stored, by one pass over the files."""
+
+    reviews: DataFrame
+    rejected: DataFrame
+
+
+def _checked(lines: DataFrame, extra: list[str]) -> CheckedReviews:
+    spark = lines.sparkSession
+    path = stage_path(spark, "checked_reviews")
+    kept = F.col("text").isNotNull()
+    columns = {
+        "reason": F.when(~kept, _reason(F.col("value"))), "line": F.when(~kept, F.col("line")),
+        "file": F.when(~kept, F.col("file")), "rejected": ~kept,
+    }
+    rows = lines.withColumns(columns).select(
+        "product_id", "review_id", "text", *extra, "file", "block_start", "line", "reason", "rejected"
+    )
+    rows.write.partitionBy("rejected").parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return CheckedReviews(
+        stored.where("NOT rejected").select("product_id", "review_id", "text", *extra),
+        stored.where("rejected").select("file", "block_start", "product_id", "line", "reason"),
+    )
+
+
 def read_reviews(
     spark: SparkSession,
     path: str | list[str],
@@ -86,21 +124,45 @@ def read_reviews(
     A text before any product id has a null id. Text lines without a usable text are
     dropped; ``malformed`` counts them as ``malformed_lines``.
     """
-    blocks = spark.read.option("lineSep", f"{line_break}{PRODUCT_KEY}:").text(path)
+    lines = _text_lines(spark, path, text_rule, all_fields, line_break)
+    return _well_formed(lines, malformed, list(OTHER_KEYS) if all_fields else [])
+
+
+def read_reviews_checked(
+    spark: SparkSession,
+    path: str | list[str],
+    text_rule: str = FIRST_SEGMENT,
+    all_fields: bool = False,
+    line_break: str = "\n",
+) -> CheckedReviews:
+    """``read_reviews``, stored, beside the lines that it drops and why, from the same pass.
+
+    ``block_start`` is where the file split of the line begins.
+    """
+    lines = _text_lines(spark, path, text_rule, all_fields, line_break)
+    return _checked(lines, list(OTHER_KEYS) if all_fields else [])
+
+
+def _text_lines(
+    spark: SparkSession, path: str | list[str], text_rule: str, all_fields: bool, line_break: str
+) -> DataFrame:
+    """Every text line: ``product_id, review_id, file, block_start, line, value, text``."""
+    blocks = spark.read.option("lineSep", f"{line_break}{PRODUCT_KEY}:").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start")
+    )
     value, key = F.col("value"), f"{PRODUCT_KEY}:"
     block = F.when(value.startswith(key), F.substr(value, F.lit(len(key) + 1))).otherwise(value)
     first_line = F.substring_index(F.substring_index("block", "\n", 1), "\r", 1)
     # Only the first block of a file can lack the id; it starts with a line of another key.
     no_id = first_line.rlike(r"^[^:\s]+/[^:\s]+(:|\z)")
-    lines = blocks.select(block.alias("block")).select(
-        F.when(~no_id, _product_id(first_line)).alias("product_id"),
+    lines = blocks.select(block.alias("block"), "file", "block_start").select(
+        F.when(~no_id, _product_id(first_line)).alias("product_id"), "file", "block_start",
         F.explode(_key_lines(F.col("block"), TEXT_KEY)).alias("line"),
         *(_other_fields(F.col("block")) if all_fields else []),
     )
-    reviews = lines.withColumns(
+    return lines.withColumns(
         {"review_id": F.monotonically_increasing_id(), "value": _after_key(F.col("line"))}
     ).withColumn("text", _review_text(F.col("value"), text_rule))
-    return _well_formed(reviews, malformed, list(OTHER_KEYS) if all_fields else [])
 
 
 def read_review_lines(
@@ -115,6 +177,18 @@ def read_review_lines(
     their file split, whose size is bounded by ``spark.sql.files.maxPartitionBytes``; the
     last id of each split is then carried into the splits after it.
     """
+    return _well_formed(_lines_with_ids(spark, path, text_rule), malformed, [])
+
+
+def read_review_lines_checked(
+    spark: SparkSession, path: str | list[str], text_rule: str = FIRST_SEGMENT
+) -> CheckedReviews:
+    """``read_review_lines``, stored, beside the lines that it drops and why."""
+    return _checked(_lines_with_ids(spark, path, text_rule), [])
+
+
+def _lines_with_ids(spark: SparkSession, path: str | list[str], text_rule: str) -> DataFrame:
+    """Every text line, as ``_text_lines`` gives them."""
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
@@ -146,11 +220,12 @@ def read_review_lines(
     carried = wanted.withColumn("own", F.last("own", ignorenulls=True).over(so_far)).where(
         F.col("line").isNotNull()
     )
-    reviews = carried.join(splits, ["file", "split"], "left").select(
+    joined = carried.join(splits, ["file", "split"], "left").select(
         F.coalesce("own", "carried").getField("id").alias("product_id"),
         "review_id",
+        "file",
+        F.col("split").alias("block_start"),
+        "line",
         _after_key(F.col("line")).alias("value"),
     )
-    return _well_formed(
-        reviews.withColumn("text", _review_text(F.col("value"), text_rule)), malformed, []
-    )
+    return joined.withColumn("text", _review_text(F.col("value"), text_rule))

@@ -25,14 +25,15 @@ def _with_all_numbers(vectors: DataFrame) -> DataFrame:
     return vectors.where(F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()))
 
 
-def _numbered_vectors(spark: SparkSession, path: str, vector: Column) -> DataFrame:
-    """``cluster_id, v``: the rows of centroid files from 0, in the order of file names and lines.
+def _numbered_vectors(spark: SparkSession, path: str, vector: Column, **others: Column) -> DataFrame:
+    """``cluster_id, v`` and ``others``: the rows of centroid files from 0, in the order of file names and lines.
 
     A row's number is its place in its file split plus the rows of the splits before; the
     driver sees one number per split.
     """
     rows = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), vector.alias("v")
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), vector.alias("v"),
+        *[c.alias(name) for name, c in others.items()],
     )
     placed = stage(_with_all_numbers(rows).withColumn("place", F.monotonically_increasing_id()), "vector_lines")
     sizes = placed.groupBy("file", "split").agg(F.count("*").alias("n"), F.min("place").alias("first")).collect()
@@ -43,7 +44,7 @@ def _numbered_vectors(spark: SparkSession, path: str, vector: Column) -> DataFra
     # One row per file split.
     offsets = spark.createDataFrame(starts, "file string, split long, offset long")
     return placed.join(F.broadcast(offsets), ["file", "split"]).select(
-        (F.col("place") + F.col("offset")).cast("int").alias("cluster_id"), "v"
+        (F.col("place") + F.col("offset")).cast("int").alias("cluster_id"), "v", *others
     )
 
 
@@ -78,8 +79,14 @@ def read_vectors(spark: SparkSession, path: str, id_type: str = "string") -> Dat
 
 
 def read_keyed_centroids(spark: SparkSession, path: str) -> DataFrame:
-    """``cluster_id, v`` from lines of any key, a tab and the vector."""
-    return _numbered_vectors(spark, path, parse_vector(F.get(F.split("value", "\t"), F.lit(1))))
+    """``cluster_id, v, min_distance`` from lines of any key, a tab and the vector.
+
+    ``min_distance`` is the key, null where it is no number.
+    """
+    fields = F.split("value", "\t")
+    return _numbered_vectors(
+        spark, path, parse_vector(F.get(fields, F.lit(1))), min_distance=F.get(fields, F.lit(0)).try_cast("double")
+    )
 
 
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,9 @@ from plotweave.sources import (
     read_centroids,
     read_keyed_centroids,
     read_review_lines,
+    read_review_lines_checked,
     read_reviews,
+    read_reviews_checked,
     read_stop_words,
     read_triples,
     read_vectors,
@@ -168,3 +170,33 @@ def test_unkeyed_centroids(spark, tmp_path):
         (0, [1.0, 2.0]),
         (1, [0.5, 0.0]),
     ]
+
+
+@pytest.mark.parametrize("reader", [read_reviews_checked, read_review_lines_checked])
+@pytest.mark.parametrize("split", ["128m", "100"])
+def test_dropped_lines_are_listed(spark, tmp_path, reader, split):
+    """Also with splits of 100 bytes; the reviews are those of the plain reader."""
+    (tmp_path / "r.txt").write_text(layouts()["compact"])
+    (tmp_path / "s.txt").write_text("product/productId: P9\nreview/text\nreview/text: Synopsis:\nreview/text: kept\n")
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, split)
+    try:
+        checked = reader(spark, str(tmp_path))
+    finally:
+        spark.conf.set(setting, before)
+    assert found(checked.reviews) == sorted([*EXPECTED, ("P9", "kept")], key=str)
+    rows = checked.rejected.collect()
+    dropped = sorted((r.file.rsplit("/", 1)[1], r.product_id, r.line, r.reason) for r in rows)
+    assert dropped == [
+        ("r.txt", "P4", "review/text: Synopsis", "no text"), ("r.txt", "P5", "review/text:", "no value"),
+        ("s.txt", "P9", "review/text", "no value"), ("s.txt", "P9", "review/text: Synopsis:", "no text"),
+    ]
+    starts = {r.block_start for r in rows}
+    assert starts == {0} if split == "128m" else len(starts) > 1
+
+
+def test_nothing_is_dropped_from_nothing(spark, tmp_path):
+    (tmp_path / "r.txt").write_text("")
+    checked = read_reviews_checked(spark, str(tmp_path))
+    assert checked.reviews.collect() == [] and checked.rejected.collect() == []
