@@ -1,4 +1,10 @@
-"""Licence scan: template words in their places around mandatory phrases, and phrase counts.
+"""Licence scan by a positional index of rare words, and phrase counts.
+
+The index lists, for the words of each template that are rarest in the corpus, the templates and
+positions where they stand. A file's licence words are looked up in it: a word at place i that a
+template has at position p says that the template may begin at i - p. A template counts where its
+mandatory phrase stands and the words at the beginnings found near it cover enough of it, by
+weight of their rarity.
 
 Built-in functions only, one row at a time; nothing but word counts is shuffled.
 """
@@ -70,12 +76,13 @@ TEMPLATES = [
     ),
 ]
 
-# How many of a template's words in a file count as its rarest ones, and how many words a phrase
-# may be away from where the template has it.
-RARE_WORDS = 8
-DRIFT = 3
-# The share of a template's looked-up words that must stand at one relative position.
+# The share of each template's different words that are looked up, the rarest first, and how many
+# at least.
+LOOKED_UP, LEAST_LOOKED_UP = 0.5, 4
+# The share of a template, by the rarity of its words, that must be found, and how many words
+# besides the mandatory phrase.
 COVERAGE = 0.5
+LEAST_BESIDE = 2
 # The score of a file in which phrases were found but no template.
 PHRASE_SCORE = 0.5
 
@@ -137,18 +144,20 @@ def scan_licenses(
     lists sorted and distinct; ``score``, the best share of a template that was found, at
     least ``PHRASE_SCORE`` where a phrase stands.
 
-    A template counts when a file has the mandatory phrase and, at any relative position that
-    puts the phrase near one of its places, at least ``COVERAGE`` of the template's words that
-    the file has stand where the template has them: of all of them, or of the rarest. Templates
-    are judged one by one, so what else a file holds takes nothing from them. ``rarity`` comes
-    from ``word_rarity``.
+    A template counts where its mandatory phrase stands, ``LEAST_BESIDE`` other words of it do, and
+    together they have ``COVERAGE`` of its rarity. Words count that stand where the template
+    has them, if it begins at the phrase's place or at one that a looked-up word proposes, no
+    farther from it than the template is long; so words left out or put in between cost only
+    themselves. Templates are judged one by one, so what else a file holds takes nothing from
+    them. ``rarity`` comes from ``word_rarity``. Columns of ``docs`` with these names are replaced.
     Null and empty texts have no words and no findings. Equal rows get equal findings.
     """
     words = F.col("__words")
     rows = docs.withColumn("__words", split_words(lower_ascii(F.col("text")), WORD_SEPARATORS))
     marked = F.flatten(F.array(*[_marked(words, phrase, label) for phrase, label in phrases.items()]))
     rows = rows.withColumn("__base", F.when(_has_any(words, phrases), marked))
-    rows = rows.withColumn("__found", F.when(_has_any(words, [t[1] for t in templates]), _templates_found(words, rarity, templates)))
+    found = _let(_votes(words, rarity, templates), lambda votes: _templates_found(words, votes, rarity, templates))
+    rows = rows.withColumn("__found", F.when(_has_any(words, [t[1] for t in templates]), found))
     base, found = F.col("__base"), F.col("__found")
     base_labels = F.coalesce(F.transform(base, lambda b: b["label"]), F.array().cast("array<string>"))
     template_labels = F.coalesce(F.transform(found, lambda t: t["label"]), F.array().cast("array<string>"))
@@ -183,43 +192,77 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _templates_found(words: Column, rarity: dict[str, float], templates: list[tuple[str, str, str]]) -> Column:
+def looked_up(text: list[str], rarity: dict[str, float]) -> list[str]:
+    """The words of a template that the index has: its rarest ones."""
+    by_rarity = sorted(set(text), key=lambda w: (-rarity[w], w))
+    return by_rarity[: max(LEAST_LOOKED_UP, math.ceil(LOOKED_UP * len(by_rarity)))]
+
+
+def postings(templates: list[tuple[str, str, str]], rarity: dict[str, float]) -> dict[str, list[tuple[int, int]]]:
+    """The index: word to the templates, by number, and positions where it stands."""
+    out: dict[str, list[tuple[int, int]]] = {}
+    for t, (text, _, _) in enumerate(templates):
+        words = text.split()
+        for word in looked_up(words, rarity):
+            out.setdefault(word, []).extend((t, p) for p, w in enumerate(words) if w == word)
+    return out
+
+
+# A vote is the template's number times _FAR plus the place where it would begin, plus _BEFORE.
+_FAR, _BEFORE = 1 << 40, 1 << 20
+
+
+def _votes(words: Column, rarity: dict[str, float], templates: list[tuple[str, str, str]]) -> Column:
+    """Where the file's looked-up words say that templates begin."""
+    index = postings(templates, rarity)
+    # What a posting adds to the place of its word.
+    steps = {w: [t * _FAR + _BEFORE - p for t, p in places] for w, places in sorted(index.items())}
+    listed = F.create_map(*[x for w, of_word in steps.items() for x in (F.lit(w), F.lit(of_word).cast("array<bigint>"))])
+    at = F.sequence(F.lit(0), F.size(words) - 1)
+    hits = F.filter(at, lambda i: F.get(words, i).isin(sorted(index)))
+    each = lambda i: F.transform(F.try_element_at(listed, F.get(words, i)), lambda step: i.cast("bigint") + step)
+    return F.array_distinct(F.flatten(F.transform(hits, each)))
+
+
+def _templates_found(words: Column, votes: Column, rarity: dict[str, float], templates: list[tuple[str, str, str]]) -> Column:
     """The templates that a file has: array of struct label, share."""
-    present = F.array_intersect(words, F.lit(_vocabulary(templates)))
-    shares = lambda present: F.array(
+    shares = F.array(
         *[
-            F.struct(F.lit(label).alias("label"), _share(words, present, text.split(), phrase, rarity).alias("share"))
-            for text, phrase, label in templates
+            F.struct(F.lit(label).alias("label"), _share(words, votes, t, text.split(), phrase.split(), rarity).alias("share"))
+            for t, (text, phrase, label) in enumerate(templates)
         ]
     )
-    return F.filter(_let(present, shares), lambda x: x["share"] >= COVERAGE)
-
+    return F.filter(shares, lambda x: x["share"] >= COVERAGE)
 
-def _share(words: Column, present: Column, text: list[str], phrase: str, rarity: dict[str, float]) -> Column:
-    """The best share of the template's words in the file that stand at one relative position.
 
-    Positions are judged around every place of the phrase; without one the share is 0.
-    """
-    template, key_at = F.lit(text), _offset(text, phrase.split())
-    by_rarity = sorted(set(text), key=lambda w: (-rarity[w], w))
+def _share(words: Column, votes: Column, t: int, text: list[str], phrase: list[str], rarity: dict[str, float]) -> Column:
+    """The largest share of the template that stands around one place of its phrase, 0 without one."""
+    key_at = _offset(text, phrase)
+    template, weights = F.lit(text), F.lit([float(rarity[w]) for w in text])
     every = F.lit(list(range(len(text))))
-    places_of = lambda known: F.filter(every, lambda k: F.array_contains(known, F.get(template, k)))
-    rare = F.slice(F.array_intersect(F.lit(by_rarity), present), 1, RARE_WORDS)
-
-    def at_position(looked_up: Column, shift: Column) -> Column:
-        standing = F.filter(looked_up, lambda k: F.get(words, shift + k) == F.get(template, k))
-        return F.size(standing) / F.size(looked_up)
-
-    drifts = F.lit(list(range(-DRIFT, DRIFT + 1)))
-    shifts = lambda at: F.array_distinct(F.flatten(F.transform(at, lambda i: F.transform(drifts, lambda d: i - key_at + d))))
-    best = lambda looked_up, shifts: F.array_max(F.transform(shifts, lambda x: at_position(looked_up, x)))
-    judged = lambda at: _let(
-        shifts(at),
-        lambda x: F.greatest(
-            _let(places_of(present), lambda known: best(known, x)), _let(places_of(rare), lambda known: best(known, x))
-        ),
+    whole = sum(rarity[w] for w in text)
+    low = t * _FAR
+    own = F.transform(
+        F.filter(votes, lambda v: (v >= low) & (v < low + _FAR)), lambda v: (v - F.lit(low + _BEFORE)).cast("int")
     )
-    return _let(_phrase_places(words, phrase), lambda at: F.when(F.size(at) > 0, judged(at)).otherwise(0.0))
+
+    def around(begins: Column, begin: Column) -> Column:
+        near = F.array_distinct(F.concat(F.array(begin), F.filter(begins, lambda s: F.abs(s - begin) <= len(text))))
+        stands = lambda near: F.filter(
+            every, lambda p: F.exists(near, lambda s: F.coalesce(F.get(words, p + s) == F.get(template, p), F.lit(False)))
+        )
+
+        def judged(found: Column) -> Column:
+            beside = F.size(F.filter(found, lambda p: (p < key_at) | (p >= key_at + len(phrase))))
+            weight = F.aggregate(found, F.lit(0.0), lambda a, p: a + F.get(weights, p))
+            return F.when(beside >= min(LEAST_BESIDE, len(text) - len(phrase)), F.when(F.size(found) == len(text), 1.0).otherwise(weight / F.lit(whole))).otherwise(0.0)
+
+        return _let(_let(near, stands), judged)
+
+    def best(places: Column) -> Column:
+        return F.array_max(_let(own, lambda begins: F.transform(places, lambda i: around(begins, i - key_at))))
+
+    return _let(_phrase_places(words, " ".join(phrase)), lambda at: F.when(F.size(at) > 0, best(at)).otherwise(0.0))
 
 
 def _offset(text: list[str], phrase: list[str]) -> int:

@@ -93,6 +93,66 @@ def test_all_pairs_of_notices_in_one_file(spark, corpus):
         assert wanted[r.doc_id] <= set(r.template_labels.split(",")) and r.score == 1.0, r.text
 
 
+def plain_scan(text, rarity):
+    """Labels and score by a reading of its own: every place of every word against every template."""
+    w = words(text)
+    found = {}
+    for template, phrase, label in licenses.TEMPLATES:
+        t, key = template.split(), phrase.split()
+        at = next(k for k in range(len(t)) if t[k : k + len(key)] == key)
+        known = sorted(set(t), key=lambda x: (-rarity[x], x))
+        known = known[: max(licenses.LEAST_LOOKED_UP, -(-len(known) // 2))]
+        begins = {i - p for i, x in enumerate(w) if x in known for p, y in enumerate(t) if x == y}
+        for place in [i for i in range(len(w)) if w[i : i + len(key)] == key]:
+            begin = place - at
+            near = {begin} | {s for s in begins if abs(s - begin) <= len(t)}
+            stands = [p for p, y in enumerate(t) if any(0 <= p + s < len(w) and w[p + s] == y for s in near)]
+            beside = [p for p in stands if not at <= p < at + len(key)]
+            share = sum(rarity[t[p]] for p in stands) / sum(rarity[y] for y in t)
+            if len(beside) >= min(2, len(t) - len(key)) and share >= 0.5:
+                found[label] = max(found.get(label, 0.0), min(share, 1.0))
+    labels = sorted(set(found) | set(base(text)[4].split(",")) - {""})
+    return ",".join(labels), max([*found.values(), 0.5 if base(text)[1] else 0.0])
+
+
+def edited(pick, notice):
+    """The notice with words left out, changed or put in, sometimes many at one place."""
+    out = []
+    for x in notice.split():
+        chance = pick.random()
+        if chance < 0.06:
+            continue
+        out.append("other" if chance < 0.12 else x)
+        if chance > 0.95:
+            out += [pick.choice(["the", "software", "license", "word"])] * pick.randrange(1, 9)
+    return " ".join(out)
+
+
+def test_labels_and_scores_equal_a_plain_reading(spark):
+    pick = random.Random(5)
+    vocabulary = sorted({w for text, _, _ in licenses.TEMPLATES for w in text.split()})
+    filler = lambda n: " ".join(pick.choice(vocabulary) if pick.random() < 0.3 else f"word{pick.randrange(90)}" for _ in range(n))
+    texts = [None, "", "mit license " * 500]
+    for _ in range(150):
+        notices = [edited(pick, pick.choice(licenses.TEMPLATES)[0]) for _ in range(pick.randrange(3))]
+        texts.append(" ".join(x for n in notices for x in (filler(pick.randrange(60)), n)) + " " + filler(pick.randrange(60)))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rarity = licenses.word_rarity(docs)
+    for r in licenses.scan_licenses(docs, rarity).collect():
+        assert (r.labels, round(r.score, 9)) == tuple(x if isinstance(x, str) else round(x, 9) for x in plain_scan(r.text, rarity)), r.text
+
+
+def test_a_phrase_alone_is_no_notice(spark, corpus):
+    texts = [
+        "cc by nc", "mozilla public license", "see the mozilla public license page", "we are not using the apache license",
+        "this talk compares the mozilla public license with others",
+    ]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rarity = licenses.word_rarity(docs.unionByName(corpus.select("doc_id", "text")))
+    found = {r.doc_id: (r.labels, r.template_labels, r.score) for r in licenses.scan_licenses(docs, rarity).collect()}
+    assert found == {0: ("", "", 0.0), 1: ("", "", 0.0), 2: ("", "", 0.0), 3: ("apache", "", 0.5), 4: ("", "", 0.0)}
+
+
 def test_no_documents(empty):
     assert scan(empty) == [] and pii.pseudonymize(empty).count() == 0
     items = empty.select("item_id", "text")
