@@ -1,9 +1,14 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
 Tokens, which are words and the beginnings of words, are scored by their log-odds between
-toxic and clean documents, with a Dirichlet prior taken from all training tokens. Every maximal scoring segment of a text is found in one pass;
-how high a segment must score to be more than chance follows from an extreme-value
-distribution, fitted to clean text, and a document's probability from its significance.
+toxic and clean documents, with a Dirichlet prior taken from all training tokens. Every maximal
+scoring segment of a text is found in one pass; how high a segment must score to be more than
+chance follows from an extreme-value distribution, and a document's probability from its
+significance.
+
+The best score S of clean text of n words has P(S <= x) = exp(-k n exp(-rate x)). Both numbers are
+fitted by maximum likelihood to documents whose words were scored without them: the sample is
+dealt into ``FOLDS`` parts, and each is scanned with the scores that the others give.
 """
 
 from __future__ import annotations
@@ -32,7 +37,8 @@ SIGNIFICANT_Z = 3.5
 LEAST_DOCUMENTS = 5
 # Taken off every word's score, so that ordinary text scores below zero.
 DRIFT = 0.7
-TOP_SCORE = 8.0
+# Parts of the sample; each is judged by the words that the others choose.
+FOLDS = 4
 # A segment is toxic if clean text has one as high less often than this.
 SIGNIFICANCE = 0.01
 
@@ -145,19 +151,44 @@ class _Scanner:
         return [(int(at[a // 2]), int(at[(b - 1) // 2]) + 1, s) for a, b, s in segments(runs)]
 
 
-def _chance(n: int, best: float, k: float, rate: float) -> float:
-    """The expected number of segments of that score in ``n`` words of clean text."""
-    return k * max(n, 1) * math.exp(-rate * best)
+def _log_chance(n: np.ndarray, best: np.ndarray, k: float, rate: float) -> np.ndarray:
+    """The decimal logarithm of how many segments of that score ``n`` words of clean text have."""
+    return (np.log(k) + np.log(np.maximum(n, 1)) - rate * best) / math.log(10.0)
 
 
 def _evidence(n: int, found: list[tuple[int, int, float]], k: float, rate: float) -> float:
     """How unlikely the significant segments of a text are: the sum of -log10 of their chances."""
-    out = 0.0
-    for _, _, s in found:
-        e = _chance(n, s, k, rate)
-        if e < SIGNIFICANCE:
-            out -= math.log10(max(e, 1e-30))
-    return min(out, 60.0)
+    if not found:
+        return 0.0
+    chance = _log_chance(np.array([n] * len(found)), np.array([s for *_, s in found]), k, rate)
+    return float(-chance[chance < math.log10(SIGNIFICANCE)].sum())
+
+
+def extreme_value_fit(n: np.ndarray, best: np.ndarray) -> tuple[float, float]:
+    """``k`` and ``rate`` of the best scores of clean texts of ``n`` words, by maximum likelihood.
+
+    A text without any segment has the best score 0: all that is known is that it is below the
+    least one of the others. For a given rate the best k is known, so one number is searched.
+    """
+    n = np.maximum(n, 1).astype("float64")
+    some = best > 0
+    m = int(some.sum())
+    if m < 5 or best[some].max() <= best[some].min():
+        return max(m, 1) / max(float(n.sum()), 1.0), 1.0
+    x = np.where(some, best, best[some].min())
+    total = float(best[some].sum())
+
+    def likelihood(rate: float) -> float:
+        return m * (math.log(rate) - math.log(float((n * np.exp(-rate * x)).sum()))) - rate * total
+
+    # The logarithm of the rate, in ever smaller steps around the best one.
+    low, high = math.log(0.02), math.log(20.0)
+    for _ in range(8):
+        grid = np.linspace(low, high, 21)
+        at = int(np.argmax([likelihood(math.exp(r)) for r in grid]))
+        low, high = grid[max(at - 1, 0)], grid[min(at + 1, 20)]
+    rate = math.exp((low + high) / 2)
+    return m / float((n * np.exp(-rate * x)).sum()), rate
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS) -> ToxicityModel:
@@ -165,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS) ->
 
     ``labels`` has ``doc_id, toxic``; rows with a null in either are left out, and of texts
     that are equal one is used. Word counts are made in Spark; the significant words, no more
-    than the bounded sample has, and the scores of the sample reach the driver. Without
+    than the bounded sample has, and the segments of the sample reach the driver. Without
     documents of both kinds the model scores everything as the share of toxic labels.
     """
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -187,30 +218,33 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS) ->
     ]
     tokens = F.array_compact(F.array_distinct(F.concat(words, *begun)))
     toxic = F.col("toxic")
+    fold = F.pmod(F.xxhash64("text_key", F.lit(FOLDS)), F.lit(FOLDS)).cast("int").alias("fold")
     counts = stage(
-        sample.select(F.explode(tokens).alias("word"), "toxic")
-        .groupBy("word")
+        sample.select(F.explode(tokens).alias("word"), "toxic", fold)
+        .groupBy("word", "fold")
         .agg(F.sum(toxic.cast("double")).alias("toxic"), F.sum((1 - toxic).cast("double")).alias("clean")),
         "toxicity_words",
     )
+    scanned = []
+    for part in range(FOLDS):
+        own = _scan(sample.where(fold == part).select("text_key", "text", "toxic"), _scores(counts.where(F.col("fold") != part)))
+        scanned.append(own.toArrow())
+    return _calibrated(_scores(counts), pa.concat_tables(scanned).sort_by("text_key"), base)
+
+
+def _scores(counts: DataFrame) -> dict[str, float]:
+    """The significant words of some folds' counts; no more than the bounded sample has."""
+    every = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     totals = counts.agg(F.sum("toxic"), F.sum("clean")).first()
-    found = log_odds(counts, (totals[0] or 0.0, totals[1] or 0.0)).collect()
-    scores = {r.word: min(r.score, TOP_SCORE) for r in found}
-    return _calibrated(scores, sample, base)
+    return {r.word: r.score for r in log_odds(every, (totals[0] or 0.0, totals[1] or 0.0)).collect()}
 
 
-def _calibrated(scores: dict[str, float], sample: DataFrame, base: float) -> ToxicityModel:
+def _calibrated(scores: dict[str, float], scanned: pa.Table, base: float) -> ToxicityModel:
     """The extreme-value distribution of clean text, and the probability given the evidence."""
-    scanned = _scan(sample.select("text", "toxic"), scores).toPandas()
-    n, best = scanned.n_words.to_numpy(), scanned.best.to_numpy()
-    toxic = scanned.toxic.to_numpy().astype(float)
-    # Clean text: the best scores exceed a level at a rate that falls as exp(-rate * score).
-    clean = (toxic == 0) & (best > 0)
-    over = best[clean]
-    rate = 1.0 / max(float(over.mean()), 0.25) if len(over) >= 5 else 1.0
-    words = max(float(n[toxic == 0].sum()), 1.0)
-    k = max(len(over), 1) / words * math.exp(rate * (float(over.min()) if len(over) else 0.0))
-    evidence = np.array([_evidence(a, s, k, rate) for a, s in zip(n, scanned.segments.map(_triples))])
+    n, best = scanned["n_words"].to_numpy(), scanned["best"].to_numpy()
+    toxic = scanned["toxic"].to_numpy().astype(float)
+    k, rate = extreme_value_fit(n[toxic == 0], best[toxic == 0])
+    evidence = np.array([_evidence(a, _triples(s), k, rate) for a, s in zip(n, scanned["segments"].to_pylist())])
     slope, offset = _logistic(np.log1p(evidence), toxic)
     return ToxicityModel(scores, k, rate, slope, offset, base)
 
@@ -263,20 +297,18 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``doc_id, score, n_words, passages`` for each row of ``docs`` (``doc_id, text``).
 
     ``passages`` are the significant segments: start and end in words, score, and ``chance``,
-    how many as high are expected in clean text of this length. ``score`` is the probability
+    how many as high are expected in clean text of this length, with its decimal logarithm. ``score`` is the probability
     of a toxic label. Only the text counts. Null and empty texts have no words and the score
     of a text without evidence; equal texts score equally; other columns are ignored. No
     shuffle; the model is the bounded list of significant words.
     """
     scanned = _scan(docs.select("doc_id", "text"), model.scores)
     n = F.greatest("n_words", F.lit(1))
-    chance = lambda s: F.lit(model.k) * n * F.exp(F.lit(-model.rate) * s["score"])
-    passages = F.filter(
-        F.transform("segments", lambda s: F.struct(s["start"], s["end"], s["score"], chance(s).alias("chance"))),
-        lambda s: s["chance"] < SIGNIFICANCE,
-    )
-    surprise = F.transform("passages", lambda s: -F.log10(F.greatest(s["chance"], F.lit(1e-30))))
-    evidence = F.least(F.aggregate(surprise, F.lit(0.0), lambda a, x: a + x), F.lit(60.0))
+    # In logarithms, so that no chance is too small to tell from another.
+    chance = lambda s: F.lit(math.log(model.k)) + F.log(n) - F.lit(model.rate) * s["score"]
+    struct = lambda s: F.struct(s["start"], s["end"], s["score"], F.exp(chance(s)).alias("chance"), (chance(s) / math.log(10.0)).alias("log_chance"))
+    passages = F.filter(F.transform("segments", struct), lambda s: s["log_chance"] < math.log10(SIGNIFICANCE))
+    evidence = F.aggregate(F.transform("passages", lambda s: -s["log_chance"]), F.lit(0.0), lambda a, x: a + x)
     x = F.log1p(evidence) * model.slope + model.offset
     score = 1.0 / (1.0 + F.exp(-x)) if model.scores else F.lit(model.base)
     scored = scanned.withColumn("passages", passages)

@@ -96,6 +96,48 @@ def test_toxicity_of_odd_rows(spark, corpus, empty):
     assert {r.score for r in toxicity.score_toxicity(corpus, nothing).collect()} == {0.0}
 
 
+def test_extreme_value_fit_finds_the_parameters():
+    """Texts without a segment only say that their best score is below the least one."""
+    rng = np.random.default_rng(2)
+    n = rng.integers(20, 3000, 6000)
+    for k, rate in ((0.02, 1.3), (0.004, 0.6), (0.3, 3.0)):
+        best = (np.log(k * n) - np.log(-np.log(rng.random(len(n))))) / rate
+        seen = np.where(best > 0.4, best, 0.0)
+        found = toxicity.extreme_value_fit(n, seen)
+        assert found == pytest.approx((k, rate), rel=0.12)
+    assert toxicity.extreme_value_fit(np.array([10, 20]), np.zeros(2))[1] == 1.0
+
+
+def test_chances_hold_on_clean_text_that_chose_nothing():
+    """The share of held-out texts with a chance below each level is that level."""
+    rng = np.random.default_rng(3)
+    value = {f"w{j}": v for j, v in enumerate(rng.uniform(1.0, 4.0, 40))}
+    words = np.array([*value, *[f"x{j}" for j in range(400)]])
+    scanner = toxicity._Scanner(value)
+
+    def scanned(texts):
+        found = scanner.scan(pa.array([" ".join(rng.choice(words, n)) for n in texts]))
+        return np.array([n for n, _ in found]), np.array([max((s for *_, s in x), default=0.0) for _, x in found])
+
+    n, best = scanned(rng.integers(50, 400, 3000))
+    k, rate = toxicity.extreme_value_fit(n, best)
+    n, best = scanned(rng.integers(50, 400, 6000))
+    chance = 1.0 - np.exp(-k * n * np.exp(-rate * best))
+    for level in (0.2, 0.1, 0.05, 0.02):
+        share = (chance < level).mean()
+        assert abs(share - level) < 4 * (level * (1 - level) / len(n)) ** 0.5 + 0.15 * level
+
+
+def test_strongly_toxic_texts_do_not_tie(spark):
+    rows = insults(spark)
+    model = toxicity.train(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    texts = [(k, "word1 word2 " + "blarg zorky fnurd " * 4**k) for k in range(6)]
+    scored = toxicity.score_toxicity(spark.createDataFrame(texts, "doc_id long, text string"), model).orderBy("doc_id").collect()
+    evidence = [-sum(p.log_chance for p in r.passages) for r in scored]
+    assert all(a < b for a, b in zip(evidence, evidence[1:])) and evidence[-1] > 1000
+    assert all(a.score <= b.score for a, b in zip(scored, scored[1:])) and len({r.score for r in scored}) > 3
+
+
 def test_held_out_fold(spark):
     rows = spark.range(200).select("id", held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in rows)
