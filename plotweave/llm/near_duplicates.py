@@ -25,16 +25,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plotweave.llm.common import ROW, bucketed, documents, own_texts, slices
 from plotweave.llm.components import components
-from plotweave.session import stage
+from plotweave.session import stage, stage_measured
 
 SHINGLE_WORDS = 5
 # Links have 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
 SKETCH = 64
-# Two sets as similar as that share fewer retained hashes than this, or an estimate is below
-# that, with a probability under 1e-8: six deviations below the mean.
-LEAST_SHARED = 26
-LEAST_ESTIMATE = 0.42
+# How likely it may be that a link is missed because two sketches happen to share too little.
+MISSED = 2e-9
+# Pairs of one node that are worked on together; a node with more is sent to several tasks.
+HUB = 256
 # Lists of up to this many nodes give their remaining pairs as rows; the nodes of longer ones
 # are compared in blocks of so many, by matrices of so many columns.
 SHORT_LIST = 32
@@ -127,7 +127,7 @@ def _lists(nodes: DataFrame, similarity: int, k: int) -> DataFrame:
     )
     # Sets so small that all they can be similar to are within their sketches.
     whole = F.col("n") <= math.floor(k * similarity / 100)
-    needed = F.when(whole, F.ceil(F.col("n") * similarity / 100)).otherwise(F.lit(LEAST_SHARED))
+    needed = F.when(whole, F.ceil(F.col("n") * similarity / 100)).otherwise(F.lit(least_shared(similarity, k)))
     held = F.least(F.col("n"), F.lit(k))
     kept = held - needed + 1 - (held - F.size("values"))
     return shared.where(kept > 0).select(
@@ -135,18 +135,48 @@ def _lists(nodes: DataFrame, similarity: int, k: int) -> DataFrame:
     ).select("v.value", "node", "n")
 
 
+def least_shared(similarity: int, k: int) -> int:
+    """Of the ``k`` least hashes of two sets' union, how many both sets have but for a probability
+    of ``MISSED``, if their similarity is at least ``similarity`` percent."""
+    share, below = similarity / 100.0, 0.0
+    for n in range(k + 1):
+        below += math.comb(k, n) * share**n * (1.0 - share) ** (k - n)
+        if below > MISSED:
+            break
+    if n == 0:
+        raise ValueError(f"sketches of {k} hashes are too small for a similarity of {similarity} percent")
+    return n
+
+
 def _similar_sizes(a: Column, b: Column, similarity: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * similarity
 
 
+def _with_hubs(pairs: DataFrame, side: DataFrame) -> DataFrame:
+    """``pairs`` (``a, b``, stored) joined to ``side`` on ``a``. Of a node with more than ``HUB``
+    pairs every ``HUB`` of them meet a copy of its row, so that no task gets them all."""
+    hubs, found = stage_measured(
+        pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB).cast("int").alias("copies")).where("copies > 1"),
+        "hubs", F.count("*").alias("n"),
+    )
+    if not found["n"]:
+        return pairs.join(side, "a")
+    dealt = pairs.join(hubs, "a", "left")
+    few = dealt.where("copies IS NULL").drop("copies").join(side, "a")
+    copy = F.pmod(F.xxhash64("b"), F.col("copies")).cast("int").alias("copy")
+    many = dealt.where("copies IS NOT NULL").select("a", "b", copy)
+    copied = side.join(hubs, "a").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    return few.unionByName(many.join(copied, ["a", "copy"]).drop("copy"))
+
+
 def _estimated(pairs: DataFrame, table: DataFrame, k: int, similarity: int) -> DataFrame:
     """The pairs (``a, b``) whose estimate, from the sketch of the union, is high enough."""
     side = lambda x: table.select(F.col(ROW).alias(x), F.col("sketch").alias(f"sketch_{x}"), F.col("n").alias(f"n_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = _with_hubs(pairs, side("a")).join(side("b"), "b")
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, k)
     common = F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), union))
     exact = (F.col("n_a") <= k) & (F.col("n_b") <= k) & (F.size(F.array_union("sketch_a", "sketch_b")) <= k)
-    least = F.when(exact, similarity / 100.0 - 1e-9).otherwise(LEAST_ESTIMATE)
+    least = F.when(exact, similarity / 100.0 - 1e-9).otherwise(least_shared(similarity, k) / k - 1e-9)
     return both.where(common / F.size(union) >= least).select("a", "b")
 
 
@@ -167,7 +197,7 @@ def _confirmed(pairs: DataFrame, table: DataFrame, size: int, similarity: int) -
                 yield part.select(["a", "b"]).take(at)
 
     text = lambda x: table.select(F.col(ROW).alias(x), F.col("text").alias(f"text_{x}"))
-    both = pairs.join(text("a"), "a").join(text("b"), "b")
+    both = _with_hubs(pairs, text("a")).join(text("b"), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
@@ -303,7 +333,8 @@ def near_duplicates(
     smallest id that links lead to (no id counts as the smallest), ``kept`` says whether it is
     the row's own, and ``kept_row`` is true for one row of each component, even if an id
     occurs in several rows. Rows without words, null texts among them, are linked with
-    nothing. Equal texts always belong together. An empty table gives no rows.
+    nothing. Equal texts always belong together. An empty table gives no rows. A link is missed
+    with a probability of ``MISSED`` at most; a ``k`` too small for that is an error.
 
     Texts are shuffled once, into buckets that later steps join to where they lie; after that
     only hashes, pairs, and the texts of pairs that are confirmed are moved.
@@ -319,7 +350,7 @@ def near_duplicates(
     lists = stage(_lists(nodes, similarity, k), "lists")
 
     def links(pairs: DataFrame) -> DataFrame:
-        likely = stage(_estimated(pairs, table, k, similarity), "likely_pairs")
+        likely = stage(_estimated(stage(pairs, "pairs"), table, k, similarity), "likely_pairs")
         return stage(_confirmed(likely, table, size, similarity), "links")
 
     edges = links(_pairs_of_first(lists, similarity))

@@ -22,14 +22,14 @@ def shingles(text):
     return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4))
 
 
-def expected(docs, n_components=None):
+def expected(docs, n_components=None, similarity=75):
     """(id, set size, smallest id reachable) of each row, by comparing all pairs."""
     sets = [shingles(t) for _, t in docs]
     label = list(range(len(docs)))
     for i in range(len(docs)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+            if both and 100 * both >= similarity * (len(sets[i]) + len(sets[j]) - both):
                 a, b = label[i], label[j]
                 label = [b if x == a else x for x in label]
     if n_components is not None:
@@ -172,3 +172,36 @@ def test_repeats_query(spark, sf_dir):
     texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     rows = repeats.op10_repeats(spark, sf_dir).collect()
     assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == brute_cut(texts)
+
+
+def test_other_similarities_and_sketches(spark):
+    """Links at other thresholds, with sketches of other sizes; too small ones are refused."""
+    pick = random.Random(4)
+    docs = []
+    for _ in range(25):
+        text = [f"w{pick.randrange(9000)}" for _ in range(300)]
+        for changes in (0, 3, 8, 15, 30):
+            copy = list(text)
+            for _ in range(changes):
+                copy[pick.randrange(300)] = f"x{pick.randrange(9000)}"
+            docs.append((len(docs), " ".join(copy)))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    for similarity, k in ((50, 64), (90, 32), (60, 128)):
+        assert found(near.near_duplicates(table, similarity, k=k).collect()) == expected(docs, similarity=similarity)
+    with pytest.raises(ValueError, match="too small"):
+        near.near_duplicates(table, 30, k=16)
+    assert 25 <= near.least_shared(75, 64) <= 27
+
+
+def test_a_hub_is_sent_to_several_tasks(spark, monkeypatch):
+    """One text that many different ones are near."""
+    monkeypatch.setattr(near, "HUB", 4)
+    pick = random.Random(2)
+    base = [f"w{k}" for k in range(200)]
+    docs = [(0, " ".join(base))]
+    for _ in range(60):
+        copy = list(base)
+        for _ in range(3):
+            copy[pick.randrange(200)] = f"x{pick.randrange(10**6)}"
+        docs.append((len(docs), " ".join(copy)))
+    check(spark, docs)
