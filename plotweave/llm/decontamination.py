@@ -35,8 +35,14 @@ SEED_BYTES = 64
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
+# Characters of scripts that set no spaces between words are words of their own.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+
+
 def words_of(text: Column) -> Column:
-    return split_words(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS)
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    apart = F.when(lower.rlike(UNSPACED), F.regexp_replace(lower, f"({UNSPACED})", " $1 ")).otherwise(lower)
+    return split_words(apart, SEPARATORS)
 
 
 def _seed(words: Column, at: Column, mask: tuple[int, ...]) -> Column:
@@ -133,7 +139,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROAD
     ``docs`` has ``doc_id, text`` and ``benchmark`` has ``item_id, text``; other columns are
     ignored. ``text_key`` is a hash of the text, so rows that share an id stay apart, and equal
     rows give one result. Null and empty texts overlap with nothing. Items shorter than the
-    masks are searched for whole, items under ``LEAST_WORDS`` words not at all. An overlap is any
+    masks are searched for whole, items under ``LEAST_WORDS`` words not at all; of scripts without
+    spaces every character is a word. An overlap is any
     run of aligned words with ``OVERLAP_WORDS`` matches (all words of a shorter item) and a share
     of matches of ``OVERLAP_SHARE``; the one with the most matches is given. Ties between
     overlaps go to the earlier place, then to the shorter run.
