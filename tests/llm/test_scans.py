@@ -195,6 +195,16 @@ def test_overlaps(spark, items):
     assert found[(7, 5)].n_words == 6
 
 
+def test_scripts_without_spaces(spark):
+    """Every character is a word, so a passage is found with a character changed, and a few are not enough."""
+    text = "小さな緑色の船が金曜日の正午前に古い石の港を通り過ぎた"
+    items = spark.createDataFrame([(1, text), (2, "กขคงจฉชซฌญฎฏ")], "item_id long, text string")
+    other = "今日は天気がとても良いので散歩に行きます"
+    texts = [f"{other}{text}{other}", f"{other}{text[:12]}x{text[13:]}", f"{other}{text[:4]}{other}", other, "กขคงจฉชซฌญฎฏ", "abc"]
+    found = overlap_ids(spark, items, texts)
+    assert set(found) == {(0, 1), (1, 1), (4, 2)} and found[(0, 1)].n_matched == len(text)
+
+
 def test_every_single_substitution_is_found(spark, items):
     w = ITEM.split()
     texts = [" ".join(x if k != j else "changed" for k, x in enumerate(w)) for j in range(len(w))]
