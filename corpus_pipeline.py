@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from plotweave.llm import decontamination, near_duplicates, packing, pii, quality
 from plotweave.session import stage
 
-# No stage but the last changes these columns.
+# All stages but the last return these columns; of them only ``text`` and ``n_chars`` change, in ``pii``.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
