@@ -33,13 +33,17 @@ def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of this session, set on first use.
 
     The cluster names it in ``spark.checkpoint.dir``. Where that is unset, as in tests, it is
-    a folder beside the warehouse's tables, which all executors reach as well.
+    a folder beside the warehouse's tables. On a cluster that must be one all executors reach, not
+    a path of one machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     configured = spark.conf.get(CHECKPOINT_SETTING, None) or sc.getConf().get(CHECKPOINT_SETTING)
-    if not configured:
-        configured = current or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    if not configured and current is None:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+        if not sc.master.startswith("local") and configured.split(":")[0] in ("file", configured):
+            raise ValueError(f"set {CHECKPOINT_SETTING}: {configured} is a folder of one machine")
+    configured = configured or current
     if current is None:
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")

@@ -1,5 +1,6 @@
 """Every registered query against its SQL twin."""
 
+import functools
 import math
 
 import duckdb
@@ -18,6 +19,15 @@ def sql(sf_dir):
     return connection
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared():
+    """What several queries of one flow begin with is made once."""
+    with pytest.MonkeyPatch.context() as patch:
+        for name in ("_clustered", "_products", "_seeds", "_coordinates", "_many_stop_words", "_loads", "_write_reviews", "_write_defects"):
+            patch.setattr(contract, name, functools.cache(getattr(contract, name)))
+        yield
+
+
 def plain(value):
     if isinstance(value, dict):
         return tuple(plain(v) for v in value.values())
