@@ -12,6 +12,7 @@ same bits whatever the partitions and whichever tasks were run again.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -228,8 +229,16 @@ def _nearer(known: _Centroids):
     return run
 
 
-def centroid_distances(points: DataFrame, centroids: DataFrame) -> DataFrame:
-    """``id, cluster_id, distance`` for every point and each of the few centroids."""
+def centroid_distances(points: DataFrame, centroids: DataFrame, budget: int = BROADCAST_BYTES) -> DataFrame:
+    """``id, cluster_id, distance`` for every point and each centroid; block by block beyond ``budget``."""
+    if _centroid_bytes(centroids) > budget:
+        stored, _ = centroid_blocks(centroids, budget)
+        blocks_used = sorted(r.block for r in stored.select("block").distinct().collect())
+        found = [centroid_distances(points, stored.where(F.col("block") == b), budget) for b in blocks_used]
+        every = found[0]
+        for more in found[1:]:
+            every = every.unionByName(more)
+        return every
     known = _collect_centroids(centroids)
     ids, matrix = known.ids, known.matrix
 
@@ -594,7 +603,8 @@ def lloyd(
     k, dims = known.matrix.shape
     table = points.select("id", "v")
     past, done, iteration, spared = _Past(spark), False, 0, []
-    log = run and Run(spark, run, {"form": "dense", "clusters": known.ids.tolist(), "start": known.matrix.ravel().tolist()[:64], "tol": tol})
+    start = zlib.crc32(known.matrix.tobytes(), zlib.crc32(known.ids.astype("int64").tobytes()))
+    log = run and Run(spark, run, {"form": "dense", "clusters": k, "start": start, "tol": tol})
     unit = None
     if not (log and log.turns and log.turns[-1]["done"]):
         unit = _Units.of(table, known.matrix)

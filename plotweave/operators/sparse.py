@@ -22,6 +22,7 @@ partitioning gives the same bits, and the same number of turns.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -434,7 +435,7 @@ def lloyd_sparse(
     ids = _ids_of(centroids)
     scale = laid.scale.with_(_scale_of_centroids(centroids))
     unit = scale.distance_unit
-    log = run and Run(spark, run, {"form": "coordinates", "clusters": ids, "tol": tol, "unit": unit})
+    log = run and Run(spark, run, {"form": "coordinates", "clusters": len(ids), "ids": zlib.crc32(str(ids).encode()), "tol": tol, "unit": unit})
     turns, rows, done, iteration = [], [], False, 0
     if log and log.turns:
         kept = centroids.select(F.col("cluster_id").cast("int").alias("cluster_id"), "term", "value").schema

@@ -20,18 +20,22 @@ _MANIFEST = re.compile(r"turn-(\d+)\.json")
 
 
 class Run:
-    """The folder ``path``; ``settings`` must be the same whenever it is continued."""
+    """The folder ``path``; ``settings`` must be the same whenever it is continued.
 
-    def __init__(self, spark: SparkSession, path: str, settings: dict):
+    Without ``settings`` the run is only read.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, settings: dict | None = None):
         self.spark, self.path, self.settings = spark, path.rstrip("/"), settings
         self.files, self.folder = file_system(spark, self.path)
-        self.files.mkdirs(self.folder)
+        if settings is not None:
+            self.files.mkdirs(self.folder)
         names = [x.getPath().getName() for x in self.files.listStatus(self.folder)]
         self.turns = [self._read(n) for n in sorted(n for n in names if _MANIFEST.fullmatch(n))]
         if [t["turn"] for t in self.turns] != list(range(1, len(self.turns) + 1)):
             raise ValueError(f"turns are missing in {self.path}")
         for turn in self.turns:
-            if turn["settings"] != settings:
+            if settings is not None and turn["settings"] != settings:
                 raise ValueError(f"{self.path} holds another run: {turn['settings']}, not {settings}")
 
     def _read(self, name: str) -> dict:
@@ -72,3 +76,11 @@ class Run:
     def _stored(self, turns: list[dict], name: str, schema: StructType | str | None) -> DataFrame:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(*[f"{self.path}/{t['tables'][name]}" for t in turns])
+
+
+def run_history(spark: SparkSession, path: str) -> DataFrame:
+    """The history of a run's committed turns, ended or not: a row per turn and cluster."""
+    run = Run(spark, path)
+    if not run.turns:
+        raise ValueError(f"no turn was committed in {path}")
+    return run.tables("history")

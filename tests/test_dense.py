@@ -16,6 +16,7 @@ from plotweave.operators.dense import (
     update_centroids,
     vectorize,
 )
+from plotweave.runs import run_history
 
 
 @pytest.fixture(scope="module")
@@ -161,7 +162,7 @@ def test_partitioning_and_order_do_not_matter(points, centroids):
     assert len(set(means)) == 1
 
 
-def test_a_run_goes_on_after_its_last_committed_turn(points, centroids, tmp_path, monkeypatch):
+def test_a_run_goes_on_after_its_last_committed_turn(spark, points, centroids, tmp_path, monkeypatch):
     whole = lloyd(points, centroids)
     assert whole.iterations > 4
     path = str(tmp_path / "run")
@@ -170,6 +171,7 @@ def test_a_run_goes_on_after_its_last_committed_turn(points, centroids, tmp_path
     (tmp_path / "run" / "turn-000004-history-lost").mkdir()
     (tmp_path / "run" / "turn-000004-history-lost" / "part-0.parquet").write_bytes(b"cut off")
     (tmp_path / "run" / ".turn-000004-lost").write_text("{")
+    assert sorted(tuple(map(str, r)) for r in run_history(spark, path).collect()) == [r for r in history_of(whole) if int(r[0]) <= 3]
     steps, plain = [], dense._step
     monkeypatch.setattr(dense, "_step", lambda *a: steps.append(1) or plain(*a))
     again = lloyd(points, centroids, run=path)
@@ -179,6 +181,8 @@ def test_a_run_goes_on_after_its_last_committed_turn(points, centroids, tmp_path
     assert history_of(done) == history_of(whole) and done.iterations == whole.iterations == 3 + len(steps)
     with pytest.raises(ValueError, match="another run"):
         lloyd(points, centroids, tol=0.5, run=path)
+    with pytest.raises(ValueError, match="no turn"):
+        run_history(spark, str(tmp_path))
 
 
 def jobs_of(spark, work):
@@ -237,6 +241,8 @@ def test_centroids_beyond_the_budget(points, spark, monkeypatch):
     assert matrix_of(two.centroids) == pytest.approx(matrix_of(one.centroids), abs=1e-12)
     key = lambda r: sorted((h.iteration, h.cluster_id, h["size"], round(h["shift"], 9), round(h.cost, 9)) for h in r.history.collect())
     assert key(one) == key(two)
+    few = points.where("id < 20")
+    assert sorted(rows_of(centroid_distances(few, many, budget=small))) == sorted(rows_of(centroid_distances(few, many)))
     with pytest.raises(ValueError, match="larger than the budget"):
         assign(points, many, budget=100)
 
