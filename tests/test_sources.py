@@ -158,9 +158,12 @@ def test_vectors(spark, tmp_path):
         ("a", [1.0, 0.0002]),
         ("d", [0.0, 3.0]),
     ]
-    assert [tuple(r) for r in read_keyed_centroids(spark, str(tmp_path)).collect()] == [
-        (0, [1.0, 0.0002]),
-        (1, [0.0, 3.0]),
+    (tmp_path / "w.txt").write_text("0.0\t1.0 1.0\n2.5\t3.0 4.0\n")
+    assert sorted(tuple(r) for r in read_keyed_centroids(spark, str(tmp_path)).collect()) == [
+        (0, [1.0, 0.0002], None),
+        (1, [0.0, 3.0], None),
+        (2, [1.0, 1.0], 0.0),
+        (3, [3.0, 4.0], 2.5),
     ]
 
 
