@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -306,10 +307,12 @@ def read_ids(files: IdFiles, keys: DataFrame) -> DataFrame:
         if places.num_rows and not shard.num_rows:
             places = places.slice(0, 0)
         elif places.num_rows:
-            stored = zip(*[shard.column(c)[0].as_py() for c in ("offsets", "doc_ids", "repeats")])
-            keys = {offset: (doc_id, repeat) for offset, doc_id, repeat in stored}
-            asked = zip(*[places.column(c).to_pylist() for c in ("offset", "doc_id", "repeat")])
-            places = places.filter(pa.array([keys[o] == (d, r) for o, d, r in asked]))
+            offsets, doc_ids, repeats = (shard.column(c)[0].values for c in ("offsets", "doc_ids", "repeats"))
+            at = pa.array(np.searchsorted(offsets.to_numpy(), places.column("offset").to_numpy()))
+            same = pc.equal(repeats.take(at), places.column("repeat"))
+            mine, asked = doc_ids.take(at), places.column("doc_id")
+            equal = pc.fill_null(pc.equal(mine, asked), False)
+            places = places.filter(pc.and_(same, pc.or_(equal, pc.and_(pc.is_null(mine), pc.is_null(asked)))))
             payload = shard.column("payload")[0].as_py()
             width = "<u2" if len(payload) == 2 * shard.column("n_ids")[0].as_py() else "<u4"
             ids = np.frombuffer(payload, width).astype("<u4")
