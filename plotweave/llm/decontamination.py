@@ -35,13 +35,15 @@ SEED_BYTES = 64
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-# Characters of scripts that set no spaces between words are words of their own.
-UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+# Characters of scripts that set no spaces between words are words of their own: Thai, Lao, Burmese,
+# Khmer, kana and Han, all of them above the characters of other scripts that most texts consist of.
+UNSPACED = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]"
+HIGH = r"[^\x00-\u0dff]"
 
 
 def words_of(text: Column) -> Column:
     lower = F.lower(F.coalesce(text, F.lit("")))
-    apart = F.when(lower.rlike(UNSPACED), F.regexp_replace(lower, f"({UNSPACED})", " $1 ")).otherwise(lower)
+    apart = F.when(lower.rlike(HIGH), F.regexp_replace(lower, f"({UNSPACED})", " $1 ")).otherwise(lower)
     return split_words(apart, SEPARATORS)
 
 
