@@ -20,7 +20,7 @@ from plotweave.operators import terms as texts
 from plotweave.operators import tfidf as weighting
 from plotweave.plans import flows
 from plotweave import sources
-from plotweave.session import stage, stage_path
+from plotweave.session import split_size, stage, stage_path
 
 try:
     from plotweave.llm import registry as _llm
@@ -401,14 +401,8 @@ def small_splits(spark, sf_dir):
         F.regexp_replace("text", r"[\r\n]+", " "), F.lit("\n"),
     )
     _conversations(spark, sf_dir).select(block).write.text(path)
-    # The size of splits is a setting of the session.
-    setting = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "1k")
-    try:
+    with split_size(spark, path, 1024):
         return stage(sources.read_reviews(spark, path).select("product_id", "text"), "small_splits")
-    finally:
-        spark.conf.set(setting, before)
 
 
 def stop_word_file(spark, sf_dir):

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# Small splits are dealt to tasks of about so many bytes.
+TASK_BYTES = 1 << 24
 
 
 def local_session(
@@ -92,6 +96,29 @@ def file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
+@contextmanager
+def split_size(spark: SparkSession, path: str, size: int) -> Iterator[None]:
+    """Files are read in splits of ``size`` bytes inside; those of ``path`` in few tasks.
+
+    Both are settings of the session. Without the second, Spark makes a task of every split that
+    is smaller than the cost it reckons for opening a file.
+    """
+    files, where = file_system(spark, path)
+    tasks = max(4 * spark.sparkContext.defaultParallelism, files.getContentSummary(where).getLength() // TASK_BYTES)
+    settings = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.maxPartitionNum": str(tasks)}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def drop_stage(table: DataFrame | None) -> None:
     """Delete what ``stage`` or ``stage_bucketed`` stored, once nothing reads it any more."""
     known = vars(table) if table is not None else {}

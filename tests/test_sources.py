@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import Observation
 
+import __spark_entry__
+from plotweave.session import split_size
 from plotweave.sources import (
     read_centroids,
     read_keyed_centroids,
@@ -203,3 +205,30 @@ def test_nothing_is_dropped_from_nothing(spark, tmp_path):
     (tmp_path / "r.txt").write_text("")
     checked = read_reviews_checked(spark, str(tmp_path))
     assert checked.reviews.collect() == [] and checked.rejected.collect() == []
+
+
+def test_small_splits_are_dealt_to_few_tasks(spark, tmp_path):
+    """Several hundred splits, a text in each; the settings are as before afterwards."""
+    rows = [(f"P{i}", "word " * 190) for i in range(400)]
+    path = str(tmp_path / "reviews")
+    lines = [f"product/productId: {p}\nreview/text: {t}" for p, t in rows]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.maxPartitionNum")
+    before = [spark.conf.get(n, None) for n in names]
+    with split_size(spark, path, 1024):
+        read = read_reviews(spark, path)
+        tasks = read.rdd.getNumPartitions()
+        splits = spark.read.text(path).select("_metadata.file_name", "_metadata.file_block_start").distinct().count()
+        found = {r.product_id: r.text for r in read.collect()}
+    assert [spark.conf.get(n, None) for n in names] == before
+    assert splits > 300 and tasks <= 6 * spark.sparkContext.defaultParallelism < splits
+    assert found == {p: t.strip() for p, t in rows}
+
+
+def test_query_of_small_splits_has_few_tasks(spark, tmp_path):
+    rows = [(i, 0, "user", "word " * 190) for i in range(400)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    table.write.parquet(str(tmp_path / "conversations.parquet"))
+    read = __spark_entry__.small_splits(spark, str(tmp_path))
+    assert read.count() == 400
+    assert len(read.inputFiles()) <= 6 * spark.sparkContext.defaultParallelism
