@@ -73,3 +73,20 @@ def test_sql_twin(spark, sf_dir):
     expected = connection.sql(passages.ORACLES["op13_passages"])
     assert rows.columns == expected.columns
     assert sorted(map(tuple, rows.collect())) == sorted(expected.fetchall())
+
+
+def test_a_string_has_one_verdict(spark, monkeypatch):
+    """Strings whose windows have several smallest documents meet each copy once."""
+    base = [f"w{k}" for k in range(400)]
+    docs = [(k, " ".join(base[7 * k : 7 * k + 55])) for k in range(40)] + [(100 + k, " ".join(base)) for k in range(20)]
+    stored, stage = [], passages.stage
+
+    def kept(table, name):
+        stored.append((name, stage(table, name)))
+        return stored[-1][1]
+
+    monkeypatch.setattr(passages, "stage", kept)
+    assert cut(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
+    verdicts = [t for name, t in stored if name == "verdicts"]
+    assert verdicts and all(v.count() == v.select("key").distinct().count() for v in verdicts)
+    assert max(v.selectExpr("max(size(runs))").first()[0] or 0 for v in verdicts) > 1
