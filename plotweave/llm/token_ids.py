@@ -21,10 +21,13 @@ import pyarrow.compute as pc
 # Units remembered per worker process: between one and two times this number.
 KNOWN_UNITS = 400_000
 LONG_UNIT = 48
+# Units that open with a space are encoded so many at a time.
+TOGETHER = 64
 # White space of any kind; a space before more of it is left to a slower path, one text at a time.
 _WHITE = r"\s\v\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{1c}-\x{1f}"
 _SLOW = f" [{_WHITE}]|\\x00"
 _UNIT_START = re.compile(r"(?= \S)")
+_OPENED = re.compile(r" \S+").fullmatch
 # Where a unit is cut further: before its last punctuation, and around a line break.
 _CUTS = [
     (r"([\pL\pN])([!-/:-@\[-`{-~]+)(\n|$)", "\\1\0\\2\\3"),
@@ -62,6 +65,11 @@ class Encoder:
         special = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Texts with one of them are encoded as a whole.
         self.special = "|".join(re.escape(t) for t in special)
+        self.together = not any(" " in t for t in special)
+        # Bytes of each id; a vocabulary entry of byte-level BPE has a character for every byte.
+        vocabulary = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values(), default=-1) + 1, "int64")
+        self.n_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self._remember(known_units)
 
     def _remember(self, known_units: int | None) -> None:
@@ -103,6 +111,36 @@ class Encoder:
         return [known[u] for u in units]
 
     def _encoded(self, units: list[str]) -> list[bytes]:
+        """The ids of each of ``units``, which are distinct."""
+        opened = [u for u in units if _OPENED(u)] if self.together else []
+        ids = self._side_by_side(opened) if opened else None
+        if ids is None:
+            return self._one_by_one(units)
+        found = dict(zip(opened, ids))
+        others = [u for u in units if u not in found]
+        found.update(zip(others, self._one_by_one(others)))
+        return [found[u] for u in units]
+
+    def _side_by_side(self, units: list[str]) -> list[bytes] | None:
+        """The ids of units that each open with a space and have no other white space.
+
+        Side by side they are units still, and cost less than one by one; their ids are told apart
+        by the bytes they stand for. None if some unit does not end where an id ends.
+        """
+        lines = ["".join(units[k : k + TOGETHER]) for k in range(0, len(units), TOGETHER)]
+        encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        data = b"".join([self._bytes(e.ids) for e in encoded])
+        after = np.cumsum(self.n_bytes[np.frombuffer(data, "<u4")])
+        ends = np.cumsum([len(u.encode()) for u in units])
+        if not len(after) or after[-1] != ends[-1]:
+            return None
+        last = np.searchsorted(after, ends)
+        if (after[last] != ends).any():
+            return None
+        bounds = [0, *((last + 1) * 4).tolist()]
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _one_by_one(self, units: list[str]) -> list[bytes]:
         return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
     @staticmethod

@@ -176,3 +176,22 @@ def test_a_key_with_anothers_fingerprint_is_not_read(spark, monkeypatch):
     wrong = spark.createDataFrame(place)
     monkeypatch.setattr(id_files, "find", lambda files, keys: wrong)
     assert id_files.read_ids(files, id_files.keys_of(docs)).collect() == []
+
+
+def test_units_are_encoded_side_by_side(plain, monkeypatch):
+    """Few calls for many units, the same ids, and one by one where bytes do not tell them apart."""
+    words = ["a", "Ġb", "中文", "½", "é" * 90, "'s", "don't", "--x", "1990", "<|endof", "text|>", "\ud7ff", "x\u200by"]
+    units = [f" {w}{k}" for w in words for k in range(40)] + ["no space", "", " ", "\n", " two words", " \x1cq"]
+    encoder, calls = Encoder(default_path()), []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return Encoder(default_path()).tokenizer.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counting()
+    expected = [encoder._bytes(plain(u)) for u in units]
+    assert encoder._encoded(units) == expected
+    assert sum(calls) < 20
+    encoder.n_bytes = encoder.n_bytes + 1
+    assert encoder._encoded(units) == expected
