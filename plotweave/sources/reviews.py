@@ -72,9 +72,9 @@ def _well_formed(lines: DataFrame, malformed: Observation | None, extra: list[st
         lines = lines.observe(
             malformed, F.count(F.when(F.col("text").isNull(), 1)).alias("malformed_lines")
         )
-    return lines.where(F.col("text").isNotNull()).select(
-        "product_id", "review_id", "text", *extra
-    )
+    # A filter would be moved below the text rule, which would then be applied once more for it.
+    found = F.explode(F.when(F.col("text").isNotNull(), F.array("text"))).alias("text")
+    return lines.select("product_id", "review_id", found, *extra)
 
 
 @dataclass(frozen=True)

@@ -232,3 +232,15 @@ def test_query_of_small_splits_has_few_tasks(spark, tmp_path):
     read = __spark_entry__.small_splits(spark, str(tmp_path))
     assert read.count() == 400
     assert len(read.inputFiles()) <= 6 * spark.sparkContext.defaultParallelism
+
+
+def test_text_rule_is_applied_once(spark, tmp_path):
+    """No filter repeats it, and texts that it drops are counted."""
+    (tmp_path / "r.txt").write_text("product/productId: P\nreview/text: Synopsis: a\nreview/text:\nreview/text: Synopsis\n")
+    path, malformed = str(tmp_path / "r.txt"), Observation()
+    reviews = read_reviews(spark, path).select("product_id", "text")
+    plan = reviews._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count(" = synopsis") == 1
+    assert [r.text for r in reviews.collect()] == ["a"]
+    assert read_reviews(spark, path, malformed=malformed).count() == 1
+    assert malformed.get["malformed_lines"] == 2
