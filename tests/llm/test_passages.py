@@ -90,3 +90,27 @@ def test_a_string_has_one_verdict(spark, monkeypatch):
     verdicts = [t for name, t in stored if name == "verdicts"]
     assert verdicts and all(v.count() == v.select("key").distinct().count() for v in verdicts)
     assert max(v.selectExpr("max(size(runs))").first()[0] or 0 for v in verdicts) > 1
+
+
+def test_copies_are_dealt_anew_once(spark, monkeypatch):
+    """A full bucket's strings go on to longer runs once each, however many copies they have."""
+    monkeypatch.setattr(passages, "MOST_KINDS", 3)
+    common = [f"w{k}" for k in range(70)]
+    texts = [" ".join([*(f"a{j}x{k}" for k in range(30)), *common, *(f"b{j}x{k}" for k in range(30))]) for j in range(12)]
+    stage, rows = passages.stage, []
+
+    def kept(table, name):
+        stored = stage(table, name)
+        rows.append((name, stored.count()))
+        return stored
+
+    monkeypatch.setattr(passages, "stage", kept)
+    dealt = []
+    for copies in (2, 6):
+        rows.clear()
+        docs = [(100 * c + j, text) for c in range(copies) for j, text in enumerate(texts)]
+        assert cut(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
+        first, *again = [n for name, n in rows if name == "super_kmers"]
+        assert first >= copies * len(texts) and len(again) == len(passages.GRAMS) - 1
+        dealt.append(again)
+    assert dealt[0] == dealt[1]
