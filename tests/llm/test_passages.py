@@ -114,3 +114,27 @@ def test_copies_are_dealt_anew_once(spark, monkeypatch):
         assert first >= copies * len(texts) and len(again) == len(passages.GRAMS) - 1
         dealt.append(again)
     assert dealt[0] == dealt[1]
+
+
+def test_full_buckets_take_one_more_dealing(spark, monkeypatch):
+    """Near copies need a fixed number of stored tables; windows side by side with one verdict are one run."""
+    monkeypatch.setattr(passages, "MOST_KINDS", 3)
+    base = [f"w{k}" for k in range(160)]
+    docs = []
+    for j in range(40):
+        words = list(base)
+        words[j * 31 % 160] = f"own{j}"
+        docs.append((j, " ".join(words)))
+    stored, stage = [], passages.stage
+
+    def kept(table, name):
+        stored.append((name, stage(table, name)))
+        return stored[-1][1]
+
+    monkeypatch.setattr(passages, "stage", kept)
+    assert cut(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
+    names = [name for name, _ in stored]
+    assert names == ["super_kmers", "shared_buckets", "live_super_kmers", "kinds", "super_kmers", "shared_windows", "verdicts"]
+    runs = [r.runs for r in stored[-1][1].collect()]
+    assert max(len(r) for r in runs) > 1 and max(w.n for r in runs for w in r) > 1
+    assert not any(a.first + a.n == b.first and a.least == b.least for r in runs for a, b in zip(r, r[1:]))
